@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from tidemark.functions.values import (
 
 def drop_missing(df: DataFrame, *columns: str) -> DataFrame:
     """Rows where none of ``columns`` is NULL."""
-    return df.dropna(how="any", subset=list(columns))
+    return df.where(reduce(Column.__and__, [F.col(name).isNotNull() for name in columns]))
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:

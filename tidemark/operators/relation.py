@@ -56,10 +56,12 @@ def correlation_matrix(
     of the matrix is its mirror image. The plan does not grow with the number of entities.
     """
     series = panel.where(F.col(value).isNotNull()).select(
-        date, F.col(entity).alias("entity_a"), F.col(value).alias("_value")
+        date,
+        F.col(entity).alias("entity_a"),
+        F.floor(F.col(entity) / LANES).alias("_block_a"),
+        F.col(value).alias("_value"),
     )
-    block = F.floor(F.col("entity_a") / LANES)
-    lanes = series.groupBy(date, block.alias("_block")).agg(
+    lanes = series.groupBy(date, F.col("_block_a").alias("_block")).agg(
         *[
             F.avg(F.when(F.pmod("entity_a", F.lit(LANES)) == lane, F.col("_value"))).alias(
                 f"_lane_{lane}"
@@ -67,7 +69,7 @@ def correlation_matrix(
             for lane in range(LANES)
         ]
     )
-    met = series.join(lanes, date).where(F.col("_block") >= block)
+    met = series.join(lanes, date).where("_block_a <= _block")
     moments = met.groupBy("entity_a", "_block").agg(
         *[
             pearson(F.col("_value"), F.col(f"_lane_{lane}")).alias(f"_corr_{lane}")

@@ -23,7 +23,10 @@ def to_panel(
     """Collapse raw rows to one row per (period, entity): ``(date, entity, value)``.
 
     Values are combined before the shuffle, so however many raw rows an entity has, what
-    leaves a task is at most one row per period and entity. With ``decimals`` the values
+    leaves a task is at most one row per period and entity. Rows without date or entity
+    have no place in a panel; leaving them out here, rather than wherever a later join
+    implies it, keeps the shuffle identical in all branches of a report, so that Spark
+    runs it once. With ``decimals`` the values
     are summed as whole units of that many decimals: the sum is then exact and does not
     depend on the order in which partial results arrive.
     """
@@ -36,7 +39,7 @@ def to_panel(
         (day if grain == "day" else F.trunc(day, grain)).alias("date"),
         entity.alias("entity"),
         value.alias("value"),
-    )
+    ).where("date IS NOT NULL AND entity IS NOT NULL")
     if decimals is None:
         combined = F.avg("value") if how == "avg" else F.sum("value")
         return rows.groupBy("date", "entity").agg(combined.alias("value"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.names import quoted
 from tidemark.operators.change import mom_change
-from tidemark.operators.cleaning import clean
+from tidemark.operators.cleaning import drop_missing, keep_first, non_negative
 from tidemark.operators.conform import calendar_parts, conform, typed
 from tidemark.operators.dimension import literal_dimension
 from tidemark.operators.ingest import rename_to_technical, stamp, with_position
@@ -40,10 +40,11 @@ def silver(
         else with_position(bronze_rows)
     )
     chosen = conform(placed, {**layout.mapping, "_position": "_position"})
-    rows = typed(chosen, dates=[layout.date], numbers=layout.measures)
-    kept = clean(rows, key=layout.date, measures=layout.measures, order_by=["_position"])
-    dated = calendar_parts(kept, layout.date, year=layout.year, month=layout.month)
-    return dated.drop("_position")
+    dated = drop_missing(typed(chosen, dates=[layout.date]), layout.date)
+    # Only the date decides which row of a date stays: numbers are read from those alone.
+    firsts = keep_first(dated, [layout.date], ["_position"]).drop("_position")
+    kept = non_negative(typed(firsts, numbers=layout.measures), layout.measures)
+    return calendar_parts(kept, layout.date, year=layout.year, month=layout.month)
 
 
 def dimension(spark: SparkSession, layout: Layout) -> DataFrame:

@@ -150,7 +150,7 @@ def dirty_orders(spark: SparkSession, folder: str) -> DataFrame:
     price = F.col("o_totalprice")
     return table(spark, folder, "orders").select(
         F.when(key % 97 == 0, F.lit("n/a"))
-        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+        .otherwise(F.col("o_orderdate").cast("date").cast("string"))
         .alias("raw_date"),
         F.when(key % 89 == 0, (-price).cast("string"))
         .when(key % 83 == 0, F.lit(None).cast("string"))
@@ -169,7 +169,7 @@ def raw_shipments(spark: SparkSession, folder: str) -> DataFrame:
     net = price * (1 - F.col("l_discount"))
     return table(spark, folder, "lineitem").select(
         F.when(key % 97 == 0, F.lit("n/a"))
-        .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd"))
+        .otherwise(F.col("l_shipdate").cast("date").cast("string"))
         .alias("Ship Date"),
         net.cast("string").alias("Net Price (index)"),
         F.when(key % 83 == 0, F.lit(None).cast("string"))
