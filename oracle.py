@@ -531,3 +531,9 @@ report(metric, entity, other, day, value) AS (
   UNION ALL SELECT 'growth', entity_name, NULL, NULL, (l - f) / nullif(f, 0) * 100
             FROM ends JOIN dim USING (entity_id))
 SELECT metric, entity, other, day, round(value, 4) AS value FROM report"""
+
+# --- Tables written by jobs -----------------------------------------------------------
+
+ORACLE["csv_text"] = ORACLE["normalise_names"]
+ORACLE["job_change"] = ORACLE["gold_change"]
+ORACLE["refresh_change"] = ORACLE["gold_change"]

@@ -135,9 +135,9 @@ def run(
 
     Each table is written by one job that reads the table before it, so nothing is
     computed twice. ``partition_facts`` stores the monthly and change facts by year.
-    ``location`` puts the tables' files under a given folder.
+    ``location`` puts a new schema and its tables under a given folder.
     """
-    qualified = ensure_schema(spark, schema, catalog)
+    qualified = ensure_schema(spark, schema, catalog, location)
 
     def write(layer: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         name = f"{qualified}.{quoted(layout.tables[layer])}"

@@ -37,6 +37,10 @@ from tidemark.plans.testbed import (
     table,
     wide_priority,
 )
+from tidemark.session import scratch_path
+from tidemark.sources.readers import read_csv
+from tidemark.sources.sinks import write_csv
+from tidemark.streaming.refresh import Refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -448,3 +452,41 @@ def answer_rebased(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def analysis_report(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(reports.analysis_report(_shipments(spark, folder)), 4, "value")
+
+
+# --- Tables written by jobs -----------------------------------------------------------
+
+
+@_query
+def csv_text(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "csv")
+    write_csv(raw_shipments(spark, folder), path)
+    return ingest.rename_to_technical(read_csv(spark, path)).drop("Net_Price_index")
+
+
+@_query
+def job_change(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "job")
+    write_csv(raw_shipments(spark, folder), f"{path}/raw")
+    star = medallion.run(
+        spark,
+        f"{path}/raw",
+        schema=f"shipments_{path[-12:]}",
+        layout=SHIPMENTS,
+        location=f"{path}/tables",
+        partition_facts=True,
+        order_by=shipment_order(),
+    )
+    return _rounded(star.change, 6, "change_pct")
+
+
+@_query
+def refresh_change(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "refresh")
+    raw = raw_shipments(spark, folder)
+    early = F.coalesce(F.col(raw.columns[0]) < "1998-01-01", F.lit(False))
+    refresh = Refresh(SHIPMENTS, f"{path}/tables", shipment_order())
+    for part, rows in enumerate([raw.where(early), raw.where(~early)]):
+        write_csv(rows, f"{path}/raw/part={part}")
+        refresh.stream(spark, f"{path}/raw/*", raw.columns).awaitTermination()
+    return _rounded(refresh.read(spark, "change"), 6, "change_pct")

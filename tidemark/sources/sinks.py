@@ -9,14 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.functions.names import quoted
 
 
-def ensure_schema(spark: SparkSession, schema: str, catalog: str | None = None) -> str:
-    """Create the schema if missing and return its qualified name.
+def ensure_schema(
+    spark: SparkSession, schema: str, catalog: str | None = None, location: str | None = None
+) -> str:
+    """Create the schema if missing, at ``location`` if given; return its qualified name.
 
     A catalog is configuration in open-source Spark (``spark.sql.catalog.<name>``); it is
     used when given and never created.
     """
     qualified = quoted(schema) if catalog is None else f"{quoted(catalog)}.{quoted(schema)}"
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {qualified}")
+    place = "" if location is None else f" LOCATION '{location}'"
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {qualified}{place}")
     return qualified
 
 
