@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.change import step_change
@@ -57,7 +58,8 @@ class Refresh:
         arrived = self._first_rows(spark.read.parquet(raw))
         arrived.write.mode("overwrite").partitionBy(lay.year).parquet(firsts)
 
-        known = spark.read.schema(arrived.schema.add(LOAD, "int")).parquet(self.path("silver"))
+        schema = T.StructType([*arrived.schema.fields, T.StructField(LOAD, T.IntegerType())])
+        known = spark.read.schema(schema).parquet(self.path("silver"))
         touched = known.where(F.col(LOAD) == number).select(lay.year).distinct()
         years = [row[0] for row in touched.collect()]
         if not years:
