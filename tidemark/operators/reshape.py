@@ -10,6 +10,53 @@ from pyspark.sql import functions as F
 from tidemark.functions.names import quoted
 
 
+def _keyed_rows(df: DataFrame, date: Column, entity: Column, value: Column, grain: str):
+    if grain not in ("day", "week", "month", "quarter", "year"):
+        raise ValueError(f"unknown grain {grain!r}")
+    day = date.cast("date")
+    return df.select(
+        (day if grain == "day" else F.trunc(day, grain)).alias("date"),
+        entity.alias("entity"),
+        value.alias("value"),
+    ).where("date IS NOT NULL AND entity IS NOT NULL")
+
+
+def _from_units(how: str, decimals: int) -> Column:
+    """The sum or mean of values held as whole units and their number."""
+    if how not in ("avg", "sum"):
+        raise ValueError(f"how must be 'avg' or 'sum', not {how!r}")
+    total = F.col("units").cast("double") / 10**decimals
+    return F.try_divide(total, F.col("n")) if how == "avg" else total
+
+
+def panel_sums(
+    df: DataFrame,
+    *,
+    date: Column,
+    entity: Column,
+    value: Column,
+    decimals: int,
+    grain: str = "month",
+) -> DataFrame:
+    """``(date, entity, units, n)``: exact sums in units of the last decimal, and counts."""
+    return (
+        _keyed_rows(df, date, entity, value, grain)
+        .groupBy("date", "entity")
+        .agg(
+            F.sum(F.rint(F.col("value") * 10**decimals).cast("long")).alias("units"),
+            F.count("value").alias("n"),
+        )
+    )
+
+
+def roll_up(
+    sums: DataFrame, by: Sequence[str], *, decimals: int, how: str = "avg", out: str = "value"
+) -> DataFrame:
+    """Sums brought to coarser keys, as the sum or the mean over all rows behind them."""
+    coarse = sums.groupBy(*by).agg(F.sum("units").alias("units"), F.sum("n").alias("n"))
+    return coarse.select(*by, _from_units(how, decimals).alias(out))
+
+
 def to_panel(
     df: DataFrame,
     *,
@@ -26,31 +73,18 @@ def to_panel(
     leaves a task is at most one row per period and entity. Rows without date or entity
     have no place in a panel; leaving them out here, rather than wherever a later join
     implies it, keeps the shuffle identical in all branches of a report, so that Spark
-    runs it once. With ``decimals`` the values
-    are summed as whole units of that many decimals: the sum is then exact and does not
-    depend on the order in which partial results arrive.
+    runs it once. With ``decimals`` the values are summed as whole units of that many
+    decimals: the sum is then exact and does not depend on the order in which partial
+    results arrive.
     """
+    keys = {"date": date, "entity": entity, "value": value, "grain": grain}
+    if decimals is not None:
+        combined = _from_units(how, decimals).alias("value")
+        return panel_sums(df, **keys, decimals=decimals).select("date", "entity", combined)
     if how not in ("avg", "sum"):
         raise ValueError(f"how must be 'avg' or 'sum', not {how!r}")
-    if grain not in ("day", "week", "month", "quarter", "year"):
-        raise ValueError(f"unknown grain {grain!r}")
-    day = date.cast("date")
-    rows = df.select(
-        (day if grain == "day" else F.trunc(day, grain)).alias("date"),
-        entity.alias("entity"),
-        value.alias("value"),
-    ).where("date IS NOT NULL AND entity IS NOT NULL")
-    if decimals is None:
-        combined = F.avg("value") if how == "avg" else F.sum("value")
-        return rows.groupBy("date", "entity").agg(combined.alias("value"))
-    unit = 10**decimals
-    sums = rows.groupBy("date", "entity").agg(
-        F.sum(F.rint(F.col("value") * unit).cast("long")).alias("units"),
-        F.count("value").alias("n"),
-    )
-    total = F.col("units").cast("double") / unit
-    value = F.try_divide(total, F.col("n")) if how == "avg" else total
-    return sums.select("date", "entity", value.alias("value"))
+    combined = F.avg("value") if how == "avg" else F.sum("value")
+    return _keyed_rows(df, **keys).groupBy("date", "entity").agg(combined.alias("value"))
 
 
 def unpivot_long(

@@ -25,6 +25,7 @@ from tidemark.plans import answers, medallion, reports
 from tidemark.plans.testbed import (
     PRIORITIES,
     SHIPMENTS,
+    benchmark_price,
     dirty_orders,
     fact_priority,
     panel_brand,
@@ -37,7 +38,7 @@ from tidemark.plans.testbed import (
     table,
     wide_priority,
 )
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, shared_folder
 from tidemark.sources.readers import read_csv
 from tidemark.sources.sinks import write_csv
 from tidemark.streaming.refresh import Refresh
@@ -60,16 +61,6 @@ def _priority_dim(spark: SparkSession) -> DataFrame:
     return dimension.literal_dimension(spark, rows, "entity_id")
 
 
-def _monthly_benchmark(spark: SparkSession, folder: str) -> DataFrame:
-    return reshape.to_panel(
-        table(spark, folder, "orders"),
-        date=F.col("o_orderdate"),
-        entity=F.lit("all"),
-        value=F.col("o_totalprice"),
-        decimals=2,
-    ).select("date", "value")
-
-
 def _shipments(spark: SparkSession, folder: str) -> medallion.Star:
     bronze = medallion.bronze(raw_shipments(spark, folder), "lineitem")
     rows = medallion.silver(bronze, SHIPMENTS, shipment_order())
@@ -216,9 +207,7 @@ def union_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def benchmark_align(spark: SparkSession, folder: str) -> DataFrame:
-    return relation.align_benchmark(
-        panel_priority(spark, folder), _monthly_benchmark(spark, folder)
-    )
+    return relation.align_benchmark(panel_priority(spark, folder), benchmark_price(spark, folder))
 
 
 @_query
@@ -336,7 +325,7 @@ def correlation_matrix_brand(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def correlation_benchmark(spark: SparkSession, folder: str) -> DataFrame:
     related = relation.correlation_with_benchmark(
-        panel_priority(spark, folder), _monthly_benchmark(spark, folder)
+        panel_priority(spark, folder), benchmark_price(spark, folder)
     )
     return _rounded(related, 6, "corr")
 
@@ -398,7 +387,10 @@ def quality_coverage(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def quality_report(spark: SparkSession, folder: str) -> DataFrame:
-    profile = _order_profile(spark, folder)
+    # Two branches use different columns of the profile, which has one row per date: it is
+    # kept, so that the raw rows behind it are read once.
+    shared_folder(spark)
+    profile = _order_profile(spark, folder).checkpoint()
     kept = cleaning.survivors(profile, date="raw_date", measures=["raw_price"])
     long = reshape.unpivot_long(kept, ids=["raw_date"], measures={"raw_price": "price"})
     flagged = change.outliers(long, date="raw_date")

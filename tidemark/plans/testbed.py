@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.reshape import to_panel
+from tidemark.operators.reshape import panel_sums, roll_up, to_panel
 from tidemark.plans.layout import Layout
 
 # The order priorities of the test tables, keyed by their leading digit.
@@ -67,6 +67,21 @@ def fact_priority(spark: SparkSession, folder: str) -> DataFrame:
     return panel.withColumnRenamed("entity", "entity_id")
 
 
+def benchmark_price(spark: SparkSession, folder: str) -> DataFrame:
+    """Mean order price by month, rolled up from the sums behind `panel_priority`.
+
+    Both start with the same shuffle, so a query that needs both reads the orders once.
+    """
+    sums = panel_sums(
+        table(spark, folder, "orders"),
+        date=F.col("o_orderdate"),
+        entity=F.col("o_orderpriority"),
+        value=F.col("o_totalprice"),
+        decimals=2,
+    )
+    return roll_up(sums, ["date"], decimals=2)
+
+
 def panel_brand(spark: SparkSession, folder: str) -> DataFrame:
     """Mean line price by month and brand; the brand's number is the entity key.
 
