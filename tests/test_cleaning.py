@@ -86,7 +86,8 @@ def test_funnel_of_an_empty_input(spark):
     assert [row[2:] for row in rows(funnel)] == [(0, 0, 0)] * 3
 
 
-def test_keep_first_against_brute_force(spark):
+@pytest.mark.parametrize("few_keys", [False, True])
+def test_keep_first_against_brute_force(spark, few_keys):
     rng = random.Random(7)
     data = [(i, rng.choice("aaaabc"), rng.randrange(50)) for i in range(400)]
     rng.shuffle(data)
@@ -95,13 +96,16 @@ def test_keep_first_against_brute_force(spark):
     for seq, key, value in data:
         if key not in best or (value, seq) < best[key][:2]:
             best[key] = (value, seq)
-    kept = cleaning.keep_first(df, ["k"], ["v", "seq"])
+    kept = cleaning.keep_first(df, ["k"], ["v", "seq"], few_keys=few_keys)
+    assert kept.columns == df.columns
     assert rows(kept, "k", "v", "seq") == sorted((k, v, s) for k, (v, s) in best.items())
 
 
-def test_null_keys_are_one_group(spark):
-    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "k string, v int")
-    assert rows(cleaning.keep_first(df, ["k"], ["v"])) == [("a", 3), (None, 1)]
+@pytest.mark.parametrize("few_keys", [False, True])
+def test_null_keys_are_one_group(spark, few_keys):
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", None), ("a", 3)], "k string, v int")
+    kept = cleaning.keep_first(df, ["k"], ["v"], few_keys=few_keys)
+    assert rows(kept) == [("a", None), (None, 1)]
 
 
 def test_file_position_follows_the_file(spark, tmp_path):

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.names import quoted
 from tidemark.functions.values import (
     lenient_date,
     lenient_number,
@@ -21,12 +22,35 @@ def drop_missing(df: DataFrame, *columns: str) -> DataFrame:
     return df.where(reduce(Column.__and__, [F.col(name).isNotNull() for name in columns]))
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
+def keep_first(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str | Column],
+    *,
+    few_keys: bool = False,
+) -> DataFrame:
     """One row per key: the first in ``order_by``, which has to be a total order.
 
-    Spark limits each key to one row per input partition before the shuffle
-    (``WindowGroupLimit``), so a key holding most of the rows does not travel whole.
+    Each task passes on at most one row per key (``WindowGroupLimit``, or a partial
+    aggregate with ``few_keys``), so a key holding most of the rows does not travel whole.
+    The window sorts the rows by key and order; with ``few_keys`` they are sorted by key
+    alone and compared in passing, which is cheaper when a key has many rows.
     """
+    if few_keys:
+        named = [name for name in order_by if isinstance(name, str) and name not in keys]
+        others = [name for name in df.columns if name not in keys and name not in named]
+        order = F.struct(*order_by)
+        kept = df.groupBy(*keys).agg(
+            F.min_by(F.struct(*[F.col(quoted(name)) for name in others]), order).alias("_row"),
+            F.min(order).alias("_order"),
+        )
+        source = {**dict.fromkeys(others, "_row"), **dict.fromkeys(named, "_order")}
+        return kept.select(
+            *[
+                F.col(source[name])[name].alias(name) if name in source else F.col(quoted(name))
+                for name in df.columns
+            ]
+        )
     place = Window.partitionBy(*keys).orderBy(*order_by)
     return df.withColumn("_place", F.row_number().over(place)).where("_place = 1").drop("_place")
 
@@ -39,12 +63,13 @@ def non_negative(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def clean(
     df: DataFrame, *, key: str, measures: Sequence[str], order_by: Sequence[str | Column]
 ) -> DataFrame:
-    """The three Silver rules on a typed frame.
+    """The three Silver rules on a typed frame with many rows per key.
 
     A key disappears when its first row breaks the domain rule, although a later
     duplicate may not: the rules apply one after the other.
     """
-    return non_negative(keep_first(drop_missing(df, key), [key], order_by), measures)
+    firsts = keep_first(drop_missing(df, key), [key], order_by, few_keys=True)
+    return non_negative(firsts, measures)
 
 
 def cleaning_profile(

@@ -42,7 +42,7 @@ def silver(
     chosen = conform(placed, {**layout.mapping, "_position": "_position"})
     dated = drop_missing(typed(chosen, dates=[layout.date]), layout.date)
     # Only the date decides which row of a date stays: numbers are read from those alone.
-    firsts = keep_first(dated, [layout.date], ["_position"]).drop("_position")
+    firsts = keep_first(dated, [layout.date], ["_position"], few_keys=True).drop("_position")
     kept = non_negative(typed(firsts, numbers=layout.measures), layout.measures)
     return calendar_parts(kept, layout.date, year=layout.year, month=layout.month)
 

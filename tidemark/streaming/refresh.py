@@ -104,7 +104,7 @@ class Refresh:
         )
         chosen = conform(placed, {**lay.mapping, "_position": "_position"})
         dated = drop_missing(typed(chosen, dates=[lay.date]), lay.date)
-        firsts = keep_first(dated, [lay.date], ["_position"]).drop("_position")
+        firsts = keep_first(dated, [lay.date], ["_position"], few_keys=True).drop("_position")
         numbers = typed(firsts, numbers=lay.measures)
         return calendar_parts(numbers, lay.date, year=lay.year, month=lay.month)
 
