@@ -433,7 +433,8 @@ i AS (
          count(*) FILTER (WHERE price < 0) AS neg
   FROM typed),
 o AS (
-  SELECT count(*) AS n, count(*) FILTER (WHERE price IS NULL) AS p0,
+  SELECT count(*) AS n, count(*) FILTER (WHERE day IS NULL) AS d0,
+         count(*) FILTER (WHERE price IS NULL) AS p0,
          count(*) FILTER (WHERE price < 0) AS neg, min(day) AS lo, max(day) AS hi
   FROM silver),
 u AS (SELECT count(*) FILTER (WHERE n > 1) AS dup, sum(n - 1) AS surplus FROM sizes),
@@ -442,6 +443,9 @@ rows(dimension, stage, "column", metric, value, day) AS (
   UNION ALL SELECT 'completeness', 'input', 'raw_date', 'unparseable', d1, NULL FROM i
   UNION ALL SELECT 'completeness', 'input', 'raw_price', 'missing', p0, NULL FROM i
   UNION ALL SELECT 'completeness', 'input', 'raw_price', 'unparseable', p1, NULL FROM i
+  UNION ALL SELECT 'completeness', 'output', 'raw_date', 'missing', d0, NULL FROM o
+  UNION ALL SELECT 'completeness', 'output', 'raw_date', 'missing_pct',
+                   CAST(d0 AS DOUBLE) / nullif(n, 0) * 100, NULL FROM o
   UNION ALL SELECT 'completeness', 'output', 'raw_price', 'missing', p0, NULL FROM o
   UNION ALL SELECT 'completeness', 'output', 'raw_price', 'missing_pct',
                    CAST(p0 AS DOUBLE) / nullif(n, 0) * 100, NULL FROM o

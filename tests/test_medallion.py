@@ -87,6 +87,12 @@ def test_silver_matches_the_twin(loaded):
     np.testing.assert_array_equal(found[COMMODITIES.measures].to_numpy(), twin.to_numpy())
 
 
+def test_both_ways_to_silver_agree(spark, loaded):
+    star, *_ = loaded
+    bronze = spark.table("prices.bronze_commodity_prices_raw")
+    assert rows(medallion.silver(bronze, COMMODITIES)) == rows(star.silver)
+
+
 def test_gold_counts_and_invariants(loaded):
     star, twin, *_ = loaded
     cells = int(twin[list(COMMODITIES.entity_columns)].notna().sum().sum())
@@ -188,8 +194,7 @@ def test_growth_matches_the_twin(loaded):
 
 def test_quality_of_the_load(spark, loaded, tmp_path):
     star, twin, n_rows, *_ = loaded
-    bronze = spark.table("prices.bronze_commodity_prices_raw")
-    report = reports.quality_of_load(bronze, star)
+    report = reports.quality_of_load(star.profile, star)
     document = reports.quality_document(report, COMMODITIES)
     write_json(document, str(tmp_path / "quality"))
     (part,) = (tmp_path / "quality").glob("part-*.json")
@@ -199,6 +204,7 @@ def test_quality_of_the_load(spark, loaded, tmp_path):
     assert found["consistencia_linhas_sem_data_valida_removidas"] == 3
     assert found["acuracia_valores_negativos_encontrados"]["preco_niquel_usd_ton"] == 1
     assert found["completude_nulos_antes_tratamento"]["data_referencia"] == 1
+    assert set(found["completude_nulos_apos_tratamento"]) == set(star.silver.columns)
     assert found["periodo_coberto"] == {"inicio": "2000-01-01", "fim": "2009-12-01"}
     assert rows(quality.uniqueness(star.silver, ["data_referencia"], "output")) == [
         ("output", len(twin), 0, 0)
@@ -218,6 +224,12 @@ def test_analysis_document(spark, loaded, tmp_path):
         assert found["volatilidade_geral_desvio_padrao_pct"][NAMES[key]] == pytest.approx(
             series.std(), abs=0.00501
         )
+    assert set(found) == {
+        "correlacao_cobre_minerio_ferro", "volatilidade_geral_desvio_padrao_pct",
+        "maiores_altas_mensais", "maiores_quedas_mensais", "correlacao_cobre_indice_metais",
+        "correlacao_minerio_indice_metais", "crescimento_pct_periodo_cobre",
+        "crescimento_pct_periodo_minerio_ferro",
+    }
     moves = sorted(c for s in changes.values() for c in s)
     assert [m["variacao_pct_mom"] for m in found["maiores_altas_mensais"]] == pytest.approx(
         moves[::-1][:5]
@@ -226,7 +238,7 @@ def test_analysis_document(spark, loaded, tmp_path):
         moves[:5]
     )
     corr = twin.corr().loc["preco_cobre_usd_ton", "preco_minerio_ferro_usd_ton"]
-    assert found["correlacao"] == pytest.approx(corr, abs=0.000501)
+    assert found["correlacao_cobre_minerio_ferro"] == pytest.approx(corr, abs=0.000501)
 
 
 def test_queries_written_against_the_tables_run(spark, loaded):
@@ -261,3 +273,15 @@ def test_csv_round_trip(spark, tmp_path):
     assert rows(back) == [("2020-01-01", "1.5", "a,b"), (None, None, 'q"')]
     inferred = read_csv(spark, str(tmp_path / "out"), infer=True)
     assert dict(inferred.dtypes) == {"d": "date", "v": "double", "t": "string"}
+
+
+def test_command_line_writes_tables_and_reports(spark, loaded, tmp_path):
+    from tidemark.__main__ import main
+
+    star, *_, path = loaded
+    out = tmp_path / "reports"
+    main([str(path), "--schema", "by_command", "--reports", str(out), "--by-year"])
+    assert rows(spark.table("by_command.silver_commodity_prices")) == rows(star.silver)
+    written = {folder.name for folder in out.iterdir()}
+    assert {"quality_report", "analysis_results", "correlation", "cleaning_funnel"} <= written
+    assert read_csv(spark, str(out / "gold_fato_precos_anuais")).count() == star.annual.count()

@@ -172,7 +172,7 @@ def quality_report(
         *[total(F.col(f"null_in:{name}")).alias(f"null_in:{name}") for name in inputs],
         *[total(F.col(f"unparseable:{name}")).alias(f"unparseable:{name}") for name in inputs],
         *[total(F.col(f"negative:{name}")).alias(f"negative:{name}") for name in measures],
-        *[F.count_if(kept & F.col(name).isNull()).alias(f"null_out:{name}") for name in measures],
+        *[F.count_if(kept & F.col(name).isNull()).alias(f"null_out:{name}") for name in inputs],
         *[F.count_if(kept & (F.col(name) < 0)).alias(f"negative_out:{name}") for name in measures],
     )
 
@@ -192,7 +192,6 @@ def quality_report(
         entries.append(
             entry("completeness", "input", name, "unparseable", F.col(f"unparseable:{name}"))
         )
-    for name in measures:
         missing = F.col(f"null_out:{name}")
         entries.append(entry("completeness", "output", name, "missing", missing))
         entries.append(

@@ -18,12 +18,14 @@ DOCUMENT_FIELDS = {
     "last": "fim",
     "rows_in": "total_linhas_bronze",
     "rows_out": "total_linhas_silver",
-    "correlation": "correlacao",
+    "correlation": "correlacao_cobre_minerio_ferro",
     "volatility": "volatilidade_geral_desvio_padrao_pct",
     "rises": "maiores_altas_mensais",
     "falls": "maiores_quedas_mensais",
-    "benchmark": "correlacao_indice",
-    "growth": "crescimento_pct_periodo",
+    "benchmark:Cobre": "correlacao_cobre_indice_metais",
+    "benchmark:Minério de Ferro": "correlacao_minerio_indice_metais",
+    "growth:Cobre": "crescimento_pct_periodo_cobre",
+    "growth:Minério de Ferro": "crescimento_pct_periodo_minerio_ferro",
 }
 
 

@@ -10,13 +10,20 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.names import quoted
 from tidemark.operators.change import mom_change
-from tidemark.operators.cleaning import drop_missing, keep_first, non_negative
+from tidemark.operators.cleaning import (
+    cleaning_profile,
+    drop_missing,
+    keep_first,
+    non_negative,
+    survivors,
+)
 from tidemark.operators.conform import calendar_parts, conform, typed
 from tidemark.operators.dimension import literal_dimension
 from tidemark.operators.ingest import rename_to_technical, stamp, with_position
 from tidemark.operators.reshape import unpivot_long
 from tidemark.operators.summary import annual_stats
 from tidemark.plans.layout import COMMODITIES, Layout
+from tidemark.session import shared_folder
 from tidemark.sources.readers import read_csv
 from tidemark.sources.sinks import ensure_schema, overwrite_table
 
@@ -26,25 +33,63 @@ def bronze(raw: DataFrame, source: str | None = None) -> DataFrame:
     return stamp(rename_to_technical(raw), source)
 
 
-def silver(
-    bronze_rows: DataFrame, layout: Layout, order_by: Sequence[Column] | None = None
+def _conformed(
+    bronze_rows: DataFrame, layout: Layout, order_by: Sequence[Column] | None
 ) -> DataFrame:
-    """Selected, typed and cleaned columns with year and month.
+    """The layout's columns as text, and ``_position``, the order of the rows.
 
-    Of rows with the same date the first survives: first in ``order_by`` if given,
-    otherwise first in the files of the Bronze table, which then has to be a file scan.
+    Without ``order_by`` that is the order in the files of the Bronze table, which then
+    has to be a file scan.
     """
     placed = (
         bronze_rows.withColumn("_position", F.struct(*order_by))
         if order_by
         else with_position(bronze_rows)
     )
-    chosen = conform(placed, {**layout.mapping, "_position": "_position"})
+    return conform(placed, {**layout.mapping, "_position": "_position"})
+
+
+def silver(
+    bronze_rows: DataFrame, layout: Layout, order_by: Sequence[Column] | None = None
+) -> DataFrame:
+    """Selected, typed and cleaned columns with year and month.
+
+    Of rows with the same date the first survives: first in ``order_by`` if given,
+    otherwise first in the files of the Bronze table.
+    """
+    rows = first_rows(bronze_rows, layout, order_by)
+    return calendar_parts(
+        non_negative(rows, layout.measures), layout.date, year=layout.year, month=layout.month
+    )
+
+
+def first_rows(
+    bronze_rows: DataFrame, layout: Layout, order_by: Sequence[Column] | None = None
+) -> DataFrame:
+    """The typed first row of every date, in domain or not."""
+    chosen = _conformed(bronze_rows, layout, order_by)
     dated = drop_missing(typed(chosen, dates=[layout.date]), layout.date)
     # Only the date decides which row of a date stays: numbers are read from those alone.
     firsts = keep_first(dated, [layout.date], ["_position"], few_keys=True).drop("_position")
-    kept = non_negative(typed(firsts, numbers=layout.measures), layout.measures)
-    return calendar_parts(kept, layout.date, year=layout.year, month=layout.month)
+    return typed(firsts, numbers=layout.measures)
+
+
+def load_profile(
+    bronze_rows: DataFrame, layout: Layout, order_by: Sequence[Column] | None = None
+) -> DataFrame:
+    """The cleaning profile of Bronze: counters and first row per date, from one scan."""
+    return cleaning_profile(
+        _conformed(bronze_rows, layout, order_by),
+        date=layout.date,
+        measures=layout.measures,
+        order_by="_position",
+    )
+
+
+def silver_of(profile: DataFrame, layout: Layout) -> DataFrame:
+    """The same Silver rows as ``silver``, taken from a profile."""
+    rows = survivors(profile, date=layout.date, measures=layout.measures)
+    return calendar_parts(rows, layout.date, year=layout.year, month=layout.month)
 
 
 def dimension(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -93,6 +138,7 @@ class Star:
     monthly: DataFrame
     annual: DataFrame
     change: DataFrame
+    profile: DataFrame | None = None
 
     @classmethod
     def derive(cls, spark: SparkSession, silver_rows: DataFrame, layout: Layout) -> Star:
@@ -108,14 +154,20 @@ class Star:
         )
 
     @classmethod
-    def load(cls, spark: SparkSession, schema: str, layout: Layout = COMMODITIES) -> Star:
+    def load(
+        cls,
+        spark: SparkSession,
+        schema: str,
+        layout: Layout = COMMODITIES,
+        profile: DataFrame | None = None,
+    ) -> Star:
         """The tables a job has written; ``schema`` is a qualified name."""
         tables = {
             layer: spark.table(f"{schema}.{quoted(table)}")
             for layer, table in layout.tables.items()
             if layer != "bronze"
         }
-        return cls(layout=layout, **tables)
+        return cls(layout=layout, profile=profile, **tables)
 
 
 def run(
@@ -133,8 +185,10 @@ def run(
 ) -> Star:
     """Load a CSV file or folder and replace all tables of the layout.
 
-    Each table is written by one job that reads the table before it, so nothing is
-    computed twice. ``partition_facts`` stores the monthly and change facts by year.
+    Each table is written by one job that reads the table before it. Bronze is read once:
+    its profile, one row per date, is checkpointed and gives Silver as well as the quality
+    report (``Star.profile``). ``partition_facts`` stores the monthly and change facts by
+    year.
     ``location`` puts a new schema and its tables under a given folder.
     """
     qualified = ensure_schema(spark, schema, catalog, location)
@@ -147,9 +201,11 @@ def run(
 
     by_year = (layout.year,) if partition_facts else ()
     raw = write("bronze", bronze(read_csv(spark, csv_path), source or csv_path))
-    rows = write("silver", silver(raw, layout, order_by))
+    shared_folder(spark)
+    profile = load_profile(raw, layout, order_by).checkpoint()
+    rows = write("silver", silver_of(profile, layout))
     write("dimension", dimension(spark, layout))
     facts = write("monthly", monthly(rows, layout), by_year)
     write("annual", annual(facts, layout))
     write("change", change(facts, layout), by_year)
-    return Star.load(spark, qualified, layout)
+    return Star.load(spark, qualified, layout, profile)

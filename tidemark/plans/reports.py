@@ -8,9 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.change import flag_outliers
-from tidemark.operators.cleaning import cleaning_profile
-from tidemark.operators.conform import conform
-from tidemark.operators.ingest import with_position
 from tidemark.operators.quality import quality_report
 from tidemark.plans import answers
 from tidemark.plans.layout import Layout
@@ -41,14 +38,9 @@ def analysis_report(star: Star, k: int = 5) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def quality_of_load(bronze: DataFrame, star: Star, order_by: Column | None = None) -> DataFrame:
-    """The quality report of a load: Bronze is read once, outliers come from Gold."""
+def quality_of_load(profile: DataFrame, star: Star) -> DataFrame:
+    """The quality report of a load, from its profile and the outliers of Gold."""
     lay = star.layout
-    placed = with_position(bronze) if order_by is None else bronze.withColumn("_position", order_by)
-    raw = conform(placed, {**lay.mapping, "_position": "_position"})
-    profile = cleaning_profile(
-        raw, date=lay.date, measures=lay.measures, order_by=F.col("_position")
-    )
     flagged = flag_outliers(star.change, entity=lay.entity, change=lay.change)
     return quality_report(profile, flagged, date=lay.date, measures=lay.measures)
 
@@ -62,6 +54,9 @@ def analysis_document(report: DataFrame, layout: Layout) -> DataFrame:
     label = layout.labels
     first, second = sorted(layout.focus)
 
+    def named(metric: str, entity: str) -> str:
+        return label.get(f"{metric}:{entity}", f"{metric}:{entity}")
+
     def only(metric: str, entity: str, digits: int, other: str | None = None) -> Column:
         rule = (F.col("metric") == metric) & (F.col("entity") == entity)
         if other is not None:
@@ -102,10 +97,10 @@ def analysis_document(report: DataFrame, layout: Layout) -> DataFrame:
         moves("rise").alias(label["rises"]),
         moves("fall").alias(label["falls"]),
         *[
-            only("benchmark_correlation", name, 3).alias(f"{label['benchmark']}:{name}")
+            only("benchmark_correlation", name, 3).alias(named("benchmark", name))
             for name in layout.focus
         ],
-        *[only("growth", name, 1).alias(f"{label['growth']}:{name}") for name in layout.focus],
+        *[only("growth", name, 1).alias(named("growth", name)) for name in layout.focus],
     )
 
 
@@ -125,22 +120,28 @@ def quality_document(report: DataFrame, layout: Layout) -> DataFrame:
     def whole(column: Column) -> Column:
         return column.cast("bigint")
 
-    def per_column(dimension: str, stage: str, metric: str, columns: list[str]) -> Column:
-        return F.struct(
-            *[whole(pick(dimension, stage, metric, name)).alias(name) for name in columns]
-        )
+    def per_column(dimension: str, stage: str, metric: str, columns: list[str]) -> list[Column]:
+        return [whole(pick(dimension, stage, metric, name)).alias(name) for name in columns]
 
-    undated = [pick("completeness", "input", what, layout.date) for what in ("missing", "unparseable")]
+    columns = [layout.date, *layout.measures]
+    undated = [
+        pick("completeness", "input", what, layout.date) for what in ("missing", "unparseable")
+    ]
+    dateless = whole(pick("completeness", "output", "missing", layout.date))
     return report.agg(
-        per_column("completeness", "input", "missing", [layout.date, *layout.measures]).alias(
+        F.struct(*per_column("completeness", "input", "missing", columns)).alias(
             label["missing_in"]
         ),
-        per_column("completeness", "output", "missing", layout.measures).alias(
-            label["missing_out"]
-        ),
+        F.struct(
+            *per_column("completeness", "output", "missing", columns),
+            dateless.alias(layout.year),
+            dateless.alias(layout.month),
+        ).alias(label["missing_out"]),
         whole(pick("uniqueness", "input", "surplus_rows", layout.date)).alias(label["surplus"]),
         whole(undated[0] + undated[1]).alias(label["undated"]),
-        per_column("accuracy", "input", "negative", layout.measures).alias(label["negative"]),
+        F.struct(*per_column("accuracy", "input", "negative", layout.measures)).alias(
+            label["negative"]
+        ),
         F.struct(
             pick("coverage", "output", "first", layout.date, "day").alias(label["first"]),
             pick("coverage", "output", "last", layout.date, "day").alias(label["last"]),

@@ -22,11 +22,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.change import step_change
-from tidemark.operators.cleaning import drop_missing, keep_first, non_negative
-from tidemark.operators.conform import calendar_parts, conform, typed
-from tidemark.operators.ingest import with_position
+from tidemark.operators.cleaning import keep_first, non_negative
+from tidemark.operators.conform import calendar_parts
 from tidemark.plans.layout import Layout
-from tidemark.plans.medallion import annual, bronze, monthly
+from tidemark.plans.medallion import annual, bronze, first_rows, monthly
 from tidemark.sources.readers import text_schema
 
 LOAD = "_load"
@@ -97,16 +96,8 @@ class Refresh:
         A row that breaks it still stands for its date, as it does in a full reload.
         """
         lay = self.layout
-        placed = (
-            load.withColumn("_position", F.struct(*self.order_by))
-            if self.order_by
-            else with_position(load)
-        )
-        chosen = conform(placed, {**lay.mapping, "_position": "_position"})
-        dated = drop_missing(typed(chosen, dates=[lay.date]), lay.date)
-        firsts = keep_first(dated, [lay.date], ["_position"], few_keys=True).drop("_position")
-        numbers = typed(firsts, numbers=lay.measures)
-        return calendar_parts(numbers, lay.date, year=lay.year, month=lay.month)
+        firsts = first_rows(load, lay, self.order_by)
+        return calendar_parts(firsts, lay.date, year=lay.year, month=lay.month)
 
     def _altered_changes(self, facts: DataFrame, years: list[int]) -> DataFrame:
         """Changes of all years in which an observation or its predecessor is touched.
