@@ -174,6 +174,18 @@ def test_extremes_and_outliers_match_the_twin(loaded):
         assert sizes == sorted(sizes, reverse=True)
 
 
+def test_presented_values_are_rounded(loaded):
+    star, *_ = loaded
+    exact = {tuple(r)[:4]: r.variacao_pct_mom for r in answers.extreme_moves(star).collect()}
+    for row in answers.extreme_moves(star, digits=1).collect():
+        assert row.variacao_pct_mom == pytest.approx(exact[tuple(row)[:4]], abs=0.0501)
+    ranking = answers.volatility_ranking(star, digits=2).collect()
+    assert all(r.volatility == round(r.volatility, 2) for r in ranking)
+    assert [r.volatility for r in ranking] == sorted((r.volatility for r in ranking), reverse=True)
+    wide = answers.correlation_wide(star, digits=3).collect()
+    assert {wide[i][wide[i].name_a] for i in range(5)} == {1.0}
+
+
 def test_rebased_series_start_at_100(loaded):
     star, twin, *_ = loaded
     found = answers.rebased(star).collect()

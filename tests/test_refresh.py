@@ -5,7 +5,6 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.ingest import rename_to_technical
 from tidemark.plans import medallion
 from tidemark.plans.layout import COMMODITIES
 from tidemark.streaming.refresh import Refresh
@@ -37,14 +36,13 @@ def loads(seed, n_loads=3):
 
 
 def frame(spark, data):
-    return spark.createDataFrame(data, ", ".join(f"`{name}` string" for name in COLUMNS))
+    raw = spark.createDataFrame(data, ", ".join(f"`{name}` string" for name in COLUMNS))
+    return medallion.bronze(raw, "test")
 
 
 def full_reload(spark, data):
-    raw = rename_to_technical(frame(spark, data))
-    return medallion.Star.derive(
-        spark, medallion.silver(raw, COMMODITIES, order()), COMMODITIES
-    )
+    silver = medallion.silver(frame(spark, data), COMMODITIES, order())
+    return medallion.Star.derive(spark, silver, COMMODITIES)
 
 
 def tables(refresh, spark, star):
@@ -114,3 +112,7 @@ def test_stream_picks_up_new_files_once(spark, tmp_path):
     assert arrive("a.csv", "2000-01-01") == 5
     assert arrive("b.csv", "2000-02-01") == 10
     assert arrive("c.csv", "2000-02-01") == 10
+    sources = spark.read.parquet(refresh.path("bronze")).select("_source").distinct()
+    assert sorted(row[0].rsplit("/", 1)[1] for row in sources.collect()) == [
+        "a.csv", "b.csv", "c.csv"
+    ]

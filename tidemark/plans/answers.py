@@ -24,6 +24,11 @@ def _focus(star: Star, names: Sequence[str] | None):
     return F.col(star.layout.name).isin(list(chosen))
 
 
+def _presented(df: DataFrame, column: str, digits: int | None) -> DataFrame:
+    """Rounded half up to the digits shown, if any are given."""
+    return df if digits is None else df.withColumn(column, F.round(column, digits))
+
+
 def evolution(star: Star, names: Sequence[str] | None = None) -> DataFrame:
     """Question 1: the chosen entities' values over time."""
     lay = star.layout
@@ -43,19 +48,20 @@ def correlation(star: Star) -> DataFrame:
     )
 
 
-def correlation_wide(star: Star) -> DataFrame:
+def correlation_wide(star: Star, digits: int | None = None) -> DataFrame:
     """Question 2 as a square table: one row and one column per entity of the layout."""
     names = [row[star.layout.name] for row in star.layout.entities]
-    pairs = correlation(star)
+    pairs = _presented(correlation(star), "corr", digits)
     return pairs.groupBy("name_a").pivot("name_b", names).agg(F.max("corr"))
 
 
-def volatility_ranking(star: Star) -> DataFrame:
+def volatility_ranking(star: Star, digits: int | None = None) -> DataFrame:
     """Question 3: deviation of the monthly changes per entity, highest first."""
     lay = star.layout
     overall = volatility(star.change, [lay.entity], change=lay.change)
     named = name_entities(overall, star.dimension, lay.entity)
-    return named.select(lay.name, "volatility").orderBy(F.desc("volatility"), lay.name)
+    ranked = named.select(lay.name, "volatility").orderBy(F.desc("volatility"), lay.name)
+    return _presented(ranked, "volatility", digits)
 
 
 def volatility_by_year(star: Star, names: Sequence[str] | None = None) -> DataFrame:
@@ -94,13 +100,14 @@ def rebased(star: Star, names: Sequence[str] | None = None) -> DataFrame:
     return rebase(series, date=lay.date, entity=lay.name, value=lay.value)
 
 
-def extreme_moves(star: Star, k: int = 5) -> DataFrame:
+def extreme_moves(star: Star, k: int = 5, digits: int | None = None) -> DataFrame:
     """Question 5: the largest rises and falls."""
     lay = star.layout
     top = extremes(star.change, k=k, change=lay.change, ties=(lay.date, lay.entity))
-    return name_entities(top, star.dimension, lay.entity).select(
+    named = name_entities(top, star.dimension, lay.entity).select(
         "direction", "rank", lay.date, lay.name, lay.change
     )
+    return _presented(named, lay.change, digits)
 
 
 def outlying_moves(star: Star, sigmas: float = 3.0) -> DataFrame:

@@ -29,7 +29,10 @@ from tidemark.sources.sinks import ensure_schema, overwrite_table
 
 
 def bronze(raw: DataFrame, source: str | None = None) -> DataFrame:
-    """The raw rows under technical names, with load time and source."""
+    """The raw rows under technical names, with load time and source.
+
+    Without ``source`` it is the path of each row's file.
+    """
     return stamp(rename_to_technical(raw), source)
 
 

@@ -50,10 +50,10 @@ class Refresh:
         return rows.where(F.col(self.layout.change).isNotNull()) if layer == "change" else rows
 
     def apply(self, load: DataFrame, number: int) -> None:
-        """Bring one load of raw text rows into all tables."""
+        """Bring one load of Bronze rows into all tables."""
         spark, lay = load.sparkSession, self.layout
         raw, firsts = (f"{self.path(layer)}/{LOAD}={number}" for layer in ("bronze", "silver"))
-        bronze(load, "stream").write.mode("overwrite").parquet(raw)
+        load.write.mode("overwrite").parquet(raw)
         arrived = self._first_rows(spark.read.parquet(raw))
         arrived.write.mode("overwrite").partitionBy(lay.year).parquet(firsts)
 
@@ -78,7 +78,8 @@ class Refresh:
             spark.readStream.schema(text_schema(columns)).option("header", True).csv(source)
         )
         return (
-            arriving.writeStream.foreachBatch(self.apply)
+            bronze(arriving)
+            .writeStream.foreachBatch(self.apply)
             .option("checkpointLocation", f"{self.folder}/_progress")
             .trigger(availableNow=True)
             .start()
