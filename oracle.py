@@ -78,7 +78,8 @@ typed AS (
   FROM raw),
 dated AS (SELECT * FROM typed WHERE day IS NOT NULL),
 firsts AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY day ORDER BY o_orderkey) AS rn FROM dated)
+  SELECT *
+  FROM (SELECT *, row_number() OVER (PARTITION BY day ORDER BY o_orderkey) AS rn FROM dated)
   WHERE rn = 1),
 silver AS (SELECT * FROM firsts WHERE price IS NULL OR price >= 0)"""
 
@@ -332,7 +333,9 @@ ORACLE["outliers_3sigma"] = (
     f"WITH {BRAND}, {_moves('entity_id')}, {OUTLIERS.format(key='entity_id')}"
 )
 
-ORACLE["outliers_customer"] = f"WITH {CUSTOMER}, {_moves('entity')}, {OUTLIERS.format(key='entity')}"
+ORACLE["outliers_customer"] = (
+    f"WITH {CUSTOMER}, {_moves('entity')}, {OUTLIERS.format(key='entity')}"
+)
 
 ORACLE["rebase_100"] = f"""
 WITH {PRIORITY},
@@ -379,7 +382,8 @@ SELECT 'input', 'raw_price', count(*) FILTER (WHERE raw_price IS NULL),
 UNION ALL
 SELECT 'output', 'raw_date', count(*) FILTER (WHERE day IS NULL), CAST(0 AS BIGINT) FROM silver
 UNION ALL
-SELECT 'output', 'raw_price', count(*) FILTER (WHERE price IS NULL), CAST(0 AS BIGINT) FROM silver"""
+SELECT 'output', 'raw_price', count(*) FILTER (WHERE price IS NULL), CAST(0 AS BIGINT)
+FROM silver"""
 
 ORACLE["quality_consistency"] = f"""
 WITH {DIRTY},
@@ -500,6 +504,55 @@ WITH {SHIPMENTS}
 SELECT entity_name, round(stddev_samp(change_pct), 4) AS volatility
 FROM moves JOIN dim USING (entity_id) GROUP BY entity_name ORDER BY volatility DESC, entity_name"""
 
+SHIPMENT_YEARLY = """yearly AS (
+  SELECT year, entity_name, stddev_samp(change_pct) AS volatility
+  FROM moves JOIN dim USING (entity_id) GROUP BY 1, 2)"""
+
+ORACLE["answer_volatility_by_year"] = f"""
+WITH {SHIPMENTS}, {SHIPMENT_YEARLY}
+SELECT year, entity_name, round(volatility, 4) AS volatility FROM yearly
+WHERE entity_name IN ('Quantity', 'Extended price')"""
+
+ORACLE["answer_volatility_peak"] = f"""
+WITH {SHIPMENTS}, {SHIPMENT_YEARLY},
+ranked AS (
+  SELECT *, row_number() OVER (
+           PARTITION BY entity_name ORDER BY volatility DESC NULLS LAST, year) AS rn
+  FROM yearly)
+SELECT entity_name, CASE WHEN volatility > 0 THEN year END AS peak_year,
+       round(volatility, 4) AS peak_volatility
+FROM ranked WHERE rn = 1"""
+
+ORACLE["answer_correlation_wide"] = f"""
+WITH {SHIPMENTS}, {SHIPMENT_PAIRS}
+SELECT name_a,
+       round(max(corr) FILTER (WHERE name_b = 'Quantity'), 6) AS "Quantity",
+       round(max(corr) FILTER (WHERE name_b = 'Extended price'), 6) AS "Extended price",
+       round(max(corr) FILTER (WHERE name_b = 'Tax'), 6) AS "Tax"
+FROM named_pairs GROUP BY name_a"""
+
+ORACLE["answer_outliers"] = f"""
+WITH {SHIPMENTS},
+scored AS (
+  SELECT *, avg(change_pct) OVER (PARTITION BY entity_id) AS m,
+         stddev_samp(change_pct) OVER (PARTITION BY entity_id) AS s
+  FROM moves)
+SELECT day, entity_name, value, round(change_pct, 6) AS change_pct
+FROM scored JOIN dim USING (entity_id) WHERE s > 0 AND abs(change_pct - m) > 3 * s"""
+
+ORACLE["answer_extremes"] = f"""
+WITH {SHIPMENTS},
+ranked AS (
+  SELECT *, row_number() OVER (ORDER BY change_pct DESC, day, entity_id) AS up,
+         row_number() OVER (ORDER BY change_pct, day, entity_id) AS down
+  FROM moves)
+SELECT 'rise' AS direction, CAST(up AS INTEGER) AS rank, day, entity_name,
+       round(change_pct, 4) AS change_pct
+FROM ranked JOIN dim USING (entity_id) WHERE up <= 10
+UNION ALL
+SELECT 'fall', CAST(down AS INTEGER), day, entity_name, round(change_pct, 4)
+FROM ranked JOIN dim USING (entity_id) WHERE down <= 10"""
+
 ORACLE["answer_rebased"] = f"""
 WITH {SHIPMENTS},
 series AS (
@@ -510,6 +563,17 @@ based AS (
   SELECT *, first_value(value) OVER (PARTITION BY entity_name ORDER BY day) AS base FROM series)
 SELECT day, entity_name, value, round(value / nullif(base, 0) * 100, 6) AS index_100 FROM based"""
 
+ORACLE["load_silver"] = ORACLE["silver_table"]
+
+ORACLE["load_funnel"] = f"""
+WITH {SHIPMENTS},
+n AS (SELECT (SELECT count(*) FROM typed) AS a,
+             (SELECT count(*) FROM typed WHERE day IS NOT NULL) AS b,
+             (SELECT count(*) FROM firsts WHERE rn = 1) AS c, (SELECT count(*) FROM silver) AS d)
+SELECT 1 AS step, 'valid_date' AS rule, a AS rows_in, a - b AS rows_dropped, b AS rows_out FROM n
+UNION ALL SELECT 2, 'first_per_date', b, b - c, c FROM n
+UNION ALL SELECT 3, 'non_negative', c, c - d, d FROM n"""
+
 ORACLE["analysis_report"] = f"""
 WITH {SHIPMENTS}, {SHIPMENT_PAIRS},
 ranked AS (

@@ -4,7 +4,8 @@ from datetime import date
 def rows(df, *columns):
     """The frame's rows as sorted tuples, NULLs last."""
     picked = df.select(*columns) if columns else df
-    return sorted((tuple(row) for row in picked.collect()), key=lambda r: [(v is None, v) for v in r])
+    found = [tuple(row) for row in picked.collect()]
+    return sorted(found, key=lambda row: [(value is None, value) for value in row])
 
 
 def day(text):

@@ -287,6 +287,13 @@ def test_csv_round_trip(spark, tmp_path):
     assert dict(inferred.dtypes) == {"d": "date", "v": "double", "t": "string"}
 
 
+def test_a_file_with_other_columns_is_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("d,v\n2020-01-01,1\n")
+    (tmp_path / "b.csv").write_text("v,d\n1,2020-01-01\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        read_csv(spark, str(tmp_path)).collect()
+
+
 def test_command_line_writes_tables_and_reports(spark, loaded, tmp_path):
     from tidemark.__main__ import main
 

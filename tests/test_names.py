@@ -35,6 +35,8 @@ def test_name_without_letters_is_refused():
 def test_resolve_accepts_raw_and_technical_names_and_lists_all_missing():
     assert resolve(["a b", "c"], ["a_b", "c"]) == {"a_b": "a b", "c": "c"}
     assert resolve(["a_b"], ["a b"]) == {"a b": "a_b"}
+    assert resolve(["Date", "date_2"], ["date"]) == {"date": "Date"}
+    assert resolve(["A b", "a b"], ["a b"]) == {"a b": "a b"}
     with pytest.raises(ValueError, match=r"\['x', 'y'\]"):
         resolve(["a"], ["x", "a", "y"])
     with pytest.raises(NameCollision):

@@ -148,7 +148,8 @@ def test_outliers_against_brute_force(panel):
     wanted = set()
     for entity, group in frame[~frame.entity.isin(["flat", "steady"])].groupby("entity"):
         mean, sd = group.change.mean(), statistics.stdev(group.change)
-        wanted |= {(entity, day(d)) for d, c in zip(group.date, group.change) if abs(c - mean) > 3 * sd}
+        moves = zip(group.date, group.change)
+        wanted |= {(entity, day(d)) for d, c in moves if abs(c - mean) > 3 * sd}
     flagged = change.outliers(panel([r for r in data if r[1] != "steady"]))
     assert wanted and {(r.entity, r.date) for r in flagged.collect()} == wanted
     assert change.outliers(panel([r for r in data if r[1] == "flat"])).count() == 0
@@ -255,6 +256,14 @@ def test_correlation_matrix_matches_pandas(panel, entities):
         assert a != b or row.corr == pytest.approx(1.0)
 
 
+def test_correlation_keys_may_be_large_or_negative(panel):
+    keys = [-9, -1, 0, 7, 8, 2**60 + 1, 2**60 + 2]
+    rng = random.Random(2)
+    data = [(month, key, rng.random()) for month in MONTHS for key in keys]
+    found = relation.correlation_matrix(panel(data, "long"), entity="entity").collect()
+    assert {(r.entity_a, r.entity_b) for r in found} == {(a, b) for a in keys for b in keys}
+
+
 def test_correlation_of_a_constant_series_is_null(panel):
     data = [(m, 1, 5.0) for m in MONTHS] + [(m, 2, float(i)) for i, m in enumerate(MONTHS)]
     found = rows(relation.correlation_matrix(panel(data, "int"), entity="entity"))
@@ -272,7 +281,8 @@ def test_benchmark_alignment_and_correlation(spark, panel):
         ((day(d), e, index.get(d)) for d, e, _ in data),
         key=lambda r: [(v is None, v) for v in r],
     )
-    found = {r.entity: r for r in relation.correlation_with_benchmark(panel(data), benchmark).collect()}
+    related = relation.correlation_with_benchmark(panel(data), benchmark)
+    found = {r.entity: r for r in related.collect()}
     for entity in "abcd":
         pairs = [(v, index[d]) for d, e, v in data if e == entity and d in index]
         assert found[entity].n == len(pairs)

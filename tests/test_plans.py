@@ -138,8 +138,9 @@ def test_one_entity_with_most_rows_is_one_row_per_period_and_task(spark):
 
     from tidemark.operators.reshape import to_panel
 
+    other = F.concat(F.lit("e"), F.col("id") % 50)
     hot = spark.range(300_000, numPartitions=6).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("e"), F.col("id") % 50)).alias("e"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(other).alias("e"),
         F.date_add(F.lit("2020-01-01"), (F.col("id") % 300).cast("int")).alias("d"),
         (F.col("id") % 101).cast("double").alias("v"),
     )

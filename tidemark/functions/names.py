@@ -40,18 +40,19 @@ def technical_names(names: Iterable[str]) -> dict[str, str]:
 def resolve(available: Iterable[str], wanted: Iterable[str]) -> dict[str, str]:
     """Wanted name -> available name, by exact match first, then by technical name.
 
-    All unknown names are reported in one error; an ambiguous one is an error as well.
+    Like Spark, the second look disregards case. All unknown names are reported in one
+    error; an ambiguous one is an error as well.
     """
     available = list(available)
     by_technical = defaultdict(list)
     for name in available:
-        by_technical[technical_name(name)].append(name)
+        by_technical[technical_name(name).lower()].append(name)
     found, missing = {}, []
     for name in wanted:
         if name in available:
             found[name] = name
             continue
-        candidates = by_technical.get(technical_name(name), [])
+        candidates = by_technical.get(technical_name(name).lower(), [])
         if len(candidates) > 1:
             raise NameCollision(f"{name!r} may mean any of {candidates}")
         if candidates:

@@ -50,15 +50,16 @@ def correlation_matrix(
     """All pairs: ``(entity_a, entity_b, corr, n)``, each over the dates both have.
 
     ``entity`` is an integer key, as in a star schema. The panel is laid out a second time
-    with eight entities per row, ``(date, block, lane_0 .. lane_7)``; a series meets such
-    rows on the date, and the moments of eight pairs are accumulated per row before
-    anything is shuffled. Only blocks at or after the entity's own are met; the other half
-    of the matrix is its mirror image. The plan does not grow with the number of entities.
+    with eight entities per row, ``(date, block, lane_0 .. lane_7)``, where a block is named
+    by its first possible key. A series meets such rows on the date, and the moments of
+    eight pairs are accumulated per row before anything is shuffled. Only blocks at or after
+    the entity's own are met; the other half of the matrix is its mirror image. The plan
+    does not grow with the number of entities.
     """
     series = panel.where(F.col(value).isNotNull()).select(
         date,
         F.col(entity).alias("entity_a"),
-        F.floor(F.col(entity) / LANES).alias("_block_a"),
+        (F.col(entity) - F.pmod(entity, F.lit(LANES))).alias("_block_a"),
         F.col(value).alias("_value"),
     )
     lanes = series.groupBy(date, F.col("_block_a").alias("_block")).agg(
@@ -84,7 +85,7 @@ def correlation_matrix(
             F.array(
                 *[
                     F.struct(
-                        (F.col("_block") * LANES + lane).cast(key_type).alias("entity_b"),
+                        (F.col("_block") + lane).cast(key_type).alias("entity_b"),
                         F.col(f"_corr_{lane}").alias("corr"),
                         F.col(f"_n_{lane}").alias("n"),
                     )

@@ -436,11 +436,50 @@ def answer_volatility(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(answers.volatility_ranking(_shipments(spark, folder)), 4, "volatility")
 
 
+@_query
+def answer_volatility_by_year(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(answers.volatility_by_year(_shipments(spark, folder)), 4, "volatility")
+
+
+@_query
+def answer_volatility_peak(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(answers.volatility_peak(_shipments(spark, folder)), 4, "peak_volatility")
+
+
+@_query
+def answer_correlation_wide(spark: SparkSession, folder: str) -> DataFrame:
+    return answers.correlation_wide(_shipments(spark, folder), digits=6)
+
+
+@_query
+def answer_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(answers.outlying_moves(_shipments(spark, folder)), 6, "change_pct")
+
+
+@_query
+def answer_extremes(spark: SparkSession, folder: str) -> DataFrame:
+    return answers.extreme_moves(_shipments(spark, folder), k=10, digits=4)
+
+
 @_query
 def answer_rebased(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(answers.rebased(_shipments(spark, folder)), 6, "index_100")
 
 
+@_query
+def load_funnel(spark: SparkSession, folder: str) -> DataFrame:
+    bronze = medallion.bronze(raw_shipments(spark, folder), "lineitem")
+    profile = medallion.load_profile(bronze, SHIPMENTS, shipment_order())
+    return cleaning.cleaning_funnel(profile, date=SHIPMENTS.date, measures=SHIPMENTS.measures)
+
+
+@_query
+def load_silver(spark: SparkSession, folder: str) -> DataFrame:
+    bronze = medallion.bronze(raw_shipments(spark, folder), "lineitem")
+    profile = medallion.load_profile(bronze, SHIPMENTS, shipment_order())
+    return medallion.silver_of(profile, SHIPMENTS)
+
+
 @_query
 def analysis_report(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(reports.analysis_report(_shipments(spark, folder)), 4, "value")

@@ -23,16 +23,19 @@ def read_csv(
     schema: T.StructType | str | None = None,
     infer: bool = False,
 ) -> DataFrame:
-    """A CSV file or folder with a header row.
+    """A CSV file or folder with a header row in every file.
+
+    Each file's header is compared with the schema, so a file whose columns come in
+    another order fails instead of filling the wrong columns.
 
     By default every column is text, so that a column's type does not hang on its worst
     value; ``infer`` asks for types from the data, at the cost of one more pass over it.
     """
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    reader = spark.read.options(header=True, mode="PERMISSIVE", enforceSchema=False)
     if schema is not None:
         return reader.schema(schema).csv(path)
     if infer:
-        return reader.option("inferSchema", True).csv(path)
+        return reader.options(inferSchema=True).csv(path)
     return reader.schema(text_schema(csv_header(spark, path))).csv(path)
 
 

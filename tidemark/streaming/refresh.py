@@ -75,7 +75,9 @@ class Refresh:
         The files' columns are given, as a stream cannot look into files yet to come.
         """
         arriving = (
-            spark.readStream.schema(text_schema(columns)).option("header", True).csv(source)
+            spark.readStream.schema(text_schema(columns))
+            .options(header=True, enforceSchema=False)
+            .csv(source)
         )
         return (
             bronze(arriving)
