@@ -43,7 +43,8 @@ def twin(data):
 def test_to_panel_means_and_sums(spark):
     df = spark.createDataFrame(
         [("2020-01-05", "a", 1.1), ("2020-01-20", "a", 2.2), ("2020-02-01", "a", 5.0),
-         (None, "a", 9.0), ("2020-01-01", None, 9.0), ("2020-03-01", "b", None)],
+         (None, "a", 9.0), ("2020-01-01", None, 9.0), ("2020-03-01", "b", None),
+         ("2020-02-09", "a", math.nan)],
         "d string, e string, v double",
     )
     keys = {"date": F.to_date("d"), "entity": F.col("e"), "value": F.col("v")}
@@ -54,7 +55,7 @@ def test_to_panel_means_and_sums(spark):
         assert [r[:2] for r in found] == [r[:2] for r in expected]
         assert found[0][2] == pytest.approx(1.65) and found[2][2] is None
     daily = reshape.to_panel(df, **keys, how="sum", grain="day")
-    assert len(rows(daily)) == 4
+    assert len(rows(daily)) == 5
     with pytest.raises(ValueError):
         reshape.to_panel(df, **keys, how="median")
     with pytest.raises(ValueError):

@@ -17,7 +17,7 @@ def _keyed_rows(df: DataFrame, date: Column, entity: Column, value: Column, grai
     return df.select(
         (day if grain == "day" else F.trunc(day, grain)).alias("date"),
         entity.alias("entity"),
-        value.alias("value"),
+        F.nanvl(value.cast("double"), F.lit(None).cast("double")).alias("value"),
     ).where("date IS NOT NULL AND entity IS NOT NULL")
 
 
@@ -71,9 +71,9 @@ def to_panel(
 
     Values are combined before the shuffle, so however many raw rows an entity has, what
     leaves a task is at most one row per period and entity. Rows without date or entity
-    have no place in a panel; leaving them out here, rather than wherever a later join
-    implies it, keeps the shuffle identical in all branches of a report, so that Spark
-    runs it once. With ``decimals`` the values are summed as whole units of that many
+    have no place in a panel, and NaN is a missing value. Leaving rows out here,
+    rather than wherever a later join implies it, keeps the shuffle identical in all branches
+    of a report, so that Spark runs it once. With ``decimals`` the values are summed as whole units of that many
     decimals: the sum is then exact and does not depend on the order in which partial
     results arrive.
     """

@@ -603,5 +603,6 @@ SELECT metric, entity, other, day, round(value, 4) AS value FROM report"""
 # --- Tables written by jobs -----------------------------------------------------------
 
 ORACLE["csv_text"] = ORACLE["normalise_names"]
+ORACLE["json_report"] = ORACLE["analysis_report"]
 ORACLE["job_change"] = ORACLE["gold_change"]
 ORACLE["refresh_change"] = ORACLE["gold_change"]

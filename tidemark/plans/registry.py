@@ -40,7 +40,7 @@ from tidemark.plans.testbed import (
 )
 from tidemark.session import scratch_path, shared_folder
 from tidemark.sources.readers import read_csv
-from tidemark.sources.sinks import write_csv
+from tidemark.sources.sinks import write_csv, write_json
 from tidemark.streaming.refresh import Refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -495,6 +495,14 @@ def csv_text(spark: SparkSession, folder: str) -> DataFrame:
     return ingest.rename_to_technical(read_csv(spark, path)).drop("Net_Price_index")
 
 
+@_query
+def json_report(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "json")
+    report = analysis_report(spark, folder)
+    write_json(report, path)
+    return spark.read.schema(report.schema).json(path)
+
+
 @_query
 def job_change(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "job")

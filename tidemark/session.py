@@ -39,12 +39,10 @@ def shared_folder(spark: SparkSession) -> str:
     Only where the setting is absent (a test session) is a temporary folder used.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
-    return context.getCheckpointDir().rstrip("/")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tidemark-"))
+    return (folder or context.getCheckpointDir()).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
