@@ -63,10 +63,10 @@ def loaded(spark, tmp_path_factory):
     return star, pandas_silver(path), n_rows, n_columns, path
 
 
-def test_bronze_keeps_everything_and_adds_two_columns(spark, loaded):
+def test_bronze_keeps_everything_and_adds_control_columns(spark, loaded):
     _, _, n_rows, n_columns, path = loaded
     bronze = spark.table("prices.bronze_commodity_prices_raw")
-    assert (bronze.count(), len(bronze.columns)) == (n_rows, n_columns + 2)
+    assert (bronze.count(), len(bronze.columns)) == (n_rows, n_columns + 3)
     assert {"China_import_Iron_Ore_Fines_62_FE_spot", "Industrial_Inputs_Price_Index",
             "_ingestion_timestamp", "_source"} <= set(bronze.columns)
     assert {row._source for row in bronze.select("_source").collect()} == {str(path)}
@@ -91,6 +91,18 @@ def test_both_ways_to_silver_agree(spark, loaded):
     star, *_ = loaded
     bronze = spark.table("prices.bronze_commodity_prices_raw")
     assert rows(medallion.silver(bronze, COMMODITIES)) == rows(star.silver)
+    unnumbered = bronze.drop("_row_id")
+    assert rows(medallion.silver(unnumbered, COMMODITIES)) == rows(star.silver)
+    profile = medallion.load_profile(unnumbered, COMMODITIES)
+    assert rows(medallion.silver_of(profile, COMMODITIES)) == rows(star.silver)
+
+
+def test_bronze_without_row_numbers_has_two_control_columns(spark, loaded, tmp_path):
+    star, _, n_rows, n_columns, path = loaded
+    other = medallion.run(spark, str(path), schema="unnumbered", numbered=False)
+    bronze = spark.table("unnumbered.bronze_commodity_prices_raw")
+    assert (bronze.count(), len(bronze.columns)) == (n_rows, n_columns + 2)
+    assert rows(other.silver) == rows(star.silver)
 
 
 def test_gold_counts_and_invariants(loaded):

@@ -24,6 +24,9 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--location", help="folder for the schema and its tables")
     parser.add_argument("--source", help="recorded as the rows' source; default: the path")
     parser.add_argument("--by-year", action="store_true", help="store facts by year")
+    parser.add_argument(
+        "--unnumbered", action="store_true", help="no row number among Bronze's control columns"
+    )
     parser.add_argument("--reports", help="folder for documents and CSV copies")
     chosen = parser.parse_args(arguments)
 
@@ -36,6 +39,7 @@ def main(arguments: list[str] | None = None) -> None:
         source=chosen.source,
         fmt=chosen.format,
         location=chosen.location,
+        numbered=not chosen.unnumbered,
         partition_facts=chosen.by_year,
     )
     if chosen.reports:

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.names import quoted
 from tidemark.functions.values import (
@@ -79,16 +80,18 @@ def cleaning_profile(
 
     It holds the counters every report on cleaning needs and the values of the first row
     of the date, so one scan and one pre-aggregated shuffle serve funnel, quality report
-    and Silver alike. With a numeric ``order_by`` the aggregate stays a hash aggregate.
+    and Silver alike. With a numeric ``order_by`` the aggregate needs no sort (its buffers
+    have a fixed width); a compound order is compared once per row for all measures.
     """
     day = lenient_date(F.col(date))
     order = F.col(order_by) if isinstance(order_by, str) else order_by
+    numeric = isinstance(raw.select(order.alias("order")).schema["order"].dataType, T.NumericType)
     counters = [
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col(date).isNull()).alias(f"null_in:{date}"),
         F.count_if(unparseable(F.col(date), day)).alias(f"unparseable:{date}"),
     ]
-    firsts = []
+    numbers = []
     for name in measures:
         number = lenient_number(F.col(name))
         counters += [
@@ -96,8 +99,16 @@ def cleaning_profile(
             F.count_if(unparseable(F.col(name), number)).alias(f"unparseable:{name}"),
             F.count_if(number < 0).alias(f"negative:{name}"),
         ]
-        firsts.append(F.min_by(number, order).alias(name))
-    return raw.groupBy(day.alias(date)).agg(*counters, *firsts)
+        numbers.append(number.alias(name))
+    by_date = raw.groupBy(day.alias(date))
+    if numeric:
+        firsts = [F.min_by(n, order).alias(name) for n, name in zip(numbers, measures)]
+        return by_date.agg(*counters, *firsts)
+    return (
+        by_date.agg(*counters, F.min_by(F.struct(*numbers), order).alias("_first"))
+        .select("*", "_first.*")
+        .drop("_first")
+    )
 
 
 def survivors(profile: DataFrame, *, date: str, measures: Sequence[str]) -> DataFrame:

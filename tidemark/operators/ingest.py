@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.names import quoted, technical_names
 
+ROW_ID = "_row_id"
+
 
 def rename_to_technical(df: DataFrame) -> DataFrame:
     """Normalise every column name; the original is kept as the column's comment."""
@@ -39,6 +41,16 @@ def stamp(df: DataFrame, source: str | None = None) -> DataFrame:
     return df.withColumns({"_ingestion_timestamp": F.current_timestamp(), "_source": origin})
 
 
+def number_rows(df: DataFrame, name: str = ROW_ID) -> DataFrame:
+    """Add the order in which Spark reads the rows, as one number.
+
+    In a single file that is the order of the file; several files follow each other in
+    the order of their splits. To be applied to a scan and then stored: read again, the
+    numbers are as good as any column, whatever happens to the layout of the table.
+    """
+    return df.withColumn(name, F.monotonically_increasing_id())
+
+
 def with_position(df: DataFrame, name: str = "_position") -> DataFrame:
     """Add a total order that follows the stored order of rows in files.
 

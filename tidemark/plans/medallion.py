@@ -19,7 +19,13 @@ from tidemark.operators.cleaning import (
 )
 from tidemark.operators.conform import calendar_parts, conform, typed
 from tidemark.operators.dimension import literal_dimension
-from tidemark.operators.ingest import rename_to_technical, stamp, with_position
+from tidemark.operators.ingest import (
+    ROW_ID,
+    number_rows,
+    rename_to_technical,
+    stamp,
+    with_position,
+)
 from tidemark.operators.reshape import unpivot_long
 from tidemark.operators.summary import annual_stats
 from tidemark.plans.layout import COMMODITIES, Layout
@@ -31,7 +37,8 @@ from tidemark.sources.sinks import ensure_schema, overwrite_table
 def bronze(raw: DataFrame, source: str | None = None) -> DataFrame:
     """The raw rows under technical names, with load time and source.
 
-    Without ``source`` it is the path of each row's file.
+    Without ``source`` it is the path of each row's file. Where the order of the rows
+    matters later, ``number_rows`` records it when they are stored.
     """
     return stamp(rename_to_technical(raw), source)
 
@@ -41,14 +48,16 @@ def _conformed(
 ) -> DataFrame:
     """The layout's columns as text, and ``_position``, the order of the rows.
 
-    Without ``order_by`` that is the order in the files of the Bronze table, which then
-    has to be a file scan.
+    Without ``order_by`` that is the number recorded on ingestion, or, where there is none,
+    the place in the files of the Bronze table, which then has to be a file scan.
     """
-    placed = (
-        bronze_rows.withColumn("_position", F.struct(*order_by))
-        if order_by
-        else with_position(bronze_rows)
-    )
+    if order_by:
+        position = order_by[0] if len(order_by) == 1 else F.struct(*order_by)
+        placed = bronze_rows.withColumn("_position", position)
+    elif ROW_ID in bronze_rows.columns:
+        placed = bronze_rows.withColumn("_position", F.col(ROW_ID))
+    else:
+        placed = with_position(bronze_rows)
     return conform(placed, {**layout.mapping, "_position": "_position"})
 
 
@@ -58,7 +67,7 @@ def silver(
     """Selected, typed and cleaned columns with year and month.
 
     Of rows with the same date the first survives: first in ``order_by`` if given,
-    otherwise first in the files of the Bronze table.
+    otherwise first as ingested.
     """
     rows = first_rows(bronze_rows, layout, order_by)
     return calendar_parts(
@@ -183,6 +192,7 @@ def run(
     source: str | None = None,
     fmt: str = "parquet",
     location: str | None = None,
+    numbered: bool = True,
     partition_facts: bool = False,
     order_by: Sequence[Column] | None = None,
 ) -> Star:
@@ -190,7 +200,9 @@ def run(
 
     Each table is written by one job that reads the table before it. Bronze is read once:
     its profile, one row per date, is checkpointed and gives Silver as well as the quality
-    report (``Star.profile``). ``partition_facts`` stores the monthly and change facts by
+    report (``Star.profile``). ``numbered`` gives Bronze a third control column, the number
+    of the row, which tells cheaply which of two rows came first; without it that is taken
+    from their place in the table's files. ``partition_facts`` stores the monthly and change facts by
     year.
     ``location`` puts a new schema and its tables under a given folder.
     """
@@ -203,7 +215,8 @@ def run(
         return spark.table(name)
 
     by_year = (layout.year,) if partition_facts else ()
-    raw = write("bronze", bronze(read_csv(spark, csv_path), source or csv_path))
+    received = bronze(read_csv(spark, csv_path), source or csv_path)
+    raw = write("bronze", number_rows(received) if numbered else received)
     shared_folder(spark)
     profile = load_profile(raw, layout, order_by).checkpoint()
     rows = write("silver", silver_of(profile, layout))

@@ -24,6 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.change import step_change
 from tidemark.operators.cleaning import keep_first, non_negative
 from tidemark.operators.conform import calendar_parts
+from tidemark.operators.ingest import number_rows
 from tidemark.plans.layout import Layout
 from tidemark.plans.medallion import annual, bronze, first_rows, monthly
 from tidemark.sources.readers import text_schema
@@ -53,7 +54,7 @@ class Refresh:
         """Bring one load of Bronze rows into all tables."""
         spark, lay = load.sparkSession, self.layout
         raw, firsts = (f"{self.path(layer)}/{LOAD}={number}" for layer in ("bronze", "silver"))
-        load.write.mode("overwrite").parquet(raw)
+        number_rows(load).write.mode("overwrite").parquet(raw)
         arrived = self._first_rows(spark.read.parquet(raw))
         arrived.write.mode("overwrite").partitionBy(lay.year).parquet(firsts)
 
