@@ -290,6 +290,16 @@ def test_benchmark_alignment_and_correlation(spark, panel):
         assert found[entity].corr == pytest.approx(np.corrcoef(np.array(pairs).T)[0, 1])
 
 
+def test_several_benchmark_values_of_a_date_do_not_multiply_rows(spark, panel):
+    data = [("2020-01-01", "a", 1.0), ("2020-02-01", "a", 2.0)]
+    benchmark = panel([("2020-01-01", "x", 1.0), ("2020-01-01", "x", 3.0)]).drop("entity")
+    aligned = relation.align_benchmark(panel(data), benchmark)
+    assert rows(aligned, "date", "benchmark") == [(day("2020-01-01"), 2.0),
+                                                  (day("2020-02-01"), None)]
+    with pytest.raises(TypeError, match="DATE"):
+        relation.align_benchmark(panel(data), benchmark.withColumn("date", F.current_timestamp()))
+
+
 # --- dimensions -----------------------------------------------------------------------
 
 

@@ -113,6 +113,12 @@ def test_extremes_take_k_rows_from_each_task(plans):
     assert len(lines(plans("top_moves"), "TakeOrderedAndProject")) == 2
 
 
+def test_panel_is_not_shuffled_to_meet_its_benchmark(plans):
+    plan = plans("benchmark_align")
+    assert lines(plan, "BroadcastHashJoin.*LeftOuter, BuildRight")
+    assert len(lines(plan, r"- Exchange")) == 2  # the panel's groups, the benchmark's dates
+
+
 def test_literal_dimension_is_broadcast_by_its_known_size(plans):
     plan = plans("join_dim")
     assert lines(plan, "BroadcastHashJoin") and lines(plan, "LocalTableScan")

@@ -116,3 +116,24 @@ def test_stream_picks_up_new_files_once(spark, tmp_path):
     assert sorted(row[0].rsplit("/", 1)[1] for row in sources.collect()) == [
         "a.csv", "b.csv", "c.csv"
     ]
+
+
+@pytest.mark.parametrize("broken", ["monthly", "annual", "change"])
+def test_a_load_that_broke_off_is_made_whole_by_repeating_it(spark, tmp_path, monkeypatch, broken):
+    refresh = Refresh(COMMODITIES, str(tmp_path), order())
+    data = loads(9)
+    replace = Refresh._replace
+
+    def breaking(self, rows, layer):
+        if layer == broken:
+            raise RuntimeError("lost")
+        replace(self, rows, layer)
+
+    for number, load in enumerate(data):
+        monkeypatch.setattr(Refresh, "_replace", breaking)
+        with pytest.raises(RuntimeError, match="lost"):
+            refresh.apply(frame(spark, load), number)
+        monkeypatch.setattr(Refresh, "_replace", replace)
+        refresh.apply(frame(spark, load), number)
+    for layer, found, wanted in tables(refresh, spark, full_reload(spark, sum(data, []))):
+        assert [r[:4] for r in found] == [r[:4] for r in wanted], layer

@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 from tidemark.functions.values import pct_change
 
 
-def _require_calendar(panel: DataFrame, date: str) -> None:
+def require_calendar(panel: DataFrame, date: str) -> None:
+    """Refuse a date column that is no DATE: the calendar bounds what is built on it."""
     kind = panel.schema[date].dataType
     if not isinstance(kind, T.DateType):
         raise TypeError(f"{date!r} must be a DATE at panel grain, not {kind.simpleString()}")
@@ -34,7 +35,7 @@ def step_change(
     Missing values are left out first, so a gap is bridged. The first observation of an
     entity and one that follows a zero have no change (NULL).
     """
-    _require_calendar(panel, date)
+    require_calendar(panel, date)
     history = Window.partitionBy(entity).orderBy(date)
     present = panel.where(F.col(value).isNotNull())
     return present.withColumn(change, pct_change(F.col(value), F.lag(value).over(history)))
@@ -101,7 +102,7 @@ def rebase(
     base: float = 100.0,
 ) -> DataFrame:
     """Each series as a percentage of its own first present value (NULL if that is 0)."""
-    _require_calendar(panel, date)
+    require_calendar(panel, date)
     series = (
         Window.partitionBy(entity)
         .orderBy(date)

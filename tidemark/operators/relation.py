@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import pearson
+from tidemark.operators.change import require_calendar
 
 # Entities side by side in one row of the blocked form. Eight keep the aggregate below
 # the 100 fields up to which Spark generates code for a whole stage.
@@ -17,10 +18,15 @@ def align_benchmark(
 ) -> DataFrame:
     """Every panel row with the benchmark's value of its date, NULL if there is none.
 
-    ``benchmark`` has the date and one value column.
+    ``benchmark`` has the date and one value column; several values of a date count with
+    their mean. That makes it one row per calendar date, at most 36,525 per century, which
+    is what allows the broadcast: joined by shuffle, a panel of any size would be spread
+    over no more tasks than it has dates.
     """
+    require_calendar(benchmark, date)
     (value,) = [name for name in benchmark.columns if name != date]
-    return panel.join(benchmark.select(date, F.col(value).alias(out)), date, "left")
+    by_date = benchmark.groupBy(date).agg(F.avg(value).alias(out))
+    return panel.join(F.broadcast(by_date), date, "left")
 
 
 def correlation_with_benchmark(

@@ -117,7 +117,8 @@ class Refresh:
             | F.coalesce(F.lag(lay.year).over(history).isin(years), F.lit(False)),
         )
         altered = moves.where("_altered").select(lay.year).distinct()
-        return moves.drop("_altered").join(altered, lay.year, "left_semi")
+        # One row per year, against a fact that a shuffle would gather by year.
+        return moves.drop("_altered").join(F.broadcast(altered), lay.year, "left_semi")
 
     def _replace(self, rows: DataFrame, layer: str) -> None:
         """Replace the partitions (years) that ``rows`` has; others stay."""
