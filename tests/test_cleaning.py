@@ -108,17 +108,20 @@ def test_null_keys_are_one_group(spark, few_keys):
     assert rows(kept) == [("a", None), (None, 1)]
 
 
-def test_file_position_follows_the_file(spark, tmp_path):
+@pytest.mark.parametrize(
+    ("place", "order"), [(ingest.with_position, "_position"), (ingest.number_rows, "_row_id")]
+)
+def test_recorded_order_follows_the_file(spark, tmp_path, place, order):
     path = tmp_path / "raw.csv"
     path.write_text("d,a\n" + "".join(f"2020-01-01,{i}\n" for i in range(2000)))
     splits = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
     try:
-        df = ingest.with_position(spark.read.option("header", True).csv(str(path)))
+        df = place(spark.read.option("header", True).csv(str(path)))
         assert df.rdd.getNumPartitions() > 3
-        kept = cleaning.keep_first(df, ["d"], ["_position"])
-        assert rows(kept, "a") == [("0",)]
-        in_order = [row.a for row in df.orderBy("_position").collect()]
+        for few_keys in (False, True):
+            assert rows(cleaning.keep_first(df, ["d"], [order], few_keys=few_keys), "a") == [("0",)]
+        in_order = [row.a for row in df.orderBy(order).collect()]
         assert in_order == [str(i) for i in range(2000)]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", splits)

@@ -43,12 +43,9 @@ def within_domain(columns: list[str]) -> Column:
 def pearson(x: Column, y: Column) -> Column:
     """Aggregate: correlation over rows where both are present, NULL if one is constant.
 
-    The built-in ``corr`` raises on a constant series under ANSI mode. Both inputs are
-    masked to the common rows so that covariance and deviations see the same pairs.
+    The built-in ``corr`` raises on a constant series under ANSI mode. The covariance leaves
+    out rows that lack either value; the deviations are masked to the same rows.
     """
-    both = x.isNotNull() & y.isNotNull()
-    left, right = F.when(both, x), F.when(both, y)
-    ratio = F.try_divide(
-        F.covar_pop(left, right), F.stddev_pop(left) * F.stddev_pop(right)
-    )
-    return F.when(ratio > 1, 1.0).when(ratio < -1, -1.0).otherwise(ratio)
+    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+    ratio = F.try_divide(F.covar_pop(x, y), spread)
+    return F.when(F.abs(ratio) > 1, F.signum(ratio)).otherwise(ratio)
