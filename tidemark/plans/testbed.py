@@ -160,7 +160,10 @@ def wide_priority(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dirty_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders as text with unreadable dates, negative, absent and non-numeric prices."""
+    """Orders as text with unreadable dates, negative, absent and non-numeric prices.
+
+    No row is left out: the remainders of the key only decide which cells are spoiled.
+    """
     key = F.col("o_orderkey")
     price = F.col("o_totalprice")
     return table(spark, folder, "orders").select(
@@ -178,7 +181,10 @@ def dirty_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_shipments(spark: SparkSession, folder: str) -> DataFrame:
-    """`lineitem` as a wide raw text file with free-form names and dirty cells."""
+    """`lineitem` as a wide raw text file with free-form names and dirty cells.
+
+    No row is left out: the remainders of the key only decide which cells are spoiled.
+    """
     key = F.col("l_orderkey")
     price = F.col("l_extendedprice")
     net = price * (1 - F.col("l_discount"))
