@@ -1,6 +1,8 @@
 """The whole way from a CSV file to the answers, beside a pandas twin of it."""
 
+import contextlib
 import csv
+import io
 import json
 import random
 
@@ -9,6 +11,8 @@ import pandas as pd
 import pytest
 
 from tidemark.operators import quality
+from tidemark.operators.change import flag_outliers, growth, mom_change
+from tidemark.operators.summary import volatility
 from tidemark.plans import answers, medallion, reports
 from tidemark.plans.layout import COMMODITIES
 from tidemark.sources.readers import read_csv
@@ -105,6 +109,24 @@ def test_bronze_without_row_numbers_has_two_control_columns(spark, loaded, tmp_p
     assert rows(other.silver) == rows(star.silver)
 
 
+def test_bucketed_facts_are_read_without_a_shuffle(spark, loaded):
+    star, *_, path = loaded
+    other = medallion.run(spark, str(path), schema="bucketed", buckets=3)
+    assert rows(other.change, *star.change.columns) == rows(star.change)
+    for df in (
+        mom_change(other.monthly, **COMMODITIES.grain),
+        flag_outliers(other.change, entity="commodity_id", change="variacao_pct_mom"),
+        volatility(other.change, ["ano", "commodity_id"], change="variacao_pct_mom"),
+        growth(other.monthly, **COMMODITIES.grain),
+    ):
+        text = io.StringIO()
+        with contextlib.redirect_stdout(text):
+            df.explain()
+        assert "Exchange" not in text.getvalue()
+    with pytest.raises(ValueError, match="either"):
+        overwrite_table(spark.range(1), "bucketed.t", partition_by=["id"], bucket_by="id")
+
+
 def test_gold_counts_and_invariants(loaded):
     star, twin, *_ = loaded
     cells = int(twin[list(COMMODITIES.entity_columns)].notna().sum().sum())

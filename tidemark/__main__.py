@@ -24,6 +24,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--location", help="folder for the schema and its tables")
     parser.add_argument("--source", help="recorded as the rows' source; default: the path")
     parser.add_argument("--by-year", action="store_true", help="store facts by year")
+    parser.add_argument("--buckets", type=int, default=0, help="store facts by entity")
     parser.add_argument(
         "--unnumbered", action="store_true", help="no row number among Bronze's control columns"
     )
@@ -41,6 +42,7 @@ def main(arguments: list[str] | None = None) -> None:
         location=chosen.location,
         numbered=not chosen.unnumbered,
         partition_facts=chosen.by_year,
+        buckets=chosen.buckets,
     )
     if chosen.reports:
         layout = COMMODITIES

@@ -29,20 +29,33 @@ def overwrite_table(
     *,
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
+    bucket_by: str | None = None,
+    buckets: int = 0,
+    sort_by: str | None = None,
     path: str | None = None,
 ) -> None:
     """Replace a table, its schema included.
 
     A partitioned table is written after a rebalance on the partition columns: partitions
-    get few files, and a large one is still written by several tasks.
+    get few files, and a large one is still written by several tasks. A bucketed one has
+    one file per bucket; windows, groups and joins on the bucket column then read it
+    without a shuffle.
     """
+    if partition_by and bucket_by:
+        raise ValueError("a table is either partitioned or bucketed")
     if partition_by:
         df = df.hint("rebalance", *partition_by)
+    if bucket_by:
+        df = df.repartition(buckets, bucket_by)
     writer = df.write.format(fmt).mode("overwrite")
     if fmt == "delta":
         writer = writer.option("overwriteSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        writer = writer.bucketBy(buckets, bucket_by)
+        if sort_by:
+            writer = writer.sortBy(bucket_by, sort_by)
     if path is not None:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
