@@ -68,6 +68,18 @@ def test_profile_accepts_a_compound_order(spark):
     assert rows(cleaning.survivors(profile, date="d", measures=["a"])) == rows(kept, "d", "a")
 
 
+@pytest.mark.parametrize("order", ["seq", "b"])
+def test_rows_without_an_order_come_first(spark, order):
+    data = [(1, "2020-01-01", "1", "x"), (None, "2020-01-01", "2", None),
+            (None, "2020-01-02", "3", None)]
+    profile = cleaning.cleaning_profile(
+        raw(spark, data), date="d", measures=["a"], order_by=order
+    )
+    assert rows(cleaning.survivors(profile, date="d", measures=["a"])) == [
+        (day("2020-01-01"), 2.0), (day("2020-01-02"), 3.0)
+    ]
+
+
 def test_funnel_attributes_each_row_once(spark):
     profile = cleaning.cleaning_profile(
         raw(spark, DATA), date="d", measures=["a", "b"], order_by="seq"

@@ -80,12 +80,13 @@ def cleaning_profile(
 
     It holds the counters every report on cleaning needs and the values of the first row
     of the date, so one scan and one pre-aggregated shuffle serve funnel, quality report
-    and Silver alike. With a numeric ``order_by`` the aggregate needs no sort (its buffers
-    have a fixed width); a compound order is compared once per row for all measures.
+    and Silver alike. With a whole-number ``order_by`` the aggregate needs no sort (its
+    buffers have a fixed width); any other order is compared once per row for all measures.
+    Rows without an order come first, as they do when sorted.
     """
     day = lenient_date(F.col(date))
     order = F.col(order_by) if isinstance(order_by, str) else order_by
-    numeric = isinstance(raw.select(order.alias("order")).schema["order"].dataType, T.NumericType)
+    whole = isinstance(raw.select(order.alias("order")).schema["order"].dataType, T.IntegralType)
     counters = [
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col(date).isNull()).alias(f"null_in:{date}"),
@@ -101,11 +102,12 @@ def cleaning_profile(
         ]
         numbers.append(number.alias(name))
     by_date = raw.groupBy(day.alias(date))
-    if numeric:
-        firsts = [F.min_by(n, order).alias(name) for n, name in zip(numbers, measures)]
+    if whole:
+        place = F.coalesce(order.cast("long"), F.lit(-(2**63)))
+        firsts = [F.min_by(n, place).alias(name) for n, name in zip(numbers, measures)]
         return by_date.agg(*counters, *firsts)
     return (
-        by_date.agg(*counters, F.min_by(F.struct(*numbers), order).alias("_first"))
+        by_date.agg(*counters, F.min_by(F.struct(*numbers), F.struct(order)).alias("_first"))
         .select("*", "_first.*")
         .drop("_first")
     )

@@ -70,12 +70,12 @@ def to_panel(
     """Collapse raw rows to one row per (period, entity): ``(date, entity, value)``.
 
     Values are combined before the shuffle, so however many raw rows an entity has, what
-    leaves a task is at most one row per period and entity. Rows without date or entity
-    have no place in a panel, and NaN is a missing value. Leaving rows out here,
-    rather than wherever a later join implies it, keeps the shuffle identical in all branches
-    of a report, so that Spark runs it once. With ``decimals`` the values are summed as whole units of that many
-    decimals: the sum is then exact and does not depend on the order in which partial
-    results arrive.
+    leaves a task is at most one row per period and entity. NaN is a missing value. Rows
+    without date or entity have no place in a panel; leaving them out here, rather than
+    wherever a later join implies it, keeps the shuffle identical in all branches of a
+    report, so that Spark runs it once. With ``decimals`` the values are summed as whole
+    units of that many decimals: the sum is then exact and does not depend on the order in
+    which partial results arrive.
     """
     keys = {"date": date, "entity": entity, "value": value, "grain": grain}
     if decimals is not None:
