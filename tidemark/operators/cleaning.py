@@ -10,12 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.names import quoted
-from tidemark.functions.values import (
-    lenient_date,
-    lenient_number,
-    unparseable,
-    within_domain,
-)
+from tidemark.functions.values import lenient_date, lenient_number, within_domain
 
 
 def drop_missing(df: DataFrame, *columns: str) -> DataFrame:
@@ -84,30 +79,37 @@ def cleaning_profile(
     buffers have a fixed width); any other order is compared once per row for all measures.
     Rows without an order come first, as they do when sorted.
     """
-    day = lenient_date(F.col(date))
     order = F.col(order_by) if isinstance(order_by, str) else order_by
-    whole = isinstance(raw.select(order.alias("order")).schema["order"].dataType, T.IntegralType)
+    # Read every value once, ahead of the aggregate that uses it several times.
+    read = raw.select(
+        lenient_date(F.col(date)).alias("_day"),
+        F.col(date).isNotNull().alias("_dated"),
+        *[lenient_number(F.col(name)).alias(f"_number:{name}") for name in measures],
+        *[F.col(name).isNotNull().alias(f"_given:{name}") for name in measures],
+        order.alias("_order"),
+    )
+    day, dated = F.col("_day"), F.col("_dated")
     counters = [
         F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col(date).isNull()).alias(f"null_in:{date}"),
-        F.count_if(unparseable(F.col(date), day)).alias(f"unparseable:{date}"),
+        F.count_if(~dated).alias(f"null_in:{date}"),
+        F.count_if(dated & day.isNull()).alias(f"unparseable:{date}"),
     ]
-    numbers = []
-    for name in measures:
-        number = lenient_number(F.col(name))
+    numbers = {name: F.col(f"_number:{name}") for name in measures}
+    for name, number in numbers.items():
+        given = F.col(f"_given:{name}")
         counters += [
-            F.count_if(F.col(name).isNull()).alias(f"null_in:{name}"),
-            F.count_if(unparseable(F.col(name), number)).alias(f"unparseable:{name}"),
+            F.count_if(~given).alias(f"null_in:{name}"),
+            F.count_if(given & number.isNull()).alias(f"unparseable:{name}"),
             F.count_if(number < 0).alias(f"negative:{name}"),
         ]
-        numbers.append(number.alias(name))
-    by_date = raw.groupBy(day.alias(date))
-    if whole:
-        place = F.coalesce(order.cast("long"), F.lit(-(2**63)))
-        firsts = [F.min_by(n, place).alias(name) for n, name in zip(numbers, measures)]
+    by_date = read.groupBy(day.alias(date))
+    if isinstance(read.schema["_order"].dataType, T.IntegralType):
+        place = F.coalesce(F.col("_order").cast("long"), F.lit(-(2**63)))
+        firsts = [F.min_by(number, place).alias(name) for name, number in numbers.items()]
         return by_date.agg(*counters, *firsts)
+    values = F.struct(*[number.alias(name) for name, number in numbers.items()])
     return (
-        by_date.agg(*counters, F.min_by(F.struct(*numbers), F.struct(order)).alias("_first"))
+        by_date.agg(*counters, F.min_by(values, F.struct("_order")).alias("_first"))
         .select("*", "_first.*")
         .drop("_first")
     )
