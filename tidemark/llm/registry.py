@@ -2,14 +2,27 @@
 
 from __future__ import annotations
 
+from tidemark.llm.lattice import op4_near_vectors
 from tidemark.llm.linededup import op5_line_dedup
+from tidemark.llm.mixing import op2_mixing
+from tidemark.llm.ngramjoin import op3_ngram_join
+from tidemark.llm.packing import op8_best_fit_packing
 from tidemark.llm.quality import op1_quality_rules
 from tidemark.llm.tokencount import op7_token_counts
 from tidemark.llm.tokenstore import op9_token_store
 
 QUERIES = {
     query.__name__: query
-    for query in [op1_quality_rules, op5_line_dedup, op7_token_counts, op9_token_store]
+    for query in [
+        op1_quality_rules,
+        op2_mixing,
+        op3_ngram_join,
+        op4_near_vectors,
+        op5_line_dedup,
+        op7_token_counts,
+        op8_best_fit_packing,
+        op9_token_store,
+    ]
 }
 
 ORACLE: dict[str, str] = {}

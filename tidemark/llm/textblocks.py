@@ -96,8 +96,7 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     width = min(size, len(words))
     count = len(words) - width + 1
     total = np.full(count, width, np.uint64)
-    factor = np.uint64(1)
     for place in range(width):
-        factor = factor * MULTIPLIER
-        total += words[place : place + count] * (factor | np.uint64(1))
+        factor = pow(int(MULTIPLIER), place + 1, 2**64) | 1
+        total += words[place : place + count] * np.uint64(factor)
     return mixed(total)
