@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemark.llm.lattice import op4_near_vectors
 from tidemark.llm.linededup import op5_line_dedup
+from tidemark.llm.lmscore import op10_lm_scoring
 from tidemark.llm.mixing import op2_mixing
 from tidemark.llm.ngramjoin import op3_ngram_join
 from tidemark.llm.packing import op8_best_fit_packing
@@ -22,6 +23,7 @@ QUERIES = {
         op7_token_counts,
         op8_best_fit_packing,
         op9_token_store,
+        op10_lm_scoring,
     ]
 }
 
