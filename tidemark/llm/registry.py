@@ -9,6 +9,7 @@ from tidemark.llm.mixing import op2_mixing
 from tidemark.llm.ngramjoin import op3_ngram_join
 from tidemark.llm.packing import op8_best_fit_packing
 from tidemark.llm.quality import op1_quality_rules
+from tidemark.llm.suffixdedup import op6_suffix_dedup
 from tidemark.llm.tokencount import op7_token_counts
 from tidemark.llm.tokenstore import op9_token_store
 
@@ -20,6 +21,7 @@ QUERIES = {
         op3_ngram_join,
         op4_near_vectors,
         op5_line_dedup,
+        op6_suffix_dedup,
         op7_token_counts,
         op8_best_fit_packing,
         op9_token_store,
