@@ -3,7 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import cleaning, conform, ingest
+from tidemark.operators import cleaning, conform, ingest, quality
+from tidemark.sources.readers import CORRUPT, read_csv
 
 from helpers import day, rows
 
@@ -120,23 +121,46 @@ def test_null_keys_are_one_group(spark, few_keys):
     assert rows(kept) == [("a", None), (None, 1)]
 
 
-@pytest.mark.parametrize(
-    ("place", "order"), [(ingest.with_position, "_position"), (ingest.number_rows, "_row_id")]
-)
-def test_recorded_order_follows_the_file(spark, tmp_path, place, order):
-    path = tmp_path / "raw.csv"
-    path.write_text("d,a\n" + "".join(f"2020-01-01,{i}\n" for i in range(2000)))
-    splits = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+@pytest.mark.parametrize("split", ["700", "2000", "128m"])
+@pytest.mark.parametrize("parallelism", ["1", "4", "16"])
+def test_recorded_order_follows_the_files(spark, tmp_path, split, parallelism):
+    # The larger file comes second by path, and is what Spark packs first.
+    for name, numbers in (("a", range(500)), ("b", range(500, 2000))):
+        lines = "".join(f"2020-01-01,{i}\n" for i in numbers)
+        (tmp_path / f"{name}.csv").write_text("d,a\n" + lines)
+    settings = {
+        "spark.sql.files.maxPartitionBytes": split,
+        "spark.sql.files.minPartitionNum": parallelism,
+        "spark.sql.files.openCostInBytes": "0",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
-        df = place(spark.read.option("header", True).csv(str(path)))
-        assert df.rdd.getNumPartitions() > 3
+        scan = spark.read.option("header", True).csv(str(tmp_path))
+        df = ingest.number_rows(ingest.locate(scan)).withColumn("at", ingest.source_order())
         for few_keys in (False, True):
-            assert rows(cleaning.keep_first(df, ["d"], [order], few_keys=few_keys), "a") == [("0",)]
-        in_order = [row.a for row in df.orderBy(order).collect()]
+            assert rows(cleaning.keep_first(df, ["d"], ["at"], few_keys=few_keys), "a") == [("0",)]
+        in_order = [row.a for row in df.orderBy("at").collect()]
         assert in_order == [str(i) for i in range(2000)]
     finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", splits)
+        for name in settings:
+            spark.conf.unset(name)
+
+
+def test_malformed_lines_are_kept_and_counted(spark, tmp_path):
+    path = tmp_path / "raw.csv"
+    path.write_text("d,v\n2020-01-01,1\n2020-02-01,2,EXTRA\n2020-03-01\n")
+    df = read_csv(spark, str(path))
+    assert rows(df) == [
+        ("2020-01-01", "1", None), ("2020-02-01", "2", "2020-02-01,2,EXTRA"),
+        ("2020-03-01", None, "2020-03-01"),
+    ]
+    profile = cleaning.cleaning_profile(df, date="d", measures=["v"], order_by="d", corrupt=CORRUPT)
+    funnel = rows(cleaning.cleaning_funnel(profile, date="d", measures=["v"]))
+    assert funnel[:2] == [(0, "malformed_kept", 2, 0, 2), (1, "valid_date", 3, 0, 3)]
+    flagged = spark.createDataFrame([], "x int")
+    report = quality.quality_report(profile, flagged, date="d", measures=["v"])
+    assert [r.value for r in report.where("metric = 'malformed_rows'").collect()] == [2.0]
 
 
 def test_conform_reports_all_missing_columns(spark):

@@ -15,7 +15,7 @@ from tidemark.operators.change import flag_outliers, growth, mom_change
 from tidemark.operators.summary import volatility
 from tidemark.plans import answers, medallion, reports
 from tidemark.plans.layout import COMMODITIES
-from tidemark.sources.readers import read_csv
+from tidemark.sources.readers import CORRUPT, read_csv
 from tidemark.sources.sinks import overwrite_table, write_csv, write_json
 
 from helpers import day, rows
@@ -70,10 +70,10 @@ def loaded(spark, tmp_path_factory):
 def test_bronze_keeps_everything_and_adds_control_columns(spark, loaded):
     _, _, n_rows, n_columns, path = loaded
     bronze = spark.table("prices.bronze_commodity_prices_raw")
-    assert (bronze.count(), len(bronze.columns)) == (n_rows, n_columns + 3)
+    assert (bronze.count(), len(bronze.columns)) == (n_rows, n_columns + 6)
     assert {"China_import_Iron_Ore_Fines_62_FE_spot", "Industrial_Inputs_Price_Index",
             "_ingestion_timestamp", "_source"} <= set(bronze.columns)
-    assert {row._source for row in bronze.select("_source").collect()} == {str(path)}
+    assert {row._source for row in bronze.select("_source").collect()} == {f"file:{path}"}
     kinds = dict(bronze.dtypes)
     assert kinds["Date"] == kinds["Copper"] == "string"
     comments = {f.name: f.metadata.get("comment") for f in bronze.schema}
@@ -95,17 +95,68 @@ def test_both_ways_to_silver_agree(spark, loaded):
     star, *_ = loaded
     bronze = spark.table("prices.bronze_commodity_prices_raw")
     assert rows(medallion.silver(bronze, COMMODITIES)) == rows(star.silver)
-    unnumbered = bronze.drop("_row_id")
-    assert rows(medallion.silver(unnumbered, COMMODITIES)) == rows(star.silver)
-    profile = medallion.load_profile(unnumbered, COMMODITIES)
+    profile = medallion.load_profile(bronze, COMMODITIES)
     assert rows(medallion.silver_of(profile, COMMODITIES)) == rows(star.silver)
+    with pytest.raises(ValueError, match="order_by"):
+        medallion.silver(bronze.drop("_row_id"), COMMODITIES)
+
+
+def test_renamed_columns_are_listed_beside_bronze(spark, loaded):
+    audit = spark.table("prices.bronze_commodity_prices_raw_renamed")
+    assert ("Metals Price Index", "Metals_Price_Index") in rows(audit, "original", "technical")
 
 
-def test_bronze_without_row_numbers_has_two_control_columns(spark, loaded, tmp_path):
+def test_descriptions_and_inferred_types(spark, loaded):
+    star, *_, path = loaded
+    text = {"descricao": {"Cobre": "metal", "Zinco": "galvaniza"}}
+    other = medallion.run(spark, str(path), schema="inferred", infer=True, described=text)
+    found = dict(rows(other.dimension, "commodity_nome", "descricao"))
+    assert found["Cobre"] == "metal" and found["Zinco"] == "galvaniza" and found["Níquel"] is None
+    assert rows(other.dimension.drop("descricao")) == rows(star.dimension)
+    assert rows(other.silver) == rows(star.silver)
+
+
+@pytest.mark.parametrize("numbered", [True, False])
+def test_first_row_does_not_hang_on_splits(spark, tmp_path, numbered):
+    header = ",".join(f'"{name}"' for name in COMMODITIES.mapping)
+    for name, first, n in (("a", 100, 40), ("b", 900, 4000)):
+        lines = "".join(f"2020-01-01,{first + i},1,1,1,1,1\n" for i in range(n))
+        (tmp_path / f"{name}.csv").write_text(header + "\n" + lines)
+    found = set()
+    for i, (split, minimum) in enumerate([("2k", "16"), ("30k", "4"), ("128m", "1")]):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.minPartitionNum", minimum)
+        try:
+            star = medallion.run(spark, str(tmp_path), schema=f"splits_{numbered}_{i}", numbered=numbered)
+            found |= {row.indice_precos_metais for row in star.silver.collect()}
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert found == {100.0}
+
+
+def test_documents_of_another_layout_have_neutral_names(spark):
+    from dataclasses import replace
+
+    from tidemark.plans.testbed import SHIPMENTS
+
+    report = spark.createDataFrame(
+        [("correlation", "Extended price", "Quantity", None, 0.5), ("growth", "Quantity", None, None, 2.0)],
+        "metric string, entity string, other string, day date, value double",
+    )
+    one = replace(SHIPMENTS, focus=("Quantity",))
+    none = replace(SHIPMENTS, focus=())
+    for layout, names in ((SHIPMENTS, 5), (one, 2), (none, 0)):
+        document = reports.analysis_document(report, layout)
+        assert document.columns[0] in ("correlation:Extended price~Quantity", "volatility")
+        assert len(document.columns) == 3 + names and not any("cobre" in c for c in document.columns)
+
+
+def test_bronze_without_row_numbers_has_three_control_columns(spark, loaded, tmp_path):
     star, _, n_rows, n_columns, path = loaded
     other = medallion.run(spark, str(path), schema="unnumbered", numbered=False)
     bronze = spark.table("unnumbered.bronze_commodity_prices_raw")
-    assert (bronze.count(), len(bronze.columns)) == (n_rows, n_columns + 2)
+    assert (bronze.count(), len(bronze.columns)) == (n_rows, n_columns + 3)
     assert rows(other.silver) == rows(star.silver)
 
 
@@ -252,8 +303,8 @@ def test_quality_of_the_load(spark, loaded, tmp_path):
     assert found["completude_nulos_antes_tratamento"]["data_referencia"] == 1
     assert set(found["completude_nulos_apos_tratamento"]) == set(star.silver.columns)
     assert found["periodo_coberto"] == {"inicio": "2000-01-01", "fim": "2009-12-01"}
-    assert rows(quality.uniqueness(star.silver, ["data_referencia"], "output")) == [
-        ("output", len(twin), 0, 0)
+    assert rows(quality.uniqueness(star.silver, ["data_referencia"])) == [
+        ("input", len(twin), 0, 0), ("output", len(twin), 0, 0)
     ]
     assert all(r.n_negative == 0 for r in
                quality.accuracy(star.silver, COMMODITIES.measures, "output").collect())
@@ -316,7 +367,7 @@ def test_csv_round_trip(spark, tmp_path):
     write_csv(df, str(tmp_path / "out"))
     back = read_csv(spark, str(tmp_path / "out"))
     assert {kind for _, kind in back.dtypes} == {"string"}
-    assert rows(back) == [("2020-01-01", "1.5", "a,b"), (None, None, 'q"')]
+    assert rows(back.drop(CORRUPT)) == [("2020-01-01", "1.5", "a,b"), (None, None, 'q"')]
     inferred = read_csv(spark, str(tmp_path / "out"), infer=True)
     assert dict(inferred.dtypes) == {"d": "date", "v": "double", "t": "string"}
 

@@ -2,17 +2,19 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check import compare
+from tidemark.plans.oracle import ORACLE
+from tidemark.plans.registry import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_oracle(spark, name):
     outcome = compare(spark, FOLDER, name)
     assert outcome.startswith("ok"), outcome

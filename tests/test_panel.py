@@ -223,12 +223,14 @@ def test_extremes_break_ties_and_rank_each_direction(spark):
 def test_extremes_per_entity(panel):
     data = random_rows(6)
     moves = change.mom_change(panel(data))
-    found = rows(ranking.extremes_per_entity(moves, k=2), "entity", "rank", "change_pct")
+    top = ranking.extremes_per_entity(moves, k=2)
+    found = rows(top, "entity", "direction", "rank", "change_pct")
     by_entity = {}
     for row in moves.collect():
         by_entity.setdefault(row.entity, []).append(row.change_pct)
-    wanted = [(e, i + 1, c) for e in sorted(by_entity)
-              for i, c in enumerate(sorted(by_entity[e], reverse=True)[:2])]
+    wanted = [(e, direction, i + 1, c) for e in sorted(by_entity)
+              for direction, down in (("fall", False), ("rise", True))
+              for i, c in enumerate(sorted(by_entity[e], reverse=down)[:2])]
     assert found == wanted
 
 
@@ -265,6 +267,18 @@ def test_correlation_keys_may_be_large_or_negative(panel):
     assert {(r.entity_a, r.entity_b) for r in found} == {(a, b) for a in keys for b in keys}
 
 
+def test_pairs_without_a_common_date_and_entities_without_values_are_cells(panel):
+    data = [(m, 1, float(i)) for i, m in enumerate(MONTHS[:5])]
+    data += [(m, 2, float(i)) for i, m in enumerate(MONTHS[5:10])] + [(MONTHS[0], 11, None)]
+    for salts in (1, 16):
+        found = {(r.entity_a, r.entity_b): (r.corr, r.n) for r in relation.correlation_matrix(
+            panel(data, "int"), entity="entity", salts=salts).collect()}
+        assert len(found) == 9 and found[1, 2] == found[2, 1] == found[11, 11] == (None, 0)
+        assert found[1, 1] == (pytest.approx(1.0), 5)
+    chosen = relation.correlation_matrix(panel(data, "int"), entity="entity", entities=[1, 11])
+    assert {(r.entity_a, r.entity_b) for r in chosen.collect()} == {(1, 1), (1, 11), (11, 1), (11, 11)}
+
+
 def test_correlation_of_a_constant_series_is_null(panel):
     data = [(m, 1, 5.0) for m in MONTHS] + [(m, 2, float(i)) for i, m in enumerate(MONTHS)]
     found = rows(relation.correlation_matrix(panel(data, "int"), entity="entity"))

@@ -18,16 +18,16 @@ SCANS = {
     "correlation_matrix_brand": 2,
     "outliers_3sigma": 2,
     "quality_accuracy": 4,
-    "quality_consistency": 2,
-    "quality_nulls_stage": 2,
-    "quality_uniqueness": 2,
     "top_moves": 2,
     "top_moves_per_entity": 2,
     "union_sources": 2,
 }
 
 # Queries that read what an earlier job of theirs has stored.
-CUT = ("dim_entity", "job_change", "quality_report")
+CUT = (
+    "csv_malformed csv_text dim_entity job_change json_report load_files_first quality_document "
+    "quality_report refresh_change"
+).split()
 
 
 def executed(df):
@@ -109,8 +109,16 @@ def test_dedup_is_limited_before_the_shuffle(plans):
     assert lines(plan, r"WindowGroupLimit.*Partial") and lines(plan, r"WindowGroupLimit.*Final")
 
 
-def test_extremes_take_k_rows_from_each_task(plans):
-    assert len(lines(plans("top_moves"), "TakeOrderedAndProject")) == 2
+@pytest.mark.parametrize("name", ["top_moves", "top_moves_per_entity", "answer_extremes"])
+def test_extremes_are_limited_before_the_shuffle_and_lag_once(plans, name):
+    plan = plans(name)
+    assert lines(plan, r"WindowGroupLimit.*Partial")
+    assert len(lines(plan, r"Window \[lag")) == 1
+
+
+def test_series_of_a_date_are_dealt_over_salts(plans):
+    joins = lines(plans("correlation_matrix_brand"), "Join.*_salt")
+    assert joins and all("date" in join for join in joins if "_block" in join)
 
 
 def test_panel_is_not_shuffled_to_meet_its_benchmark(plans):

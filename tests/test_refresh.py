@@ -137,3 +137,43 @@ def test_a_load_that_broke_off_is_made_whole_by_repeating_it(spark, tmp_path, mo
         refresh.apply(frame(spark, load), number)
     for layer, found, wanted in tables(refresh, spark, full_reload(spark, sum(data, []))):
         assert [r[:4] for r in found] == [r[:4] for r in wanted], layer
+
+
+@pytest.mark.parametrize("split", ["600", "4k", "128m"])
+def test_first_row_of_a_load_does_not_hang_on_splits(spark, tmp_path, split):
+    header = ",".join(f'"{name}"' for name in COMMODITIES.mapping)
+    (tmp_path / "raw").mkdir()
+    for name, first, n in (("a", 100, 20), ("b", 900, 600)):
+        lines = "".join(f"2020-01-01,{first + i},1,1,1,1,1\n" for i in range(n))
+        (tmp_path / "raw" / f"{name}.csv").write_text(header + "\n" + lines)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        refresh = Refresh(COMMODITIES, str(tmp_path / "tables"))
+        refresh.stream(spark, str(tmp_path / "raw"), list(COMMODITIES.mapping)).awaitTermination()
+        assert [r.indice_precos_metais for r in refresh.read(spark, "silver").collect()] == [100.0]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_late_and_a_zero_observation_change_their_successors(spark, tmp_path):
+    def row(date, value, seq):
+        return [date, *[str(value)] * 6, str(seq)]
+
+    refresh = Refresh(COMMODITIES, str(tmp_path), order())
+    first = [row("2000-05-01", 10, 0), row("2003-05-01", 20, 1), row("2009-05-01", 30, 2)]
+    late = [row("2001-01-01", 0, 3), row("2005-01-01", 40, 4)]
+    for number, load in enumerate((first, late)):
+        refresh.apply(frame(spark, load), number)
+    for _, found, expected in tables(refresh, spark, full_reload(spark, first + late)):
+        assert found == expected
+
+
+def test_changes_are_rewritten_from_pruned_years(spark, tmp_path):
+    refresh = Refresh(COMMODITIES, str(tmp_path), order())
+    data = [[f"{y}-0{m}-01", *[str(y + m)] * 6, str(y * 10 + m)] for y in range(2000, 2010) for m in (1, 2)]
+    refresh.apply(frame(spark, data), 0)
+    facts = spark.read.parquet(refresh.path("monthly"))
+    plan = refresh._altered_changes(facts, [2008])._jdf.queryExecution().toString()
+    windows = plan[plan.index("== Physical Plan =="):]
+    assert "ano" in windows and "PartitionFilters: [isnotnull(ano" in windows
+    assert {r.ano for r in refresh._altered_changes(facts, [2008]).collect()} == {2008, 2009}

@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 import argparse
+import json
 
 from tidemark.operators.cleaning import cleaning_funnel
 from tidemark.plans import answers, medallion, reports
@@ -22,15 +23,23 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--catalog", help="a configured catalog; default: the session's")
     parser.add_argument("--format", default="parquet", help="table format (parquet, delta, ...)")
     parser.add_argument("--location", help="folder for the schema and its tables")
-    parser.add_argument("--source", help="recorded as the rows' source; default: the path")
+    parser.add_argument("--source", help="recorded as the rows' source; default: each row's file")
     parser.add_argument("--by-year", action="store_true", help="store facts by year")
     parser.add_argument("--buckets", type=int, default=0, help="store facts by entity")
     parser.add_argument(
-        "--unnumbered", action="store_true", help="no row number among Bronze's control columns"
+        "--unnumbered", action="store_true", help="no places among Bronze's control columns"
+    )
+    parser.add_argument("--infer", action="store_true", help="Bronze with types from the data")
+    parser.add_argument(
+        "--described", help="JSON file: dimension column -> {entity name: text of its row}"
     )
     parser.add_argument("--reports", help="folder for documents and CSV copies")
     chosen = parser.parse_args(arguments)
 
+    described = None
+    if chosen.described:
+        with open(chosen.described, encoding="utf-8") as file:
+            described = json.load(file)
     spark = build()
     star = medallion.run(
         spark,
@@ -41,6 +50,8 @@ def main(arguments: list[str] | None = None) -> None:
         fmt=chosen.format,
         location=chosen.location,
         numbered=not chosen.unnumbered,
+        infer=chosen.infer,
+        described=described,
         partition_facts=chosen.by_year,
         buckets=chosen.buckets,
     )

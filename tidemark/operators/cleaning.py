@@ -13,6 +13,10 @@ from tidemark.functions.names import quoted
 from tidemark.functions.values import lenient_date, lenient_number, within_domain
 
 
+# Counter of a profile: lines that did not fit the header of their file.
+MALFORMED = "malformed"
+
+
 def drop_missing(df: DataFrame, *columns: str) -> DataFrame:
     """Rows where none of ``columns`` is NULL."""
     return df.where(reduce(Column.__and__, [F.col(name).isNotNull() for name in columns]))
@@ -69,7 +73,12 @@ def clean(
 
 
 def cleaning_profile(
-    raw: DataFrame, *, date: str, measures: Sequence[str], order_by: Column | str
+    raw: DataFrame,
+    *,
+    date: str,
+    measures: Sequence[str],
+    order_by: Column | str,
+    corrupt: str | None = None,
 ) -> DataFrame:
     """One row per readable date (NULL: all unreadable ones) of a raw text frame.
 
@@ -77,7 +86,8 @@ def cleaning_profile(
     of the date, so one scan and one pre-aggregated shuffle serve funnel, quality report
     and Silver alike. With a whole-number ``order_by`` the aggregate needs no sort (its
     buffers have a fixed width); any other order is compared once per row for all measures.
-    Rows without an order come first, as they do when sorted.
+    Rows without an order come first, as they do when sorted. ``corrupt`` names a column that
+    is present in malformed rows alone; they are counted, and treated like all others.
     """
     order = F.col(order_by) if isinstance(order_by, str) else order_by
     # Read every value once, ahead of the aggregate that uses it several times.
@@ -87,12 +97,14 @@ def cleaning_profile(
         *[lenient_number(F.col(name)).alias(f"_number:{name}") for name in measures],
         *[F.col(name).isNotNull().alias(f"_given:{name}") for name in measures],
         order.alias("_order"),
+        *([F.col(corrupt).isNotNull().alias("_corrupt")] if corrupt else []),
     )
     day, dated = F.col("_day"), F.col("_dated")
     counters = [
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(~dated).alias(f"null_in:{date}"),
         F.count_if(dated & day.isNull()).alias(f"unparseable:{date}"),
+        *([F.count_if(F.col("_corrupt")).alias(MALFORMED)] if corrupt else []),
     ]
     numbers = {name: F.col(f"_number:{name}") for name in measures}
     for name, number in numbers.items():
@@ -122,13 +134,19 @@ def survivors(profile: DataFrame, *, date: str, measures: Sequence[str]) -> Data
 
 
 def cleaning_funnel(profile: DataFrame, *, date: str, measures: Sequence[str]) -> DataFrame:
-    """``(step, rule, rows_in, rows_dropped, rows_out)``; each drop counted for one rule."""
+    """``(step, rule, rows_in, rows_dropped, rows_out)``; each drop counted for one rule.
+
+    A profile that counts malformed rows has a step 0 that tells their number; being
+    malformed drops no row.
+    """
+    flagged = MALFORMED in profile.columns
     dated = F.col(date).isNotNull()
     totals = profile.agg(
         F.coalesce(F.sum("n_rows"), F.lit(0)).alias("all_rows"),
         F.coalesce(F.sum(F.when(~dated, F.col("n_rows"))), F.lit(0)).alias("undated"),
         F.count_if(dated).alias("dates"),
         F.count_if(dated & ~within_domain(list(measures))).alias("negative"),
+        *([F.coalesce(F.sum(MALFORMED), F.lit(0)).alias(MALFORMED)] if flagged else []),
     )
     readable = F.col("all_rows") - F.col("undated")
     kept = F.col("dates") - F.col("negative")
@@ -137,6 +155,10 @@ def cleaning_funnel(profile: DataFrame, *, date: str, measures: Sequence[str]) -
         ("first_per_date", readable, readable - F.col("dates"), F.col("dates")),
         ("non_negative", F.col("dates"), F.col("negative"), kept),
     ]
+    first = 1
+    if flagged:
+        first = 0
+        steps.insert(0, ("malformed_kept", F.col(MALFORMED), F.lit(0).cast("long"), F.col(MALFORMED)))
     return totals.select(
         F.inline(
             F.array(
@@ -148,7 +170,7 @@ def cleaning_funnel(profile: DataFrame, *, date: str, measures: Sequence[str]) -
                         dropped.alias("rows_dropped"),
                         rows_out.alias("rows_out"),
                     )
-                    for step, (rule, rows_in, dropped, rows_out) in enumerate(steps, start=1)
+                    for step, (rule, rows_in, dropped, rows_out) in enumerate(steps, start=first)
                 ]
             )
         )

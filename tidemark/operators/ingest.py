@@ -2,37 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import quoted, technical_names
+from tidemark.sources.readers import CORRUPT
 
-ROW_ID = "_row_id"
+# Control columns of a load: file, start of the split, and row in the order of reading.
+FILE, BLOCK, ROW_ID = "_source_file", "_source_block", "_row_id"
+
+
+def _renamed(df: DataFrame) -> dict[str, str]:
+    """Original -> technical name; the column of malformed lines keeps its own."""
+    names = technical_names(name for name in df.columns if name != CORRUPT)
+    return {name: names.get(name, name) for name in df.columns}
 
 
 def rename_to_technical(df: DataFrame) -> DataFrame:
     """Normalise every column name; the original is kept as the column's comment."""
-    renamed = technical_names(df.columns)
     return df.select(
         *[
             F.col(quoted(old)).alias(new, metadata={"comment": old})
             if old != new
             else F.col(quoted(old))
-            for old, new in renamed.items()
+            for old, new in _renamed(df).items()
         ]
     )
 
 
-def rename_audit(df: DataFrame) -> DataFrame:
-    """The columns whose name changes: ``(position, original, technical)``."""
+def rename_audit(df: DataFrame, *, counted: bool = False) -> DataFrame:
+    """The columns whose name changes: ``(position, original, technical)``.
+
+    ``counted`` adds ``n_values``, the values that stand under the new name, from one scan.
+    """
     rows = [
         (position, old, new)
-        for position, (old, new) in enumerate(technical_names(df.columns).items())
+        for position, (old, new) in enumerate(_renamed(df).items())
         if old != new
     ]
-    return df.sparkSession.createDataFrame(
-        rows, "position int, original string, technical string"
-    )
+    if not counted:
+        return df.sparkSession.createDataFrame(
+            rows, "position int, original string, technical string"
+        )
+    totals = df.agg(*[F.count(F.col(quoted(old))).alias(new) for _, old, new in rows])
+    entries = [
+        F.struct(
+            F.lit(position).alias("position"),
+            F.lit(old).alias("original"),
+            F.lit(new).alias("technical"),
+            F.col(new).alias("n_values"),
+        )
+        for position, old, new in rows
+    ]
+    return totals.select(F.inline(F.array(*entries)))
 
 
 def stamp(df: DataFrame, source: str | None = None) -> DataFrame:
@@ -41,31 +63,28 @@ def stamp(df: DataFrame, source: str | None = None) -> DataFrame:
     return df.withColumns({"_ingestion_timestamp": F.current_timestamp(), "_source": origin})
 
 
+def locate(df: DataFrame) -> DataFrame:
+    """Add each row's file and the start of its split. To be applied to a file scan."""
+    return df.withColumns(
+        {FILE: F.col("_metadata.file_path"), BLOCK: F.col("_metadata.file_block_start")}
+    )
+
+
 def number_rows(df: DataFrame, name: str = ROW_ID) -> DataFrame:
-    """Add the order in which Spark reads the rows, as one number.
+    """Add a number that grows with the rows of a split, to be used with its file and start.
 
-    In a single file that is the order of the file; several files follow each other in
-    the order of their splits. To be applied to a scan and then stored: read again, the
-    numbers are as good as any column, whatever happens to the layout of the table.
+    By itself it says nothing about different splits: those are numbered in the order in
+    which they are packed into tasks, which follows their sizes and the number of cores.
     """
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
-def with_position(df: DataFrame, name: str = "_position") -> DataFrame:
-    """Add a total order that follows the stored order of rows in files.
+def source_order() -> Column:
+    """The order of located and numbered rows: path of the file, place in it.
 
-    Must be applied directly to a file scan. Within one split the running id grows with
-    the rows, and splits of a file are ordered by their offset, so the order is the
-    same however the splits are packed into tasks and however often a task is retried.
+    It is the same however files are split and packed, and however often a task is run.
     """
-    return df.withColumn(
-        name,
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-        ),
-    )
+    return F.struct(*[F.col(name) for name in (FILE, BLOCK, ROW_ID)])
 
 
 def shape_profile(df: DataFrame) -> DataFrame:

@@ -11,13 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.values import (
-    lenient_date,
-    lenient_number,
-    pct_of,
-    unparseable,
-    within_domain,
-)
+from tidemark.functions.values import pct_of, within_domain
+from tidemark.operators.cleaning import MALFORMED
 
 
 def _present_rows() -> Column:
@@ -56,72 +51,84 @@ def completeness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def missing_by_stage(
-    raw: DataFrame, cleaned: DataFrame, *, dates: Sequence[str], numbers: Sequence[str]
-) -> DataFrame:
-    """``(stage, column, n_missing, n_unparseable)`` on the text input and on the output.
+def _kept(date: str, measures: Sequence[str]) -> Column:
+    """The rows of a cleaning profile that survive it."""
+    return F.col(date).isNotNull() & within_domain(list(measures))
+
+
+def _total(column: Column) -> Column:
+    return F.coalesce(F.sum(column), F.lit(0))
+
+
+def missing_by_stage(profile: DataFrame, *, date: str, measures: Sequence[str]) -> DataFrame:
+    """``(stage, column, n_missing, n_unparseable)`` of the text input and of the output.
 
     Text that cannot be read is counted apart from absent values, so a rise in missing
-    values between the stages is explained.
+    values between the stages is explained. Both stages are totals over a cleaning profile.
     """
-    columns = [*dates, *numbers]
-    parsed = {name: lenient_date(F.col(name)) for name in dates}
-    parsed.update({name: lenient_number(F.col(name)) for name in numbers})
-    before = raw.agg(
-        *[F.count_if(F.col(name).isNull()).alias(f"missing:{name}") for name in columns],
-        *[
-            F.count_if(unparseable(F.col(name), parsed[name])).alias(f"unparseable:{name}")
-            for name in columns
-        ],
-    )
-    after = cleaned.agg(
-        *[F.count_if(_missing(cleaned, name)).alias(f"missing:{name}") for name in columns],
-        *[F.lit(0).cast("bigint").alias(f"unparseable:{name}") for name in columns],
+    columns = [date, *measures]
+    kept = _kept(date, measures)
+    totals = profile.agg(
+        *[_total(F.col(f"null_in:{name}")).alias(f"null_in:{name}") for name in columns],
+        *[_total(F.col(f"unparseable:{name}")).alias(f"unparseable:{name}") for name in columns],
+        *[F.count_if(kept & F.col(name).isNull()).alias(f"null_out:{name}") for name in columns],
     )
 
-    def long(totals: DataFrame, stage: str) -> DataFrame:
-        return _rows(
-            totals,
-            [
-                F.struct(
-                    F.lit(stage).alias("stage"),
-                    F.lit(name).alias("column"),
-                    F.col(f"missing:{name}").alias("n_missing"),
-                    F.col(f"unparseable:{name}").alias("n_unparseable"),
-                )
-                for name in columns
-            ],
+    def entry(stage: str, name: str, missing: str, unreadable: Column) -> Column:
+        return F.struct(
+            F.lit(stage).alias("stage"),
+            F.lit(name).alias("column"),
+            F.col(f"{missing}:{name}").alias("n_missing"),
+            unreadable.cast("bigint").alias("n_unparseable"),
         )
 
-    return long(before, "input").unionByName(long(after, "output"))
+    return _rows(
+        totals,
+        [entry("input", name, "null_in", F.col(f"unparseable:{name}")) for name in columns]
+        + [entry("output", name, "null_out", F.lit(0)) for name in columns],
+    )
 
 
-def consistency(raw: DataFrame, cleaned: DataFrame, date: str) -> DataFrame:
+def consistency(profile: DataFrame, *, date: str, measures: Sequence[str]) -> DataFrame:
     """One row: rows in, rows out, rows discarded, absent and unreadable dates in the input."""
-    day = lenient_date(F.col(date))
-    before = raw.agg(
-        _present_rows().alias("rows_in"),
-        F.count_if(F.col(date).isNull()).alias("absent_dates"),
-        F.count_if(unparseable(F.col(date), day)).alias("unreadable_dates"),
-    )
-    after = cleaned.agg(_present_rows().alias("rows_out"))
-    both = before.unionByName(after, allowMissingColumns=True)
-    return both.agg(*[F.max(name).alias(name) for name in both.columns]).withColumn(
-        "rows_discarded", F.col("rows_in") - F.col("rows_out")
+    totals = profile.agg(
+        _total(F.col("n_rows")).alias("rows_in"),
+        _total(F.col(f"null_in:{date}")).alias("absent_dates"),
+        _total(F.col(f"unparseable:{date}")).alias("unreadable_dates"),
+        F.count_if(_kept(date, measures)).alias("rows_out"),
     )
+    return totals.withColumn("rows_discarded", F.col("rows_in") - F.col("rows_out"))
 
 
-def uniqueness(df: DataFrame, keys: Sequence[str], stage: str = "input") -> DataFrame:
-    """One row: rows, keys that occur more than once, and the rows beyond each key's first.
+def uniqueness(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``(stage, n_rows, duplicated_keys, surplus_rows)`` before and after keeping first rows.
 
-    Rows without a key form one group, as they do in a deduplication.
+    Rows without a key form one group, as they do in a deduplication. One aggregate by key
+    serves both stages: what is kept of a key is one row.
     """
     sizes = df.groupBy(*keys).agg(_present_rows().alias("_size"))
-    return sizes.agg(
-        F.lit(stage).alias("stage"),
-        F.coalesce(F.sum("_size"), F.lit(0)).alias("n_rows"),
+    totals = sizes.agg(
+        _total(F.col("_size")).alias("n_rows"),
+        _present_rows().alias("n_keys"),
         F.count_if(F.col("_size") > 1).alias("duplicated_keys"),
-        F.coalesce(F.sum(F.col("_size") - 1), F.lit(0)).alias("surplus_rows"),
+        _total(F.col("_size") - 1).alias("surplus_rows"),
+    )
+
+    def entry(stage: str, rows: Column, duplicated: Column, surplus: Column) -> Column:
+        return F.struct(
+            F.lit(stage).alias("stage"),
+            rows.alias("n_rows"),
+            duplicated.cast("bigint").alias("duplicated_keys"),
+            surplus.cast("bigint").alias("surplus_rows"),
+        )
+
+    none = F.lit(0)
+    return _rows(
+        totals,
+        [
+            entry("input", F.col("n_rows"), F.col("duplicated_keys"), F.col("surplus_rows")),
+            entry("output", F.col("n_keys"), none, none),
+        ],
     )
 
 
@@ -155,13 +162,10 @@ def quality_report(
     the raw input is read once. ``day`` holds the dates of the coverage, ``value`` all
     other results.
     """
-    dated = F.col(date).isNotNull()
-    kept = dated & within_domain(list(measures))
+    kept = _kept(date, measures)
     inputs = [date, *measures]
-
-    def total(column: Column) -> Column:
-        return F.coalesce(F.sum(column), F.lit(0))
-
+    total = _total
+    counts_malformed = MALFORMED in profile.columns
     totals = profile.agg(
         total(F.col("n_rows")).alias("rows_in"),
         F.count_if(kept).alias("rows_out"),
@@ -169,6 +173,7 @@ def quality_report(
         total(F.col("n_rows") - 1).alias("surplus_rows"),
         F.min(F.when(kept, F.col(date))).alias("first_date"),
         F.max(F.when(kept, F.col(date))).alias("last_date"),
+        *([total(F.col(MALFORMED)).alias(MALFORMED)] if counts_malformed else []),
         *[total(F.col(f"null_in:{name}")).alias(f"null_in:{name}") for name in inputs],
         *[total(F.col(f"unparseable:{name}")).alias(f"unparseable:{name}") for name in inputs],
         *[total(F.col(f"negative:{name}")).alias(f"negative:{name}") for name in measures],
@@ -213,6 +218,8 @@ def quality_report(
         entry("coverage", "output", date, "first", day=F.col("first_date")),
         entry("coverage", "output", date, "last", day=F.col("last_date")),
     ]
+    if counts_malformed:
+        entries.append(entry("consistency", "input", None, "malformed_rows", F.col(MALFORMED)))
     for name in measures:
         entries.append(entry("accuracy", "input", name, "negative", F.col(f"negative:{name}")))
         entries.append(

@@ -13,6 +13,22 @@ def preview(df: DataFrame, order_by: Sequence, n: int = 10) -> DataFrame:
     return df.orderBy(*order_by).limit(n)
 
 
+def _ranked(moves: DataFrame, k: int, change: str, groups: Sequence[str], ties: Sequence[str]):
+    """The first ``k`` rows of each group and direction, from one pass over ``moves``.
+
+    Each row stands once for either direction, with its strength in that direction. A task
+    passes on no more than ``k`` rows per group and direction (``WindowGroupLimit``).
+    """
+    sides = F.array(
+        F.struct(F.lit("rise").alias("direction"), (-F.col(change)).alias("_strength")),
+        F.struct(F.lit("fall").alias("direction"), F.col(change).alias("_strength")),
+    )
+    both = moves.where(F.col(change).isNotNull()).select("*", F.inline(sides))
+    place = Window.partitionBy(*groups, "direction").orderBy("_strength", *ties)
+    ranked = both.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
+    return ranked.drop("_strength")
+
+
 def extremes(
     moves: DataFrame,
     *,
@@ -21,11 +37,7 @@ def extremes(
     ties: Sequence[str] = ("date", "entity"),
 ) -> DataFrame:
     """The ``k`` largest rises and the ``k`` largest falls, ranked within each direction."""
-    rises = moves.orderBy(F.desc(change), *ties).limit(k).withColumn("direction", F.lit("rise"))
-    falls = moves.orderBy(F.asc(change), *ties).limit(k).withColumn("direction", F.lit("fall"))
-    strength = F.when(F.col("direction") == "rise", -F.col(change)).otherwise(F.col(change))
-    place = Window.partitionBy("direction").orderBy(strength, *ties)  # 2k rows
-    return rises.unionByName(falls).withColumn("rank", F.row_number().over(place))
+    return _ranked(moves, k, change, [], ties)
 
 
 def extremes_per_entity(
@@ -36,9 +48,8 @@ def extremes_per_entity(
     change: str = "change_pct",
     ties: Sequence[str] = ("date",),
 ) -> DataFrame:
-    """The ``k`` largest rises of each entity."""
-    place = Window.partitionBy(entity).orderBy(F.desc(change), *ties)
-    return moves.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
+    """The ``k`` largest rises and the ``k`` largest falls of each entity."""
+    return _ranked(moves, k, change, [entity], ties)
 
 
 def largest_first(df: DataFrame, column: str, *ties: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,9 @@ from tidemark.operators.change import require_calendar
 # the 100 fields up to which Spark generates code for a whole stage.
 LANES = 8
 
+# Copies of the blocked form over which the series of a date are dealt.
+SALTS = 16
+
 
 def align_benchmark(
     panel: DataFrame, benchmark: DataFrame, *, date: str = "date", out: str = "benchmark"
@@ -52,21 +57,29 @@ def correlation_matrix(
     date: str = "date",
     entity: str = "entity_id",
     value: str = "value",
+    entities: Sequence[int] | None = None,
+    salts: int = SALTS,
 ) -> DataFrame:
     """All pairs: ``(entity_a, entity_b, corr, n)``, each over the dates both have.
 
+    The result has as many rows as the square of the number of entities: of all in the
+    panel, those without a value included, or of the chosen ``entities``. A pair without a
+    common date has ``n`` 0 and no correlation.
+
     ``entity`` is an integer key, as in a star schema. The panel is laid out a second time
     with eight entities per row, ``(date, block, lane_0 .. lane_7)``, where a block is named
-    by its first possible key. A series meets such rows on the date, and the moments of
-    eight pairs are accumulated per row before anything is shuffled. Only blocks at or after
-    the entity's own are met; the other half of the matrix is its mirror image. The plan
-    does not grow with the number of entities.
+    by its first possible key. A series meets such rows on the date and a salt: the blocks
+    of series are dealt over ``salts`` copies of the lanes, as a panel has few dates. The
+    moments of eight pairs are accumulated per row before anything is shuffled. Only blocks
+    at or after the entity's own are met; the other half of the matrix is its mirror image.
+    The plan does not grow with the number of entities.
     """
+    if entities is not None:
+        panel = panel.where(F.col(entity).isin([int(key) for key in entities]))
+    key_type = panel.schema[entity].dataType
+    block = F.col(entity) - F.pmod(entity, F.lit(LANES))
     series = panel.where(F.col(value).isNotNull()).select(
-        date,
-        F.col(entity).alias("entity_a"),
-        (F.col(entity) - F.pmod(entity, F.lit(LANES))).alias("_block_a"),
-        F.col(value).alias("_value"),
+        date, F.col(entity).alias("entity_a"), block.alias("_block_a"), F.col(value).alias("_value")
     )
     lanes = series.groupBy(date, F.col("_block_a").alias("_block")).agg(
         *[
@@ -76,15 +89,16 @@ def correlation_matrix(
             for lane in range(LANES)
         ]
     )
-    met = series.join(lanes, date).where("_block_a <= _block")
-    moments = met.groupBy("entity_a", "_block").agg(
+    each_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    salted = series.withColumn("_salt", F.pmod(F.xxhash64("entity_a"), F.lit(salts)).cast("int"))
+    met = salted.join(lanes.withColumn("_salt", each_salt), [date, "_salt"])
+    moments = met.where("_block_a <= _block").groupBy("entity_a", "_block").agg(
         *[
             pearson(F.col("_value"), F.col(f"_lane_{lane}")).alias(f"_corr_{lane}")
             for lane in range(LANES)
         ],
         *[F.count(f"_lane_{lane}").alias(f"_n_{lane}") for lane in range(LANES)],
     )
-    key_type = panel.schema[entity].dataType
     upper = moments.select(
         "entity_a",
         F.inline(
@@ -105,6 +119,16 @@ def correlation_matrix(
     sides = F.when(F.col("entity_a") == F.col("entity_b"), F.array(one)).otherwise(
         F.array(one, mirrored)
     )
-    return upper.select(F.explode(sides).alias("_side"), "corr", "n").select(
+    both = upper.select(F.explode(sides).alias("_side"), "corr", "n").select(
         "_side.entity_a", "_side.entity_b", "corr", "n"
     )
+    # Every cell there is: entities meet copies of all entities, dealt over the same salts.
+    names = panel.where(F.col(entity).isNotNull()).select(F.col(entity).alias("entity_a")).distinct()
+    left = names.withColumn("_salt", F.pmod(F.xxhash64("entity_a"), F.lit(salts)).cast("int"))
+    right = names.select(F.col("entity_a").alias("entity_b"), each_salt.alias("_salt"))
+    cells = left.join(right, "_salt").select(
+        "entity_a", "entity_b", F.lit(None).cast("double").alias("corr"), F.lit(0).cast("long").alias("n")
+    )
+    return cells.union(both).groupBy("entity_a", "entity_b").agg(
+        F.max("corr").alias("corr"), F.max("n").alias("n")
+    )

@@ -6,8 +6,17 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 
-# Field names of the two JSON documents.
-DOCUMENT_FIELDS = {
+# Field names of the two JSON documents; what is missing here keeps its own name.
+NEUTRAL_FIELDS = {
+    name: name
+    for name in (
+        "missing_in missing_out surplus undated negative coverage first last rows_in rows_out "
+        "volatility rises falls"
+    ).split()
+}
+
+# The same for the commodity price file.
+COMMODITY_FIELDS = {
     "missing_in": "completude_nulos_antes_tratamento",
     "missing_out": "completude_nulos_apos_tratamento",
     "surplus": "unicidade_duplicatas_de_data_removidas",
@@ -18,7 +27,7 @@ DOCUMENT_FIELDS = {
     "last": "fim",
     "rows_in": "total_linhas_bronze",
     "rows_out": "total_linhas_silver",
-    "correlation": "correlacao_cobre_minerio_ferro",
+    "correlation:Cobre~Minério de Ferro": "correlacao_cobre_minerio_ferro",
     "volatility": "volatilidade_geral_desvio_padrao_pct",
     "rises": "maiores_altas_mensais",
     "falls": "maiores_quedas_mensais",
@@ -47,7 +56,7 @@ class Layout:
     month: str = "month"
     stats: tuple[str, str, str, str] = ("mean_value", "min_value", "max_value", "sd_value")
     focus: tuple[str, ...] = ()
-    labels: Mapping[str, str] = field(default_factory=lambda: dict(DOCUMENT_FIELDS))
+    labels: Mapping[str, str] = field(default_factory=lambda: dict(NEUTRAL_FIELDS))
 
     @property
     def measures(self) -> list[str]:
@@ -66,7 +75,8 @@ class Layout:
 
 
 # The names of the monthly commodity price file and of its tables. Queries
-# already written against these tables run unchanged.
+# already written against these tables run unchanged, once ``run`` is given the texts of
+# the dimension's descriptive column.
 COMMODITIES = Layout(
     mapping={
         "Date": "data_referencia",
@@ -128,4 +138,5 @@ COMMODITIES = Layout(
     month="mes",
     stats=("preco_medio", "preco_minimo", "preco_maximo", "desvio_padrao"),
     focus=("Cobre", "Minério de Ferro"),
+    labels=COMMODITY_FIELDS,
 )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,16 +21,18 @@ from tidemark.operators.conform import calendar_parts, conform, typed
 from tidemark.operators.dimension import literal_dimension
 from tidemark.operators.ingest import (
     ROW_ID,
+    locate,
     number_rows,
+    rename_audit,
     rename_to_technical,
+    source_order,
     stamp,
-    with_position,
 )
 from tidemark.operators.reshape import unpivot_long
 from tidemark.operators.summary import annual_stats
 from tidemark.plans.layout import COMMODITIES, Layout
 from tidemark.session import shared_folder
-from tidemark.sources.readers import read_csv
+from tidemark.sources.readers import CORRUPT, read_csv
 from tidemark.sources.sinks import ensure_schema, overwrite_table
 
 
@@ -38,7 +40,7 @@ def bronze(raw: DataFrame, source: str | None = None) -> DataFrame:
     """The raw rows under technical names, with load time and source.
 
     Without ``source`` it is the path of each row's file. Where the order of the rows
-    matters later, ``number_rows`` records it when they are stored.
+    matters later, ``locate`` and ``number_rows`` record it when they are stored.
     """
     return stamp(rename_to_technical(raw), source)
 
@@ -46,19 +48,20 @@ def bronze(raw: DataFrame, source: str | None = None) -> DataFrame:
 def _conformed(
     bronze_rows: DataFrame, layout: Layout, order_by: Sequence[Column] | None
 ) -> DataFrame:
-    """The layout's columns as text, and ``_position``, the order of the rows.
+    """The layout's columns as text, ``_position``, the order of the rows, and malformed text.
 
-    Without ``order_by`` that is the number recorded on ingestion, or, where there is none,
-    the place in the files of the Bronze table, which then has to be a file scan.
+    Without ``order_by`` the order is that of the raw files, as recorded on ingestion: their
+    paths, and the places in them.
     """
     if order_by:
         position = order_by[0] if len(order_by) == 1 else F.struct(*order_by)
-        placed = bronze_rows.withColumn("_position", position)
     elif ROW_ID in bronze_rows.columns:
-        placed = bronze_rows.withColumn("_position", F.col(ROW_ID))
+        position = source_order()
     else:
-        placed = with_position(bronze_rows)
-    return conform(placed, {**layout.mapping, "_position": "_position"})
+        raise ValueError("rows without recorded places need an order_by")
+    corrupt = F.col(CORRUPT) if CORRUPT in bronze_rows.columns else F.lit(None).cast("string")
+    placed = bronze_rows.withColumns({"_position": position, CORRUPT: corrupt})
+    return conform(placed, {**layout.mapping, "_position": "_position", CORRUPT: CORRUPT})
 
 
 def silver(
@@ -79,7 +82,7 @@ def first_rows(
     bronze_rows: DataFrame, layout: Layout, order_by: Sequence[Column] | None = None
 ) -> DataFrame:
     """The typed first row of every date, in domain or not."""
-    chosen = _conformed(bronze_rows, layout, order_by)
+    chosen = _conformed(bronze_rows, layout, order_by).drop(CORRUPT)
     dated = drop_missing(typed(chosen, dates=[layout.date]), layout.date)
     # Only the date decides which row of a date stays: numbers are read from those alone.
     firsts = keep_first(dated, [layout.date], ["_position"], few_keys=True).drop("_position")
@@ -95,6 +98,7 @@ def load_profile(
         date=layout.date,
         measures=layout.measures,
         order_by="_position",
+        corrupt=CORRUPT if CORRUPT in bronze_rows.columns else None,
     )
 
 
@@ -104,9 +108,18 @@ def silver_of(profile: DataFrame, layout: Layout) -> DataFrame:
     return calendar_parts(rows, layout.date, year=layout.year, month=layout.month)
 
 
-def dimension(spark: SparkSession, layout: Layout) -> DataFrame:
-    """One row per entity."""
-    return literal_dimension(spark, layout.entities, layout.entity)
+def dimension(
+    spark: SparkSession, layout: Layout, described: Mapping[str, Mapping] | None = None
+) -> DataFrame:
+    """One row per entity.
+
+    ``described`` adds descriptive columns: column -> {entity name: value}.
+    """
+    rows = [
+        {**row, **{column: values.get(row[layout.name]) for column, values in (described or {}).items()}}
+        for row in layout.entities
+    ]
+    return literal_dimension(spark, rows, layout.entity)
 
 
 def monthly(silver_rows: DataFrame, layout: Layout) -> DataFrame:
@@ -196,14 +209,21 @@ def run(
     partition_facts: bool = False,
     buckets: int = 0,
     order_by: Sequence[Column] | None = None,
+    infer: bool = False,
+    described: Mapping[str, Mapping] | None = None,
 ) -> Star:
     """Load a CSV file or folder and replace all tables of the layout.
 
     Each table is written by one job that reads the table before it. Bronze is read once:
     its profile, one row per date, is checkpointed and gives Silver as well as the quality
-    report (``Star.profile``). ``numbered`` gives Bronze a third control column, the number
-    of the row, which tells cheaply which of two rows came first; without it that is taken
-    from their place in the table's files. ``partition_facts`` stores the monthly and change
+    report (``Star.profile``). Of rows with one date the first stays, by the path of the file
+    and the place in it. ``numbered`` gives Bronze three more control columns that record
+    both; without it they are taken from the raw files, which are then read a second time.
+    Beside Bronze a table ``<bronze>_renamed`` lists the columns that have new names.
+
+    ``source`` is a text to stamp on all rows, instead of the path of each row's file;
+    ``infer`` gives Bronze the types that its values have; ``described`` adds columns to the
+    dimension. ``partition_facts`` stores the monthly and change
     facts by year, which suits a choice of years; ``buckets`` stores them by entity in that
     many files, so that change, volatility, outliers and growth read them without a shuffle.
     ``location`` puts a new schema and its tables under a given folder.
@@ -219,12 +239,22 @@ def run(
     stored = {"partition_by": (layout.year,)} if partition_facts else {}
     if buckets:
         stored |= {"bucket_by": layout.entity, "buckets": buckets, "sort_by": layout.date}
-    received = bronze(read_csv(spark, csv_path), source or csv_path)
-    raw = write("bronze", number_rows(received) if numbered else received)
+    scanned = read_csv(spark, csv_path, infer=infer)
+    received = bronze(scanned, source)
+    placed = number_rows(locate(received))
+    raw = write("bronze", placed if numbered else received)
+    audit = f"{layout.tables['bronze']}_renamed"
+    overwrite_table(
+        rename_audit(scanned),
+        f"{qualified}.{quoted(audit)}",
+        fmt=fmt,
+        path=None if location is None else f"{location}/{audit}",
+    )
     shared_folder(spark)
-    profile = load_profile(raw, layout, order_by).checkpoint()
+    ordered = raw if numbered or order_by else placed
+    profile = load_profile(ordered, layout, order_by).checkpoint()
     rows = write("silver", silver_of(profile, layout))
-    write("dimension", dimension(spark, layout))
+    write("dimension", dimension(spark, layout, described))
     facts = write("monthly", monthly(rows, layout), **stored)
     write("annual", annual(facts, layout))
     write("change", change(facts, layout), **stored)

@@ -86,7 +86,7 @@ silver AS (SELECT * FROM firsts WHERE price IS NULL OR price >= 0)"""
 SHIPMENTS = """raw AS (
   SELECT CASE WHEN l_orderkey % 97 = 0 THEN 'n/a'
               ELSE strftime(l_shipdate, '%Y-%m-%d') END AS ship_date,
-         CAST(l_extendedprice * (1 - l_discount) AS VARCHAR) AS net,
+         CAST(CAST(round(l_extendedprice * (1 - l_discount), 4) AS DECIMAL(18, 4)) AS VARCHAR) AS net,
          CASE WHEN l_orderkey % 83 = 0 THEN NULL ELSE CAST(l_quantity AS VARCHAR) END AS qty,
          CASE WHEN l_orderkey % 89 = 0 THEN CAST(-l_extendedprice AS VARCHAR)
               WHEN l_orderkey % 79 = 0 THEN 'x'
@@ -147,11 +147,14 @@ def _clip(value: str) -> str:
 
 
 def _matrix(key: str = "entity_id") -> str:
-    return f"""pairs AS (
+    return f"""names AS (SELECT DISTINCT {key} FROM panel),
+pairs AS (
   SELECT a.{key} AS entity_a, b.{key} AS entity_b, {_corr('a.value', 'b.value')} AS c,
          count(*) AS n
   FROM panel a JOIN panel b USING (date) GROUP BY 1, 2)
-SELECT entity_a, entity_b, round({_clip('c')}, 6) AS corr, n FROM pairs"""
+SELECT x.{key} AS entity_a, y.{key} AS entity_b, round({_clip('c')}, 6) AS corr,
+       coalesce(n, 0) AS n
+FROM names x CROSS JOIN names y LEFT JOIN pairs ON entity_a = x.{key} AND entity_b = y.{key}"""
 
 
 OUTLIERS = """scored AS (
@@ -169,19 +172,41 @@ ORACLE: dict[str, str] = {}
 ORACLE["profile_shape"] = """
 SELECT count(*) AS n_rows,
        (SELECT CAST(count(*) AS INTEGER) FROM information_schema.columns
-        WHERE table_name = 'orders') AS n_columns
+        WHERE table_name = 'orders') AS n_columns,
+       (SELECT 'struct<' || string_agg(column_name || ':' || CASE
+                 WHEN data_type = 'VARCHAR' THEN 'string'
+                 WHEN data_type = 'TIMESTAMP' THEN 'timestamp_ntz'
+                 WHEN data_type LIKE 'TIMESTAMP%' THEN 'timestamp'
+                 WHEN data_type = 'INTEGER' THEN 'int' ELSE lower(data_type) END,
+               ',' ORDER BY ordinal_position) || '>'
+        FROM information_schema.columns WHERE table_name = 'orders') AS schema
 FROM orders"""
 
 ORACLE["normalise_names"] = f"""
 WITH {SHIPMENTS}
-SELECT ship_date AS "Ship_Date", qty AS "Quantity", price AS "Extended_Price_USD",
+SELECT ship_date AS "Ship_Date", net AS "Net_Price_index", qty AS "Quantity", price AS "Extended_Price_USD",
        tax_text AS "Tax", CAST(l_orderkey AS VARCHAR) AS "Order_Key",
        CAST(l_linenumber AS VARCHAR) AS "Line_Number", CAST(l_partkey AS VARCHAR) AS "Part_Key",
        CAST(l_suppkey AS VARCHAR) AS "Supplier_Key"
 FROM raw"""
 
 ORACLE["ingest_stamp"] = """
-SELECT o_orderkey, o_totalprice, 'given:orders' AS _source, true AS is_stamped FROM orders"""
+SELECT *, 'given:orders' AS _source, true AS is_stamped FROM orders"""
+
+ORACLE["rename_audit"] = f"WITH {SHIPMENTS} " + " UNION ALL ".join(
+    f"""SELECT {position} AS position, '{original}' AS original, '{technical}' AS technical,
+        count({column}) AS n_values FROM raw"""
+    for position, original, technical, column in [
+        (0, "Ship Date", "Ship_Date", "ship_date"),
+        (1, "Net Price (index)", "Net_Price_index", "net"),
+        (3, "Extended Price, USD", "Extended_Price_USD", "price"),
+        (4, "Tax %", "Tax", "tax_text"),
+        (5, "Order Key", "Order_Key", "l_orderkey"),
+        (6, "Line Number", "Line_Number", "l_linenumber"),
+        (7, "Part Key", "Part_Key", "l_partkey"),
+        (8, "Supplier Key", "Supplier_Key", "l_suppkey"),
+    ]
+)
 
 # --- Silver ---------------------------------------------------------------------------
 
@@ -324,10 +349,15 @@ FROM ranked WHERE down <= 5"""
 ORACLE["top_moves_per_entity"] = f"""
 WITH {BRAND}, {_moves('entity_id')},
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY change_pct DESC, date) AS rn
+  SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY change_pct DESC, date) AS up,
+         row_number() OVER (PARTITION BY entity_id ORDER BY change_pct, date) AS down
   FROM moves)
-SELECT date, entity_id, value, round(change_pct, 6) AS change_pct, CAST(rn AS INTEGER) AS rank
-FROM ranked WHERE rn <= 3"""
+SELECT date, entity_id, value, round(change_pct, 6) AS change_pct, 'rise' AS direction,
+       CAST(up AS INTEGER) AS rank
+FROM ranked WHERE up <= 3
+UNION ALL
+SELECT date, entity_id, value, round(change_pct, 6), 'fall', CAST(down AS INTEGER)
+FROM ranked WHERE down <= 3"""
 
 ORACLE["outliers_3sigma"] = (
     f"WITH {BRAND}, {_moves('entity_id')}, {OUTLIERS.format(key='entity_id')}"
@@ -356,6 +386,16 @@ ORACLE["correlation_matrix"] = f"WITH {PRIORITY}, {_matrix()}"
 
 ORACLE["correlation_matrix_brand"] = f"WITH {BRAND}, {_matrix()}"
 
+ORACLE["correlation_sparse"] = f"""
+WITH panel AS (
+  SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS date,
+         CAST(year(o_orderdate) * 10 + CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS INTEGER)
+           AS entity_id,
+         CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / 100
+           / count(o_totalprice) AS value
+  FROM orders GROUP BY 1, 2),
+{_matrix()}"""
+
 ORACLE["correlation_benchmark"] = f"""
 WITH {PRIORITY}, {BENCHMARK},
 related AS (
@@ -603,6 +643,81 @@ SELECT metric, entity, other, day, round(value, 4) AS value FROM report"""
 # --- Tables written by jobs -----------------------------------------------------------
 
 ORACLE["csv_text"] = ORACLE["normalise_names"]
+
+ORACLE["csv_malformed"] = """
+WITH cells AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS key,
+         CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR) AS cents,
+         o_orderkey % 7 = 0 AS longer, o_orderkey % 7 <> 0 AND o_orderkey % 11 = 0 AS shorter
+  FROM orders)
+SELECT key, CASE WHEN NOT shorter THEN cents END AS cents,
+       CASE WHEN longer THEN key || ',' || cents || ',EXTRA' WHEN shorter THEN key END
+         AS _corrupt_record
+FROM cells"""
+
+FILES_FIRST = SHIPMENTS.replace(
+    "ORDER BY l_orderkey,", "ORDER BY CASE WHEN l_linenumber = 1 THEN 0 ELSE 1 END, l_orderkey,"
+)
+ORACLE["load_files_first"] = f"""
+WITH {FILES_FIRST} SELECT day, idx, quantity, extended_price, tax, year, month FROM silver"""
+
+ORACLE["analysis_document"] = f"""
+WITH {SHIPMENTS}, {SHIPMENT_PAIRS},
+related AS (
+  SELECT entity_name, {_corr('value', 'idx')} AS c
+  FROM monthly LEFT JOIN (SELECT day, idx FROM silver) USING (day) JOIN dim USING (entity_id)
+  GROUP BY entity_name),
+swings AS (
+  SELECT entity_name, stddev_samp(change_pct) AS sd
+  FROM moves JOIN dim USING (entity_id) GROUP BY entity_name),
+ends AS (
+  SELECT entity_name, (arg_max(value, day) - arg_min(value, day)) / arg_min(value, day) * 100 AS g
+  FROM monthly JOIN dim USING (entity_id) GROUP BY entity_name)
+SELECT
+  (SELECT round(corr, 3) FROM named_pairs WHERE name_a = 'Extended price' AND name_b = 'Quantity')
+    AS "correlation:Extended price~Quantity",
+  (SELECT list(round(change_pct, 4) ORDER BY change_pct DESC, day, entity_name) FROM (
+     SELECT * FROM moves JOIN dim USING (entity_id) ORDER BY change_pct DESC, day, entity_id LIMIT 5))
+    AS rises,
+  (SELECT list(round(change_pct, 4) ORDER BY change_pct, day, entity_name) FROM (
+     SELECT * FROM moves JOIN dim USING (entity_id) ORDER BY change_pct, day, entity_id LIMIT 5))
+    AS falls,
+  {', '.join(f"""(SELECT round(sd, 2) FROM swings WHERE entity_name = '{n}') AS "volatility:{n}" """
+             for n in ('Quantity', 'Extended price', 'Tax'))},
+  {', '.join(f"""(SELECT round({_clip('c')}, 3) FROM related WHERE entity_name = '{n}')
+                 AS "benchmark:{n}", (SELECT round(g, 1) FROM ends WHERE entity_name = '{n}')
+                 AS "growth:{n}" """ for n in ('Quantity', 'Extended price'))}"""
+
+
+def _document_counts() -> str:
+    raw = {"day": "ship_date", "idx": "net", "quantity": "qty", "extended_price": "price", "tax": "tax_text"}
+    parts = []
+    for name in raw:
+        column = "day" if name == "day" else name
+        parts.append(f"""(SELECT count(*) FROM typed WHERE {column} IS NULL) -
+          (SELECT count(*) FROM raw_texts WHERE {raw[name]} IS NOT NULL AND {column} IS NULL)
+          AS "missing_in:{name}" """)
+        parts.append(f"""(SELECT count(*) FROM silver WHERE {column} IS NULL) AS "missing_out:{name}" """)
+        if name != "day":
+            parts.append(f"""(SELECT count(*) FROM typed WHERE {name} < 0) AS "negative:{name}" """)
+    return ", ".join(parts)
+
+
+ORACLE["quality_document"] = f"""
+WITH {SHIPMENTS},
+raw_texts AS (
+  SELECT *, try_cast(ship_date AS DATE) AS day, try_cast(net AS DOUBLE) AS idx,
+         try_cast(qty AS DOUBLE) AS quantity, try_cast(price AS DOUBLE) AS extended_price,
+         try_cast(tax_text AS DOUBLE) AS tax
+  FROM raw),
+sizes AS (SELECT day, count(*) AS n FROM typed GROUP BY day)
+SELECT {_document_counts()},
+  (SELECT count(*) FROM silver WHERE day IS NULL) AS "missing_out:year",
+  (SELECT count(*) FROM silver WHERE day IS NULL) AS "missing_out:month",
+  (SELECT min(day) FROM silver) AS "coverage:first", (SELECT max(day) FROM silver) AS "coverage:last",
+  (SELECT CAST(sum(n - 1) AS BIGINT) FROM sizes) AS surplus,
+  (SELECT count(*) FROM typed WHERE day IS NULL) AS undated,
+  (SELECT count(*) FROM typed) AS rows_in, (SELECT count(*) FROM silver) AS rows_out"""
 ORACLE["json_report"] = ORACLE["analysis_report"]
 ORACLE["job_change"] = ORACLE["gold_change"]
 ORACLE["refresh_change"] = ORACLE["gold_change"]

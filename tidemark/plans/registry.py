@@ -33,13 +33,14 @@ from tidemark.plans.testbed import (
     panel_event,
     panel_flag,
     panel_priority,
+    panel_year,
     raw_shipments,
     shipment_order,
     table,
     wide_priority,
 )
-from tidemark.session import scratch_path, shared_folder
-from tidemark.sources.readers import read_csv
+from tidemark.session import discard, scratch_path, shared_folder
+from tidemark.sources.readers import CORRUPT, read_csv
 from tidemark.sources.sinks import write_csv, write_json
 from tidemark.streaming.refresh import Refresh
 
@@ -72,24 +73,25 @@ def _shipments(spark: SparkSession, folder: str) -> medallion.Star:
 
 @_query
 def profile_shape(spark: SparkSession, folder: str) -> DataFrame:
-    return ingest.shape_profile(table(spark, folder, "orders")).drop("schema")
+    return ingest.shape_profile(table(spark, folder, "orders"))
 
 
 @_query
 def normalise_names(spark: SparkSession, folder: str) -> DataFrame:
-    bronze = ingest.rename_to_technical(raw_shipments(spark, folder))
-    return bronze.drop("Net_Price_index")
+    return ingest.rename_to_technical(raw_shipments(spark, folder))
+
+
+@_query
+def rename_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return ingest.rename_audit(raw_shipments(spark, folder), counted=True)
 
 
 @_query
 def ingest_stamp(spark: SparkSession, folder: str) -> DataFrame:
     stamped = ingest.stamp(table(spark, folder, "orders"), "given:orders")
-    return stamped.select(
-        "o_orderkey",
-        "o_totalprice",
-        "_source",
-        F.col("_ingestion_timestamp").isNotNull().alias("is_stamped"),
-    )
+    return stamped.withColumn(
+        "is_stamped", F.col("_ingestion_timestamp").isNotNull()
+    ).drop("_ingestion_timestamp")
 
 
 # --- Silver ---------------------------------------------------------------------------
@@ -322,6 +324,11 @@ def correlation_matrix_brand(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(relation.correlation_matrix(panel_brand(spark, folder)), 6, "corr")
 
 
+@_query
+def correlation_sparse(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(relation.correlation_matrix(panel_year(spark, folder)), 6, "corr")
+
+
 @_query
 def correlation_benchmark(spark: SparkSession, folder: str) -> DataFrame:
     related = relation.correlation_with_benchmark(
@@ -342,28 +349,19 @@ def quality_completeness(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def quality_nulls_stage(spark: SparkSession, folder: str) -> DataFrame:
-    raw = dirty_orders(spark, folder)
     profile = _order_profile(spark, folder)
-    cleaned = cleaning.survivors(profile, date="raw_date", measures=["raw_price"])
-    return quality.missing_by_stage(raw, cleaned, dates=["raw_date"], numbers=["raw_price"])
+    return quality.missing_by_stage(profile, date="raw_date", measures=["raw_price"])
 
 
 @_query
 def quality_consistency(spark: SparkSession, folder: str) -> DataFrame:
-    raw = dirty_orders(spark, folder)
     profile = _order_profile(spark, folder)
-    cleaned = cleaning.survivors(profile, date="raw_date", measures=["raw_price"])
-    return quality.consistency(raw, cleaned, "raw_date")
+    return quality.consistency(profile, date="raw_date", measures=["raw_price"])
 
 
 @_query
 def quality_uniqueness(spark: SparkSession, folder: str) -> DataFrame:
-    keys = ["l_orderkey", "l_linenumber"]
-    stages = [
-        quality.uniqueness(table(spark, folder, "lineitem"), keys, "input"),
-        quality.uniqueness(dedup_keep_first(spark, folder), keys, "output"),
-    ]
-    return reduce(DataFrame.unionByName, stages)
+    return quality.uniqueness(table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
 @_query
@@ -480,6 +478,39 @@ def load_silver(spark: SparkSession, folder: str) -> DataFrame:
     return medallion.silver_of(profile, SHIPMENTS)
 
 
+@_query
+def analysis_document(spark: SparkSession, folder: str) -> DataFrame:
+    document = reports.analysis_document(reports.analysis_report(_shipments(spark, folder)), SHIPMENTS)
+    return document.select("correlation:Extended price~Quantity", *_numbers(document))
+
+
+def _numbers(document: DataFrame) -> list:
+    """The document's nested fields as columns that any engine can compare."""
+    moves = [
+        F.transform(side, lambda m: F.round(m["change_pct"], 4)).alias(side) for side in ("rises", "falls")
+    ]
+    names = [f"{what}:{name}" for what in ("benchmark", "growth") for name in SHIPMENTS.focus]
+    swings = [
+        F.col("volatility")[name].alias(f"volatility:{name}") for name in ("Quantity", "Extended price", "Tax")
+    ]
+    return [*moves, *swings, *[F.col(name) for name in names]]
+
+
+@_query
+def quality_document(spark: SparkSession, folder: str) -> DataFrame:
+    bronze = medallion.bronze(raw_shipments(spark, folder), "lineitem")
+    shared_folder(spark)
+    profile = medallion.load_profile(bronze, SHIPMENTS, shipment_order()).checkpoint()
+    star = medallion.Star.derive(spark, medallion.silver_of(profile, SHIPMENTS), SHIPMENTS)
+    document = reports.quality_document(reports.quality_of_load(profile, star), SHIPMENTS)
+    flat = [
+        F.col(part)[name].alias(f"{part}:{name}")
+        for part in ("missing_in", "missing_out", "negative", "coverage")
+        for name in document.schema[part].dataType.names
+    ]
+    return document.select(*flat, "surplus", "undated", "rows_in", "rows_out")
+
+
 @_query
 def analysis_report(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(reports.analysis_report(_shipments(spark, folder)), 4, "value")
@@ -492,7 +523,29 @@ def analysis_report(spark: SparkSession, folder: str) -> DataFrame:
 def csv_text(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "csv")
     write_csv(raw_shipments(spark, folder), path)
-    return ingest.rename_to_technical(read_csv(spark, path)).drop("Net_Price_index")
+    return _done(ingest.rename_to_technical(read_csv(spark, path)), path).drop(CORRUPT)
+
+
+def _done(result: DataFrame, path: str, schema: str | None = None) -> DataFrame:
+    """The result by itself, without the scratch files and tables that it was read from."""
+    spark = result.sparkSession
+    kept = result.checkpoint()
+    if schema:
+        spark.sql(f"DROP SCHEMA {schema} CASCADE")
+    discard(spark, path)
+    return kept
+
+
+@_query
+def csv_malformed(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "malformed")
+    key = F.col("o_orderkey")
+    cells = [key, F.rint(F.col("o_totalprice") * 100).cast("long"), F.lit("EXTRA")]
+    n = F.when(key % 7 == 0, 3).when(key % 11 == 0, 1).otherwise(2)
+    text = F.array_join(F.slice(F.array(*[c.cast("string") for c in cells]), F.lit(1), n), ",")
+    lines = table(spark, folder, "orders").select(text.alias("key,cents"))
+    lines.write.options(header=True, sep="|", quote="").csv(path)
+    return _done(read_csv(spark, path), path)
 
 
 @_query
@@ -500,7 +553,7 @@ def json_report(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "json")
     report = analysis_report(spark, folder)
     write_json(report, path)
-    return spark.read.schema(report.schema).json(path)
+    return _done(spark.read.schema(report.schema).json(path), path)
 
 
 @_query
@@ -516,7 +569,28 @@ def job_change(spark: SparkSession, folder: str) -> DataFrame:
         partition_facts=True,
         order_by=shipment_order(),
     )
-    return _rounded(star.change, 6, "change_pct")
+    return _rounded(_done(star.change, path, f"shipments_{path[-12:]}"), 6, "change_pct")
+
+
+@_query
+def load_files_first(spark: SparkSession, folder: str) -> DataFrame:
+    # Two folders of unequal size that share most dates; in each, files and their rows are
+    # in the order of the keys, which is then the order of the load.
+    path = scratch_path(spark, "files")
+    raw = raw_shipments(spark, folder)
+    keys = [F.col(name).cast("bigint") for name in ("Order Key", "Line Number", "Part Key", "Supplier Key")]
+    ordered = [*keys, "Quantity", "Extended Price, USD", "Tax %"]
+    first = F.col("Line Number") == "1"
+    for part, rows in enumerate([raw.where(first), raw.where(~first)]):
+        write_csv(rows.orderBy(*ordered), f"{path}/raw/{part}")
+    star = medallion.run(
+        spark,
+        f"{path}/raw/*",
+        schema=f"files_{path[-12:]}",
+        layout=SHIPMENTS,
+        location=f"{path}/tables",
+    )
+    return _done(star.silver, path, f"files_{path[-12:]}")
 
 
 @_query
@@ -528,4 +602,4 @@ def refresh_change(spark: SparkSession, folder: str) -> DataFrame:
     for part, rows in enumerate([raw.where(early), raw.where(~early)]):
         write_csv(rows, f"{path}/raw/part={part}")
         refresh.stream(spark, f"{path}/raw/*", raw.columns).awaitTermination()
-    return _rounded(refresh.read(spark, "change"), 6, "change_pct")
+    return _rounded(_done(refresh.read(spark, "change"), path), 6, "change_pct")

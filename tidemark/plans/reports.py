@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,10 +50,11 @@ def analysis_document(report: DataFrame, layout: Layout) -> DataFrame:
     """The analysis report as one row of named fields, ready for a JSON sink.
 
     It holds the entities of a literal dimension and the k extremes, which bounds what is
-    gathered into the row. Percentages are rounded as they are presented.
+    gathered into the row. Percentages are rounded as they are presented. Of the layout's
+    focus every pair has its correlation, and every name its growth and benchmark.
     """
     label = layout.labels
-    first, second = sorted(layout.focus)
+    pairs = list(combinations(sorted(layout.focus), 2))
 
     def named(metric: str, entity: str) -> str:
         return label.get(f"{metric}:{entity}", f"{metric}:{entity}")
@@ -92,7 +94,10 @@ def analysis_document(report: DataFrame, layout: Layout) -> DataFrame:
         )
     )
     return report.agg(
-        only("correlation", first, 3, second).alias(label["correlation"]),
+        *[
+            only("correlation", first, 3, second).alias(named("correlation", f"{first}~{second}"))
+            for first, second in pairs
+        ],
         F.map_from_entries(swings).alias(label["volatility"]),
         moves("rise").alias(label["rises"]),
         moves("fall").alias(label["falls"]),

@@ -85,19 +85,36 @@ def benchmark_price(spark: SparkSession, folder: str) -> DataFrame:
 def panel_brand(spark: SparkSession, folder: str) -> DataFrame:
     """Mean line price by month and brand; the brand's number is the entity key.
 
-    The join carries no hint: `part` grows with the data, so Spark's size check and, past
-    it, its skew handling of shuffled joins have to decide.
+    Lines are summed by part and month before they meet `part`, so a part with very many
+    lines is one row per month and task there. The join carries no hint: `part` grows with
+    the data, so Spark's size check has to decide.
     """
-    lines = table(spark, folder, "lineitem").select("l_partkey", "l_shipdate", "l_extendedprice")
+    sums = panel_sums(
+        table(spark, folder, "lineitem"),
+        date=F.col("l_shipdate"),
+        entity=F.col("l_partkey"),
+        value=F.col("l_extendedprice"),
+        decimals=2,
+    )
     brands = table(spark, folder, "part").select(
-        F.col("p_partkey").alias("l_partkey"),
-        F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int").alias("brand"),
+        F.col("p_partkey").alias("entity"),
+        F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int").alias("entity_id"),
     )
+    named = sums.join(brands, "entity").where("entity_id IS NOT NULL")
+    return roll_up(named, ["date", "entity_id"], decimals=2)
+
+
+def panel_year(spark: SparkSession, folder: str) -> DataFrame:
+    """Order price by month; an entity is a priority within one year.
+
+    Entities of different years have no month in common.
+    """
+    priority = F.substring("o_orderpriority", 1, 1).cast("int")
     panel = to_panel(
-        lines.join(brands, "l_partkey"),
-        date=F.col("l_shipdate"),
-        entity=F.col("brand"),
-        value=F.col("l_extendedprice"),
+        table(spark, folder, "orders"),
+        date=F.col("o_orderdate"),
+        entity=F.year("o_orderdate") * 10 + priority,
+        value=F.col("o_totalprice"),
         decimals=2,
     )
     return panel.withColumnRenamed("entity", "entity_id")
@@ -192,7 +209,7 @@ def raw_shipments(spark: SparkSession, folder: str) -> DataFrame:
         F.when(key % 97 == 0, F.lit("n/a"))
         .otherwise(F.col("l_shipdate").cast("date").cast("string"))
         .alias("Ship Date"),
-        net.cast("string").alias("Net Price (index)"),
+        F.round(net, 4).cast("decimal(18,4)").cast("string").alias("Net Price (index)"),
         F.when(key % 83 == 0, F.lit(None).cast("string"))
         .otherwise(F.col("l_quantity").cast("string"))
         .alias("Quantity"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -36,15 +37,30 @@ def build(app: str = "tidemark", master: str | None = None, **settings: str) ->
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only where the setting is absent (a test session) is a temporary folder used.
+    Where neither that setting nor a checkpoint folder is there, a local session, whose
+    executors are the driver, gets a temporary one; any other master is refused.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError(
+                "set spark.checkpoint.dir to a folder that all executors share: "
+                f"intermediate tables of a session on {context.master} need one"
+            )
+        folder = tempfile.mkdtemp(prefix="tidemark-")
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tidemark-"))
-    return (folder or context.getCheckpointDir()).rstrip("/")
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path for one job's tables inside the shared folder."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path, wherever it is stored."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    system.delete(place, True)

@@ -11,9 +11,13 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
     return spark.read.option("header", True).csv(path).columns
 
 
+# Fixed value: the column for the text of lines that do not fit the header.
+CORRUPT = "_corrupt_record"
+
+
 def text_schema(names: list[str]) -> T.StructType:
-    """Every column as text."""
-    return T.StructType([T.StructField(name, T.StringType()) for name in names])
+    """Every column as text, and a last one for lines with too few or too many values."""
+    return T.StructType([T.StructField(name, T.StringType()) for name in [*names, CORRUPT]])
 
 
 def read_csv(
@@ -30,15 +34,15 @@ def read_csv(
 
     By default every column is text, so that a column's type does not hang on its worst
     value; ``infer`` asks for types from the data, at the cost of one more pass over it.
+    Either way ``_corrupt_record`` holds the whole text of a line whose number of values is
+    not the header's; what of it fits stands in the columns.
     """
-    reader = spark.read.options(header=True, mode="PERMISSIVE", enforceSchema=False)
+    reader = spark.read.options(
+        header=True, mode="PERMISSIVE", enforceSchema=False, columnNameOfCorruptRecord=CORRUPT
+    )
     if schema is not None:
         return reader.schema(schema).csv(path)
     if infer:
-        return reader.options(inferSchema=True).csv(path)
+        found = spark.read.options(header=True, inferSchema=True).csv(path).schema
+        return reader.schema(T.StructType([*found, T.StructField(CORRUPT, T.StringType())])).csv(path)
     return reader.schema(text_schema(csv_header(spark, path))).csv(path)
-
-
-def read_table(spark: SparkSession, name: str) -> DataFrame:
-    """A table by its name in the catalog."""
-    return spark.table(name)

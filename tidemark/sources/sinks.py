@@ -18,7 +18,8 @@ def ensure_schema(
     used when given and never created.
     """
     qualified = quoted(schema) if catalog is None else f"{quoted(catalog)}.{quoted(schema)}"
-    place = "" if location is None else f" LOCATION '{location}'"
+    escaped = (location or "").replace("\\", "\\\\").replace("'", "\\'")
+    place = "" if location is None else f" LOCATION '{escaped}'"
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {qualified}{place}")
     return qualified
 

@@ -1,9 +1,11 @@
 """Incremental refresh: new raw files update the tables instead of a full reload.
 
-The result equals a full reload in which earlier loads come first. Per load the work
+The result equals a full reload in which earlier loads come first; within a load the order
+of rows is that of a full reload, the path of the file and the place in it. Per load the work
 follows the load, not the history: Bronze gets one more partition, and Silver and the
-facts are rewritten for the years the load touches. Only the change fact looks further,
-because a late observation alters the change of the one that follows it, maybe years on.
+facts are rewritten for the years the load touches. Only the change fact looks further, for
+the neighbours of those years, because a late observation alters the change of the one that
+follows it, maybe years on.
 
 Bronze and Silver have one folder per load, which only that load writes; Silver holds the
 load's first row per date, and readers give a date to its earliest load. The facts are
@@ -16,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -24,7 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.change import step_change
 from tidemark.operators.cleaning import keep_first, non_negative
 from tidemark.operators.conform import calendar_parts
-from tidemark.operators.ingest import number_rows
+from tidemark.operators.ingest import FILE, locate, number_rows
 from tidemark.plans.layout import Layout
 from tidemark.plans.medallion import annual, bronze, first_rows, monthly
 from tidemark.sources.readers import text_schema
@@ -51,10 +53,13 @@ class Refresh:
         return rows.where(F.col(self.layout.change).isNotNull()) if layer == "change" else rows
 
     def apply(self, load: DataFrame, number: int) -> None:
-        """Bring one load of Bronze rows into all tables."""
+        """Bring one load of Bronze rows into all tables.
+
+        Rows that come from files carry their place (``locate``); others need ``order_by``.
+        """
         spark, lay = load.sparkSession, self.layout
         raw, firsts = (f"{self.path(layer)}/{LOAD}={number}" for layer in ("bronze", "silver"))
-        number_rows(load).write.mode("overwrite").parquet(raw)
+        (number_rows(load) if FILE in load.columns else load).write.mode("overwrite").parquet(raw)
         arrived = self._first_rows(spark.read.parquet(raw))
         arrived.write.mode("overwrite").partitionBy(lay.year).parquet(firsts)
 
@@ -81,7 +86,7 @@ class Refresh:
             .csv(source)
         )
         return (
-            bronze(arriving)
+            locate(bronze(arriving))
             .writeStream.foreachBatch(self.apply)
             .option("checkpointLocation", f"{self.folder}/_progress")
             .trigger(availableNow=True)
@@ -106,19 +111,38 @@ class Refresh:
     def _altered_changes(self, facts: DataFrame, years: list[int]) -> DataFrame:
         """Changes of all years in which an observation or its predecessor is touched.
 
+        Besides the touched years an entity's next observation after each of them is altered;
+        what a year's first observation changed from is the entity's last one before. Both
+        neighbours are found by aggregates over the other years, combined before they are
+        shuffled; only the altered years go through a window.
+
         Observations without a change are stored too: a late value of 0 takes the change
         from its successor, and a year left without rows would not be replaced.
         """
         lay = self.layout
-        history = Window.partitionBy(lay.entity).orderBy(lay.date)
-        moves = step_change(facts, **lay.grain, change=lay.change).withColumn(
-            "_altered",
-            F.col(lay.year).isin(years)
-            | F.coalesce(F.lag(lay.year).over(history).isin(years), F.lit(False)),
+        year, present = F.col(lay.year), facts.where(F.col(lay.value).isNotNull())
+        later = present.where(year > min(years)).groupBy(lay.entity).agg(
+            *[
+                F.min(F.when(year > touched, F.struct(lay.date, lay.year)))[lay.year].alias(f"after_{touched}")
+                for touched in years
+            ]
+        )
+        following = F.explode(F.array(*[f"after_{touched}" for touched in years]))
+        next_years = later.select(following.alias("y")).where("y IS NOT NULL").distinct()
+        altered = sorted({*years, *[row[0] for row in next_years.collect()]})
+
+        rows = present.where(year.isin(altered))
+        columns = F.struct(lay.date, *[name for name in facts.columns if name not in (lay.date, lay.entity)])
+        opening = [y for y in altered if y - 1 not in altered]
+        earlier = present.where((year < max(altered)) & ~year.isin(altered))
+        before = earlier.groupBy(lay.entity).agg(
+            *[F.max(F.when(year < y, columns)).alias(f"before_{y}") for y in opening]
         )
-        altered = moves.where("_altered").select(lay.year).distinct()
-        # One row per year, against a fact that a shuffle would gather by year.
-        return moves.drop("_altered").join(F.broadcast(altered), lay.year, "left_semi")
+        each = F.explode(F.array_distinct(F.array(*[f"before_{y}" for y in opening])))
+        neighbours = before.select(lay.entity, each.alias("row")).where("row IS NOT NULL")
+        neighbours = neighbours.select(lay.entity, "row.*").select(*facts.columns)
+        moves = step_change(rows.unionByName(neighbours), **lay.grain, change=lay.change)
+        return moves.where(year.isin(altered))
 
     def _replace(self, rows: DataFrame, layer: str) -> None:
         """Replace the partitions (years) that ``rows`` has; others stay."""
