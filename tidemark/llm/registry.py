@@ -7,6 +7,7 @@ from tidemark.llm.linededup import op5_line_dedup
 from tidemark.llm.lmscore import op10_lm_scoring
 from tidemark.llm.mixing import op2_mixing
 from tidemark.llm.ngramjoin import op3_ngram_join
+from tidemark.llm.oracle import ORACLE
 from tidemark.llm.packing import op8_best_fit_packing
 from tidemark.llm.quality import op1_quality_rules
 from tidemark.llm.suffixdedup import op6_suffix_dedup
@@ -29,4 +30,4 @@ QUERIES = {
     ]
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
