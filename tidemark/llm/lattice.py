@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
+from tidemark.llm.groups import whole_groups
 from tidemark.llm.store import arrow_map, partitions, stored, table
 from tidemark.llm.textblocks import mixed
 
@@ -143,15 +144,12 @@ def _group(cell: int, split: bool, block, nodes, copies, units, names, cosine: f
 
 def _compared(batches: Iterator[pa.RecordBatch], cosine: float) -> Iterator[pa.RecordBatch]:
     """Compare the vectors of each (cell, one block, other block), which come one after another."""
-
-    def results(rows: pa.Table):
-        cell, one, other = (rows[c].to_numpy() for c in ("cell", "one", "other"))
-        new = (cell[1:] != cell[:-1]) | (one[1:] != one[:-1]) | (other[1:] != other[:-1])
-        bounds = np.concatenate([[0], np.flatnonzero(new) + 1, [len(cell)]])
-        nodes, copies, block = (rows[c].to_numpy() for c in ("node", "copies", "block"))
+    for rows, bounds in whole_groups(batches, ("cell", "one", "other")):
+        cell, one, other, nodes, copies, block = (
+            rows[c].to_numpy() for c in ("cell", "one", "other", "node", "copies", "block")
+        )
         units = [np.frombuffer(u.as_buffer(), np.float64) for u in rows["unit"]]
-        listed = rows["cells"].combine_chunks()
-        names = listed.flatten().to_numpy().reshape(len(cell), -1)
+        names = rows["cells"].combine_chunks().flatten().to_numpy().reshape(len(cell), -1)
         found = []
         for a, b in zip(bounds[:-1], bounds[1:]):
             if b - a < 2:
@@ -166,27 +164,6 @@ def _compared(batches: Iterator[pa.RecordBatch], cosine: float) -> Iterator[pa.R
             columns = [np.concatenate(x) for x in zip(*found)]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["node", "n_links", "label"])
 
-    waiting: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        key = [batch.column(c).to_numpy() for c in ("cell", "one", "other")]
-        last = np.flatnonzero(
-            (key[0] != key[0][-1]) | (key[1] != key[1][-1]) | (key[2] != key[2][-1])
-        )
-        start = int(last[-1]) + 1 if len(last) else 0
-        if start:
-            yield from results(pa.Table.from_batches([*waiting, batch.slice(0, start)]))
-            waiting = []
-        elif waiting and [waiting[-1].column(c)[-1] for c in ("cell", "one", "other")] != [
-            batch.column(c)[0] for c in ("cell", "one", "other")
-        ]:
-            yield from results(pa.Table.from_batches(waiting))
-            waiting = []
-        waiting.append(batch.slice(start))
-    if waiting:
-        yield from results(pa.Table.from_batches(waiting))
-
 
 def near_vectors(
     vectors: DataFrame,

@@ -23,10 +23,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
+from tidemark.llm.groups import whole_groups
 from tidemark.llm.store import arrow_map, partitions, stored, table
 from tidemark.llm.textblocks import LOWER, blocks, mixed, shingle_hashes, word_hashes
 
@@ -36,6 +38,8 @@ MET = "kind int, doc long, n long, high long, low long"
 FLUSH = 1 << 20
 RESEEDED = 24  # up to so many blocks an empty one is replaced by blocks of another hash
 SEEDS = 8
+MARKS = 512
+PART = 512
 
 
 def size_class(size: int, percent: int) -> int:
@@ -194,10 +198,66 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch({"kind": np.full(len(part), MEMBER), "doc": d[part], "high": _signed(h[part])}, MET_ARROW)
 
 
-def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    for rows, data, offsets in blocks(batches):
-        packed = [g.tobytes() for g in _grams(data, offsets, size)]
-        yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(packed, pa.binary())], ["doc", "grams"])
+def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as compressed bytes, which is how they travel."""
+    pack = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        texts = batch.column("text").cast(pa.large_binary())
+        packed = pa.array([pack.compress(t.as_py() or b"") for t in texts], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), packed], ["doc", "packed"])
+
+
+def _set(packed: bytes, size: int) -> np.ndarray:
+    """The n-grams of a compressed text."""
+    data = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
+    return next(_grams(data, np.array([0, len(data)]), size))
+
+
+def marks(grams: np.ndarray) -> np.ndarray:
+    """One byte for each of ``MARKS`` column blocks: where two documents' bytes differ, so do
+    the blocks, by one n-gram at least."""
+    edges = np.arange(MARKS, dtype=np.uint64) * np.uint64(2**64 // MARKS)
+    bounds = np.append(np.searchsorted(grams, edges), len(grams))
+    sums = np.append(np.uint64(0), np.cumsum(mixed(grams)))
+    return (mixed(sums[bounds[1:]] - sums[bounds[:-1]]) >> np.uint64(56)).astype(np.uint8)
+
+
+def _marked(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [_set(p, size) for p in batch.column("packed").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("doc"), batch.column("packed"), pa.array([len(x) for x in sets], pa.int64()),
+                pa.array([marks(x).tobytes() for x in sets], pa.binary()),
+            ],
+            ["doc", "packed", "n", "marks"],
+        )
+
+
+def _across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of a block across components whose sizes and marks allow a link."""
+    for rows, bounds in whole_groups(batches, ("block", "one", "other")):
+        one, other, part, doc, component, n = (
+            rows[c].to_numpy() for c in ("one", "other", "part", "doc", "component", "n")
+        )
+        all_marks = rows["marks"].to_pylist()
+        found = []
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            here = np.frombuffer(b"".join(all_marks[a:b]), np.uint8).reshape(b - a, MARKS)
+            d, c, k, p = doc[a:b], component[a:b], n[a:b], part[a:b]
+            for i in range(b - a - 1):
+                differ = (k[i] + k[i + 1 :]) * (100 - percent) // (100 + percent)
+                open_ = (c[i] != c[i + 1 :]) & (np.abs(k[i] - k[i + 1 :]) <= differ)
+                if one[a] != other[a]:
+                    open_ &= p[i] != p[i + 1 :]
+                at = np.flatnonzero(open_)
+                at = at[(here[at + i + 1] != here[i]).sum(axis=1) <= differ[at]]
+                if len(at):
+                    there = d[at + i + 1]
+                    found.append((np.minimum(d[i], there), np.maximum(d[i], there)))
+        if found:
+            columns = [np.concatenate(x) for x in zip(*found)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["a", "b"])
 
 
 def overlap(a: np.ndarray, b: np.ndarray, least: int, step: int = 512) -> int:
@@ -216,27 +276,27 @@ def overlap(a: np.ndarray, b: np.ndarray, least: int, step: int = 512) -> int:
     return total
 
 
-def _products(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def _products(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
     """The pairs whose overlap reaches the bound of their sizes."""
+    known: tuple = (None, None)
     for batch in batches:
         linked = []
-        for x, y in zip(batch.column("grams_a"), batch.column("grams_b")):
-            a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+        for name, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "packed_a", "packed_b"))):
+            if known[0] != (name, x):
+                known = ((name, x), _set(x, size))
+            a, b = known[1], _set(y, size)
             both = len(a) + len(b)
             least = -(-percent * both // (100 + percent))
             linked.append(min(len(a), len(b)) >= least and overlap(a, b, least) >= least)
         yield batch.filter(pa.array(linked, pa.bool_())).select(["a", "b"])
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` of documents that are similar, by their n-grams read anew."""
-    pairs = stored(pairs, "ngram-pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    rows = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
-    sets = stored(arrow_map(rows, lambda b: _sets(b, size), "doc long, grams binary"), "ngram-sets")
-    met = pairs.join(sets.toDF("a", "grams_a"), "a").join(sets.toDF("b", "grams_b"), "b")
-    met = met.select("a", "b", "grams_a", "grams_b")
-    return stored(arrow_map(met, lambda b: _products(b, percent), "a long, b long").distinct(), "ngram-links")
+def _linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` of documents that are similar."""
+    a = texts.select(F.col("doc").alias("a"), F.col("packed").alias("packed_a"))
+    b = texts.select(F.col("doc").alias("b"), F.col("packed").alias("packed_b"))
+    met = pairs.join(b, "b").join(a, "a").select("a", "b", "packed_a", "packed_b")
+    return stored(arrow_map(met, lambda x: _products(x, size, percent), "a long, b long").distinct(), "ngram-links")
 
 
 def ngram_join(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
@@ -268,34 +328,43 @@ def ngram_join(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFram
     members = stored(members, "ngram-members")
     centre = members.groupBy("block").agg(F.min("doc").alias("a"))
     tried = members.join(centre, "block").where("a < doc").select("a", F.col("doc").alias("b")).distinct()
-    links = _linked(tried, docs, size, percent)
+    packed = arrow_map(docs.select("doc_id", F.col("text")), _squeezed, "doc long, packed binary")
+    packed = packed.join(members.select("doc").distinct(), "doc", "left_semi")
+    texts = stored(
+        arrow_map(packed, lambda b: _marked(b, size), "doc long, packed binary, n long, marks binary"), "ngram-texts"
+    )
+    tried = stored(tried, "ngram-tried")
+    links = _linked(tried, texts, size, percent)
     same = equal.where("doc != least").toDF("a", "b")
     joined = components(links.union(same))
 
     # Where a block's documents are still in several components, the pairs across them are
-    # multiplied as well.
+    # multiplied as well, if sizes and marks allow a link. A block of many documents is
+    # split into parts, and its work into pairs of parts.
     placed = members.join(joined, members["doc"] == joined["node"], "left").select(
         "block", "doc", F.coalesce("component", "doc").alias("component")
     )
     open_blocks = placed.groupBy("block").agg(
-        F.min("component").alias("one"), F.max("component").alias("other")
-    ).where("one != other")
-    sizes = named.groupBy(F.col("doc").alias("of")).agg(F.max("n").alias("n"), F.min("n").alias("n0"))
-    left = placed.join(open_blocks.select("block"), "block", "left_semi")
-    left = stored(left.join(sizes, F.col("doc") == F.col("of")).drop("of"), "ngram-open")
-    right = left.toDF(*[f"{c}_b" for c in left.columns])
-    across = left.join(right, F.col("block") == F.col("block_b")).where(
-        (F.col("component") != F.col("component_b"))
-        & (F.col("doc") < F.col("doc_b"))
-        & (100 * F.col("n") >= percent * F.col("n0_b"))
-        & (100 * F.col("n_b") >= percent * F.col("n0"))
-    )
-    more = across.select(F.col("doc").alias("a"), F.col("doc_b").alias("b")).distinct()
+        F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("docs")
+    ).where("least != most AND docs > 2")
+    parts = F.ceil(F.col("docs") / PART).cast("int")
+    left = placed.join(open_blocks.select("block", parts.alias("parts")), "block")
+    part = F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int")
+    left = left.select(
+        "block", "doc", "component", part.alias("part"),
+        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("with"),
+    )
+    left = left.select(
+        "block", "doc", "component", "part",
+        F.least("part", "with").alias("one"), F.greatest("part", "with").alias("other"),
+    )
+    work = left.join(texts.select("doc", "n", "marks"), "doc").repartition(buckets, "block", "one", "other")
+    work = work.sortWithinPartitions("block", "one", "other")
+    more = arrow_map(work, lambda b: _across(b, percent), "a long, b long").distinct()
     more = stored(more.join(tried, ["a", "b"], "left_anti"), "ngram-across")
-    if not more.isEmpty():
-        found = _linked(more, docs, size, percent)
-        if not found.isEmpty():
-            joined = components(links.union(same).union(found))
+    found = _linked(more, texts, size, percent)
+    if not found.isEmpty():
+        joined = components(links.union(same).union(found))
     return documents.join(joined, documents["doc"] == joined["node"], "left").select(
         F.col("doc").alias("doc_id"),
         F.col("n").alias("n_shingles"),
