@@ -77,7 +77,10 @@ def correlation_matrix(
     if entities is not None:
         panel = panel.where(F.col(entity).isin([int(key) for key in entities]))
     key_type = panel.schema[entity].dataType
-    block = F.col(entity) - F.pmod(entity, F.lit(LANES))
+    # Never NULL as far as the optimiser can tell: what it infers from join keys would reach
+    # below the panel's shuffle, differently on each side, and keep them from sharing it.
+    block = F.coalesce(F.col(entity) - F.pmod(entity, F.lit(LANES)), F.lit(0).cast(key_type))
+    salt = F.coalesce(F.pmod(F.xxhash64("entity_a"), F.lit(salts)).cast("int"), F.lit(0))
     series = panel.where(F.col(value).isNotNull()).select(
         date, F.col(entity).alias("entity_a"), block.alias("_block_a"), F.col(value).alias("_value")
     )
@@ -90,7 +93,7 @@ def correlation_matrix(
         ]
     )
     each_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    salted = series.withColumn("_salt", F.pmod(F.xxhash64("entity_a"), F.lit(salts)).cast("int"))
+    salted = series.withColumn("_salt", salt)
     met = salted.join(lanes.withColumn("_salt", each_salt), [date, "_salt"])
     moments = met.where("_block_a <= _block").groupBy("entity_a", "_block").agg(
         *[
@@ -123,8 +126,10 @@ def correlation_matrix(
         "_side.entity_a", "_side.entity_b", "corr", "n"
     )
     # Every cell there is: entities meet copies of all entities, dealt over the same salts.
-    names = panel.where(F.col(entity).isNotNull()).select(F.col(entity).alias("entity_a")).distinct()
-    left = names.withColumn("_salt", F.pmod(F.xxhash64("entity_a"), F.lit(salts)).cast("int"))
+    # They count their values, so that they need what the series need and share its shuffle.
+    counted = panel.where(F.col(entity).isNotNull()).groupBy(F.col(entity).alias("entity_a"))
+    names = counted.agg(F.count(value).alias("_values")).where("_values >= 0").select("entity_a")
+    left = names.withColumn("_salt", salt)
     right = names.select(F.col("entity_a").alias("entity_b"), each_salt.alias("_salt"))
     cells = left.join(right, "_salt").select(
         "entity_a", "entity_b", F.lit(None).cast("double").alias("corr"), F.lit(0).cast("long").alias("n")
