@@ -675,18 +675,18 @@ ends AS (
   FROM monthly JOIN dim USING (entity_id) GROUP BY entity_name)
 SELECT
   (SELECT round(corr, 3) FROM named_pairs WHERE name_a = 'Extended price' AND name_b = 'Quantity')
-    AS "correlation:Extended price~Quantity",
+    AS "correlation_Extended_price_Quantity",
   (SELECT list(round(change_pct, 4) ORDER BY change_pct DESC, day, entity_name) FROM (
      SELECT * FROM moves JOIN dim USING (entity_id) ORDER BY change_pct DESC, day, entity_id LIMIT 5))
     AS rises,
   (SELECT list(round(change_pct, 4) ORDER BY change_pct, day, entity_name) FROM (
      SELECT * FROM moves JOIN dim USING (entity_id) ORDER BY change_pct, day, entity_id LIMIT 5))
     AS falls,
-  {', '.join(f"""(SELECT round(sd, 2) FROM swings WHERE entity_name = '{n}') AS "volatility:{n}" """
+  {', '.join(f"""(SELECT round(sd, 2) FROM swings WHERE entity_name = '{n}') AS "volatility_{n.replace(' ', '_')}" """
              for n in ('Quantity', 'Extended price', 'Tax'))},
   {', '.join(f"""(SELECT round({_clip('c')}, 3) FROM related WHERE entity_name = '{n}')
-                 AS "benchmark:{n}", (SELECT round(g, 1) FROM ends WHERE entity_name = '{n}')
-                 AS "growth:{n}" """ for n in ('Quantity', 'Extended price'))}"""
+                 AS "benchmark_{n.replace(' ', '_')}", (SELECT round(g, 1) FROM ends WHERE entity_name = '{n}')
+                 AS "growth_{n.replace(' ', '_')}" """ for n in ('Quantity', 'Extended price'))}"""
 
 
 def _document_counts() -> str:
@@ -696,10 +696,10 @@ def _document_counts() -> str:
         column = "day" if name == "day" else name
         parts.append(f"""(SELECT count(*) FROM typed WHERE {column} IS NULL) -
           (SELECT count(*) FROM raw_texts WHERE {raw[name]} IS NOT NULL AND {column} IS NULL)
-          AS "missing_in:{name}" """)
-        parts.append(f"""(SELECT count(*) FROM silver WHERE {column} IS NULL) AS "missing_out:{name}" """)
+          AS "missing_in_{name}" """)
+        parts.append(f"""(SELECT count(*) FROM silver WHERE {column} IS NULL) AS "missing_out_{name}" """)
         if name != "day":
-            parts.append(f"""(SELECT count(*) FROM typed WHERE {name} < 0) AS "negative:{name}" """)
+            parts.append(f"""(SELECT count(*) FROM typed WHERE {name} < 0) AS "negative_{name}" """)
     return ", ".join(parts)
 
 
@@ -712,9 +712,9 @@ raw_texts AS (
   FROM raw),
 sizes AS (SELECT day, count(*) AS n FROM typed GROUP BY day)
 SELECT {_document_counts()},
-  (SELECT count(*) FROM silver WHERE day IS NULL) AS "missing_out:year",
-  (SELECT count(*) FROM silver WHERE day IS NULL) AS "missing_out:month",
-  (SELECT min(day) FROM silver) AS "coverage:first", (SELECT max(day) FROM silver) AS "coverage:last",
+  (SELECT count(*) FROM silver WHERE day IS NULL) AS "missing_out_year",
+  (SELECT count(*) FROM silver WHERE day IS NULL) AS "missing_out_month",
+  (SELECT min(day) FROM silver) AS "coverage_first", (SELECT max(day) FROM silver) AS "coverage_last",
   (SELECT CAST(sum(n - 1) AS BIGINT) FROM sizes) AS surplus,
   (SELECT count(*) FROM typed WHERE day IS NULL) AS undated,
   (SELECT count(*) FROM typed) AS rows_in, (SELECT count(*) FROM silver) AS rows_out"""

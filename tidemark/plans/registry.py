@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import reduce
 
@@ -481,7 +482,12 @@ def load_silver(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def analysis_document(spark: SparkSession, folder: str) -> DataFrame:
     document = reports.analysis_document(reports.analysis_report(_shipments(spark, folder)), SHIPMENTS)
-    return document.select("correlation:Extended price~Quantity", *_numbers(document))
+    return _plain(document.select("correlation:Extended price~Quantity", *_numbers(document)))
+
+
+def _plain(document: DataFrame) -> DataFrame:
+    """Field names as column names that any engine takes."""
+    return document.toDF(*[re.sub(r"\W+", "_", name) for name in document.columns])
 
 
 def _numbers(document: DataFrame) -> list:
@@ -508,7 +514,7 @@ def quality_document(spark: SparkSession, folder: str) -> DataFrame:
         for part in ("missing_in", "missing_out", "negative", "coverage")
         for name in document.schema[part].dataType.names
     ]
-    return document.select(*flat, "surplus", "undated", "rows_in", "rows_out")
+    return _plain(document.select(*flat, "surplus", "undated", "rows_in", "rows_out"))
 
 
 @_query
