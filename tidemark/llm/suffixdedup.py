@@ -7,8 +7,8 @@ equal anchors, and the strings of one anchor in a row form one context of a few
 Tasks exchange anchor hashes; a context whose anchor no other document has goes no further.
 
 The others meet by anchor. Equal contexts are reduced to the earliest document's, before
-they are exchanged and again where they meet. Where several contexts of an anchor remain,
-their texts are joined, and the suffix array of the joined text (``suffixes``) brings equal
+they are exchanged and again where they meet; different ones to what each has in common
+with any other around the anchor. Where several such parts remain, they are joined, and the suffix array of the joined text (``suffixes``) brings equal
 strings of ``length`` bytes next to each other, whatever contexts they are in.
 """
 
@@ -63,10 +63,10 @@ def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
 
 
 def contexts(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """``(owner, start, strings, hash)``: runs of strings with one anchor, in order of position.
+    """``(owner, start, strings, hash, ahead)``: runs of strings with one anchor, by position.
 
-    A run has ``strings`` strings of ``length`` bytes, the first from ``start`` on; none reaches
-    over the end of a document.
+    A run has ``strings`` strings of ``length`` bytes, the first from ``start`` on, ``ahead`` bytes
+    before the anchor; none reaches over the end of a document.
     """
     reach = length - gram + 1
     found: list[list] = []
@@ -92,7 +92,7 @@ def contexts(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram:
             continue
         new = np.flatnonzero(np.append(True, (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1])))
         strings = np.diff(np.append(new, len(start)))
-        runs = [owner[new], start[new], strings, hashes[anchor[new]]]
+        runs = [owner[new], start[new], strings, hashes[anchor[new]], anchor[new] + first - start[new]]
         if last == (int(owner[0]), int(anchor[0]) + first):  # goes on from the stretch before
             found[-1][2][-1] += strings[0]
             runs = [x[1:] for x in runs]
@@ -101,7 +101,7 @@ def contexts(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram:
             found.append(runs)
     if not found:
         empty = np.zeros(0, np.int64)
-        return empty, empty, empty, np.zeros(0, np.uint64)
+        return empty, empty, empty, np.zeros(0, np.uint64), empty
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
@@ -158,7 +158,7 @@ def _anchors(batches: Iterator[pa.RecordBatch], buckets: int, length: int) -> It
         )
 
     for rows, data, offsets in blocks(batches):
-        owner, _, _, h = contexts(data, offsets, length)
+        owner, _, _, h, _ = contexts(data, offsets, length)
         ordinal = np.arange(len(owner)) - np.searchsorted(owner, owner)
         held.append((owner + len(docs), ordinal, h))
         docs += zip(rows.column("doc_id").to_pylist(), rows.column("version").to_pylist())
@@ -245,19 +245,19 @@ def _candidates(batches: Iterator[pa.RecordBatch], buckets: int, length: int) ->
     Of equal contexts in one task those of the least document go on; the others are removed.
     """
     unpack, pack = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
-    held: dict[bytes, list] = {}
+    held: dict[bytes, tuple] = {}
     size = 0
 
     def flush():
         outgoing = defaultdict(list)
         removed = []
-        for text, (h, entries) in held.items():
+        for text, (h, ahead, entries) in held.items():
             least = min(e[0] for e in entries)
             for doc, version, start in entries:
                 if doc > least:
                     removed.append((doc, version, start, whole(text, length)))
                 else:
-                    outgoing[h % buckets].append((h, doc, version, start, text))
+                    outgoing[h % buckets].append((h, doc, version, start, ahead, text))
         held.clear()
         if removed:
             docs, versions, starts, masks = zip(*removed)
@@ -268,8 +268,8 @@ def _candidates(batches: Iterator[pa.RecordBatch], buckets: int, length: int) ->
         packed = []
         for entries in outgoing.values():
             entries.sort()
-            numbers = np.array([(h - (1 << 63), d, v, s, len(t)) for h, d, v, s, t in entries], np.int64)
-            body = numbers.T.tobytes() + b"".join(e[4] for e in entries)
+            numbers = np.array([(h - (1 << 63), *e, len(t)) for h, *e, t in entries], np.int64)
+            body = numbers.T.tobytes() + b"".join(e[-1] for e in entries)
             packed.append(pack.compress(np.int64(len(entries)).tobytes() + body))
         if packed:
             yield _rows(MEETING, kind=[CONTEXTS] * len(packed), bucket=list(outgoing), contexts=packed)
@@ -280,16 +280,16 @@ def _candidates(batches: Iterator[pa.RecordBatch], buckets: int, length: int) ->
         ):
             text = unpack.decompress(packed)
             data = np.frombuffer(text, np.uint8)
-            _, start, strings, h = contexts(data, np.array([0, len(data)]), length)
+            _, start, strings, h, ahead = contexts(data, np.array([0, len(data)]), length)
             chosen = np.isin(h, h[np.frombuffer(ordinals, np.uint32)])
             ends = start + strings + length - 1
-            for name, a, b in zip(h[chosen].tolist(), start[chosen].tolist(), ends[chosen].tolist()):
+            for name, a, b, at in zip(*(x[chosen].tolist() for x in (h, start, ends, ahead))):
                 part = text[a:b]
                 known = held.get(part)
                 if known is None:
-                    held[part] = (name, [(doc, version, a)])
+                    held[part] = (name, at, [(doc, version, a)])
                 else:
-                    known[1].append((doc, version, a))
+                    known[2].append((doc, version, a))
                 size += 1
             if size >= FLUSH // 4:
                 yield from flush()
@@ -330,11 +330,12 @@ def _masks(place: np.ndarray, which: np.ndarray, same: np.ndarray, docs: np.ndar
     return masks
 
 
-def _by_strings(texts: list[bytes], docs: np.ndarray, length: int, gram: int) -> np.ndarray:
+def _by_strings(
+    texts: list[bytes], docs: np.ndarray, anchors: np.ndarray, length: int, gram: int
+) -> np.ndarray:
     """The same masks for very many contexts of one anchor, one place before the anchor at a time."""
     masks = np.zeros(len(texts), np.int64)
     sizes = np.array([len(t) for t in texts])
-    anchors = np.array([_anchor(t, length, gram) for t in texts])
     joined = np.frombuffer(b"".join(texts), np.uint8)
     first = np.cumsum(sizes) - sizes
     for ahead in range(length - gram + 1):
@@ -350,10 +351,40 @@ def _by_strings(texts: list[bytes], docs: np.ndarray, length: int, gram: int) ->
     return masks
 
 
-def _anchor(text: bytes, length: int, gram: int) -> int:
-    """Where the anchor of a context's first string stands."""
-    hashes = gram_hashes(np.frombuffer(text[:length], np.uint8), gram) & ~np.uint64(STRETCH * 2 - 1)
-    return int(hashes.argmin())
+def most_shared(parts: list[bytes]) -> list[int]:
+    """How many leading bytes each part has in common with any other, at most."""
+    order = sorted(range(len(parts)), key=parts.__getitem__)
+    most = [0] * len(parts)
+    for i, j in zip(order, order[1:]):
+        a, b = parts[i], parts[j]
+        n = min(len(a), len(b))
+        differ = int.from_bytes(a[:n]) ^ int.from_bytes(b[:n])
+        common = n - (differ.bit_length() + 7) // 8
+        most[i], most[j] = max(most[i], common), max(most[j], common)
+    return most
+
+
+def shared_parts(kept: list[tuple], length: int, gram: int) -> tuple[list[tuple], list[tuple]]:
+    """What different contexts of an anchor have in common, and the strings that go for that.
+
+    ``kept`` are ``(context, ahead, entries)``. A string that two contexts share lies between the
+    most bytes before and after the anchor that a context shares with any other. Of equal
+    parts those of later documents go; one of each is left, with its earliest entries.
+    """
+    before = most_shared([text[:ahead][::-1] for text, ahead, _ in kept])
+    after = most_shared([text[ahead + gram :] for text, ahead, _ in kept])
+    equal = defaultdict(list)
+    for (text, ahead, entries), x, y in zip(kept, before, after):
+        if x + gram + y >= length:
+            cut = ahead - x
+            part = text[cut : ahead + gram + y]
+            equal[part, x].extend((doc, version, start + cut) for doc, version, start in entries)
+    left, gone = [], []
+    for (part, ahead), entries in equal.items():
+        least = min(e[0] for e in entries)
+        gone.extend((*e, whole(part, length)) for e in entries if e[0] > least)
+        left.append((part, ahead, [e for e in entries if e[0] == least]))
+    return left, gone
 
 
 def _met(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
@@ -368,43 +399,52 @@ def _met(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[
         for packed in batch.filter(pa.array(kind == CONTEXTS)).column("contexts").to_pylist():
             raw = unpack.decompress(packed)
             n = int(np.frombuffer(raw, np.int64, 1)[0])
-            numbers = np.frombuffer(raw, np.int64, 5 * n, 8).reshape(5, n).tolist()
-            at = 8 + 40 * n
-            for h, doc, version, start, size in zip(*numbers):
-                groups[h].setdefault(raw[at : at + size], []).append((doc, version, start))
+            numbers = np.frombuffer(raw, np.int64, 6 * n, 8).reshape(6, n).tolist()
+            at = 8 + 48 * n
+            for h, doc, version, start, ahead, size in zip(*numbers):
+                known = groups[h].setdefault(raw[at : at + size], (ahead, []))
+                known[1].append((doc, version, start))
                 at += size
 
     found: list[tuple[int, int, int, int]] = []
-    waiting: list[tuple[bytes, list]] = []  # contexts and the entries of their least document
+    waiting: list[tuple[bytes, int, list]] = []  # texts, and the entries of their least document
     size = 0
 
-    def compared(masks_of, contexts_):
-        masks = masks_of([t for t, _ in contexts_], np.array([e[0][0] for _, e in contexts_], np.int64))
-        for mask, (_, entries) in zip(masks.tolist(), contexts_):
+    def compared(texts, large=False):
+        joined, ahead, entries = zip(*texts)
+        docs = np.array([e[0][0] for e in entries], np.int64)
+        if large:
+            masks = _by_strings(joined, docs, np.array(ahead), length, gram)
+        else:
+            masks = repeated_strings(joined, docs, length)
+        for mask, own in zip(masks.tolist(), entries):
             if mask:
-                found.extend((*e, mask) for e in entries)
+                found.extend((*e, mask) for e in own)
 
     for group in groups.values():
         kept = []
-        for text, entries in group.items():
+        for text, (ahead, entries) in group.items():
             least = min(e[0] for e in entries)
             found.extend((*e, whole(text, length)) for e in entries if e[0] > least)
-            kept.append((text, [e for e in entries if e[0] == least]))
+            kept.append((text, ahead, [e for e in entries if e[0] == least]))
+        if len(kept) > 1:
+            kept, gone = shared_parts(kept, length, gram)
+            found.extend(gone)
         if len(kept) > 1:
-            total = sum(len(t) for t, _ in kept)
+            total = sum(len(t) for t, _, _ in kept)
             if total > LARGE:
-                compared(lambda t, d: _by_strings(t, d, length, gram), kept)
+                compared(kept, large=True)
             else:
                 waiting += kept
                 size += total
         if size >= SUFFIX_TEXT:
-            compared(lambda t, d: repeated_strings(t, d, length), waiting)
+            compared(waiting)
             waiting, size = [], 0
         if len(found) >= 1 << 17:
             yield _rows(FOUND, **dict(zip(("doc_id", "version", "start", "mask"), zip(*found))))
             found.clear()
     if waiting:
-        compared(lambda t, d: repeated_strings(t, d, length), waiting)
+        compared(waiting)
     if found:
         yield _rows(FOUND, **dict(zip(("doc_id", "version", "start", "mask"), zip(*found))))
 
