@@ -2,7 +2,6 @@ import hashlib
 import random
 from collections import Counter
 
-import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F

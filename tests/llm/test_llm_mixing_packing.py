@@ -3,7 +3,6 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from tidemark.llm import packing
 from tidemark.llm.mixing import mixed_sample, probabilities, raked
@@ -78,37 +77,32 @@ def test_packing_keeps_every_token_and_fits(documents, odd_texts, prose, monkeyp
     assert best_fit_packing(documents([])).count() == 0
 
 
-def slow_best_fit(lengths, sizes, opened):
-    rooms, bins, filled = [], [], []
-    for length, size in zip(lengths, opened):
-        fitting = [(room, -i) for i, room in enumerate(rooms) if room >= length]
+def slow_best_fit(lengths, opened):
+    """Contents of the bins; of equally full ones the last to be filled goes first."""
+    rooms, filled, touched = [], [], []
+    for turn, (length, size) in enumerate(zip(lengths, opened)):
+        fitting = [i for i, room in enumerate(rooms) if room >= length]
         if fitting:
-            room, i = min(fitting)[0], None
-            i = next(k for k in reversed(order) if rooms[k] == room) if (order := sorted(
-                range(len(rooms)), key=lambda k: touched[k])) else None
+            least = min(rooms[i] for i in fitting)
+            i = max((i for i in fitting if rooms[i] == least), key=touched.__getitem__)
         else:
+            i = len(rooms)
             rooms.append(size)
             filled.append(0)
             touched.append(0)
-            i = len(rooms) - 1
         rooms[i] -= length
         filled[i] += length
-        touched[i] = len(bins) + 1
-        bins.append(i)
+        touched[i] = turn
     return filled
 
 
-touched: list[int] = []
-
-
 def test_best_fit_equals_a_slow_one_and_no_single_size_is_cheaper():
     rng = random.Random(8)
     for _ in range(40):
         lengths = sorted((rng.choice([rng.randint(1, 4096), rng.randint(1, 600)]) for _ in range(120)), reverse=True)
-        touched.clear()
         opened = [min(s for s in SIZES if s >= n) for n in lengths]
         _, _, filled = packing.best_fit(lengths, SIZES, opened)
-        assert filled == slow_best_fit(lengths, SIZES, opened)
+        assert filled == slow_best_fit(lengths, opened)
         bins, places, sizes = pack(np.array(lengths))
         total = sum(cost(int(s)) for s in dict(zip(bins.tolist(), sizes.tolist())).values())
         for single in SIZES:

@@ -1,9 +1,8 @@
 import random
-import zlib
+from pathlib import Path
 
-import numpy as np
 import public_tokenizers
-import pytest
+import pyarrow.parquet as pq
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -74,6 +73,18 @@ def test_stored_ids_round_trip_in_order(spark, documents, odd_texts):
     assert some == {d: [*encoded(WORDS, t or ""), 1] for d, t in pairs if 20 <= d <= 60}
 
 
+def test_files_are_made_for_selective_reads(spark, documents, prose):
+    path = scratch_path(spark, "tokens")
+    write_tokens(documents([prose(i, 400) for i in range(60)]), WORDS, path, row_group=1 << 15)
+    for part in Path(path.removeprefix("file:")).glob("part-*.parquet"):
+        meta = pq.ParquetFile(part).metadata
+        columns = {meta.row_group(0).column(i).path_in_schema: meta.row_group(0).column(i) for i in range(meta.num_columns)}
+        assert meta.num_row_groups > 1 or meta.num_rows < 20
+        assert "DELTA_BINARY_PACKED" in columns["doc_id"].encodings
+        assert {"RLE_DICTIONARY", "DELTA_BINARY_PACKED"} & set(columns["ids.list.element"].encodings)
+        assert columns["doc_id"].has_column_index and columns["doc_id"].has_offset_index
+
+
 def test_empty_and_unnamed_documents_are_stored(spark, documents):
     path = scratch_path(spark, "tokens")
     write_tokens(documents([]), WORDS, path)

@@ -14,7 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.quality import SPACE, _count, _replaced
+from tidemark.llm.quality import SPACE, count_of, replaced
 from tidemark.llm.store import stored, table
 
 ROUNDS = 8
@@ -29,7 +29,7 @@ TARGETS: dict[str, float | dict] = {"source": 0.5, "lang": 0.7, "topic": 1.0}
 def n_tokens(text: Column | None = None) -> Column:
     """Words of a text and its end: the length that weights and sequences are counted in."""
     text = F.coalesce(F.col("text") if text is None else text, F.lit(""))
-    words = F.array_remove(F.split(_replaced(text, SPACE[1:], " "), " "), "")
+    words = F.array_remove(F.split(replaced(text, SPACE[1:], " "), " "), "")
     return (F.size(words) + 1).cast("long")
 
 
@@ -38,8 +38,8 @@ def genre() -> Column:
     text = F.coalesce(F.col("text"), F.lit(""))
     return (
         F.when(F.col("n_tokens") < 50, "note")
-        .when(50 * _count(text, "<>|{}") >= F.octet_length(text), "markup")
-        .when(F.octet_length(text) < 80 * (_count(text, "\n") + 1), "list")
+        .when(50 * count_of(text, "<>|{}") >= F.octet_length(text), "markup")
+        .when(F.octet_length(text) < 80 * (count_of(text, "\n") + 1), "list")
         .when(F.col("n_tokens") >= 2000, "book")
         .otherwise("article")
     )
