@@ -6,6 +6,7 @@ import functools
 import os
 import re
 from collections.abc import Iterable
+from itertools import repeat
 
 import numpy as np
 
@@ -52,16 +53,18 @@ class Memory:
 
     def places(self, pieces: list[bytes]) -> np.ndarray:
         """The place of each piece in ``counts`` and ``starts``."""
-        found = list(map(self.place.get, pieces))
-        new = list({p for p, at in zip(pieces, found) if at is None})
-        if new and len(self.place) + len(new) > MEMORY and self.place:
+        found = np.fromiter(map(self.place.get, pieces, repeat(-1)), np.int64, len(pieces))
+        unknown = np.flatnonzero(found < 0)
+        if not len(unknown):
+            return found
+        new = list({pieces[i] for i in unknown.tolist()})
+        if len(self.place) + len(new) > MEMORY and self.place:
             self._clear()
             new = list(set(pieces))
-            found = [None] * len(pieces)
-        if new:
-            self._learn(new)
-            found = [self.place[p] if at is None else at for p, at in zip(pieces, found)]
-        return np.array(found, np.int64)
+            unknown = np.arange(len(pieces))
+        self._learn(new)
+        found[unknown] = [self.place[pieces[i]] for i in unknown.tolist()]
+        return found
 
     def _learn(self, new: list[bytes]) -> None:
         """Encode pieces in one go, the special token of the file between them.
