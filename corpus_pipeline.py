@@ -20,7 +20,7 @@ from tidemark.llm.store import stored, table
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules, fixed and adaptive."""
-    judged = quality_rules(docs, keep=docs.columns)
+    judged = quality_rules(docs, keep=docs.columns, tails=True)
     return judged.where("kept").select("doc.*")
 
 

@@ -1,6 +1,7 @@
 import re
 from collections import Counter
 
+import corpus_pipeline
 import duckdb
 import pytest
 
@@ -50,6 +51,32 @@ def test_outliers_of_a_group_go_and_clean_documents_stay(documents, prose):
     assert kept == set(range(300))
 
 
+def test_each_rule_of_the_pipeline_rejects_its_outliers(spark, documents, prose):
+    def lines(seed, copies):
+        rows = [prose(seed * 50 + k, 12) for k in range(20 - copies)]
+        return "\n".join(rows + [f"{rows[0]}"] * copies)
+
+    def repeating(seed, words):
+        part = prose(seed + 500, words)
+        return f"{prose(seed, 100)} {part} {prose(seed + 1, 100)} {part}"
+
+    clean = [lines(i, 0) for i in range(300)]
+    junk = {
+        "symbols": [re.sub(" ", "# ", lines(1000 + i, 0), count=60) for i in range(5)],
+        "shouts": [re.sub(" ", "! ", lines(1010 + i, 0), count=60) for i in range(5)],
+        "dup_lines": [lines(1020 + i, 5) for i in range(5)],
+        "repeats": [repeating(90_000 + 2 * i, 40) for i in range(5)],
+        "long words": [re.sub(" ", "", lines(1040 + i, 0), count=90) for i in range(5)],
+        "short words": [re.sub(r"(\w\w)(?=\w)", r"\1 ", lines(1050 + i, 0)) for i in range(5)],
+    }
+    texts = clean + [t for kind in junk.values() for t in kind]
+    assert not any(measured(t)[5] for t in texts)
+    kept = {r.doc_id: r.text for r in corpus_pipeline.quality_stage(spark, documents(texts), "").collect()}
+    left = {name: sum(t in kept.values() for t in kind) for name, kind in junk.items()}
+    assert left == dict.fromkeys(junk, 0)
+    assert set(kept) == set(range(300))
+
+
 def test_small_groups_take_the_fences_of_their_language(documents, prose):
     docs = documents([prose(i, 200) for i in range(250)])
     few = documents([(1000, prose(7, 200)), (1001, re.sub(" ", " $$$$ ", prose(8, 200)))], source=None)
