@@ -43,8 +43,11 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose tokens are mixed to the target weights, 80 % of all in expectation."""
-    sample = mixed_sample(docs, share=0.8, keep=tuple(docs.columns))
+    """A sample whose tokens are mixed to the target weights.
+
+    80 % of all in expectation, or the largest share at which all targets hold.
+    """
+    sample = mixed_sample(docs, share=0.8, keep=tuple(docs.columns), exact=True)
     return sample.where("sampled").select(*[F.col(f"doc.`{c}`") for c in docs.columns])
 
 

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from tidemark.llm import packing
-from tidemark.llm.mixing import mixed_sample, probabilities, raked
+from tidemark.llm.mixing import TARGETS, bounded, mixed_sample, probabilities, raked
 from tidemark.llm.packing import SIZES, best_fit_packing, cost, pack
 
 
@@ -52,6 +52,49 @@ def test_sample_follows_the_probabilities(documents, odd_texts, prose):
     assert mixed_sample(documents([])).count() == 0
 
 
+def test_bounded_sample_meets_its_targets_and_lowers_the_share_only_where_it_must(spark):
+    rng = random.Random(4)
+    cells = [
+        (s, k, t, rng.randint(100, 3000) * (30 if k == "en" else 1))
+        for s in "abcdefghij" for k in ("en", "de", None) for t in "xy" if rng.random() < 0.9
+    ]
+    rest = sum(n for s, _, _, n in cells if s != "a")
+    own = sum(n for s, _, _, n in cells if s == "a")
+    cells = [(s, k, t, n * rest // (2 * own) if s == "a" else n) for s, k, t, n in cells]  # a third of all
+    df = spark.createDataFrame(cells, "source string, lang string, topic string, tokens long")
+    total = sum(n for *_, n in cells)
+
+    def off(found):
+        size = sum(r.probability * r.tokens for r in found)
+        worst = 0.0
+        for d, exponent in TARGETS.items():
+            have, got = Counter(), Counter()
+            for r in found:
+                have[r[d]] += r.tokens
+                got[r[d]] += r.probability * r.tokens
+            weights = {v: n**exponent for v, n in have.items()}
+            worst = max([worst, *(abs(got[v] / size - w / sum(weights.values())) for v, w in weights.items())])
+        return worst, size / total
+
+    assert off(probabilities(raked(df, TARGETS), 0.8).collect())[0] > 0.02
+    found = bounded(df, TARGETS, 0.8).collect()
+    worst, share = off(found)
+    assert len(found) == len(cells) and all(0 <= r.probability <= 1 for r in found)
+    assert worst < 1e-3 and 0.1 < share < 0.8
+    # a little more cannot be had: some cell is full, and at less the share is kept
+    assert any(r.probability > 0.999 for r in found)
+    worst, less = off(bounded(df, TARGETS, share * 0.9).collect())
+    assert worst < 1e-3 and less == pytest.approx(share * 0.9, rel=1e-3)
+
+
+def test_bounded_sample_without_any_that_meets_its_targets(spark):
+    df = spark.createDataFrame([("a", "en", 10), ("b", "de", 10)], "source string, lang string, tokens long")
+    targets = {"source": {"a": 1.0, "b": 1.0}, "lang": {"en": 1.0}}
+    found = {r.source: r.probability for r in bounded(df, targets, 0.4).collect()}
+    assert found["a"] > 0 and found["b"] == 0
+    assert bounded(df.limit(0), targets, 0.4).count() == 0
+
+
 def test_packing_keeps_every_token_and_fits(documents, odd_texts, prose, monkeypatch):
     texts = [*odd_texts, *[prose(i, n) for i, n in enumerate([3, 500, 511, 512, 513, 900, 4095, 4096, 4097, 9000] * 4)]]
     pairs = [*enumerate(texts), (None, "a b"), (3, texts[3])]

@@ -4,13 +4,17 @@ Documents are added up to cells, one per source, language and topic. The cells'
 weights are raked: scaled to the target share of every source, then of every language, then
 of every topic, and again, until all three hold. A cell's calibrated factor, weight over
 tokens, is scaled so that the expected sample has the wanted share of all tokens, and no
-document more than probability one. Only Spark expressions are used.
+document more than probability one. Cells cut at one leave the sample off its targets;
+``bounded`` rakes with the bound inside instead, and lowers the share where no sample of that
+size can meet the targets. Documents are only touched by Spark expressions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -105,6 +109,91 @@ def probabilities(cells: DataFrame, share: float = SHARE) -> DataFrame:
     return cells.withColumn("probability", p)
 
 
+def _chances(
+    tokens: np.ndarray, codes: list[np.ndarray], wanted: list[np.ndarray], sweeps: int = 1000, near: float = 1e-4
+) -> tuple[np.ndarray, float]:
+    """Probabilities that give each value its ``wanted`` tokens, and the largest miss as a share of all.
+
+    A cell's probability is the product of one factor per dimension, at most one. Each factor
+    in turn is set to what its value needs, the cells it cuts included, until all hold.
+    """
+    factors = [np.ones(len(w)) for w in wanted]
+    total = wanted[0].sum()
+    miss = np.inf
+    for _ in range(sweeps):
+        for k, code in enumerate(codes):
+            rest = np.prod([f[c] for j, (f, c) in enumerate(zip(factors, codes)) if j != k], axis=0, initial=1.0)
+            rest = np.broadcast_to(rest, tokens.shape)
+            order = np.lexsort((-rest, code))
+            there, full, part = code[order], tokens[order], (tokens * rest)[order]
+            # Tokens before a cell among those of its value, and weights from it on.
+            starts = np.flatnonzero(np.append(True, there[1:] != there[:-1]))
+            sizes = np.diff(np.append(starts, len(there)))
+            before = np.cumsum(full) - full
+            before -= np.repeat(before[starts], sizes)
+            after = np.cumsum(part[::-1])[::-1]
+            after = after - np.repeat(np.append(after[starts[1:]], 0.0), sizes)
+            need = wanted[k][there] - before
+            factor = np.divide(need, after, out=np.zeros(len(need)), where=(after > 1e-300) & (need > 0))
+            factors[k][there[starts]] = np.clip(np.maximum.reduceat(factor, starts), 0.0, 1e12)
+        chance = np.minimum(1.0, np.prod([f[c] for f, c in zip(factors, codes)], axis=0))
+        got = [np.bincount(c, chance * tokens, len(w)) for c, w in zip(codes, wanted)]
+        miss = max(float(np.abs(g - w).max()) for g, w in zip(got, wanted)) / total
+        if miss <= near:
+            break
+    return chance, miss
+
+
+def bounded(cells: DataFrame, targets: Mapping[str, float | Mapping], share: float = SHARE) -> DataFrame:
+    """``cells`` with ``probability``: a sample that meets all targets, ``share`` of all tokens or less.
+
+    Where a value has fewer tokens than its target, or values only occur together, the share is
+    the largest at which the targets hold, to 2e-4 of the sample. Where they hold at no share, as
+    with a value found only beside one of target zero, cells are raked without the bound and cut.
+
+    One row per cell comes to the driver, and none per document.
+    """
+    dimensions = list(targets)
+    table = cells.select(*dimensions, "tokens").toArrow().combine_chunks()
+    if not table.num_rows:
+        return cells.withColumn("probability", F.lit(0.0))
+    tokens = table["tokens"].to_numpy().astype(np.float64)
+    codes, shares = [], []
+    for dimension in dimensions:
+        found = table[dimension].combine_chunks().dictionary_encode(null_encoding="encode")
+        codes.append(found.indices.to_numpy().astype(np.int64))
+        values, target = found.dictionary.to_pylist(), targets[dimension]
+        totals = np.bincount(codes[-1], tokens)
+        if isinstance(target, Mapping):
+            weight = np.array([float(target.get(v, 0.0)) for v in values])
+        else:
+            weight = totals ** float(target)
+        shares.append(weight / (weight.sum() or 1.0))
+
+    def at(size):
+        return _chances(tokens, codes, [s * size for s in shares])
+
+    # No more than a value has, whatever the others.
+    high = share * tokens.sum()
+    for code, part in zip(codes, shares):
+        have = np.bincount(code, tokens)
+        high = min(high, float((have[part > 0] / part[part > 0]).min(initial=np.inf)))
+    low, best = 0.0, None
+    if all(s.sum() > 0 for s in shares):
+        chance, miss = at(high)
+        best = chance if miss <= 2e-4 else None
+        for _ in range(0 if best is not None else 16):
+            size = (low + high) / 2
+            chance, miss = at(size)
+            if miss <= 2e-4:
+                low, best = size, chance
+            else:
+                high = size
+    if best is None:
+        return probabilities(raked(cells, targets), share).drop("weight", "factor")
+    return cells.sparkSession.createDataFrame(table.append_column("probability", pa.array(best)))
+
+
 def draw(seed: str = SEED) -> Column:
     """A number in [0, 1) that follows from ``doc_id`` alone."""
     name = F.concat(F.lit(seed), F.lit("/"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
@@ -120,12 +209,14 @@ def mixed_sample(
     share: float = SHARE,
     seed: str = SEED,
     keep: tuple[str, ...] = (),
+    exact: bool = False,
 ) -> DataFrame:
     """``(doc, source, lang, topic, n_tokens, probability, sampled)`` for every document.
 
     ``doc`` holds ``doc_id`` and the ``keep`` columns. Without ``topic`` the topic is ``genre()``.
     A document is sampled if its draw, fixed by ``doc_id`` and ``seed``, is below its
-    probability: rows with the same ``doc_id`` in one cell fare alike.
+    probability: rows with the same ``doc_id`` in one cell fare alike. ``exact`` puts the targets
+    before the share, see ``bounded``; otherwise cells cut at one leave the targets missed.
 
     Null source or language is a value of its own; null or empty text has one token. An empty
     table gives an empty result. A value whose target weight is zero is never sampled.
@@ -147,7 +238,7 @@ def mixed_sample(
         rows = stored(rows, "mix-rows")
     dimensions = list(targets)
     cells = stored(rows.groupBy(*dimensions).agg(F.sum("n_tokens").alias("tokens")), "mix-tokens")
-    chances = probabilities(raked(cells, targets, rounds), share)
+    chances = bounded(cells, targets, share) if exact else probabilities(raked(cells, targets, rounds), share)
     chances = chances.select(*[F.col(d).alias(f"cell_{d}") for d in dimensions], "probability")
     same = F.lit(True)
     for d in dimensions:
