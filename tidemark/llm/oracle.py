@@ -154,3 +154,60 @@ SELECT doc_id, rows.source, rows.lang, rows.topic, n_tokens,
          AS sampled
 FROM rows JOIN raked ON rows.source IS NOT DISTINCT FROM raked.source
  AND rows.lang IS NOT DISTINCT FROM raked.lang AND rows.topic = raked.topic, scaled"""
+
+ORACLE["op11_hard_negatives"] = """
+WITH sound AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS parts
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         CAST(list_inner_product(a.parts, b.parts) AS BIGINT) AS score
+  FROM sound a JOIN sound b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, other_id AS negative_id,
+       positive_score, score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same
+ AND 80 * positive_score <= 100 * score AND score <= positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)
+QUALIFY row_number() OVER w <= 5"""
+
+ORACLE["op13_fill_in_middle"] = """
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS h,
+         regexp_extract_all(coalesce(text, ''),
+           '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS units
+  FROM documents),
+drawn AS (
+  SELECT *, CAST(len(units) AS BIGINT) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1,
+         CAST('0x' || h[9:16] AS BIGINT) AS h2, CAST('0x' || h[17:24] AS BIGINT) AS h3,
+         CAST('0x' || h[25:32] AS BIGINT) AS h4
+  FROM units),
+formed AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                OR h3 % 100 >= 50 THEN 'plain'
+              WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn),
+parts AS (
+  SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+         array_to_string(units[b + 1:], '') AS suffix
+  FROM formed),
+outputs AS (
+  SELECT *, CASE form WHEN 'plain' THEN text
+              WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END AS output
+  FROM parts),
+restored AS (
+  SELECT *, split_part(output, '<M>', 1) AS head, split_part(output, '<M>', 2) AS tail FROM outputs)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars, sha256(output) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN output
+                WHEN 'psm' THEN substr(split_part(head, '<S>', 1), 4) || tail || split_part(head, '<S>', 2)
+                ELSE split_part(head, '<P>', 2) || tail || substr(split_part(head, '<P>', 1), 4) END)
+         AS restored_sha256
+FROM restored"""
