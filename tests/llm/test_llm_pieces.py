@@ -1,0 +1,77 @@
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tidemark.llm import pieces
+from tidemark.llm.pieces import FORMS, fill_in_middle, op13_fill_in_middle, restore_text
+
+UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+PARTS = [" ", "\n", "\t ", "a", "é", "中 b", "😀", "\x1c", "<P", ">", "<P>", "word", " the", " "]
+
+
+def brute(doc_id, text, seed=42, rate=50, spm=80):
+    text = text or ""
+    units = UNIT.findall(text)
+    n = len(units)
+    h = hashlib.sha256(f"{seed}:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(h[i : i + 8], 16) for i in (0, 8, 16, 24))
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h3 % 100 >= rate:
+        return n, "plain", None, None, text
+    a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+    prefix, middle, suffix = ("".join(u) for u in (units[:a], units[a:b], units[b:]))
+    if h4 % 100 < spm:
+        return n, "spm", len(prefix), len(middle), f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return n, "psm", len(prefix), len(middle), f"<P>{prefix}<S>{suffix}<M>{middle}"
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+@pytest.fixture
+def texts(odd_texts):
+    rng = random.Random(8)
+    made = ["".join(rng.choices(PARTS, k=rng.randint(0, 60))) for _ in range(400)]
+    return [*enumerate([*odd_texts, *made]), (None, "no id here"), (3, "once more"), (3, "once more"), (-7, "a b c d")]
+
+
+@pytest.mark.parametrize("rate,spm", [(50, 80), (100, 50), (0, 80)])
+def test_outputs_equal_brute_force_and_restore(documents, texts, rate, spm):
+    docs = documents(texts, extra=("n", "form", "output"))
+    filled = fill_in_middle(docs, rate=rate, spm=spm)
+    got = sorted(map(tuple, filled.collect()), key=repr)
+    wanted = sorted(((i, *brute(i, t, rate=rate, spm=spm)) for i, t in texts), key=repr)
+    assert got == wanted
+    back = sorted(((r.doc_id, r.text) for r in restore_text(filled).collect()), key=repr)
+    assert back == sorted(((i, t or "") for i, t in texts), key=repr)
+
+
+def test_query_gives_the_hashes_of_outputs_and_restored_texts(documents, texts, spark, tmp_path):
+    documents(texts).write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(map(tuple, op13_fill_in_middle(spark, str(tmp_path)).collect()), key=repr)
+    made = [(i, *brute(i, t)) for i, t in texts]
+    wanted = sorted(((*row[:5], sha(row[5]), sha(t or "")) for row, (_, t) in zip(made, texts)), key=repr)
+    assert got == wanted
+    assert {row[2] for row in got} == set(FORMS)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PARTS), max_size=20).map("".join), max_size=8))
+def test_blocks_of_texts_are_cut_like_single_ones(texts):
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.append(0, np.cumsum([len(t.encode()) for t in texts], dtype=np.int64))
+    n, form, cuts, table = pieces.cut_block(data, offsets, list(range(len(texts))), 42, 100, 50)
+    assert [b.decode() for b in table.first(3).texts()] == texts
+    outputs = table.permuted(pieces.ORDERS[form]).texts()
+    assert [o.decode() for o in outputs] == [brute(i, t, rate=100, spm=50)[4] for i, t in enumerate(texts)]
+    assert [b.decode() for b in pieces.restored_pieces(outputs, form).texts()] == texts
+    assert n.tolist() == [len(UNIT.findall(t)) for t in texts]
+
+
+def test_empty_table(documents):
+    assert fill_in_middle(documents([])).count() == 0

@@ -398,7 +398,7 @@ COMPARED = (
 )
 
 
-def edited_fingerprints(docs: DataFrame) -> DataFrame:
+def edited_fingerprints(docs: DataFrame, ranks: np.ndarray | None = None) -> DataFrame:
     """Every row's fingerprint beside those of its edited text and of the next document.
 
     In the edited text the last quarter of the code points gives way to the first as many of the
@@ -406,8 +406,8 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     ``beside_next``, texts those of ``fingerprints``: null is empty, two empty texts are alike (1.0),
     an empty one and another not at all (0.0). An empty table gives no rows.
     """
-    ranks = rarity_ranks(entropy_histogram(docs))
-    return beside_next(docs, lambda *rows: _compared(*rows, ranks), COMPARED)
+    known = rarity_ranks(entropy_histogram(docs)) if ranks is None else ranks
+    return beside_next(docs, lambda *rows: _compared(*rows, known), COMPARED)
 
 
 def op12_fingerprints(spark, sf_dir: str) -> DataFrame:
