@@ -362,14 +362,16 @@ def test_a_second_load_replaces_the_first_and_its_schema(spark, tmp_path):
 
 
 def test_csv_round_trip(spark, tmp_path):
-    df = spark.createDataFrame([(day("2020-01-01"), 1.5, "a,b"), (None, None, 'q"')],
+    df = spark.createDataFrame([(day("2020-01-01"), 1.5, "a,b"), (None, None, 'q"'), (None, 2.0, "")],
                                "d date, v double, t string")
     write_csv(df, str(tmp_path / "out"))
     back = read_csv(spark, str(tmp_path / "out"))
     assert {kind for _, kind in back.dtypes} == {"string"}
-    assert rows(back.drop(CORRUPT)) == [("2020-01-01", "1.5", "a,b"), (None, None, 'q"')]
+    kept = [("2020-01-01", "1.5", "a,b"), (None, "2.0", ""), (None, None, 'q"')]
+    assert rows(back.drop(CORRUPT)) == kept
     inferred = read_csv(spark, str(tmp_path / "out"), infer=True)
-    assert dict(inferred.dtypes) == {"d": "date", "v": "double", "t": "string"}
+    assert dict(inferred.dtypes) == {"d": "date", "v": "double", "t": "string", CORRUPT: "string"}
+    assert {r[0] for r in inferred.select(CORRUPT).collect()} == {None}
 
 
 def test_a_file_with_other_columns_is_refused(spark, tmp_path):

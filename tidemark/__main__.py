@@ -21,7 +21,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("csv", help="file or folder of CSV files with headers")
     parser.add_argument("--schema", default="commodity_prices")
     parser.add_argument("--catalog", help="a configured catalog; default: the session's")
-    parser.add_argument("--format", default="parquet", help="table format (parquet, delta, ...)")
+    parser.add_argument("--format", default="parquet", help="table format (parquet, orc, ...)")
     parser.add_argument("--location", help="folder for the schema and its tables")
     parser.add_argument("--source", help="recorded as the rows' source; default: each row's file")
     parser.add_argument("--by-year", action="store_true", help="store facts by year")
@@ -29,6 +29,9 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument(
         "--unnumbered", action="store_true", help="no places among Bronze's control columns"
     )
+    parser.add_argument(
+        "--across-lines", action="store_true", help="quoted values may hold line breaks"
+    )
     parser.add_argument("--infer", action="store_true", help="Bronze with types from the data")
     parser.add_argument(
         "--described", help="JSON file: dimension column -> {entity name: text of its row}"
@@ -51,6 +54,7 @@ def main(arguments: list[str] | None = None) -> None:
         location=chosen.location,
         numbered=not chosen.unnumbered,
         infer=chosen.infer,
+        across_lines=chosen.across_lines,
         described=described,
         partition_facts=chosen.by_year,
         buckets=chosen.buckets,

@@ -6,15 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import quoted, technical_names
-from tidemark.sources.readers import CORRUPT
-
-# Control columns of a load: file, start of the split, and row in the order of reading.
-FILE, BLOCK, ROW_ID = "_source_file", "_source_block", "_row_id"
+from tidemark.sources.readers import BLOCK, CORRUPT, FILE, ROW_ID
 
 
 def _renamed(df: DataFrame) -> dict[str, str]:
-    """Original -> technical name; the column of malformed lines keeps its own."""
-    names = technical_names(name for name in df.columns if name != CORRUPT)
+    """Original -> technical name; the reader's own columns keep theirs."""
+    own = (CORRUPT, FILE, BLOCK, ROW_ID)
+    names = technical_names(name for name in df.columns if name not in own)
     return {name: names.get(name, name) for name in df.columns}
 
 
@@ -59,12 +57,15 @@ def rename_audit(df: DataFrame, *, counted: bool = False) -> DataFrame:
 
 def stamp(df: DataFrame, source: str | None = None) -> DataFrame:
     """Add load time and source; without ``source`` the path of each row's file."""
-    origin = F.lit(source) if source is not None else F.col("_metadata.file_path")
+    path = F.col(FILE) if FILE in df.columns else F.col("_metadata.file_path")
+    origin = F.lit(source) if source is not None else path
     return df.withColumns({"_ingestion_timestamp": F.current_timestamp(), "_source": origin})
 
 
 def locate(df: DataFrame) -> DataFrame:
-    """Add each row's file and the start of its split. To be applied to a file scan."""
+    """Add each row's file and the start of its split, unless it has them. For a file scan."""
+    if FILE in df.columns:
+        return df
     return df.withColumns(
         {FILE: F.col("_metadata.file_path"), BLOCK: F.col("_metadata.file_block_start")}
     )
@@ -75,7 +76,10 @@ def number_rows(df: DataFrame, name: str = ROW_ID) -> DataFrame:
 
     By itself it says nothing about different splits: those are numbered in the order in
     which they are packed into tasks, which follows their sizes and the number of cores.
+    Rows that have one keep it.
     """
+    if name in df.columns:
+        return df
     return df.withColumn(name, F.monotonically_increasing_id())
 
 

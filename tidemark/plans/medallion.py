@@ -33,7 +33,7 @@ from tidemark.operators.summary import annual_stats
 from tidemark.plans.layout import COMMODITIES, Layout
 from tidemark.session import shared_folder
 from tidemark.sources.readers import CORRUPT, read_csv
-from tidemark.sources.sinks import ensure_schema, overwrite_table
+from tidemark.sources.sinks import ensure_schema, overwrite_table, replace_table
 
 
 def bronze(raw: DataFrame, source: str | None = None) -> DataFrame:
@@ -210,6 +210,7 @@ def run(
     buckets: int = 0,
     order_by: Sequence[Column] | None = None,
     infer: bool = False,
+    across_lines: bool = False,
     described: Mapping[str, Mapping] | None = None,
 ) -> Star:
     """Load a CSV file or folder and replace all tables of the layout.
@@ -226,30 +227,33 @@ def run(
     dimension. ``partition_facts`` stores the monthly and change
     facts by year, which suits a choice of years; ``buckets`` stores them by entity in that
     many files, so that change, volatility, outliers and growth read them without a shuffle.
-    ``location`` puts a new schema and its tables under a given folder.
+    ``location`` puts a new schema and its tables under a given folder, where every table is
+    replaced in one step (``replace_table``) unless it is bucketed. ``across_lines`` reads values
+    that hold line breaks.
     """
     qualified = ensure_schema(spark, schema, catalog, location)
 
-    def write(layer: str, df: DataFrame, **storage) -> DataFrame:
-        name = f"{qualified}.{quoted(layout.tables[layer])}"
-        path = None if location is None else f"{location}/{layout.tables[layer]}"
-        overwrite_table(df, name, fmt=fmt, path=path, **storage)
+    def put(table: str, df: DataFrame, **storage) -> DataFrame:
+        name = f"{qualified}.{quoted(table)}"
+        if location is None:
+            overwrite_table(df, name, fmt=fmt, **storage)
+        elif "bucket_by" in storage:
+            overwrite_table(df, name, fmt=fmt, path=f"{location}/{table}", **storage)
+        else:
+            replace_table(df, name, f"{location}/{table}", fmt=fmt, **storage)
         return spark.table(name)
 
+    def write(layer: str, df: DataFrame, **storage) -> DataFrame:
+        return put(layout.tables[layer], df, **storage)
+
     stored = {"partition_by": (layout.year,)} if partition_facts else {}
     if buckets:
         stored |= {"bucket_by": layout.entity, "buckets": buckets, "sort_by": layout.date}
-    scanned = read_csv(spark, csv_path, infer=infer)
+    scanned = read_csv(spark, csv_path, infer=infer, across_lines=across_lines)
     received = bronze(scanned, source)
     placed = number_rows(locate(received))
     raw = write("bronze", placed if numbered else received)
-    audit = f"{layout.tables['bronze']}_renamed"
-    overwrite_table(
-        rename_audit(scanned),
-        f"{qualified}.{quoted(audit)}",
-        fmt=fmt,
-        path=None if location is None else f"{location}/{audit}",
-    )
+    put(f"{layout.tables['bronze']}_renamed", rename_audit(scanned))
     shared_folder(spark)
     ordered = raw if numbered or order_by else placed
     profile = load_profile(ordered, layout, order_by).checkpoint()

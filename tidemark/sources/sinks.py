@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions.names import quoted
+from tidemark.sources.versions import VersionedTable
 
 
 def ensure_schema(
@@ -35,9 +36,9 @@ def overwrite_table(
     sort_by: str | None = None,
     path: str | None = None,
 ) -> None:
-    """Replace a table, its schema included.
+    """Replace a table, its schema included: the old one is dropped, then the new one written.
 
-    A partitioned table is written after a rebalance on the partition columns: partitions
+    ``replace_table`` does it in one step. A partitioned table is written after a rebalance on the partition columns: partitions
     get few files, and a large one is still written by several tasks. A bucketed one has
     one file per bucket; windows, groups and joins on the bucket column then read it
     without a shuffle.
@@ -49,8 +50,6 @@ def overwrite_table(
     if bucket_by:
         df = df.repartition(buckets, bucket_by)
     writer = df.write.format(fmt).mode("overwrite")
-    if fmt == "delta":
-        writer = writer.option("overwriteSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by:
@@ -62,9 +61,29 @@ def overwrite_table(
     writer.saveAsTable(name)
 
 
+def replace_table(
+    df: DataFrame, name: str, path: str, *, fmt: str = "parquet", partition_by: Sequence[str] = ()
+) -> VersionedTable:
+    """Replace the table under ``path``, and the view ``name`` over it, each in one step.
+
+    The data of the new version are written first. A job that breaks off before its commit leaves
+    table and view as they were; after it, repeating the job sets the view right. A table in the
+    way of the view's name is dropped from the catalog.
+    """
+    spark = df.sparkSession
+    table = VersionedTable(spark, path, fmt)
+    folder = table.replace(df, partition_by)
+    columns = ", ".join(f"CAST({quoted(f.name)} AS {f.dataType.simpleString()}) AS {quoted(f.name)}" for f in df.schema)
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {fmt}.`{folder}`")
+    return table
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    """A folder of CSV files with headers, one per task."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """A folder of CSV files with headers, one per task; white space around values is kept."""
+    as_is = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(header=True, **as_is).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
