@@ -20,7 +20,9 @@ def test_completeness_of_an_empty_table(spark):
 
 def test_uniqueness_counts_null_keys_as_one(spark):
     df = spark.createDataFrame([("a",), ("a",), ("a",), (None,), (None,), ("b",)], "k string")
-    assert rows(quality.uniqueness(df, ["k"])) == [("input", 6, 2, 3), ("output", 3, 0, 0)]
+    stages = {"input": df, "output": df.distinct(), "broken": df.where("k = 'a'")}
+    found = rows(quality.uniqueness(stages, ["k"]))
+    assert found == [("broken", 2, 1, 1), ("input", 6, 2, 3), ("output", 3, 0, 0)]
     assert rows(quality.uniqueness(df.limit(0), ["k"])) == [
         ("input", 0, 0, 0), ("output", 0, 0, 0)
     ]

@@ -177,3 +177,115 @@ def test_changes_are_rewritten_from_pruned_years(spark, tmp_path):
     windows = plan[plan.index("== Physical Plan =="):]
     assert "ano" in windows and "PartitionFilters: [isnotnull(ano" in windows
     assert {r.ano for r in refresh._altered_changes(facts, [2008]).collect()} == {2008, 2009}
+
+
+def approximately(found, wanted):
+    return [tuple(pytest.approx(v, rel=1e-9, abs=1e-9) if isinstance(v, float) else v for v in row) for row in wanted] == found
+
+
+@pytest.mark.parametrize("compacting", [False, True])
+def test_quality_and_correlation_follow_the_loads(spark, tmp_path, compacting):
+    from tidemark.operators import cleaning, quality, relation
+    from tidemark.operators.change import flag_outliers
+
+    lay = COMMODITIES
+    refresh = Refresh(lay, str(tmp_path), order(), fan_in=2)
+    seen = []
+    for number, load in enumerate(loads(3, 4)):
+        refresh.apply(frame(spark, load), number)
+        seen += load
+        if compacting:
+            refresh.compact(spark)
+    bronze = frame(spark, seen)
+    profile = medallion.load_profile(bronze, lay, order())
+    star = full_reload(spark, seen)
+    flagged = flag_outliers(star.change, entity=lay.entity, change=lay.change)
+    report = quality.quality_report(profile, flagged, date=lay.date, measures=lay.measures, output=star.silver)
+    assert approximately(rows(refresh.quality(spark)), rows(report))
+    funnel = cleaning.cleaning_funnel(profile, date=lay.date, measures=lay.measures)
+    assert rows(refresh.funnel(spark)) == rows(funnel)
+    matrix = relation.correlation_matrix(star.monthly, **lay.grain).where("n > 0")
+    assert approximately(rows(refresh.correlation(spark)), rows(matrix))
+    index = star.silver.select(lay.date, lay.benchmark)
+    related = relation.correlation_with_benchmark(star.monthly, index, **lay.grain)
+    assert approximately(rows(refresh.benchmark_correlation(spark)), rows(related))
+    for layer, found, wanted in tables(refresh, spark, star):
+        assert [r[:4] for r in found] == [r[:4] for r in wanted], layer
+
+
+def test_reports_read_no_bronze(spark, tmp_path):
+    refresh = Refresh(COMMODITIES, str(tmp_path), order())
+    for number, load in enumerate(loads(2, 2)):
+        refresh.apply(frame(spark, load), number)
+    bronze_table = COMMODITIES.tables["bronze"]
+    for report in (refresh.quality(spark), refresh.funnel(spark), refresh.correlation(spark)):
+        assert not any(bronze_table in file for file in report.inputFiles())
+    moments = refresh.correlation(spark).inputFiles()
+    assert moments and all("/moments/" in file for file in moments)
+
+
+def test_moments_of_a_load_come_from_its_own_dates(spark, tmp_path):
+    refresh = Refresh(COMMODITIES, str(tmp_path), order())
+
+    def line_of(date, value, seq):
+        return [date, *[str(value + k) for k in range(6)], str(seq)]
+
+    refresh.apply(frame(spark, [line_of("2020-01-01", 5, 0), line_of("2020-02-01", 7, 1)]), 0)
+    refresh.apply(frame(spark, [line_of("2020-02-01", 900, 2), line_of("2020-03-01", 6, 3)]), 1)
+    parts = spark.read.parquet(refresh.path("moments"))
+    assert {r.n for r in parts.where("_part LIKE '00000001-%'").collect()} == {1}
+    assert {r.n for r in refresh.correlation(spark).collect()} == {3}
+
+
+def test_merging_keeps_the_tables_and_bounds_the_files(spark, tmp_path):
+    refresh = Refresh(COMMODITIES, str(tmp_path), order(), fan_in=2)
+    seen = []
+    for number, load in enumerate(loads(8, 7)):
+        refresh.apply(frame(spark, load), number)
+        seen += load
+    before = {layer: rows(refresh.read(spark, layer)) for layer in ("silver", "monthly", "annual", "change")}
+    n_bronze = refresh.read(spark, "bronze").count()
+    assert refresh.compact(spark) == 4  # 7 parts: 1 + 2 + 4
+    assert refresh.compact(spark) == 0
+    for layer, found in before.items():
+        assert rows(refresh.read(spark, layer)) == found, layer
+    assert refresh.read(spark, "bronze").count() == n_bronze == len(seen)
+    refresh.discard_merged(spark)
+    folders = [p for p in (tmp_path / COMMODITIES.tables["bronze"]).iterdir() if p.name.startswith("_part=")]
+    assert len(folders) == 3
+    late = loads(8, 9)[8]
+    refresh.apply(frame(spark, late), 7)  # loads go on after a merge
+    for layer, found, wanted in tables(refresh, spark, full_reload(spark, seen + late)):
+        assert [r[:4] for r in found] == [r[:4] for r in wanted], layer
+
+
+def test_a_load_and_a_merge_side_by_side(spark, tmp_path, monkeypatch):
+    """A load commits between the writing of a merged part and its commit."""
+    from tidemark.sources.commits import CommitLog
+
+    refresh = Refresh(COMMODITIES, str(tmp_path), order(), fan_in=2)
+    data = loads(4, 3)
+    for number in range(2):
+        refresh.apply(frame(spark, data[number]), number)
+    change = CommitLog.change
+    arriving = [data[2]]
+
+    def interrupted(self, edit, tries=20):
+        if arriving:
+            load = arriving.pop()
+            refresh.apply(frame(spark, load), 2)
+        return change(self, edit, tries)
+
+    monkeypatch.setattr(CommitLog, "change", interrupted)
+    assert refresh.compact(spark) == 1
+    for layer, found, wanted in tables(refresh, spark, full_reload(spark, sum(data, []))):
+        assert [r[:4] for r in found] == [r[:4] for r in wanted], layer
+
+
+def test_loads_come_in_their_order(spark, tmp_path):
+    refresh = Refresh(COMMODITIES, str(tmp_path), order())
+    data = loads(4, 2)
+    refresh.apply(frame(spark, data[0]), 3)
+    with pytest.raises(ValueError, match="load 1 comes after load 3"):
+        refresh.apply(frame(spark, data[1]), 1)
+    assert refresh.read(spark, "bronze").count() == len(data[0])

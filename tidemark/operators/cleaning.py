@@ -127,6 +127,29 @@ def cleaning_profile(
     )
 
 
+def merged_profiles(
+    profiles: DataFrame,
+    *,
+    date: str,
+    measures: Sequence[str],
+    order_by: str,
+    keep_order: bool = False,
+) -> DataFrame:
+    """Profiles of several loads, a row per date and load, as the profile of all of them.
+
+    Counters add up; the first row of a date is that of its earliest load by ``order_by``, which
+    ``keep_order`` keeps. All is combined before it is shuffled.
+    """
+    counters = [name for name in profiles.columns if name == "n_rows" or name == MALFORMED or ":" in name]
+    values = F.struct(*[F.col(quoted(name)) for name in measures])
+    merged = profiles.groupBy(date).agg(
+        *[F.sum(F.col(quoted(name))).alias(name) for name in counters],
+        F.min_by(values, F.col(order_by)).alias("_first"),
+        *([F.min(order_by).alias(order_by)] if keep_order else []),
+    )
+    return merged.select("*", "_first.*").drop("_first")
+
+
 def survivors(profile: DataFrame, *, date: str, measures: Sequence[str]) -> DataFrame:
     """Silver rows ``(date, measures)`` of a cleaning profile."""
     kept = profile.where(F.col(date).isNotNull() & within_domain(list(measures)))

@@ -6,7 +6,8 @@ only uniqueness shuffles (its key counts), and it combines before it does.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -100,36 +101,22 @@ def consistency(profile: DataFrame, *, date: str, measures: Sequence[str]) -> Da
     return totals.withColumn("rows_discarded", F.col("rows_in") - F.col("rows_out"))
 
 
-def uniqueness(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``(stage, n_rows, duplicated_keys, surplus_rows)`` before and after keeping first rows.
+def uniqueness(stages: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFrame:
+    """``(stage, n_rows, duplicated_keys, surplus_rows)`` of each stage's table.
 
-    Rows without a key form one group, as they do in a deduplication. One aggregate by key
-    serves both stages: what is kept of a key is one row.
+    Rows without a key form one group, as they do in a deduplication. Every stage's own rows are
+    counted by key: an output is measured, not taken to be unique.
     """
-    sizes = df.groupBy(*keys).agg(_present_rows().alias("_size"))
-    totals = sizes.agg(
-        _total(F.col("_size")).alias("n_rows"),
-        _present_rows().alias("n_keys"),
-        F.count_if(F.col("_size") > 1).alias("duplicated_keys"),
-        _total(F.col("_size") - 1).alias("surplus_rows"),
-    )
-
-    def entry(stage: str, rows: Column, duplicated: Column, surplus: Column) -> Column:
-        return F.struct(
-            F.lit(stage).alias("stage"),
-            rows.alias("n_rows"),
-            duplicated.cast("bigint").alias("duplicated_keys"),
-            surplus.cast("bigint").alias("surplus_rows"),
+    counted = []
+    for stage, df in stages.items():
+        sizes = df.groupBy(*keys).agg(_present_rows().alias("_size"))
+        totals = sizes.agg(
+            _total(F.col("_size")).alias("n_rows"),
+            F.count_if(F.col("_size") > 1).alias("duplicated_keys"),
+            _total(F.col("_size") - 1).alias("surplus_rows"),
         )
-
-    none = F.lit(0)
-    return _rows(
-        totals,
-        [
-            entry("input", F.col("n_rows"), F.col("duplicated_keys"), F.col("surplus_rows")),
-            entry("output", F.col("n_keys"), none, none),
-        ],
-    )
+        counted.append(totals.select(F.lit(stage).alias("stage"), "*"))
+    return reduce(DataFrame.unionByName, counted)
 
 
 def accuracy(df: DataFrame, columns: Sequence[str], stage: str = "input") -> DataFrame:
@@ -154,13 +141,18 @@ def coverage(df: DataFrame, date: str = "date") -> DataFrame:
 
 
 def quality_report(
-    profile: DataFrame, outliers: DataFrame, *, date: str, measures: Sequence[str]
+    profile: DataFrame,
+    outliers: DataFrame,
+    *,
+    date: str,
+    measures: Sequence[str],
+    output: DataFrame | None = None,
 ) -> DataFrame:
     """All dimensions in one table: ``(dimension, stage, column, metric, value, day)``.
 
     ``profile`` is a cleaning profile: the five dimensions are totals over its rows, so
-    the raw input is read once. ``day`` holds the dates of the coverage, ``value`` all
-    other results.
+    the raw input is read once. ``output`` is the cleaned table as written, whose uniqueness is
+    counted on its own rows. ``day`` holds the dates of the coverage, ``value`` all other results.
     """
     kept = _kept(date, measures)
     inputs = [date, *measures]
@@ -226,6 +218,11 @@ def quality_report(
             entry("accuracy", "output", name, "negative", F.col(f"negative_out:{name}"))
         )
     flagged = outliers.agg(_present_rows().alias("n"))
-    return _rows(totals, entries).unionByName(
+    report = _rows(totals, entries).unionByName(
         _rows(flagged, [entry("outliers", "output", None, "beyond_sigmas", F.col("n"))])
     )
+    if output is None:
+        return report
+    unique = uniqueness({"output": output}, [date])
+    found = [entry("uniqueness", "output", date, name, F.col(name)) for name in ("duplicated_keys", "surplus_rows")]
+    return report.unionByName(_rows(unique, found))

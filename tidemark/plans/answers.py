@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.change import flag_outliers, growth, rebase
 from tidemark.operators.dimension import name_entities
+from tidemark.operators.projection import seasonal, trend
 from tidemark.operators.ranking import extremes, largest_first
 from tidemark.operators.relation import correlation_matrix, correlation_with_benchmark
 from tidemark.operators.summary import peak_period, volatility
@@ -126,3 +127,23 @@ def growth_over_period(star: Star) -> DataFrame:
     return name_entities(ends, star.dimension, lay.entity).select(
         lay.name, "first_value", "last_value", "growth_pct"
     )
+
+
+def projection(
+    star: Star, horizon: int = 6, grain: str = "month", names: Sequence[str] | None = None
+) -> DataFrame:
+    """What comes next: the chosen entities' trend, with its band, past the last observation."""
+    lay = star.layout
+    chosen = name_entities(star.monthly, star.dimension, lay.entity, _focus(star, names))
+    return trend(chosen, horizon=horizon, grain=grain, date=lay.date, entity=lay.name, value=lay.value)
+
+
+def seasonal_projection(
+    star: Star, horizon: int = 12, season: int = 12, grain: str = "month", names: Sequence[str] | None = None
+) -> DataFrame:
+    """What comes next if the chosen entities' last season is repeated."""
+    lay = star.layout
+    chosen = name_entities(star.monthly, star.dimension, lay.entity, _focus(star, names))
+    return seasonal(
+        chosen, horizon=horizon, season=season, grain=grain, date=lay.date, entity=lay.name, value=lay.value
+    )

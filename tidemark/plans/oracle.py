@@ -482,6 +482,8 @@ o AS (
          count(*) FILTER (WHERE price < 0) AS neg, min(day) AS lo, max(day) AS hi
   FROM silver),
 u AS (SELECT count(*) FILTER (WHERE n > 1) AS dup, sum(n - 1) AS surplus FROM sizes),
+uo AS (SELECT count(*) FILTER (WHERE n > 1) AS dup, sum(n - 1) AS surplus
+       FROM (SELECT day, count(*) AS n FROM silver GROUP BY day)),
 rows(dimension, stage, "column", metric, value, day) AS (
   SELECT 'completeness', 'input', 'raw_date', 'missing', CAST(d0 AS DOUBLE), NULL::DATE FROM i
   UNION ALL SELECT 'completeness', 'input', 'raw_date', 'unparseable', d1, NULL FROM i
@@ -498,6 +500,8 @@ rows(dimension, stage, "column", metric, value, day) AS (
   UNION ALL SELECT 'consistency', 'output', NULL, 'rows_discarded', i.n - o.n, NULL FROM i, o
   UNION ALL SELECT 'uniqueness', 'input', 'raw_date', 'duplicated_keys', dup, NULL FROM u
   UNION ALL SELECT 'uniqueness', 'input', 'raw_date', 'surplus_rows', surplus, NULL FROM u
+  UNION ALL SELECT 'uniqueness', 'output', 'raw_date', 'duplicated_keys', dup, NULL FROM uo
+  UNION ALL SELECT 'uniqueness', 'output', 'raw_date', 'surplus_rows', surplus, NULL FROM uo
   UNION ALL SELECT 'coverage', 'output', 'raw_date', 'first', NULL, lo FROM o
   UNION ALL SELECT 'coverage', 'output', 'raw_date', 'last', NULL, hi FROM o
   UNION ALL SELECT 'accuracy', 'input', 'raw_price', 'negative', neg, NULL FROM i
@@ -642,7 +646,18 @@ SELECT metric, entity, other, day, round(value, 4) AS value FROM report"""
 
 # --- Tables written by jobs -----------------------------------------------------------
 
-ORACLE["csv_text"] = ORACLE["normalise_names"]
+ORACLE["csv_text"] = ORACLE["normalise_names"].replace(
+    "\nFROM raw", ", CAST(NULL AS VARCHAR) AS _corrupt_record\nFROM raw"
+)
+
+ORACLE["csv_multiline"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS key,
+       CASE o_orderkey % 6
+         WHEN 0 THEN o_orderpriority || chr(10) || 'second "line", ' || o_orderstatus
+         WHEN 1 THEN '' WHEN 2 THEN NULL WHEN 3 THEN chr(10) || chr(10)
+         WHEN 4 THEN o_orderpriority || ', x' ELSE o_orderpriority END AS a_note,
+       CAST(NULL AS VARCHAR) AS _corrupt_record
+FROM orders"""
 
 ORACLE["csv_malformed"] = """
 WITH cells AS (
@@ -667,6 +682,10 @@ related AS (
   SELECT entity_name, {_corr('value', 'idx')} AS c
   FROM monthly LEFT JOIN (SELECT day, idx FROM silver) USING (day) JOIN dim USING (entity_id)
   GROUP BY entity_name),
+ranked AS (
+  SELECT *, row_number() OVER (ORDER BY change_pct DESC, day, entity_id) AS up,
+         row_number() OVER (ORDER BY change_pct, day, entity_id) AS down
+  FROM moves),
 swings AS (
   SELECT entity_name, stddev_samp(change_pct) AS sd
   FROM moves JOIN dim USING (entity_id) GROUP BY entity_name),
@@ -676,12 +695,11 @@ ends AS (
 SELECT
   (SELECT round(corr, 3) FROM named_pairs WHERE name_a = 'Extended price' AND name_b = 'Quantity')
     AS "correlation_Extended_price_Quantity",
-  (SELECT list(round(change_pct, 4) ORDER BY change_pct DESC, day, entity_name) FROM (
-     SELECT * FROM moves JOIN dim USING (entity_id) ORDER BY change_pct DESC, day, entity_id LIMIT 5))
-    AS rises,
-  (SELECT list(round(change_pct, 4) ORDER BY change_pct, day, entity_name) FROM (
-     SELECT * FROM moves JOIN dim USING (entity_id) ORDER BY change_pct, day, entity_id LIMIT 5))
-    AS falls,
+  {', '.join(f"""(SELECT {value} FROM ranked JOIN dim USING (entity_id) WHERE {order} = {place})
+                 AS "{side}_{place}_{name}" """
+             for side, order in (('rises', 'up'), ('falls', 'down')) for place in range(1, 6)
+             for name, value in (('day', 'day'), ('entity_name', 'entity_name'),
+                                 ('change_pct', 'round(change_pct, 4)')))},
   {', '.join(f"""(SELECT round(sd, 2) FROM swings WHERE entity_name = '{n}') AS "volatility_{n.replace(' ', '_')}" """
              for n in ('Quantity', 'Extended price', 'Tax'))},
   {', '.join(f"""(SELECT round({_clip('c')}, 3) FROM related WHERE entity_name = '{n}')
@@ -721,3 +739,222 @@ SELECT {_document_counts()},
 ORACLE["json_report"] = ORACLE["analysis_report"]
 ORACLE["job_change"] = ORACLE["gold_change"]
 ORACLE["refresh_change"] = ORACLE["gold_change"]
+
+# --- Projections ------------------------------------------------------------------------
+
+NUMBERED = """numbered AS (
+  SELECT *, CAST(year(date) * 12 + month(date) - 1 AS INTEGER) AS period FROM panel WHERE value IS NOT NULL)"""
+
+
+def _line(key: str, horizon: int, unit: str, rows: str, date: str = "date") -> str:
+    """The least-squares line of the CTE ``rows`` with period numbers ``period``."""
+    return f"""fit AS (
+  SELECT {key}, count(*) AS n, max({date}) AS last_date, max(period) AS last_at, avg(period) AS mean_at,
+         avg(value) AS mean, regr_sxx(value, period) AS sxx, regr_syy(value, period) AS syy,
+         regr_sxy(value, period) AS sxy
+  FROM {rows} GROUP BY {key}),
+sloped AS (SELECT *, sxy / nullif(sxx, 0) AS slope FROM fit),
+spread AS (
+  SELECT *, CASE WHEN n > 2 THEN sqrt(greatest(syy - slope * sxy, 0) / (n - 2)) END AS residual_sd
+  FROM sloped),
+ahead AS (
+  SELECT *, CAST(unnest(range(1, {horizon + 1})) AS INTEGER) AS step FROM spread),
+projected AS (
+  SELECT {key}, step, CAST(last_date + to_{unit}s(step) AS DATE) AS {date}, n, slope, residual_sd,
+         mean + slope * (last_at + step - mean_at) AS projected,
+         1.96 * residual_sd * sqrt(1 + 1.0 / n + pow(last_at + step - mean_at, 2) / nullif(sxx, 0)) AS margin
+  FROM ahead)"""
+
+
+ORACLE["projection_trend"] = f"""
+WITH {BRAND}, {NUMBERED}, {_line("entity_id", 6, "month", "numbered")}
+SELECT entity_id, step, date, n, round(slope, 4) AS slope, round(residual_sd, 4) AS residual_sd,
+       round(projected, 4) AS projected, round(projected - margin, 4) AS low,
+       round(projected + margin, 4) AS high
+FROM projected"""
+
+ORACLE["answer_projection"] = f"""
+WITH {SHIPMENTS},
+numbered AS (
+  SELECT day, entity_name, value, CAST(date_diff('day', DATE '1970-01-01', day) AS INTEGER) AS period
+  FROM monthly JOIN dim USING (entity_id) WHERE entity_name IN ('Quantity', 'Extended price')),
+{_line("entity_name", 5, "day", "numbered", "day")}
+SELECT entity_name, step, day, n, round(slope, 4) AS slope, round(residual_sd, 4) AS residual_sd,
+       round(projected, 4) AS projected, round(projected - margin, 4) AS low,
+       round(projected + margin, 4) AS high
+FROM projected"""
+
+ORACLE["seasonal_change"] = f"""
+WITH {CUSTOMER}, {NUMBERED}
+SELECT a.date, a.entity, a.value, b.value AS season_value,
+       round((a.value - b.value) / nullif(b.value, 0) * 100, 6) AS season_change_pct
+FROM numbered a LEFT JOIN numbered b ON a.entity = b.entity AND a.period = b.period + 12"""
+
+ORACLE["projection_seasonal"] = f"""
+WITH {BRAND}, {NUMBERED},
+drifts AS (
+  SELECT a.entity_id, avg(a.value - b.value) AS drift
+  FROM numbered a JOIN numbered b ON a.entity_id = b.entity_id AND a.period = b.period + 12 GROUP BY 1),
+lasts AS (SELECT entity_id, max(period) AS last_at FROM numbered GROUP BY 1),
+ahead AS (
+  SELECT entity_id, CAST(unnest(range(1, 19)) AS INTEGER) AS step, last_at FROM lasts)
+SELECT h.entity_id, step, CAST(date + to_months(12 * ((step + 11) // 12)) AS DATE) AS date,
+       date AS based_on, value AS projected,
+       round(value + ((step + 11) // 12) * coalesce(drift, 0), 4) AS projected_drift
+FROM ahead h JOIN numbered p ON p.entity_id = h.entity_id AND p.period = last_at + step - 12 * ((step + 11) // 12)
+LEFT JOIN drifts d ON d.entity_id = h.entity_id"""
+
+_TRIED = " UNION ALL ".join(
+    f"""SELECT o.entity_id, '{method}' AS method, {step} AS step, {projected} AS projected, f.value AS actual
+  FROM known o JOIN numbered f ON f.entity_id = o.entity_id AND f.period = o.period + {step} {joined}"""
+    for step in (1, 2, 3)
+    for method, projected, joined in (
+        ("trend", f"mean + slope * (o.period + {step} - mean_at)", ""),
+        ("seasonal", "s.value", f"JOIN numbered s ON s.entity_id = o.entity_id AND s.period = o.period + {step} - 12"),
+    )
+)
+ORACLE["projection_backtest"] = f"""
+WITH {BRAND}, {NUMBERED},
+known AS (
+  SELECT a.entity_id, a.period, count(*) AS n, avg(b.value) AS mean, avg(b.period) AS mean_at,
+         regr_slope(b.value, b.period) AS slope
+  FROM numbered a JOIN numbered b ON a.entity_id = b.entity_id AND b.period <= a.period
+  GROUP BY 1, 2 HAVING count(*) >= 24),
+tried AS ({_TRIED})
+SELECT entity_id, method, step, count(*) AS n, round(avg(abs(projected - actual)), 4) AS mae,
+       round(sqrt(avg(pow(projected - actual, 2))), 4) AS rmse,
+       round(avg(abs(projected - actual) / nullif(abs(actual), 0)) * 100, 4) AS mape,
+       round(avg(projected - actual), 4) AS bias
+FROM tried WHERE projected IS NOT NULL GROUP BY 1, 2, 3"""
+
+# --- Prices with volumes ------------------------------------------------------------------
+
+MATCHED = """prices AS (
+  SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS date, l_partkey AS entity,
+         CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE)
+           / nullif(CAST(sum(CAST(round(l_quantity * 100) AS BIGINT)) AS DOUBLE), 0) AS price
+  FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1, 2),
+volumes AS (
+  SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS date, l_partkey AS entity,
+         CAST(sum(CAST(round(l_quantity) AS BIGINT)) AS DOUBLE) AS volume
+  FROM lineitem WHERE l_returnflag <> 'R' GROUP BY 1, 2),
+matched AS (
+  SELECT coalesce(p.date, v.date) AS date, coalesce(p.entity, v.entity) AS entity, price, volume,
+         CASE WHEN price IS NULL THEN 'volume_only' WHEN volume IS NULL THEN 'price_only'
+              ELSE 'both' END AS side
+  FROM prices p FULL OUTER JOIN volumes v ON p.date = v.date AND p.entity = v.entity)"""
+
+_INDEX = """
+SELECT date, count(*) FILTER (WHERE side = 'both') AS n_entities,
+       sum(volume) FILTER (WHERE side = 'both') AS volume,
+       round(sum(price * volume) FILTER (WHERE side = 'both'), 2) AS turnover,
+       round(sum(price * volume) FILTER (WHERE side = 'both')
+             / nullif(sum(volume) FILTER (WHERE side = 'both'), 0), 6) AS unit_value,
+       round(sum(price * volume) FILTER (WHERE side = 'both' AND base IS NOT NULL)
+             / nullif(sum(base * volume) FILTER (WHERE side = 'both'), 0) * 100, 6) AS index_100,
+       round(sum(volume) FILTER (WHERE side = 'both') / nullif(sum(volume), 0) * 100, 6) AS matched_pct
+FROM based GROUP BY date"""
+
+ORACLE["price_volume"] = f"""
+WITH {MATCHED},
+based AS (SELECT m.*, p_retailprice AS base FROM matched m LEFT JOIN part ON p_partkey = entity)
+{_INDEX}"""
+
+ORACLE["price_volume_own_base"] = f"""
+WITH {MATCHED},
+firsts AS (SELECT entity, arg_min(price, date) AS base FROM matched WHERE side = 'both' GROUP BY 1),
+based AS (SELECT m.*, base FROM matched m LEFT JOIN firsts USING (entity))
+{_INDEX}"""
+
+ORACLE["price_volume_unmatched"] = f"""
+WITH {MATCHED},
+alls AS (SELECT date, sum(volume) AS every FROM matched GROUP BY 1)
+SELECT date, side, count(*) AS n_entities, sum(volume) AS volume,
+       round(sum(volume) / nullif(max(every), 0) * 100, 6) AS volume_pct
+FROM matched JOIN alls USING (date) WHERE side <> 'both' GROUP BY 1, 2"""
+
+# --- Loads and events that arrive -----------------------------------------------------------
+
+THREE_LOADS = SHIPMENTS.replace(
+    "ORDER BY l_orderkey,", "ORDER BY least((l_linenumber - 1) // 2, 2), l_orderkey,"
+).replace(
+    "tax, qty, price, tax_text,", "tax, ship_date, net, qty, price, tax_text,"
+)
+
+_TEXTS = {"idx": "net", "quantity": "qty", "extended_price": "price", "tax": "tax_text"}
+
+
+def _loads_report() -> str:
+    raw = {"day": "ship_date", **_TEXTS}
+    rows = [
+        ("consistency", "input", None, "rows", "(SELECT count(*) FROM typed)", None),
+        ("consistency", "output", None, "rows", "(SELECT count(*) FROM silver)", None),
+        ("consistency", "output", None, "rows_discarded",
+         "(SELECT count(*) FROM typed) - (SELECT count(*) FROM silver)", None),
+        ("coverage", "output", "day", "first", None, "(SELECT min(day) FROM silver)"),
+        ("coverage", "output", "day", "last", None, "(SELECT max(day) FROM silver)"),
+        ("outliers", "output", None, "beyond_sigmas", "(SELECT count(*) FROM flagged)", None),
+    ]
+    for stage, table in (("input", "typed"), ("output", "silver")):
+        sizes = f"(SELECT count(*) AS n FROM {table} GROUP BY day)"
+        rows += [
+            ("uniqueness", stage, "day", "duplicated_keys", f"(SELECT count(*) FROM {sizes} WHERE n > 1)", None),
+            ("uniqueness", stage, "day", "surplus_rows", f"(SELECT sum(n - 1) FROM {sizes})", None),
+        ]
+    for name, text in raw.items():
+        gone = f"(SELECT count(*) FROM silver WHERE {name} IS NULL)"
+        rows += [
+            ("completeness", "input", name, "missing", f"(SELECT count(*) FROM typed WHERE {text} IS NULL)", None),
+            ("completeness", "input", name, "unparseable",
+             f"(SELECT count(*) FROM typed WHERE {text} IS NOT NULL AND {name} IS NULL)", None),
+            ("completeness", "output", name, "missing", gone, None),
+            ("completeness", "output", name, "missing_pct",
+             f"CAST({gone} AS DOUBLE) / nullif((SELECT count(*) FROM silver), 0) * 100", None),
+        ]
+        if name != "day":
+            rows += [
+                ("accuracy", stage, name, "negative", f"(SELECT count(*) FROM {table} WHERE {name} < 0)", None)
+                for stage, table in (("input", "typed"), ("output", "silver"))
+            ]
+    return " UNION ALL ".join(
+        f"""SELECT '{dimension}' AS dimension, '{stage}' AS stage,
+       CAST({f"'{column}'" if column else "NULL"} AS VARCHAR) AS "column", '{metric}' AS metric,
+       round(CAST({value or "NULL"} AS DOUBLE), 4) AS value, CAST({day or "NULL"} AS DATE) AS day"""
+        for dimension, stage, column, metric, value, day in rows
+    )
+
+
+ORACLE["refresh_quality"] = f"""
+WITH {THREE_LOADS},
+scored AS (
+  SELECT *, avg(change_pct) OVER (PARTITION BY entity_id) AS m,
+         stddev_samp(change_pct) OVER (PARTITION BY entity_id) AS s
+  FROM moves),
+flagged AS (SELECT * FROM scored WHERE s > 0 AND abs(change_pct - m) > 3 * s)
+{_loads_report()}"""
+
+ORACLE["refresh_correlation"] = f"""
+WITH {THREE_LOADS},
+series AS (
+  SELECT day, entity_id, value FROM monthly
+  UNION ALL SELECT day, -1, idx FROM silver WHERE idx IS NOT NULL),
+pairs AS (
+  SELECT a.entity_id AS entity_a, b.entity_id AS entity_b, {_corr('a.value', 'b.value')} AS c, count(*) AS n
+  FROM series a JOIN series b USING (day) WHERE a.entity_id <> -1 GROUP BY 1, 2)
+SELECT entity_a, entity_b, round({_clip('c')}, 9) AS corr, n FROM pairs"""
+
+ORACLE["event_windows"] = """
+WITH arrived AS (
+  SELECT CAST(ts AS DATE) AS day, event_type AS kind, ts, CAST(round(value * 100) AS BIGINT) AS units,
+         CASE WHEN event_id % 50 = 0 THEN 2 WHEN day(ts) BETWEEN 11 AND 20 THEN 0
+              WHEN day(ts) <= 10 THEN 1 ELSE 2 END AS turn
+  FROM events WHERE ts IS NOT NULL AND event_type IS NOT NULL),
+turns AS (SELECT turn, max(ts) AS latest FROM arrived GROUP BY turn),
+marks AS (
+  SELECT turn, max(latest) OVER (ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+               - INTERVAL 1 DAY AS watermark
+  FROM turns)
+SELECT day, kind, count(*) AS n, CAST(sum(units) AS DOUBLE) / 100 AS total,
+       count(*) FILTER (WHERE day + INTERVAL 1 DAY <= watermark) AS n_late,
+       day + INTERVAL 1 DAY <= (SELECT max(watermark) FROM marks) AS is_closed
+FROM arrived JOIN marks USING (turn) GROUP BY day, kind"""

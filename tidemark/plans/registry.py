@@ -16,6 +16,8 @@ from tidemark.operators import (
     conform,
     dimension,
     ingest,
+    pricevolume,
+    projection,
     quality,
     ranking,
     relation,
@@ -29,6 +31,7 @@ from tidemark.plans.testbed import (
     benchmark_price,
     dirty_orders,
     fact_priority,
+    list_price_part,
     panel_brand,
     panel_customer,
     panel_event,
@@ -38,11 +41,14 @@ from tidemark.plans.testbed import (
     raw_shipments,
     shipment_order,
     table,
+    unit_price_part,
+    volume_part,
     wide_priority,
 )
 from tidemark.session import discard, scratch_path, shared_folder
-from tidemark.sources.readers import CORRUPT, read_csv
+from tidemark.sources.readers import BLOCK, FILE, ROW_ID, read_csv
 from tidemark.sources.sinks import write_csv, write_json
+from tidemark.streaming.events import EventWindows
 from tidemark.streaming.refresh import Refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -338,6 +344,51 @@ def correlation_benchmark(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(related, 6, "corr")
 
 
+@_query
+def seasonal_change(spark: SparkSession, folder: str) -> DataFrame:
+    compared = projection.seasonal_change(panel_customer(spark, folder))
+    return _rounded(compared, 6, "season_change_pct")
+
+
+@_query
+def projection_trend(spark: SparkSession, folder: str) -> DataFrame:
+    lines = projection.trend(panel_brand(spark, folder), entity="entity_id")
+    return _rounded(lines, 4, "slope", "residual_sd", "projected", "low", "high")
+
+
+@_query
+def projection_seasonal(spark: SparkSession, folder: str) -> DataFrame:
+    repeated = projection.seasonal(panel_brand(spark, folder), horizon=18, entity="entity_id")
+    return _rounded(repeated, 4, "projected_drift")
+
+
+@_query
+def projection_backtest(spark: SparkSession, folder: str) -> DataFrame:
+    tested = projection.backtest(panel_brand(spark, folder), entity="entity_id", horizon=3, least=24)
+    return _rounded(tested, 4, "mae", "rmse", "mape", "bias")
+
+
+def _part_volumes(spark: SparkSession, folder: str) -> DataFrame:
+    return pricevolume.match_volumes(unit_price_part(spark, folder), volume_part(spark, folder))
+
+
+@_query
+def price_volume(spark: SparkSession, folder: str) -> DataFrame:
+    index = pricevolume.weighted_index(_part_volumes(spark, folder), list_price_part(spark, folder))
+    return _rounded(_rounded(index, 2, "turnover"), 6, "unit_value", "index_100", "matched_pct")
+
+
+@_query
+def price_volume_own_base(spark: SparkSession, folder: str) -> DataFrame:
+    index = pricevolume.weighted_index(_part_volumes(spark, folder))
+    return _rounded(_rounded(index, 2, "turnover"), 6, "unit_value", "index_100", "matched_pct")
+
+
+@_query
+def price_volume_unmatched(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(pricevolume.unmatched(_part_volumes(spark, folder)), 6, "volume_pct")
+
+
 # --- Quality --------------------------------------------------------------------------
 
 
@@ -362,7 +413,11 @@ def quality_consistency(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def quality_uniqueness(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.uniqueness(table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])
+    # The output is counted as it was written, not as the deduplication promises it.
+    path = scratch_path(spark, "first-lines")
+    dedup_keep_first(spark, folder).write.parquet(path)
+    stages = {"input": table(spark, folder, "lineitem"), "output": spark.read.parquet(path)}
+    return _done(quality.uniqueness(stages, ["l_orderkey", "l_linenumber"]), path)
 
 
 @_query
@@ -390,10 +445,12 @@ def quality_report(spark: SparkSession, folder: str) -> DataFrame:
     # kept, so that the raw rows behind it are read once.
     shared_folder(spark)
     profile = _order_profile(spark, folder).checkpoint()
-    kept = cleaning.survivors(profile, date="raw_date", measures=["raw_price"])
+    kept = cleaning.survivors(profile, date="raw_date", measures=["raw_price"]).checkpoint()
     long = reshape.unpivot_long(kept, ids=["raw_date"], measures={"raw_price": "price"})
     flagged = change.outliers(long, date="raw_date")
-    report = quality.quality_report(profile, flagged, date="raw_date", measures=["raw_price"])
+    report = quality.quality_report(
+        profile, flagged, date="raw_date", measures=["raw_price"], output=kept
+    )
     return _rounded(report, 4, "value")
 
 
@@ -465,6 +522,12 @@ def answer_rebased(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(answers.rebased(_shipments(spark, folder)), 6, "index_100")
 
 
+@_query
+def answer_projection(spark: SparkSession, folder: str) -> DataFrame:
+    ahead = answers.projection(_shipments(spark, folder), horizon=5, grain="day")
+    return _rounded(ahead, 4, "slope", "residual_sd", "projected", "low", "high")
+
+
 @_query
 def load_funnel(spark: SparkSession, folder: str) -> DataFrame:
     bronze = medallion.bronze(raw_shipments(spark, folder), "lineitem")
@@ -492,8 +555,13 @@ def _plain(document: DataFrame) -> DataFrame:
 
 def _numbers(document: DataFrame) -> list:
     """The document's nested fields as columns that any engine can compare."""
+    lay = SHIPMENTS
     moves = [
-        F.transform(side, lambda m: F.round(m["change_pct"], 4)).alias(side) for side in ("rises", "falls")
+        (F.round(value, 4) if name == lay.change else value).alias(f"{side}:{place + 1}:{name}")
+        for side in ("rises", "falls")
+        for place in range(5)
+        for name in (lay.date, lay.name, lay.change)
+        for value in [F.get(F.col(side), F.lit(place))[name]]
     ]
     names = [f"{what}:{name}" for what in ("benchmark", "growth") for name in SHIPMENTS.focus]
     swings = [
@@ -529,7 +597,7 @@ def analysis_report(spark: SparkSession, folder: str) -> DataFrame:
 def csv_text(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "csv")
     write_csv(raw_shipments(spark, folder), path)
-    return _done(ingest.rename_to_technical(read_csv(spark, path)), path).drop(CORRUPT)
+    return _done(ingest.rename_to_technical(read_csv(spark, path)), path)
 
 
 def _done(result: DataFrame, path: str, schema: str | None = None) -> DataFrame:
@@ -542,6 +610,30 @@ def _done(result: DataFrame, path: str, schema: str | None = None) -> DataFrame:
     return kept
 
 
+@_query
+def csv_multiline(spark: SparkSession, folder: str) -> DataFrame:
+    # One file, of which every task reads a piece; values hold line breaks, quotes and nothing.
+    path = scratch_path(spark, "multiline")
+    kind, priority = F.col("o_orderkey") % 6, F.col("o_orderpriority")
+    note = (
+        F.when(kind == 0, F.concat(priority, F.lit('\nsecond "line", '), F.col("o_orderstatus")))
+        .when(kind == 1, F.lit(""))
+        .when(kind == 2, F.lit(None).cast("string"))
+        .when(kind == 3, F.lit("\n\n"))
+        .when(kind == 4, F.concat(priority, F.lit(", x")))
+        .otherwise(priority)
+    )
+    orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("key"), note.alias("a note"))
+    write_csv(orders, path)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        read = read_csv(spark, path, across_lines=True).drop(FILE, BLOCK, ROW_ID)
+        return _done(ingest.rename_to_technical(read), path)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
 @_query
 def csv_malformed(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "malformed")
@@ -609,3 +701,44 @@ def refresh_change(spark: SparkSession, folder: str) -> DataFrame:
         write_csv(rows, f"{path}/raw/part={part}")
         refresh.stream(spark, f"{path}/raw/*", raw.columns).awaitTermination()
     return _rounded(_done(refresh.read(spark, "change"), path), 6, "change_pct")
+
+
+def _three_loads(spark: SparkSession, folder: str, path: str) -> Refresh:
+    """All shipments in three loads that share most dates, merged while they arrive."""
+    bronze = medallion.bronze(raw_shipments(spark, folder), "lineitem")
+    turn = F.least(F.floor((F.col("Line_Number").cast("int") - 1) / 2), F.lit(2))
+    refresh = Refresh(SHIPMENTS, path, shipment_order(), fan_in=2)
+    for number in range(3):
+        refresh.apply(bronze.where(turn == number), number)
+        refresh.compact(spark)
+    return refresh
+
+
+@_query
+def refresh_quality(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "refresh")
+    report = _three_loads(spark, folder, path).quality(spark)
+    return _rounded(_done(report, path), 4, "value")
+
+
+@_query
+def refresh_correlation(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "refresh")
+    refresh = _three_loads(spark, folder, path)
+    benchmark = refresh.benchmark_correlation(spark).withColumn("entity_b", F.lit(-1))
+    pairs = benchmark.select(F.col("entity_id").alias("entity_a"), "entity_b", "corr", "n")
+    return _rounded(_done(refresh.correlation(spark).unionByName(pairs), path), 9, "corr")
+
+
+@_query
+def event_windows(spark: SparkSession, folder: str) -> DataFrame:
+    # Three arrivals out of order; each starts the stream anew from its checkpoint.
+    path = scratch_path(spark, "events")
+    events = table(spark, folder, "events")
+    day, straggler = F.dayofmonth("ts"), F.col("event_id") % 50 == 0
+    turn = F.when(straggler, 2).when(day.between(11, 20), 0).when(day <= 10, 1).otherwise(2)
+    windows = EventWindows(f"{path}/kept", salts=4)
+    for number in range(3):
+        events.where(turn == number).write.mode("append").parquet(f"{path}/arriving")
+        windows.stream(spark, f"{path}/arriving", events.schema).awaitTermination()
+    return _done(windows.read(spark), path)

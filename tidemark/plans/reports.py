@@ -40,10 +40,10 @@ def analysis_report(star: Star, k: int = 5) -> DataFrame:
 
 
 def quality_of_load(profile: DataFrame, star: Star) -> DataFrame:
-    """The quality report of a load, from its profile and the outliers of Gold."""
+    """The quality report of a load: its profile, the Silver table and the outliers of Gold."""
     lay = star.layout
     flagged = flag_outliers(star.change, entity=lay.entity, change=lay.change)
-    return quality_report(profile, flagged, date=lay.date, measures=lay.measures)
+    return quality_report(profile, flagged, date=lay.date, measures=lay.measures, output=star.silver)
 
 
 def analysis_document(report: DataFrame, layout: Layout) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.pricevolume import unit_prices
 from tidemark.operators.reshape import panel_sums, roll_up, to_panel
 from tidemark.plans.layout import Layout
 
@@ -85,23 +86,54 @@ def benchmark_price(spark: SparkSession, folder: str) -> DataFrame:
 def panel_brand(spark: SparkSession, folder: str) -> DataFrame:
     """Mean line price by month and brand; the brand's number is the entity key.
 
-    Lines are summed by part and month before they meet `part`, so a part with very many
-    lines is one row per month and task there. The join carries no hint: `part` grows with
-    the data, so Spark's size check has to decide.
+    Lines meet `part` as they are read and are then combined by month and brand, of which there
+    are few: hardly anything is shuffled where `part` is broadcast. The join carries no hint, as
+    `part` grows with the data: Spark's size check has to decide, and beyond it a part with
+    very many lines is split while the join runs.
     """
-    sums = panel_sums(
-        table(spark, folder, "lineitem"),
+    lines = table(spark, folder, "lineitem").select("l_partkey", "l_shipdate", "l_extendedprice")
+    brands = table(spark, folder, "part").select(
+        "p_partkey", F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int").alias("brand")
+    )
+    panel = to_panel(
+        lines.join(brands, F.col("l_partkey") == F.col("p_partkey")),
         date=F.col("l_shipdate"),
-        entity=F.col("l_partkey"),
+        entity=F.col("brand"),
         value=F.col("l_extendedprice"),
         decimals=2,
     )
-    brands = table(spark, folder, "part").select(
-        F.col("p_partkey").alias("entity"),
-        F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int").alias("entity_id"),
+    return panel.withColumnRenamed("entity", "entity_id")
+
+
+def unit_price_part(spark: SparkSession, folder: str) -> DataFrame:
+    """What a unit of each part cost by month, in the lines that are fulfilled."""
+    lines = table(spark, folder, "lineitem").where("l_linestatus = 'F'")
+    return unit_prices(
+        lines,
+        date=F.col("l_shipdate"),
+        entity=F.col("l_partkey"),
+        amount=F.col("l_extendedprice"),
+        quantity=F.col("l_quantity"),
+    )
+
+
+def volume_part(spark: SparkSession, folder: str) -> DataFrame:
+    """Units of each part that were shipped and not returned, by month."""
+    lines = table(spark, folder, "lineitem").where("l_returnflag <> 'R'")
+    panel = to_panel(
+        lines,
+        date=F.col("l_shipdate"),
+        entity=F.col("l_partkey"),
+        value=F.col("l_quantity"),
+        how="sum",
+        decimals=0,
     )
-    named = sums.join(brands, "entity").where("entity_id IS NOT NULL")
-    return roll_up(named, ["date", "entity_id"], decimals=2)
+    return panel.withColumnRenamed("value", "volume")
+
+
+def list_price_part(spark: SparkSession, folder: str) -> DataFrame:
+    """The list price of each part."""
+    return table(spark, folder, "part").select(F.col("p_partkey").alias("entity"), F.col("p_retailprice").alias("base"))
 
 
 def panel_year(spark: SparkSession, folder: str) -> DataFrame:
