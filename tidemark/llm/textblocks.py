@@ -66,8 +66,9 @@ def blocks(
             first = last
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The 64-bit hash of every word, and the first word of every document (one more at the end).
+def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The 64-bit hash, start and length of every word, and the first word of every document (one
+    more at the end).
 
     Words are runs of bytes other than white space (9-13, 32); none crosses a document.
     """
@@ -79,14 +80,20 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     starts = np.flatnonzero(opens)
     bounds = np.searchsorted(starts, offsets)
     if len(starts) == 0:
-        return np.zeros(0, np.uint64), bounds
+        return np.zeros(0, np.uint64), starts, starts, bounds
     packed = data[inside]
     first = np.flatnonzero(opens[inside])
     lengths = np.diff(np.append(first, len(packed)))
     place = np.arange(len(packed)) - np.repeat(first, lengths)
     powers = np.multiply.accumulate(np.full(int(lengths.max()), MULTIPLIER, np.uint64))
     sums = np.add.reduceat(BYTE_CODES[packed] * powers[place], first)
-    return mixed(sums + lengths.astype(np.uint64)), bounds
+    return mixed(sums + lengths.astype(np.uint64)), starts, lengths, bounds
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every word, and the first word of every document, see ``word_spans``."""
+    hashes, _, _, bounds = word_spans(data, offsets)
+    return hashes, bounds
 
 
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:

@@ -9,6 +9,9 @@ from collections.abc import Iterable
 from itertools import repeat
 
 import numpy as np
+import pandas as pd
+
+from tidemark.llm.textblocks import LOWER, word_spans
 
 # White space that a tokenizer's ``\s`` may or may not count, outside [\x20\x09-\x0D].
 ODD_SPACE = [
@@ -108,6 +111,30 @@ def memory(path: str) -> Memory:
     return Memory(path)
 
 
+def word_ids(known: Memory, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of a block of texts, and where those of each text begin (one more at the end).
+
+    For a tokenizer that drops white space and ignores case: every word is encoded by itself, and
+    each different word of the block (told apart by 64-bit hashes) is looked up once. Texts that may
+    hold a special string keep their case, as such strings do not ignore it.
+    """
+    lowered = LOWER[data]
+    whole = data.tobytes()
+    if b"<|" in whole:
+        for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+            if b"<|" in whole[a:b]:
+                lowered[a:b] = data[a:b]
+    hashes, starts, lengths, bounds = word_spans(lowered, offsets)
+    codes, different = pd.factorize(hashes)
+    first = np.empty(len(different), np.int64)
+    first[codes[::-1]] = np.arange(len(codes))[::-1]
+    whole = lowered.tobytes()
+    words = [whole[a : a + n] for a, n in zip(starts[first].tolist(), lengths[first].tolist())]
+    places = known.places(words)[codes]
+    edges = np.append(0, np.cumsum(known.counts[places]))[bounds]
+    return known.ids(places), edges
+
+
 def has_odd_space(text: bytes) -> bool:
     """Whether any of ``ODD_SPACE`` occurs."""
     return any(space in text for space in ODD_SPACE)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.store import arrow_map, partitions, table
 from tidemark.llm.textblocks import blocks
-from tidemark.llm.tokens import memory
+from tidemark.llm.tokens import memory, word_ids
 from tidemark.session import scratch_path
 
 END_ID = 1
@@ -34,19 +34,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Record
     part = TaskContext.get().partitionId()
     before = 0
     for rows, data, offsets in blocks(batches):
-        whole = data.tobytes()
-        words: list[bytes] = []
-        lengths = []
-        for a, b in zip(offsets[:-1], offsets[1:]):
-            text = whole[a:b]
-            # The tokenizer drops white space and ignores case; special strings do not.
-            found = text.split() if b"<|" in text else text.lower().split()
-            lengths.append(len(found))
-            words += found
-        places = known.places(words)
-        ids = known.ids(places)
-        ends = np.append(0, np.cumsum(known.counts[places]))
-        edges = ends[np.append(0, np.cumsum(lengths, dtype=np.int64))]
+        ids, edges = word_ids(known, data, offsets)
         counts = np.diff(edges) + 1
         bounds = np.append(0, np.cumsum(counts))
         full = np.full(bounds[-1], END_ID, np.int32)
