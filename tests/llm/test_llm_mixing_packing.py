@@ -120,6 +120,39 @@ def test_packing_keeps_every_token_and_fits(documents, odd_texts, prose, monkeyp
     assert best_fit_packing(documents([])).count() == 0
 
 
+def test_hot_ids_and_rows_without_one_are_dealt_over_shards(documents):
+    pairs = [(None, f"a b c {i}") for i in range(600)] + [(7, "the same")] * 600
+    packed = best_fit_packing(documents(pairs), run=100).collect()
+    for doc in (None, 7):
+        assert len({r.shard for r in packed if r.doc_id == doc}) == 12
+        assert sum(r.n_tokens for r in packed if r.doc_id == doc) == (600 * 5 if doc is None else 600 * 3)
+
+
+def test_sequences_hold_their_subword_ids(spark, documents, odd_texts, prose, tmp_path):
+    import public_tokenizers
+
+    from tidemark.llm.tokens import tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = [*odd_texts, *[prose(i, 40 * i) for i in range(1, 60)]]
+    documents(texts).write.parquet(str(tmp_path / "documents.parquet"))
+    packed = packing.op8_best_fit_packing(spark, str(tmp_path)).collect()
+    got, bins = Counter(), defaultdict(int)
+    for row in packed:
+        got[row.doc_id] += row.n_tokens
+        bins[row.shard, row.run, row.bin, row.bin_size] += row.n_tokens
+    assert got == {i: len(tokenizer(path).encode(t or "", add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
+    assert all(used <= size for (*_, size), used in bins.items())
+
+
+def test_rows_without_an_id_are_drawn_each(documents):
+    rows = mixed_sample(documents([(None, f"w {i % 3}") for i in range(600)], extra=("ticket", "probability")), share=0.5).collect()
+    drawn = sum(r.sampled for r in rows)
+    assert 200 < drawn < 400
+    again = mixed_sample(documents([(5, "w w")] * 50 + [(6, "w w")] * 50), share=0.5).collect()
+    assert all(len({r.sampled for r in again if r.doc.doc_id == i}) == 1 for i in (5, 6))
+
+
 def slow_best_fit(lengths, opened):
     """Contents of the bins; of equally full ones the last to be filled goes first."""
     rooms, filled, touched = [], [], []

@@ -3,10 +3,11 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import ngramjoin
 from tidemark.llm.components import components
-from tidemark.llm.ngramjoin import ngram_join, overlap
+from tidemark.llm.ngramjoin import drop_near_duplicates, ngram_join, overlap
 
 
 def grams(text, size):
@@ -94,3 +95,16 @@ def test_components_of_paths_stars_and_cycles(spark):
 
 def test_empty_table(documents):
     assert ngram_join(documents([])).count() == 0
+
+
+def test_first_of_near_duplicates_with_columns_of_any_name(spark, documents, prose):
+    text, other = prose(1, 80), prose(2, 80)
+    rows = [(1, text, "b", 7), (1, text, "a", 9), (1, text, "a", 8), (2, text, "c", 1), (3, other, None, None),
+            (None, text, "d", 2), (None, text, "d", 2)]
+    schema = "doc_id long, text string, version string, row bigint"
+    docs = spark.createDataFrame(rows, schema).withColumn("place", F.lit(1)).withColumn("kept id", F.lit("x"))
+    found = drop_near_duplicates(docs)
+    assert found.columns == docs.columns and found.dtypes == docs.dtypes
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.version, r.row) for r in found.collect())
+    assert got == [(False, 1, "a", 8), (False, 3, None, None), (True, 0, "d", 2), (True, 0, "d", 2)]
+    assert drop_near_duplicates(docs.limit(0)).count() == 0

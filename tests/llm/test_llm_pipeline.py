@@ -1,5 +1,9 @@
 import corpus_pipeline
+import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm.tokens import tokenizer
 
 from test_llm_lines import brute as kept_texts
 from test_llm_ngrams import brute as groups
@@ -41,7 +45,9 @@ def test_stages_one_after_another(spark, docs):
 
     packed = corpus_pipeline.packing_stage(spark, mixed, "").collect()
     assert {r.doc_id for r in packed} == set(sampled)
-    assert sum(r.n_tokens for r in packed) == sum(len(t.split()) + 1 for t in sampled.values())
+    words = tokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    ids = [len(words.encode(t, add_special_tokens=False).ids) + 1 for t in sampled.values()]
+    assert sum(r.n_tokens for r in packed) == sum(ids)
 
 
 def test_copies_of_a_row_and_rows_without_an_id(spark, documents, prose):
@@ -51,6 +57,22 @@ def test_copies_of_a_row_and_rows_without_an_id(spark, documents, prose):
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in found) == [(False, 1), (True, 0), (True, 0)]
 
 
+def test_stages_take_extra_columns_of_any_name(spark, documents, prose):
+    texts = [f"{prose(i % 30, 120)}\nThe end of all" for i in range(36)]
+    docs = documents(texts).withColumns(
+        {"version": F.lit(7).cast("long"), "doc": F.lit("d"), "m": F.lit(1.5), "kept": F.lit(True), "bin": F.array(F.lit(1)),
+         "probability": F.lit("p"), "component_id": F.lit(None).cast("long"), "a b": F.col("doc_id")}
+    )
+    kinds = docs.dtypes
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, "")
+        assert docs.dtypes == kinds, name
+        rows = docs.collect()
+        assert rows and {(r.version, r.doc, r.m, r.kept, r.probability) for r in rows} == {(7, "d", 1.5, True, "p")}
+        assert all(r["a b"] == r.doc_id for r in rows)
+    assert corpus_pipeline.packing_stage(spark, docs, "").count() >= docs.count()
+
+
 def test_run_over_the_given_documents(spark):
     found = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert found.count() > 0 and "bin_size" in found.columns

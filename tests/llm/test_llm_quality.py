@@ -51,6 +51,24 @@ def test_outliers_of_a_group_go_and_clean_documents_stay(documents, prose):
     assert kept == set(range(300))
 
 
+def test_fences_differ_between_groups(spark):
+    from tidemark.llm.quality import fences, measured as measures_of, sketches
+    from tidemark.llm.store import stored, table
+
+    measures = stored(measures_of(table(spark, "/root/testdata/sf0.1", "documents")), "measures")
+    limits = fences(sketches(measures)).collect()
+    high = {r.limits.word_length.high for r in limits}
+    assert len(limits) > 20 and len(high) > 5
+
+
+def test_null_ids_and_repeated_rows_are_judged_each(documents, prose):
+    pairs = [*((i, prose(i, 200)) for i in range(30)), (None, prose(1, 200)), (None, None), (3, prose(3, 200)), (3, prose(3, 200))]
+    rows = quality_rules(documents(pairs)).select("doc.doc_id", "base_failed", "kept").collect()
+    assert len(rows) == 34 and Counter(r.doc_id for r in rows)[3] == 3
+    assert len({(r.base_failed, r.kept) for r in rows if r.doc_id == 3}) == 1
+    assert sorted(r.kept for r in rows if r.doc_id is None) == [False, True]
+
+
 def test_each_rule_of_the_pipeline_rejects_its_outliers(spark, documents, prose):
     def lines(seed, copies):
         rows = [prose(seed * 50 + k, 12) for k in range(20 - copies)]

@@ -1,6 +1,7 @@
 import random
 from pathlib import Path
 
+import numpy as np
 import public_tokenizers
 import pyarrow.parquet as pq
 from hypothesis import given, settings
@@ -56,6 +57,28 @@ def test_memory_starts_anew_when_full(monkeypatch):
         assert len(known.place) <= 90
 
 
+ODD_WORDS = ["a", "B", "é", "ß", "É", "İ", "ı", "'s", "'", "don't", "3", "12", "²", "_", "-", ".", "...", "!?", "<|", "|>", "##", "中", "́",
+             "\xa0", "\x85", "\x1c", "\x00", "\x7f", "ǆ", "ﬁ", "😀", "ñ", "ÿ", "×", "÷", "þ", "word", "the"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(ODD_WORDS), min_size=1, max_size=6).map("".join), min_size=1, max_size=12))
+def test_words_learned_together_have_their_own_ids(words):
+    known = tokens.WordMemory(WORDS)
+    words = [w for text in words for w in text.encode().split()]
+    lowered = [w if b"<|" in w else w.lower() for w in words]
+    places = known.places(lowered)
+    for place, word in zip(places, words):
+        assert known.ids(np.array([place])).tolist() == encoded(WORDS, word.decode())
+
+
+def test_marks_that_do_not_add_up_are_noticed():
+    known = tokens.WordMemory(WORDS)
+    known.final[:] = True
+    words = [b"a.b", b"word", b"x1y2", b"plain"]
+    assert known.ids(known.places(words)).tolist() == [i for w in words for i in encoded(WORDS, w.decode())]
+
+
 def test_stored_ids_round_trip_in_order(spark, documents, odd_texts):
     rng = random.Random(4)
     texts = [*odd_texts, *["".join(rng.choices(PARTS, k=rng.randint(0, 40))) for _ in range(200)]]

@@ -13,14 +13,15 @@ def _rewired(links: DataFrame, larger: bool) -> DataFrame:
 
     ``links`` are ``(a, b)`` with ``b < a``. The least neighbour is an aggregate that is
     combined before it is shuffled, and meets the links in a join whose skewed partitions
-    Spark splits, so a node with a third of all links is no group of one task.
+    Spark splits, so a node with a third of all links is no group of one task. It is dealt
+    anew before the join, as Spark splits only what comes straight from a shuffle.
     """
     if larger:
         both = links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).toDF("u", "v")
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")).repartition("m")
         new = both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
     else:
-        least = links.groupBy("a").agg(F.min("b").alias("m"))
+        least = links.groupBy("a").agg(F.min("b").alias("m")).repartition("m")
         joined = links.join(least, "a")
         new = joined.select(F.explode(F.array(F.struct("b", "m"), F.struct(F.col("a").alias("b"), "m"))).alias("l"))
         new = new.select(F.col("l.b").alias("a"), F.col("l.m").alias("b"))

@@ -194,9 +194,15 @@ def bounded(cells: DataFrame, targets: Mapping[str, float | Mapping], share: flo
     return cells.sparkSession.createDataFrame(table.append_column("probability", pa.array(best)))
 
 
+def ticket() -> Column:
+    """What a row is drawn by: its ``doc_id``, or its text and place where there is none."""
+    row = F.concat(F.xxhash64("text").cast("string"), F.lit("/"), F.monotonically_increasing_id().cast("string"))
+    return F.coalesce(F.col("doc_id").cast("string"), row)
+
+
 def draw(seed: str = SEED) -> Column:
-    """A number in [0, 1) that follows from ``doc_id`` alone."""
-    name = F.concat(F.lit(seed), F.lit("/"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    """A number in [0, 1) that follows from the row's ``ticket``."""
+    name = F.concat(F.lit(seed), F.lit("/"), F.col("ticket"))
     return F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
 
 
@@ -215,7 +221,8 @@ def mixed_sample(
 
     ``doc`` holds ``doc_id`` and the ``keep`` columns. Without ``topic`` the topic is ``genre()``.
     A document is sampled if its draw, fixed by ``doc_id`` and ``seed``, is below its
-    probability: rows with the same ``doc_id`` in one cell fare alike. ``exact`` puts the targets
+    probability: rows with the same ``doc_id`` in one cell fare alike, rows without one are drawn
+    each by itself. ``exact`` puts the targets
     before the share, see ``bounded``; otherwise cells cut at one leave the targets missed.
 
     Null source or language is a value of its own; null or empty text has one token. An empty
@@ -227,6 +234,7 @@ def mixed_sample(
         "doc_id",
         "source",
         "lang",
+        ticket().alias("ticket"),
         n_tokens().alias("n_tokens"),
         F.col("text"),
         *([topic.alias("topic")] if topic is not None else []),

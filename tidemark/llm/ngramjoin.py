@@ -319,7 +319,9 @@ def ngram_join(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFram
     met = stored(arrow_map(rows.repartition(buckets, "bucket"), _meet, MET), "ngram-blocks")
     documents = met.where(F.col("kind") == DOCUMENT).select("doc", "n", "high", "low")
     named = documents.where("doc IS NOT NULL AND n > 0")
-    least = named.groupBy("high", "low").agg(F.min("doc").alias("least"))
+    # Dealt anew after the aggregate, so that the join reads a shuffle on either side: only then
+    # does Spark split the rows of a set that very many documents have.
+    least = named.groupBy("high", "low").agg(F.min("doc").alias("least")).repartition("least")
     equal = stored(named.join(least, ["high", "low"]).select("doc", "least").distinct(), "ngram-equal")
 
     # Equal sets are one row of the product, that of the least document.
@@ -372,6 +374,27 @@ def ngram_join(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFram
     )
 
 
+def drop_near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` whose ``doc_id`` is the least of its component in ``ngram_join``.
+
+    Of rows with the same ``doc_id`` and text one stays, the first by its other columns as JSON. Rows
+    without ``doc_id`` all stay. Columns may have any names; an empty table stays empty.
+    """
+    joined = ngram_join(docs, size=size, percent=percent)
+    kept = joined.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col("doc_id").alias("of_id"),
+        F.xxhash64("text").alias("of_text"),
+        F.to_json(F.struct(*others)).alias("place"),
+    )
+    named = rows.where("of_id IS NOT NULL").join(kept, F.col("of_id") == F.col("kept_id"), "left_semi")
+    first = named.groupBy("of_id", "of_text").agg(F.min_by("row", "place").alias("row")).select("row")
+    unnamed = rows.where("of_id IS NULL").select("row")
+    return first.union(unnamed).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
 def op3_ngram_join(spark, sf_dir: str) -> DataFrame:
     """Documents linked at 90 % of their three-word shingles."""
     return ngram_join(table(spark, sf_dir, "documents"), size=3, percent=90)

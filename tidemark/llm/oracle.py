@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm.mixing import ROUNDS, SEED, SHARE, TARGETS
-from tidemark.llm.quality import MIN_DOCUMENTS, REACH, SPREAD
+from tidemark.llm.quality import FLOOR, MIN_DOCUMENTS, REACH
 
 ORACLE: dict[str, str] = {}
 
@@ -24,7 +24,7 @@ _VALUES = {
     "repeats": "1000 * n_repeat_words // nullif(n_words, 0)",
     "word_length": "100 * word_chars // nullif(n_words, 0)",
 }
-_SPREADS = " ".join(f"WHEN '{name}' THEN {least}" for name, least in SPREAD.items())
+_FLOORS = " ".join(f"WHEN '{name}' THEN {least}" for name, least in FLOOR.items())
 
 ORACLE["op1_quality_rules"] = f"""
 WITH texts AS (SELECT doc_id, lang, source, coalesce(text, '') AS text, {WORDS} AS words FROM documents),
@@ -65,14 +65,14 @@ ranked AS (
          row_number() OVER (PARTITION BY level, lang, source, measure ORDER BY bin) AS r,
          count(*) OVER (PARTITION BY level, lang, source, measure) AS n
   FROM levels),
-quartiles AS (
-  SELECT level, lang, source, measure, max(n) AS n, min(bin) FILTER (WHERE 4 * r >= n) AS q1,
-         min(bin) FILTER (WHERE 4 * r >= 3 * n) AS q3
+quantiles AS (
+  SELECT level, lang, source, measure, max(n) AS n, min(bin) FILTER (WHERE 10 * r >= n) AS p10,
+         min(bin) FILTER (WHERE 2 * r >= n) AS p50, min(bin) FILTER (WHERE 10 * r >= 9 * n) AS p90
   FROM ranked GROUP BY ALL),
 fences AS (
-  SELECT level, lang, source, measure, n, q1 - {REACH} * greatest(q3 - q1, spread) AS low,
-         q3 + {REACH} * greatest(q3 - q1, spread) AS high
-  FROM (SELECT *, CASE measure {_SPREADS} END AS spread FROM quartiles)),
+  SELECT level, lang, source, measure, n, p50 - {REACH} * greatest(p50 - p10, least_reach) AS low,
+         p50 + {REACH} * greatest(p90 - p50, least_reach) AS high
+  FROM (SELECT *, CASE measure {_FLOORS} END AS least_reach FROM quantiles)),
 chosen AS (
   SELECT a.lang, a.source, a.measure,
          CASE WHEN a.n >= {MIN_DOCUMENTS} THEN a.low WHEN b.n >= {MIN_DOCUMENTS} THEN b.low ELSE c.low END AS low,

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.mixing import n_tokens
 from tidemark.llm.store import arrow_map, partitions, stored, table
+from tidemark.llm.tokencount import sequence_lengths
 
 SIZES = (512, 1024, 2048, 4096)
 RUN = 20_000
@@ -134,28 +135,41 @@ def best_fit_packing(
     ``length`` is a document's number of tokens, ``n_tokens()`` by default. A document longer
     than the largest size is cut into full pieces and a rest; nothing is dropped. A sequence
     is named by shard, run and bin, has ``bin_size`` tokens, and the piece starts at ``place``.
-    Shards have some ``run`` pieces each; should one hold more, as with very many rows of one
-    ``doc_id``, it is packed in several runs.
+    Shards have some ``run`` pieces each, dealt by ``doc_id``, piece and row, so neither very many rows of
+    one ``doc_id`` nor rows without one come to the same; should one hold more, it is packed in
+    several runs. Pieces are stored before they are dealt: what is repeated is dealt alike.
 
     Null or empty text has length one (its end). Lengths that are null or below one make no
     piece. Repeated rows are packed each. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     largest = max(sizes)
-    rows = docs.select("doc_id", (n_tokens() if length is None else length).cast("long").alias("n"))
+    rows = docs.select(
+        "doc_id",
+        (n_tokens() if length is None else length).cast("long").alias("n"),
+        F.monotonically_increasing_id().alias("row"),
+    )
     last = F.ceil(F.col("n") / largest).cast("int") - 1
-    pieces = rows.where("n >= 1").select("doc_id", "n", F.explode(F.sequence(F.lit(0), last)).alias("piece"))
+    pieces = rows.where("n >= 1").select("doc_id", "n", "row", F.explode(F.sequence(F.lit(0), last)).alias("piece"))
     pieces = pieces.select(
-        "doc_id", "piece", F.least(F.lit(largest), F.col("n") - F.col("piece") * largest).cast("int").alias("n_tokens")
+        "doc_id", "row", "piece", F.least(F.lit(largest), F.col("n") - F.col("piece") * largest).cast("int").alias("n_tokens")
     )
     pieces = stored(pieces, "pieces")
     shards = max(1, -(-pieces.count() // run))
-    shard = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)).cast("int")
+    shard = F.pmod(F.xxhash64("doc_id", "piece", "row"), F.lit(shards)).cast("int")
     dealt = pieces.withColumn("shard", shard).repartition(min(shards, 64 * partitions(spark)), "shard")
-    ordered = dealt.sortWithinPartitions("shard", F.desc("n_tokens"), "doc_id", "piece")
+    ordered = dealt.drop("row").sortWithinPartitions("shard", F.desc("n_tokens"), "doc_id", "piece")
     return arrow_map(ordered, lambda batches: _packed(batches, sizes, run), PACKED)
 
 
+def subword_packing(docs: DataFrame) -> DataFrame:
+    """``best_fit_packing`` of the documents' lengths in ids of a public tokenizer, ends included."""
+    import public_tokenizers
+
+    lengths = sequence_lengths(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return best_fit_packing(lengths, length=F.col("n_tokens"))
+
+
 def op8_best_fit_packing(spark, sf_dir: str) -> DataFrame:
-    """All documents packed into sequences of 512 to 4096 tokens."""
-    return best_fit_packing(table(spark, sf_dir, "documents"))
+    """All documents packed into sequences of 512 to 4096 subword tokens."""
+    return subword_packing(table(spark, sf_dir, "documents"))

@@ -4,10 +4,9 @@ Every document is measured once. The sketch of a measure is a histogram over log
 bins (whole numbers of at most seven significant bits, so a bin is within 1/64 of its
 values): counts that add up in any order, which makes sketches of tasks, sources and
 languages mergeable without loss. From the sketch of its language and source a document
-gets upper and lower fences, quartile plus ``reach`` times the quartile range, where the
-fixed cutoffs of a rule set would otherwise stand. With ``tails`` the fences are the median
-plus ``reach`` times the distance of an outer tenth from it, on each side by itself: about
-3.8 standard deviations of normal values. Only Spark expressions are used.
+gets upper and lower fences where the fixed cutoffs of a rule set would otherwise stand: the
+median plus ``reach`` times the distance of an outer tenth from it, on each side by itself, which
+is about 3.8 standard deviations of normal values. Only Spark expressions are used.
 """
 
 from __future__ import annotations
@@ -23,9 +22,6 @@ SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 SHOUTS = "!?"
 
-# Least quartile range of each measure: a group of nearly equal documents must not turn
-# the usual spread of clean text into outliers.
-SPREAD = {"symbols": 30, "shouts": 60, "dup_lines": 200, "repeats": 150, "word_length": 200}
 # Least distance of an outer tenth from the median, against groups without any spread.
 FLOOR = {"symbols": 10, "shouts": 10, "dup_lines": 50, "repeats": 30, "word_length": 20}
 REACH = 3
@@ -185,9 +181,7 @@ def _least(values: dict[str, int]) -> Column:
     return found
 
 
-def fences(
-    sketch: DataFrame, reach: int = REACH, min_documents: int = MIN_DOCUMENTS, tails: bool = False
-) -> DataFrame:
+def fences(sketch: DataFrame, reach: int = REACH, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """``(lang, source, limits)`` for each language and source, a low and high fence per measure.
 
     A group of fewer than ``min_documents`` takes the fences of its language, and a language
@@ -196,23 +190,17 @@ def fences(
     group = Window.partitionBy("g", "measure")  # no more rows than a sketch has bins
     up_to = F.sum("n").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
     ranked = sketch.select("g", "measure", "bin", up_to.alias("up_to"), F.sum("n").over(group).alias("n"))
+
     def quantile(part: int, of: int) -> Column:
         return F.min(F.when(of * F.col("up_to") >= part * F.col("n"), F.col("bin")))
 
-    if tails:
-        quantiles = ranked.groupBy("g", "measure").agg(
-            quantile(1, 10).alias("p10"), quantile(1, 2).alias("p50"), quantile(9, 10).alias("p90"),
-            F.first("n").alias("n"),
-        )
-        floor = _least(FLOOR)
-        low = F.col("p50") - reach * F.greatest(F.col("p50") - F.col("p10"), floor)
-        high = F.col("p50") + reach * F.greatest(F.col("p90") - F.col("p50"), floor)
-    else:
-        quantiles = ranked.groupBy("g", "measure").agg(
-            quantile(1, 4).alias("q1"), quantile(3, 4).alias("q3"), F.first("n").alias("n")
-        )
-        step = reach * F.greatest(F.col("q3") - F.col("q1"), _least(SPREAD))
-        low, high = F.col("q1") - step, F.col("q3") + step
+    quantiles = ranked.groupBy("g", "measure").agg(
+        quantile(1, 10).alias("p10"), quantile(1, 2).alias("p50"), quantile(9, 10).alias("p90"),
+        F.first("n").alias("n"),
+    )
+    floor = _least(FLOOR)
+    low = F.col("p50") - reach * F.greatest(F.col("p50") - F.col("p10"), floor)
+    high = F.col("p50") + reach * F.greatest(F.col("p90") - F.col("p50"), floor)
     limits = quantiles.groupBy("g").agg(
         F.max("n").alias("n"),
         *[
@@ -242,14 +230,11 @@ def judged(measures: DataFrame, limits: DataFrame) -> DataFrame:
     )
 
 
-def quality_rules(
-    docs: DataFrame, keep: Sequence[str] = ("doc_id", "lang", "source"), *, tails: bool = False
-) -> DataFrame:
+def quality_rules(docs: DataFrame, keep: Sequence[str] = ("doc_id", "lang", "source")) -> DataFrame:
     """Measure, derive the thresholds, and judge every document.
 
     ``docs`` needs ``text``, ``lang`` and ``source``. Returns ``(doc, m, base_failed, kept)``
-    with the ``keep`` columns inside ``doc``, so that no name can clash. ``tails`` takes the
-    thresholds from the outer tenths instead of the quartiles.
+    with the ``keep`` columns inside ``doc``, so that no name can clash.
 
     Null language or source is a group of its own. A null, empty or short text fails the
     fixed rules. Repeated rows are judged each, alike. An empty table gives an empty result.
@@ -257,7 +242,7 @@ def quality_rules(
     the texts again.
     """
     measures = stored(measured(docs, keep), "quality")
-    return judged(measures, fences(sketches(measures), tails=tails))
+    return judged(measures, fences(sketches(measures)))
 
 
 def op1_quality_rules(spark, sf_dir: str) -> DataFrame:

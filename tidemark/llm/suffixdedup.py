@@ -519,7 +519,9 @@ def suffix_dedup(docs: DataFrame, *, length: int = LENGTH) -> DataFrame:
     names = stored(
         named.select("doc_id", "version", F.xxhash64(F.lit(length), "text").alias("second")), "suffix-names"
     )
-    least = names.groupBy("version", "second").agg(F.min("doc_id").alias("least"))
+    # Dealt anew after the aggregate, so that the join reads a shuffle on either side: only then
+    # does Spark split the rows of a text that very many documents have.
+    least = names.groupBy("version", "second").agg(F.min("doc_id").alias("least")).repartition("least")
     placed = names.join(least, ["version", "second"]).select("doc_id", "version", (F.col("doc_id") > F.col("least")).alias("copy"))
     placed = stored(placed.distinct(), "suffix-copies")
 

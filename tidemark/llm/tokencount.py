@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.store import arrow_map, table
 from tidemark.llm.textblocks import blocks
-from tidemark.llm.tokens import PIECE, has_odd_space, memory, sums_by, tokenizer
+from tidemark.llm.tokens import PIECE, has_odd_space, memory, sums_by, tokenizer, word_ids, word_memory
 
 CHUNK = 65_536
 OVERLAP = 256
@@ -106,6 +106,23 @@ def token_counts(
     return arrow_map(rows, lambda batches: _counts(batches, path, limit, chunk, overlap), COUNTS)
 
 
+def _lengths(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    known = word_memory(path)
+    for rows, data, offsets in blocks(batches):
+        _, edges = word_ids(known, data, offsets)
+        yield pa.RecordBatch.from_arrays(
+            [rows.column("doc_id"), pa.array(np.diff(edges) + 1)], ["doc_id", "n_tokens"]
+        )
+
+
+def sequence_lengths(docs: DataFrame, path: str) -> DataFrame:
+    """``(doc_id, n_tokens)`` of every row: subword ids of its text and an end.
+
+    ``path`` is a tokenizer file that drops white space and ignores case. Null text is empty.
+    """
+    return arrow_map(docs.select("doc_id", "text"), lambda b: _lengths(b, path), "doc_id long, n_tokens long")
+
+
 def op7_token_counts(spark, sf_dir: str) -> DataFrame:
     """Tokens of all documents."""
     import public_tokenizers

@@ -105,6 +105,72 @@ class Memory:
         return self.pool[shift + np.arange(total)]
 
 
+# Words that the word tokenizer cuts as ``PARTS`` says, whatever its tables of letters: visible ASCII
+# without capitals and apostrophes; and those with Latin letters that no normal form changes.
+PLAIN = re.compile(rb"[!-&(-@\[-~]+")
+LATIN = re.compile(r"[!-&(-@\[-~\xdf-\xf6\xf8-\xff]+")
+PARTS = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+")
+
+
+class WordMemory(Memory):
+    """The same for a tokenizer that marks the ends of words and drops white space.
+
+    New words are encoded many at a time with spaces between them: the marks tell which ids belong
+    to which word, as a word has as many as it has parts. Words of ``PLAIN`` skip the file's
+    normaliser and its splitting, which would do no more to them than to cut the parts. If ever the
+    marks did not add up, and for all other words, each is encoded by itself.
+    """
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.bare = Tokenizer(self.tokenizer.model)
+        self.bare.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        self.final = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.final[i] = token.endswith("</w>")
+
+    def _learn(self, new: list[bytes]) -> None:
+        plain, latin, other = [], [], []
+        for word in new:
+            if b"<|" in word or not word:
+                other.append(word)
+            elif PLAIN.fullmatch(word):
+                plain.append(word)
+            else:
+                text = word.decode("utf-8", "replace")
+                (latin if LATIN.fullmatch(text) else other).append(word)
+        for encoder, words in ((self.bare, plain), (self.tokenizer, latin)):
+            if words:
+                other += self._together(encoder, words, cut=encoder is self.bare)
+        if other:
+            super()._learn(other)
+
+    def _together(self, encoder, words: list[bytes], cut: bool) -> list[bytes]:
+        """Learn words joined by spaces; the words that could not be told apart."""
+        parts = [PARTS.findall(word.decode()) for word in words]
+        given = [part for found in parts for part in found] if cut else [word.decode() for word in words]
+        ids = np.array(encoder.encode_batch_fast([" ".join(given)], add_special_tokens=False)[0].ids, np.int32)
+        ends = np.flatnonzero(self.final[ids])
+        wanted = np.cumsum([len(found) for found in parts])
+        if len(ends) != wanted[-1] or ends[-1] != len(ids) - 1:
+            return words
+        stops = ends[wanted - 1] + 1
+        counts = np.diff(np.append(0, stops))
+        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words))))
+        self.starts = np.append(self.starts, len(self.pool) + stops - counts)
+        self.counts = np.append(self.counts, counts)
+        self.pool = np.append(self.pool, ids)
+        return []
+
+
+@functools.lru_cache(maxsize=4)
+def word_memory(path: str) -> WordMemory:
+    """The memory of a word tokenizer file, kept by a worker process from task to task."""
+    return WordMemory(path)
+
+
 @functools.lru_cache(maxsize=4)
 def memory(path: str) -> Memory:
     """The memory of a tokenizer file, kept by a worker process from task to task."""

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.store import arrow_map, partitions, table
 from tidemark.llm.textblocks import blocks
-from tidemark.llm.tokens import memory, word_ids
+from tidemark.llm.tokens import word_ids, word_memory
 from tidemark.session import scratch_path
 
 END_ID = 1
@@ -30,7 +30,7 @@ TOKENS = "doc_id long, part int, start_in_part long, n_tokens long, ids array<in
 
 def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     """Ids of each text and the end id, with the number of ids before it in this task."""
-    known = memory(path)
+    known = word_memory(path)
     part = TaskContext.get().partitionId()
     before = 0
     for rows, data, offsets in blocks(batches):
