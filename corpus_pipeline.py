@@ -12,15 +12,15 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.linededup import drop_lines, line_bitmaps
 from tidemark.llm.mixing import mixed_sample
-from tidemark.llm.ngramjoin import ngram_join
-from tidemark.llm.packing import best_fit_packing
+from tidemark.llm.ngramjoin import drop_near_duplicates
+from tidemark.llm.packing import subword_packing
 from tidemark.llm.quality import quality_rules
 from tidemark.llm.store import stored, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules, fixed and adaptive."""
-    judged = quality_rules(docs, keep=docs.columns, tails=True)
+    judged = quality_rules(docs, keep=docs.columns)
     return judged.where("kept").select("doc.*")
 
 
@@ -30,16 +30,8 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The least document of each group linked at 80 % of its five-word shingles.
-
-    Of rows with the same ``doc_id`` and text one stays; rows without ``doc_id`` all do.
-    """
-    joined = ngram_join(docs, size=5, percent=80)
-    kept = joined.where("doc_id = component_id").select("doc_id").distinct()
-    first = docs.withColumn("version", F.xxhash64("text")).join(kept, "doc_id", "left_semi")
-    unnamed = docs.where("doc_id IS NULL")
-    first = first.dropDuplicates(["doc_id", "version"]).select(*docs.columns)
-    return first.union(unnamed)
+    """The least document of each group linked at 80 % of its five-word shingles."""
+    return drop_near_duplicates(docs, size=5, percent=80)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +45,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sequences: one row per piece of a document with its bin and place."""
-    return best_fit_packing(docs)
+    return subword_packing(docs)
 
 
 STAGES = [
