@@ -149,7 +149,7 @@ class WordMemory(Memory):
 
     def _together(self, encoder, words: list[bytes], cut: bool) -> list[bytes]:
         """Learn words joined by spaces; the words that could not be told apart."""
-        parts = [PARTS.findall(word.decode()) for word in words]
+        parts = [[word.decode()] if word.isalpha() else PARTS.findall(word.decode()) for word in words]
         given = [part for found in parts for part in found] if cut else [word.decode() for word in words]
         ids = np.array(encoder.encode_batch_fast([" ".join(given)], add_special_tokens=False)[0].ids, np.int32)
         ends = np.flatnonzero(self.final[ids])
