@@ -303,9 +303,9 @@ def test_quality_of_the_load(spark, loaded, tmp_path):
     assert found["completude_nulos_antes_tratamento"]["data_referencia"] == 1
     assert set(found["completude_nulos_apos_tratamento"]) == set(star.silver.columns)
     assert found["periodo_coberto"] == {"inicio": "2000-01-01", "fim": "2009-12-01"}
-    assert rows(quality.uniqueness(star.silver, ["data_referencia"])) == [
-        ("input", len(twin), 0, 0), ("output", len(twin), 0, 0)
-    ]
+    assert rows(quality.uniqueness({"output": star.silver}, ["data_referencia"])) == [("output", len(twin), 0, 0)]
+    measured = report.where("dimension = 'uniqueness' AND stage = 'output'").select("metric", "value")
+    assert rows(measured) == [("duplicated_keys", 0.0), ("surplus_rows", 0.0)]
     assert all(r.n_negative == 0 for r in
                quality.accuracy(star.silver, COMMODITIES.measures, "output").collect())
 
@@ -371,7 +371,7 @@ def test_csv_round_trip(spark, tmp_path):
     assert rows(back.drop(CORRUPT)) == kept
     inferred = read_csv(spark, str(tmp_path / "out"), infer=True)
     assert dict(inferred.dtypes) == {"d": "date", "v": "double", "t": "string", CORRUPT: "string"}
-    assert {r[0] for r in inferred.select(CORRUPT).collect()} == {None}
+    assert {r[CORRUPT] for r in inferred.collect()} == {None}
 
 
 def test_a_file_with_other_columns_is_refused(spark, tmp_path):

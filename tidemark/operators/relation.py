@@ -92,7 +92,7 @@ def correlation_matrix(
     counted = panel.where(F.col(entity).isNotNull()).groupBy(F.col(entity).alias("entity_a"))
     names = counted.agg(F.count(value).alias("_values")).where("_values >= 0").select("entity_a")
     grid = max(salts, math.isqrt(int(panel.sparkSession.conf.get("spark.sql.shuffle.partitions"))) + 1)
-    own = F.pmod(F.xxhash64("entity_a"), F.lit(grid)).cast("int")
+    own = F.coalesce(F.pmod(F.xxhash64("entity_a"), F.lit(grid)).cast("int"), F.lit(0))  # see ``pair_moments``
     each = F.explode(F.sequence(F.lit(0), F.lit(grid - 1)))
     left = names.select("entity_a", own.alias("_row"), each.alias("_column"))
     right = names.select(F.col("entity_a").alias("entity_b"), own.alias("_column"), each.alias("_row"))
