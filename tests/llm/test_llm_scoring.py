@@ -194,6 +194,33 @@ def test_every_document_is_trained_on_and_no_window_twice():
             assert len(both) in (max(count // 4, 1), count // 4 + 1)
 
 
+def test_rounds_train_on_every_window_once(monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(0, 49407, n).astype(lmscore.id_type(WORDS)) for n in (0, 1, 23, 24, 300, 24 * 90)]
+    versions = [int(v) for v in rng.integers(-(2**63), 2**63 - 1, len(texts))]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(versions), pa.array([t.tobytes() for t in texts], pa.binary())], ["version", "ids"]
+    )
+    wanted = [attention.windowed(np.append(t, np.uint16(end_id(WORDS))), end_id(WORDS)) for t in texts]
+    whole = Counter(row.tobytes() for _, target, _ in wanted for row in target)
+    for rounds in (1, 2, 3):
+        seen = Counter()
+
+        class Recorder:
+            def __init__(self, flat, model):
+                self.flat, self.windows = flat, 0
+
+            def train(self, windows):
+                self.windows += len(windows[0])
+                seen.update(row.tobytes() for row in windows[1])
+
+        monkeypatch.setattr(attention, "Trainer", Recorder)
+        flat = attention.initial()
+        for turn in range(rounds):
+            list(lmscore._trained(iter([batch]), WORDS, turn, rounds, flat, lambda: None))
+        assert seen == whole
+
+
 def test_windows_come_in_chunks_of_any_size(monkeypatch):
     rng = np.random.default_rng(3)
     texts = [rng.integers(0, 49407, n).astype(lmscore.id_type(WORDS)) for n in (0, 1, 23, 24, 25, 700, 24 * 900)]

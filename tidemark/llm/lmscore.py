@@ -4,8 +4,8 @@ A baseline counts every word of the learning documents: tasks exchange, per buck
 hashes, which documents have a word how often, and get back each document's sum. The model
 is the one of ``attention``: ids, and ids after groups of ids, are counted over all learning
 documents. Its attention is trained where the stored ids lie, without an exchange: tasks train
-side by side from the same parameters, which are averaged after each round, on one of every
-``EVERY`` windows, and at least one of every learning document. Scoring slides overlapping windows
+side by side from the same parameters, which are averaged after each round. The rounds together
+train on every window of every learning document, on each once. Scoring slides overlapping windows
 over whole texts, so that every id is scored once.
 """
 
@@ -28,7 +28,6 @@ from tidemark.llm.tokens import tokenizer, word_ids, word_memory
 
 FOLDS, HELD_OUT = 7, 2
 ROUNDS = 2
-EVERY = 8  # of a document's windows one is trained on, in one of the rounds
 CHUNK = 8192  # windows held at a time
 FLUSH_WORDS = 2_000_000
 HEADER, POSTINGS, SUMS, DISTINCT = 0, 1, 2, 3
@@ -321,10 +320,11 @@ def _in_chunks(batch: pa.RecordBatch, path: str, chosen=None) -> Iterator[tuple[
         yield ready()
 
 
-def trained_on(version: int, count: int, turn: int, rounds: int, every: int = EVERY) -> np.ndarray:
-    """The windows of a document that a round trains on: of each ``every``, one in one of the rounds.
+def trained_on(version: int, count: int, turn: int, rounds: int, every: int = 1) -> np.ndarray:
+    """The windows of a document that a round trains on: all rounds together have each once.
 
-    Which one follows from the text. A document of fewer windows has one in the first round.
+    With ``every`` above 1 they have one of so many, which one follows from the text; a document of
+    fewer windows has one in the first round.
     """
     step = every * rounds
     first = version % every + turn * every
