@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import pricevolume
+from tidemark.operators import pricevolume, reshape
 
 from helpers import day, rows
 
@@ -112,3 +112,27 @@ def test_a_hot_cell_is_combined_where_it_is_read(spark):
     plan = executed(matched)
     assert lines(plan, "partial_sum") and not lines(plan, "Join") and len(lines(plan, "- Exchange")) == 1
     assert matched.where("entity = 'hot'").first().volume == 10_000.0
+
+
+def test_cells_dealt_over_more_tasks_are_the_same_and_shuffled_no_further(spark):
+    rng = random.Random(5)
+    lines = [(f"2020-{rng.randint(1, 9)}-03", rng.choice([1, 2, 3, None]), rng.choice([None, 2.5, 7.25]), rng.choice([0.0, 3.0, None])) for _ in range(400)]
+    lines += [("2020-05-05", 9, 1.25, 2.0)] * 300
+    df = spark.createDataFrame(lines, "d string, part long, money double, pieces double")
+    given = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = reshape.cell_tasks(df, 700 // (given + 3))
+    assert tasks > given and reshape.cell_tasks(df) is None
+
+    def matched(n):
+        keys = {"date": F.to_date("d"), "entity": F.col("part")}
+        prices = pricevolume.unit_prices(df, **keys, amount=F.col("money"), quantity=F.col("pieces"), tasks=n)
+        volumes = reshape.to_panel(df, **keys, value=F.col("pieces"), how="sum", decimals=0, tasks=n)
+        return pricevolume.match_volumes(prices, volumes.withColumnRenamed("value", "volume"))
+
+    plain, dealt = matched(None), matched(tasks)
+    assert rows(plain) == rows(dealt) and len(rows(plain)) > 20
+    assert rows(pricevolume.weighted_index(plain)) == rows(pricevolume.weighted_index(dealt))
+    mean = {"date": F.to_date("d"), "entity": F.col("part"), "value": F.col("money"), "decimals": 2}
+    assert rows(reshape.to_panel(df, **mean)) == rows(reshape.to_panel(df, **mean, tasks=tasks))
+    plan = matched(tasks)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 4 and "ENSURE_REQUIREMENTS" not in plan

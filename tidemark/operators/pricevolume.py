@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.change import require_calendar
+from tidemark.operators.reshape import cell_sums
 
 
 def unit_prices(
@@ -22,10 +23,12 @@ def unit_prices(
     quantity: Column,
     decimals: int = 2,
     grain: str = "month",
+    tasks: int | None = None,
 ) -> DataFrame:
     """``(date, entity, price)``: money by quantity, both summed exactly to ``decimals`` digits.
 
     Rows without date, entity, amount or quantity take no part; a cell of quantity 0 has no price.
+    ``tasks`` is for nearly as many cells as rows, see ``cell_sums``.
     """
     day = date.cast("date")
     unit = 10**decimals
@@ -35,7 +38,7 @@ def unit_prices(
         F.rint(amount.cast("double") * unit).cast("long").alias("_amount"),
         F.rint(quantity.cast("double") * unit).cast("long").alias("_quantity"),
     ).dropna()
-    sums = rows.groupBy("date", "entity").agg(F.sum("_amount").alias("_amount"), F.sum("_quantity").alias("_quantity"))
+    sums = cell_sums(rows, ["_amount", "_quantity"], tasks)
     price = F.try_divide(F.col("_amount").cast("double"), F.col("_quantity").cast("double"))
     return sums.select("date", "entity", price.alias("price"))
 

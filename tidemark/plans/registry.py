@@ -369,7 +369,9 @@ def projection_backtest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _part_volumes(spark: SparkSession, folder: str) -> DataFrame:
-    return pricevolume.match_volumes(unit_price_part(spark, folder), volume_part(spark, folder))
+    # A part has few lines in a month, so there are nearly as many cells as lines.
+    tasks = reshape.cell_tasks(table(spark, folder, "lineitem"))
+    return pricevolume.match_volumes(unit_price_part(spark, folder, tasks), volume_part(spark, folder, tasks))
 
 
 @_query

@@ -105,7 +105,7 @@ def panel_brand(spark: SparkSession, folder: str) -> DataFrame:
     return panel.withColumnRenamed("entity", "entity_id")
 
 
-def unit_price_part(spark: SparkSession, folder: str) -> DataFrame:
+def unit_price_part(spark: SparkSession, folder: str, tasks: int | None = None) -> DataFrame:
     """What a unit of each part cost by month, in the lines that are fulfilled."""
     lines = table(spark, folder, "lineitem").where("l_linestatus = 'F'")
     return unit_prices(
@@ -114,10 +114,11 @@ def unit_price_part(spark: SparkSession, folder: str) -> DataFrame:
         entity=F.col("l_partkey"),
         amount=F.col("l_extendedprice"),
         quantity=F.col("l_quantity"),
+        tasks=tasks,
     )
 
 
-def volume_part(spark: SparkSession, folder: str) -> DataFrame:
+def volume_part(spark: SparkSession, folder: str, tasks: int | None = None) -> DataFrame:
     """Units of each part that were shipped and not returned, by month."""
     lines = table(spark, folder, "lineitem").where("l_returnflag <> 'R'")
     panel = to_panel(
@@ -127,6 +128,7 @@ def volume_part(spark: SparkSession, folder: str) -> DataFrame:
         value=F.col("l_quantity"),
         how="sum",
         decimals=0,
+        tasks=tasks,
     )
     return panel.withColumnRenamed("value", "volume")
 
