@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import cleaning, conform, ingest, quality
+from tidemark.plans import medallion
+from tidemark.plans.layout import Layout
 from tidemark.sources.readers import CORRUPT, read_csv
 
 from helpers import day, rows
@@ -69,6 +71,28 @@ def test_profile_accepts_a_compound_order(spark):
     assert rows(cleaning.survivors(profile, date="d", measures=["a"])) == rows(kept, "d", "a")
 
 
+def test_profile_by_splits_sorts_no_rows(spark):
+    split = F.struct(F.when(F.col("seq") % 3 == 0, "x").otherwise("y").alias("file"), (F.col("seq") % 2).alias("block"))
+    given = {"date": "d", "measures": ["a", "b"]}
+    wanted = cleaning.cleaning_profile(raw(spark, DATA), **given, order_by=F.struct(split, "seq"))
+    found = cleaning.cleaning_profile(raw(spark, DATA), **given, order_by="seq", within=split)
+    assert found.columns == wanted.columns and rows(found) == rows(wanted)
+    with pytest.raises(ValueError):
+        cleaning.cleaning_profile(raw(spark, DATA), **given, order_by="b", within=split)
+
+
+def test_loads_in_file_order_sort_no_rows(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Date,Copper\n2020-01-01,1\n2020-01-01,2\nx,3\n")
+    (tmp_path / "b.csv").write_text("Date,Copper\n2020-01-01,4\n2020-01-02,-5\n,6\n")
+    layout = Layout(mapping={"Date": "day", "Copper": "copper"}, date="day", benchmark="copper", entities=(), tables={})
+    raw_rows = medallion.bronze(read_csv(spark, str(tmp_path)))
+    profile = medallion.load_profile(ingest.number_rows(ingest.locate(raw_rows)), layout)
+    plan = profile._jdf.queryExecution().executedPlan().toString()
+    beside_the_scan = plan[plan.rindex("Exchange") :]
+    assert "HashAggregate" in beside_the_scan and "Sort" not in beside_the_scan
+    assert rows(profile, "day", "n_rows", "copper") == [(day("2020-01-01"), 3, 1.0), (day("2020-01-02"), 1, -5.0), (None, 2, 3.0)]
+
+
 @pytest.mark.parametrize("order", ["seq", "b"])
 def test_rows_without_an_order_come_first(spark, order):
     data = [(1, "2020-01-01", "1", "x"), (None, "2020-01-01", "2", None),

@@ -79,17 +79,23 @@ def cleaning_profile(
     measures: Sequence[str],
     order_by: Column | str,
     corrupt: str | None = None,
+    within: Column | str | None = None,
 ) -> DataFrame:
     """One row per readable date (NULL: all unreadable ones) of a raw text frame.
 
     It holds the counters every report on cleaning needs and the values of the first row
     of the date, so one scan and one pre-aggregated shuffle serve funnel, quality report
     and Silver alike. With a whole-number ``order_by`` the aggregate needs no sort (its
-    buffers have a fixed width); any other order is compared once per row for all measures.
+    buffers have a fixed width); any other order is compared once per row for all measures,
+    and the aggregate sorts the rows of a task. ``within`` comes before a whole-number order and
+    has few values, such as the splits of the files that were read: rows are aggregated by date and
+    ``within`` without a sort, and only what that leaves is compared by both.
     Rows without an order come first, as they do when sorted. ``corrupt`` names a column that
     is present in malformed rows alone; they are counted, and treated like all others.
     """
     order = F.col(order_by) if isinstance(order_by, str) else order_by
+    if isinstance(within, str):
+        within = F.col(within)
     # Read every value once, ahead of the aggregate that uses it several times.
     read = raw.select(
         lenient_date(F.col(date)).alias("_day"),
@@ -98,6 +104,7 @@ def cleaning_profile(
         *[F.col(name).isNotNull().alias(f"_given:{name}") for name in measures],
         order.alias("_order"),
         *([F.col(corrupt).isNotNull().alias("_corrupt")] if corrupt else []),
+        *([within.alias("_within")] if within is not None else []),
     )
     day, dated = F.col("_day"), F.col("_dated")
     counters = [
@@ -115,8 +122,22 @@ def cleaning_profile(
             F.count_if(number < 0).alias(f"negative:{name}"),
         ]
     by_date = read.groupBy(day.alias(date))
-    if isinstance(read.schema["_order"].dataType, T.IntegralType):
-        place = F.coalesce(F.col("_order").cast("long"), F.lit(-(2**63)))
+    whole = isinstance(read.schema["_order"].dataType, T.IntegralType)
+    if within is not None and not whole:
+        raise ValueError("within needs a whole-number order_by")
+    place = F.coalesce(F.col("_order").cast("long"), F.lit(-(2**63))) if whole else None
+    if within is not None:
+        firsts = [F.min_by(number, place).alias(f"_first:{name}") for name, number in numbers.items()]
+        parts = read.groupBy(day.alias(date), "_within").agg(*counters, *firsts, F.min(place).alias("_place"))
+        names = [name for name in parts.columns if name not in (date, "_within", "_place") and not name.startswith("_first:")]
+        values = F.struct(*[F.col(quoted(f"_first:{name}")).alias(name) for name in numbers])
+        return (
+            parts.groupBy(date)
+            .agg(*[F.sum(F.col(quoted(name))).alias(name) for name in names], F.min_by(values, F.struct("_within", "_place")).alias("_first"))
+            .select("*", "_first.*")
+            .drop("_first")
+        )
+    if whole:
         firsts = [F.min_by(number, place).alias(name) for name, number in numbers.items()]
         return by_date.agg(*counters, *firsts)
     values = F.struct(*[number.alias(name) for name, number in numbers.items()])

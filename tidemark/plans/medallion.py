@@ -32,7 +32,7 @@ from tidemark.operators.reshape import unpivot_long
 from tidemark.operators.summary import annual_stats
 from tidemark.plans.layout import COMMODITIES, Layout
 from tidemark.session import shared_folder
-from tidemark.sources.readers import CORRUPT, read_csv
+from tidemark.sources.readers import BLOCK, CORRUPT, FILE, read_csv
 from tidemark.sources.sinks import ensure_schema, overwrite_table, replace_table
 
 
@@ -64,6 +64,11 @@ def _conformed(
     return conform(placed, {**layout.mapping, "_position": "_position", CORRUPT: CORRUPT})
 
 
+def _split() -> Column:
+    """The part of ``source_order`` before a row's number: the split it was read from."""
+    return F.struct(*[F.col(f"_position.{name}").alias(name) for name in (FILE, BLOCK)])
+
+
 def silver(
     bronze_rows: DataFrame, layout: Layout, order_by: Sequence[Column] | None = None
 ) -> DataFrame:
@@ -97,8 +102,9 @@ def load_profile(
         _conformed(bronze_rows, layout, order_by),
         date=layout.date,
         measures=layout.measures,
-        order_by="_position",
+        order_by="_position" if order_by else f"_position.{ROW_ID}",
         corrupt=CORRUPT if CORRUPT in bronze_rows.columns else None,
+        within=None if order_by else _split(),
     )
 
 

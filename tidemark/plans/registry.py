@@ -681,8 +681,11 @@ def load_files_first(spark: SparkSession, folder: str) -> DataFrame:
     keys = [F.col(name).cast("bigint") for name in ("Order Key", "Line Number", "Part Key", "Supplier Key")]
     ordered = [*keys, "Quantity", "Extended Price, USD", "Tax %"]
     first = F.col("Line Number") == "1"
+    # Sorted by more tasks than the session's shuffle partitions where each would hold too much.
+    tasks = reshape.cell_tasks(table(spark, folder, "lineitem"))
     for part, rows in enumerate([raw.where(first), raw.where(~first)]):
-        write_csv(rows.orderBy(*ordered), f"{path}/raw/{part}")
+        dealt = rows.orderBy(*ordered) if tasks is None else rows.repartitionByRange(tasks, *ordered).sortWithinPartitions(*ordered)
+        write_csv(dealt, f"{path}/raw/{part}")
     star = medallion.run(
         spark,
         f"{path}/raw/*",
