@@ -57,6 +57,23 @@ def test_memory_starts_anew_when_full(monkeypatch):
         assert len(known.place) <= 90
 
 
+def test_a_full_memory_keeps_what_it_learned_first(monkeypatch):
+    monkeypatch.setattr(tokens, "MEMORY", 60)
+    known = tokens.WordMemory(WORDS)
+    common = [f"c{i}".encode() for i in range(15)]
+    learned = []
+    learn = known._learn
+    monkeypatch.setattr(known, "_learn", lambda new: (learned.extend(new), learn(new)))
+    known.places(common)
+    for i in range(12):
+        words = [*common, *[f"x{i}y{k}".encode() for k in range(30)]]
+        ids = known.ids(known.places(words))
+        assert ids.tolist() == [i for w in words for i in encoded(WORDS, w.decode())]
+        assert len(known.place) == len(known.counts) == len(known.starts) <= 60
+        assert known.counts.sum() == len(known.pool)
+    assert all(learned.count(word) == 1 for word in common)
+
+
 ODD_WORDS = ["a", "B", "é", "ß", "É", "İ", "ı", "'s", "'", "don't", "3", "12", "²", "_", "-", ".", "...", "!?", "<|", "|>", "##", "中", "́",
              "\xa0", "\x85", "\x1c", "\x00", "\x7f", "ǆ", "ﬁ", "😀", "ñ", "ÿ", "×", "÷", "þ", "word", "the"]
 

@@ -84,9 +84,12 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     packed = data[inside]
     first = np.flatnonzero(opens[inside])
     lengths = np.diff(np.append(first, len(packed)))
-    place = np.arange(len(packed)) - np.repeat(first, lengths)
+    place = np.arange(len(packed), dtype=np.int32)
+    place -= np.repeat(first.astype(np.int32), lengths)
     powers = np.multiply.accumulate(np.full(int(lengths.max()), MULTIPLIER, np.uint64))
-    sums = np.add.reduceat(BYTE_CODES[packed] * powers[place], first)
+    terms = powers[place]
+    terms *= BYTE_CODES[packed]
+    sums = np.add.reduceat(terms, first)
     return mixed(sums + lengths.astype(np.uint64)), starts, lengths, bounds
 
 

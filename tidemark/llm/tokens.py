@@ -6,7 +6,7 @@ import functools
 import os
 import re
 from collections.abc import Iterable
-from itertools import repeat
+from itertools import islice, repeat
 
 import numpy as np
 import pandas as pd
@@ -21,7 +21,7 @@ ODD_SPACE = [
 ]
 # Spaces with the run of other characters after them; spaces at the end.
 PIECE = re.compile(rb"\s*\S+|\s+")
-MEMORY = 800_000
+MEMORY = 600_000
 
 
 @functools.lru_cache(maxsize=4)
@@ -36,8 +36,10 @@ def tokenizer(path: str):
 class Memory:
     """Ids of pieces of text, encoded by the library once and then looked up.
 
-    It holds ``MEMORY`` pieces at most and starts anew when full. Pieces have to be cut where
-    the tokenizer's own splitting always cuts, so that ids of a text are those of its pieces.
+    It holds ``MEMORY`` pieces at most, as a worker process keeps it while it serves other tasks. When
+    full it keeps the pieces it learned first, a third, among which the common ones are. Pieces have
+    to be cut where the tokenizer's own splitting always cuts, so that ids of a text are those of its
+    pieces.
     """
 
     def __init__(self, path: str):
@@ -46,14 +48,17 @@ class Memory:
         mark = max(special, key=special.get)
         self.mark, self.mark_id = mark.encode(), special[mark]
         self.place: dict[bytes, int] = {}
-        self._clear()
-
-    def _clear(self) -> None:
-        self.place.clear()
         self.starts = np.zeros(0, np.int64)
         self.counts = np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.int32)
 
+    def _keep(self, number: int) -> None:
+        """Forget all but the pieces learned first."""
+        end = int(self.starts[number]) if number < len(self.starts) else len(self.pool)
+        self.place = dict(islice(self.place.items(), number))
+        self.starts, self.counts = self.starts[:number].copy(), self.counts[:number].copy()
+        self.pool = self.pool[:end].copy()
+
     def places(self, pieces: list[bytes]) -> np.ndarray:
         """The place of each piece in ``counts`` and ``starts``."""
         found = np.fromiter(map(self.place.get, pieces, repeat(-1)), np.int64, len(pieces))
@@ -61,10 +66,12 @@ class Memory:
         if not len(unknown):
             return found
         new = list({pieces[i] for i in unknown.tolist()})
-        if len(self.place) + len(new) > MEMORY and self.place:
-            self._clear()
-            new = list(set(pieces))
-            unknown = np.arange(len(pieces))
+        for number in (MEMORY // 3, 0):
+            if len(self.place) + len(new) > MEMORY and self.place:
+                self._keep(number)
+                found = np.fromiter(map(self.place.get, pieces, repeat(-1)), np.int64, len(pieces))
+                unknown = np.flatnonzero(found < 0)
+                new = list({pieces[i] for i in unknown.tolist()})
         self._learn(new)
         found[unknown] = [self.place[pieces[i]] for i in unknown.tolist()]
         return found
