@@ -35,7 +35,7 @@ from tidemark.llm.textblocks import LOWER, blocks, mixed, shingle_hashes, word_h
 DOCUMENT, BLOCKS, MEMBER = 0, 1, 2
 ROW = "kind int, bucket int, doc long, n long, high long, low long, hashes binary, docs binary"
 MET = "kind int, doc long, n long, high long, low long"
-FLUSH = 1 << 20
+FLUSH = 1 << 19
 RESEEDED = 24  # up to so many blocks an empty one is replaced by blocks of another hash
 SEEDS = 8
 MARKS = 512
@@ -224,11 +224,14 @@ def marks(grams: np.ndarray) -> np.ndarray:
 
 def _marked(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [_set(p, size) for p in batch.column("packed").to_pylist()]
+        sizes, found = [], []
+        for packed in batch.column("packed"):  # one text's n-grams at a time
+            grams = _set(packed.as_py(), size)
+            sizes.append(len(grams)), found.append(marks(grams).tobytes())
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("doc"), batch.column("packed"), pa.array([len(x) for x in sets], pa.int64()),
-                pa.array([marks(x).tobytes() for x in sets], pa.binary()),
+                batch.column("doc"), batch.column("packed"), pa.array(sizes, pa.int64()),
+                pa.array(found, pa.binary()),
             ],
             ["doc", "packed", "n", "marks"],
         )
@@ -281,7 +284,8 @@ def _products(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Ite
     known: tuple = (None, None)
     for batch in batches:
         linked = []
-        for name, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "packed_a", "packed_b"))):
+        for row in zip(*(batch.column(c) for c in ("a", "packed_a", "packed_b"))):
+            name, x, y = (value.as_py() for value in row)
             if known[0] != (name, x):
                 known = ((name, x), _set(x, size))
             a, b = known[1], _set(y, size)
