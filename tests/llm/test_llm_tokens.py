@@ -1,4 +1,5 @@
 import random
+import re
 from pathlib import Path
 
 import numpy as np
@@ -89,6 +90,29 @@ def test_words_learned_together_have_their_own_ids(words):
         assert known.ids(np.array([place])).tolist() == encoded(WORDS, word.decode())
 
 
+def block_of(texts):
+    data = [t.encode() for t in texts]
+    return np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *[len(d) for d in data]])
+
+
+def test_words_that_differ_in_signs_are_learned_once():
+    known = tokens.WordMemory(WORDS)
+    texts = ["Mot mot. mot, (mot) mot2 2", "été; ÉTÉ été", "don't mot's <|mot|>"]
+    ids, edges = tokens.word_ids(known, *block_of(texts))
+    assert [ids[a:b].tolist() for a, b in zip(edges[:-1], edges[1:])] == [encoded(WORDS, t) for t in texts]
+    pieces = {*"mot . , ( ) 2 ; été".split(), "ÉtÉ", "don't", "mot's", "<|mot|>"}
+    assert {p.decode() for p in known.place} == pieces
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([*ODD_WORDS, " ", "<", "|", "<|endoftext|>", "é", "Ã", "\xb7"]), max_size=8).map("".join), max_size=8))
+def test_ids_of_blocks_are_those_of_the_library(texts):
+    ids, edges = tokens.word_ids(tokens.word_memory(WORDS), *block_of(texts))
+    parts = [ids[a:b].tolist() for a, b in zip(edges[:-1], edges[1:])]
+    # words that only a normal form would join stand by themselves, as everywhere in the memory
+    assert parts == [[i for w in re.split("([ \t-\r]+)", t) if w.strip(" \t\n\v\f\r") for i in encoded(WORDS, w)] for t in texts]
+
+
 def test_marks_that_do_not_add_up_are_noticed():
     known = tokens.WordMemory(WORDS)
     known.final[:] = True

@@ -66,11 +66,12 @@ def blocks(
             first = last
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, cuts=None) -> tuple[np.ndarray, ...]:
     """The 64-bit hash, start and length of every word, and the first word of every document (one
     more at the end).
 
-    Words are runs of bytes other than white space (9-13, 32); none crosses a document.
+    Words are runs of bytes other than white space (9-13, 32); none crosses a document. ``cuts``
+    takes the starts of all words and returns places in words at which they are cut in two.
     """
     inside = ~SPACES[data]
     opens = inside.copy()
@@ -78,6 +79,9 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     begins = offsets[:-1][offsets[:-1] < len(data)]
     opens[begins] = inside[begins]
     starts = np.flatnonzero(opens)
+    if cuts is not None:
+        opens[cuts(starts)] = True
+        starts = np.flatnonzero(opens)
     bounds = np.searchsorted(starts, offsets)
     if len(starts) == 0:
         return np.zeros(0, np.uint64), starts, starts, bounds

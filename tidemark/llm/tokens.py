@@ -11,7 +11,7 @@ from itertools import islice, repeat
 import numpy as np
 import pandas as pd
 
-from tidemark.llm.textblocks import LOWER, word_spans
+from tidemark.llm.textblocks import LOWER, SPACES, word_spans
 
 # White space that a tokenizer's ``\s`` may or may not count, outside [\x20\x09-\x0D].
 ODD_SPACE = [
@@ -113,17 +113,25 @@ class Memory:
 
 
 # Words that the word tokenizer cuts as ``PARTS`` says, whatever its tables of letters: visible ASCII
-# without capitals and apostrophes; and those with Latin letters that no normal form changes.
-PLAIN = re.compile(rb"[!-&(-@\[-~]+")
+# without capitals and apostrophes, and Latin letters that no normal form changes.
 LATIN = re.compile(r"[!-&(-@\[-~\xdf-\xf6\xf8-\xff]+")
+LETTERS = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+")
 PARTS = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+")
+# The same for bytes: what a byte is in a part. Latin letters have two bytes, and are set apart from OTHER.
+SPACE, LETTER, DIGIT, SIGN, OTHER = range(5)
+KINDS = np.full(256, OTHER, np.uint8)
+for _byte in range(128):
+    if SPACES[_byte]:
+        KINDS[_byte] = SPACE
+    elif LATIN.fullmatch(chr(_byte)):
+        KINDS[_byte] = LETTER if chr(_byte).isalpha() else DIGIT if chr(_byte).isdigit() else SIGN
 
 
 class WordMemory(Memory):
     """The same for a tokenizer that marks the ends of words and drops white space.
 
     New words are encoded many at a time with spaces between them: the marks tell which ids belong
-    to which word, as a word has as many as it has parts. Words of ``PLAIN`` skip the file's
+    to which word, as a word has as many as it has parts. Words of ``LATIN`` skip the file's
     normaliser and its splitting, which would do no more to them than to cut the parts. If ever the
     marks did not add up, and for all other words, each is encoded by itself.
     """
@@ -133,34 +141,39 @@ class WordMemory(Memory):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.bare = Tokenizer(self.tokenizer.model)
-        self.bare.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         self.final = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.final[i] = token.endswith("</w>")
 
     def _learn(self, new: list[bytes]) -> None:
-        plain, latin, other = [], [], []
+        letters, mixed, other = [], [], []
         for word in new:
-            if b"<|" in word or not word:
+            if word.isalpha() and word.islower():
+                letters.append(word)
+            elif b"<|" in word or not word:
                 other.append(word)
-            elif PLAIN.fullmatch(word):
-                plain.append(word)
             else:
                 text = word.decode("utf-8", "replace")
-                (latin if LATIN.fullmatch(text) else other).append(word)
-        for encoder, words in ((self.bare, plain), (self.tokenizer, latin)):
-            if words:
-                other += self._together(encoder, words, cut=encoder is self.bare)
+                (letters if LETTERS.fullmatch(text) else mixed if LATIN.fullmatch(text) else other).append(word)
+        if letters:
+            other += self._together(letters, b" ".join(letters).decode(), np.arange(1, len(letters) + 1))
+        if mixed:
+            parts = [PARTS.findall(word.decode()) for word in mixed]
+            joined = " ".join(part for found in parts for part in found)
+            other += self._together(mixed, joined, np.cumsum([len(found) for found in parts]))
         if other:
             super()._learn(other)
 
-    def _together(self, encoder, words: list[bytes], cut: bool) -> list[bytes]:
-        """Learn words joined by spaces; the words that could not be told apart."""
-        parts = [[word.decode()] if word.isalpha() else PARTS.findall(word.decode()) for word in words]
-        given = [part for found in parts for part in found] if cut else [word.decode() for word in words]
-        ids = np.array(encoder.encode_batch_fast([" ".join(given)], add_special_tokens=False)[0].ids, np.int32)
+    def _together(self, words: list[bytes], joined: str, wanted: np.ndarray) -> list[bytes]:
+        """Learn words whose parts are joined by spaces, ``wanted`` parts up to the end of each word.
+
+        Returns the words that could not be told apart.
+        """
+        ids = np.array(self.bare.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.int32)
         ends = np.flatnonzero(self.final[ids])
-        wanted = np.cumsum([len(found) for found in parts])
         if len(ends) != wanted[-1] or ends[-1] != len(ids) - 1:
             return words
         stops = ends[wanted - 1] + 1
@@ -184,12 +197,36 @@ def memory(path: str) -> Memory:
     return Memory(path)
 
 
+def _part_cuts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where parts of words begin inside them, in words that are cut as ``PARTS`` says.
+
+    Those are the words of ``LATIN`` without ``<|``; no other is cut.
+    """
+    kinds = KINDS[data]
+    leads = np.flatnonzero(data[:-1] == 0xC3)
+    follow = data[leads + 1]
+    leads = leads[(follow >= 0x9F) & (follow <= 0xBF) & (follow != 0xB7)]
+    kinds[leads] = kinds[leads + 1] = LETTER
+    changes = kinds[1:] != kinds[:-1]
+    changes |= kinds[1:] == DIGIT
+    changes &= (kinds[1:] != SPACE) & (kinds[:-1] != SPACE)
+    cuts = np.flatnonzero(changes) + 1
+    marks = np.flatnonzero(data[:-1] == ord("<"))
+    whole = np.append(np.flatnonzero(kinds == OTHER), marks[data[marks + 1] == ord("|")])
+    if not len(whole) or not len(cuts):
+        return cuts
+    kept = np.zeros(len(starts), dtype=bool)
+    kept[np.searchsorted(starts, whole, side="right") - 1] = True
+    return cuts[~kept[np.searchsorted(starts, cuts, side="right") - 1]]
+
+
 def word_ids(known: Memory, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ids of a block of texts, and where those of each text begin (one more at the end).
 
     For a tokenizer that drops white space and ignores case: every word is encoded by itself, and
-    each different word of the block (told apart by 64-bit hashes) is looked up once. Texts that may
-    hold a special string keep their case, as such strings do not ignore it.
+    each different word of the block (told apart by 64-bit hashes) is looked up once. Words that the
+    tokenizer is known to cut are looked up in parts, as far fewer parts than words are new. Texts that
+    may hold a special string keep their case, as such strings do not ignore it.
     """
     lowered = LOWER[data]
     whole = data.tobytes()
@@ -197,12 +234,12 @@ def word_ids(known: Memory, data: np.ndarray, offsets: np.ndarray) -> tuple[np.n
         for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
             if b"<|" in whole[a:b]:
                 lowered[a:b] = data[a:b]
-    hashes, starts, lengths, bounds = word_spans(lowered, offsets)
-    codes, different = pd.factorize(hashes)
-    first = np.empty(len(different), np.int64)
-    first[codes[::-1]] = np.arange(len(codes))[::-1]
+    hashes, starts, lengths, bounds = word_spans(lowered, offsets, lambda starts: _part_cuts(lowered, starts))
+    codes, _ = pd.factorize(hashes)
+    first = np.flatnonzero(np.diff(np.maximum.accumulate(codes), prepend=-1))  # codes follow first places
     whole = lowered.tobytes()
-    words = [whole[a : a + n] for a, n in zip(starts[first].tolist(), lengths[first].tolist())]
+    begins = starts[first]
+    words = [whole[a:b] for a, b in zip(begins.tolist(), (begins + lengths[first]).tolist())]
     places = known.places(words)[codes]
     edges = np.append(0, np.cumsum(known.counts[places]))[bounds]
     return known.ids(places), edges
