@@ -233,3 +233,35 @@ def test_windows_come_in_chunks_of_any_size(monkeypatch):
             assert (np.concatenate(part) == np.concatenate(whole)).all()
         rows = np.concatenate([r for _, r in found])
         assert (np.bincount(rows) == [len(w[0]) for w in wanted]).all()
+
+
+def test_some_windows_of_many_texts():
+    rng = np.random.default_rng(6)
+    texts = [rng.integers(0, 500, n).astype(np.uint16) for n in (0, 1, 23, 24, 25, 47, 48, 700, 24 * 40)]
+    for chance in (0.1, 0.5, 1.0):
+        parts, wanted = [], []
+        for text in texts:
+            windows = attention.windowed(np.append(text, np.uint16(999)), 999)
+            part = np.flatnonzero(rng.random(len(windows[0])) < chance)
+            part = part if len(part) else np.array([len(windows[0]) - 1])
+            parts.append(part)
+            wanted.append([w[part] for w in windows])
+        found = attention.gathered(texts, parts, 999)
+        for some, whole in zip(found, zip(*wanted)):
+            assert (some == np.concatenate(whole)).all()
+
+
+def test_batches_share_their_arrays():
+    rng = np.random.default_rng(7)
+    model, *_ = model_of(rng, 200)
+    trainer = attention.Trainer(attention.initial(), model)
+    long, short = (attention.windowed(rng.integers(0, 200, 24 * n), 199) for n in (128, 5))
+    trainer.train(long)
+    kept = {name: id(array) for name, array in trainer.room.kept.items()}
+    flat = trainer.flat.copy()
+    flat += rng.normal(0, 0.1, len(flat)).astype(np.float32)
+    for ids, target, scored in (short, long):
+        args = flat, model.group_of[ids], model.class_of[target], scored, model
+        (loss, grad), (alone, other) = attention.gradient(*args, trainer.room), attention.gradient(*args)
+        assert loss == alone and (grad == other).all()
+    assert kept and kept == {name: id(array) for name, array in trainer.room.kept.items()}

@@ -8,6 +8,7 @@ groups hold about equal shares of all ids counted, so frequent ids stand for the
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -142,7 +143,7 @@ def unpacked(flat: np.ndarray) -> dict[str, np.ndarray]:
     """Views of one parameter vector by name."""
     found, start = {}, 0
     for name, shape in SHAPES.items():
-        size = int(np.prod(shape))
+        size = math.prod(shape)
         found[name] = flat[start : start + size].reshape(shape)
         start += size
     return found
@@ -156,85 +157,146 @@ FUTURE = np.where(np.arange(INPUTS)[None, :] > np.arange(AHEAD, INPUTS)[:, None]
 CEILING = 60.0
 
 
-def forward(p: dict, groups: np.ndarray, model: Model) -> dict:
-    """Log-probabilities of the next class at the last positions of each window, and what led there.
+class Room:
+    """Arrays by name that every batch uses again, as making them anew would cost as much as filling them."""
 
-    ``weights`` are those of the attention before they are divided by ``norm``, their sum.
+    def __init__(self):
+        self.kept: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, shape: tuple, kind) -> np.ndarray:
+        size = math.prod(shape)
+        found = self.kept.get(name)
+        if found is None or found.size < size or found.dtype != kind:
+            found = self.kept[name] = np.empty(size, kind)
+        return found[:size].reshape(shape)
+
+    def product(self, name: str, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The matrix product of ``a`` and ``b``, as the array of this name."""
+        return np.matmul(a, b, out=self(name, (*a.shape[:-1], b.shape[-1]), a.dtype))
+
+
+def _cut(values: np.ndarray) -> None:
+    if values.size and values.max() > CEILING:
+        np.minimum(values, CEILING, out=values)
+
+
+def _ones(count: int, like: np.ndarray) -> np.ndarray:
+    return np.ones((count, 1), like.dtype)
+
+
+def forward(p: dict, groups: np.ndarray, model: Model, room: Room | None = None) -> dict:
+    """Log-probabilities of the next class at the last positions of each window, and what led there."""
+    found = _states(p, groups, model, room or Room())
+    return {**found, "log": found["logits"] - np.log(found["total"])}
+
+
+def _states(p: dict, groups: np.ndarray, model: Model, room: Room) -> dict:
+    """What leads to the probabilities of classes.
+
+    ``weights`` are those of the attention, and ``share`` those of the classes, before they are divided
+    by ``norm`` and ``total``, their sums. Keys and values are linear in the inputs, so their matrices
+    are multiplied into those of queries and outputs, and the attention meets the inputs themselves.
     """
-    x = np.take(p["group_in"], groups, axis=0)
+    n, kind = len(groups), p["wq"].dtype
+    positions = n * TARGETS
+    product = room.product
+    x = np.take(p["group_in"], groups, axis=0, out=room("x", (n, INPUTS, WIDTH), kind), mode="clip")
     x += p["place"]
-    last = np.ascontiguousarray(x[:, AHEAD:])
-    projected = x.reshape(-1, WIDTH) @ np.concatenate([p["wk"], p["wv"]], axis=1)
-    projected = projected.reshape(*x.shape[:2], 2 * WIDTH)
-    k, v = projected[:, :, :WIDTH], np.ascontiguousarray(projected[:, :, WIDTH:])
-    q = (last.reshape(-1, WIDTH) @ (p["wq"] * p["wq"].dtype.type(WIDTH**-0.5))).reshape(last.shape)
-    weights = q @ k.transpose(0, 2, 1)
+    across = room("across", (n, WIDTH, INPUTS), kind)
+    across[:] = x.transpose(0, 2, 1)
+    last = room("last", (positions, WIDTH), kind)
+    last.reshape(n, TARGETS, WIDTH)[:] = x[:, AHEAD:]
+    query = p["wq"] @ p["wk"].T * kind.type(WIDTH**-0.5)
+    value = p["wv"] @ p["wo"]
+    q = product("q", last, query).reshape(n, TARGETS, WIDTH)
+    weights = product("weights", q, across)
     weights += FUTURE
-    np.minimum(weights, CEILING, out=weights)
+    _cut(weights)
     np.exp(weights, out=weights)
-    norm = weights.reshape(-1, INPUTS) @ np.ones((INPUTS, 1), weights.dtype)
-    seen = (weights @ v).reshape(-1, WIDTH)
-    seen /= norm
-    y = seen @ p["wo"]
-    y += last.reshape(-1, WIDTH)
-    hidden = y @ p["w1"]
+    norm = weights.reshape(-1, INPUTS) @ _ones(INPUTS, weights)
+    mean = product("mean", weights, x).reshape(-1, WIDTH)
+    mean /= norm
+    y = product("y", mean, value)
+    y += last
+    hidden = product("hidden", y, p["w1"])
     hidden += p["b1"]
     np.maximum(hidden, 0, out=hidden)
-    z = hidden @ p["w2"]
+    z = product("z", hidden, p["w2"])
     z += y
-    log = z @ p["out"]
-    log += p["bias"]
-    log += np.take(model.class_log, groups[:, AHEAD:].ravel(), axis=0)
-    np.minimum(log, CEILING, out=log)
-    share = np.exp(log)
-    total = share @ np.ones((CLASSES, 1), log.dtype)
-    log -= np.log(total)
-    share /= total
-    return {"x": x, "last": last, "q": q, "k": k, "v": v, "weights": weights, "norm": norm, "seen": seen, "y": y,
-            "hidden": hidden, "z": z, "log": log, "share": share}
-
-
-def gradient(flat: np.ndarray, groups, target, scored, model: Model) -> tuple[float, np.ndarray]:
+    logits = product("logits", z, p["out"])
+    prior = model.class_log + p["bias"]
+    logits += np.take(prior, groups[:, AHEAD:].ravel(), axis=0, out=room("prior", logits.shape, prior.dtype), mode="clip")
+    _cut(logits)
+    share = np.exp(logits, out=room("share", logits.shape, kind))
+    total = share @ _ones(CLASSES, share)
+    return {"x": x, "across": across, "last": last, "query": query, "value": value, "q": q, "weights": weights,
+            "norm": norm, "mean": mean, "y": y, "hidden": hidden, "z": z, "logits": logits, "share": share,
+            "total": total}
+
+
+def _inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a.T @ b`` of tall arrays, in strips that stay near."""
+    strips = [v.reshape(TARGETS, -1, v.shape[1]) for v in (a, b)]
+    return (strips[0].transpose(0, 2, 1) @ strips[1]).sum(axis=0)
+
+
+# Where the numbers of a group lie among those of all.
+CELLS = np.arange(GROUPS * WIDTH).reshape(GROUPS, WIDTH)
+
+
+def gradient(flat: np.ndarray, groups, target, scored, model: Model, room: Room | None = None) -> tuple[float, np.ndarray]:
     """Mean loss over the scored positions of a batch of windows, and its gradient."""
-    p = unpacked(flat)
-    f = forward(p, groups, model)
+    room = room or Room()
+    p, count, kind = unpacked(flat), len(groups), flat.dtype
+    f = _states(p, groups, model, room)
     grad = np.zeros_like(flat)
     g = unpacked(grad)
+    product = room.product
+
+    def back(name, a, b):
+        return product(name, a, np.ascontiguousarray(b.T))
+
     on = scored.ravel()
     n = max(int(on.sum()), 1)
-    rows, wanted = np.arange(len(on)), target.ravel()
-    loss = -float(f["log"][rows[on], wanted[on]].sum()) / n
+    wanted = np.arange(0, len(on) * CLASSES, CLASSES) + target.ravel()
+    loss = float((np.log(f["total"][:, 0]) - f["logits"].reshape(-1)[wanted])[on].sum()) / n
+    each = on / kind.type(n)
     d = f["share"]
-    d[rows, wanted] -= 1
-    d *= (on / flat.dtype.type(n))[:, None]
-    g["out"][:] = f["z"].T @ d
-    g["bias"][:] = d.sum(axis=0)
-    dz = d @ p["out"].T
-    dh = (dz @ p["w2"].T) * (f["hidden"] > 0)
-    g["w2"][:] = f["hidden"].T @ dz
-    g["w1"][:] = f["y"].T @ dh
-    g["b1"][:] = dh.sum(axis=0)
-    dy = dz + dh @ p["w1"].T
-    g["wo"][:] = f["seen"].T @ dy
-    dseen = (dy @ p["wo"].T).reshape(f["last"].shape)
-    w = f["weights"] / f["norm"].reshape(*f["weights"].shape[:2], 1)
-    dv = (w.transpose(0, 2, 1) @ dseen).reshape(-1, WIDTH)
-    ds = dseen @ f["v"].transpose(0, 2, 1)
-    # The mean of ds under the weights is the product with what was seen.
-    ds -= (dseen * f["seen"].reshape(dseen.shape)).sum(axis=2, keepdims=True)
-    ds *= w
-    dq = (ds @ f["k"]).reshape(-1, WIDTH) * flat.dtype.type(WIDTH**-0.5)
-    dk = (ds.transpose(0, 2, 1) @ f["q"]).reshape(-1, WIDTH)
-    last, x = f["last"].reshape(-1, WIDTH), f["x"].reshape(-1, WIDTH)
-    g["wq"][:] = last.T @ dq
-    g["wk"][:] = x.T @ dk
-    g["wv"][:] = x.T @ dv
-    dx = (dk @ p["wk"].T + dv @ p["wv"].T).reshape(f["x"].shape)
-    dx[:, AHEAD:] += (dy + dq @ p["wq"].T).reshape(f["last"].shape)
-    g["place"][:] = dx.sum(axis=0)
-    one_hot = groups.ravel()
-    for column in range(WIDTH):
-        g["group_in"][:, column] = np.bincount(one_hot, dx[:, :, column].ravel(), GROUPS)
+    d *= each[:, None] / f["total"]
+    d.reshape(-1)[wanted] -= each
+    ones = _ones(len(on), d)[:, 0]
+    g["out"][:] = _inner(f["z"], d)
+    g["bias"][:] = ones @ d
+    dz = back("dz", d, p["out"])
+    dh = back("dh", dz, p["w2"])
+    dh *= f["hidden"] > 0
+    g["w2"][:] = _inner(f["hidden"], dz)
+    g["w1"][:] = _inner(f["y"], dh)
+    g["b1"][:] = ones @ dh
+    dy = back("dy", dh, p["w1"])
+    dy += dz
+    dvalue = _inner(f["mean"], dy)
+    g["wv"][:] = dvalue @ p["wo"].T
+    g["wo"][:] = p["wv"].T @ dvalue
+    dmean = back("dmean", dy, f["value"])
+    dmean /= f["norm"]
+    # The mean of ds under the weights is the product with the mean input.
+    level = np.einsum("ij,ij->i", dmean, f["mean"]).reshape(count, TARGETS, 1)
+    dmean = dmean.reshape(count, TARGETS, WIDTH)
+    ds = product("ds", dmean, f["across"])
+    ds -= level
+    ds *= f["weights"]
+    dq = product("dq", ds, f["x"]).reshape(-1, WIDTH)
+    dquery = _inner(f["last"], dq) * kind.type(WIDTH**-0.5)
+    g["wq"][:] = dquery @ p["wk"]
+    g["wk"][:] = dquery.T @ p["wq"]
+    dx = product("dx", f["weights"].transpose(0, 2, 1), dmean)
+    dx += product("dx of q", ds.transpose(0, 2, 1), f["q"])
+    dy += back("dlast", dq, f["query"])
+    dx[:, AHEAD:] += dy.reshape(count, TARGETS, WIDTH)
+    g["place"][:] = (_ones(count, dx).T @ dx.reshape(count, -1)).reshape(INPUTS, WIDTH)
+    cells = np.take(CELLS, groups, axis=0, out=room("cells", (*groups.shape, WIDTH), CELLS.dtype), mode="clip")
+    g["group_in"][:] = np.bincount(cells.ravel(), dx.ravel(), GROUPS * WIDTH).reshape(GROUPS, WIDTH)
     return loss, grad
 
 
@@ -246,6 +308,7 @@ class Trainer:
         self.mean, self.square = np.zeros_like(flat), np.zeros_like(flat)
         self.step = 0
         self.windows = 0
+        self.room = Room()
 
     def train(self, windows) -> None:
         ids, target, scored = windows
@@ -253,7 +316,7 @@ class Trainer:
         for start in range(0, len(ids), self.batch):
             part = order[start : start + self.batch]
             groups, wanted = self.model.group_of[ids[part]], self.model.class_of[target[part]]
-            _, grad = gradient(self.flat, groups, wanted, scored[part], self.model)
+            _, grad = gradient(self.flat, groups, wanted, scored[part], self.model, self.room)
             self.step += 1
             self.mean += 0.1 * (grad - self.mean)
             self.square += 0.01 * (grad * grad - self.square)
@@ -279,6 +342,32 @@ def windowed(sequence: np.ndarray, begin: int) -> tuple[np.ndarray, np.ndarray,
     return ids, target.reshape(count, TARGETS), scored.reshape(count, TARGETS)
 
 
+def gathered(texts: list[np.ndarray], parts: list[np.ndarray], end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Some windows of many texts, as ``windowed`` gives them with ``end`` before and after each text.
+
+    ``parts`` has the numbers of the windows wanted of each text, one at least, in ascending order.
+    """
+    number = np.concatenate(parts)
+    wanted = [len(part) for part in parts]
+    lows, highs = np.array([part[0] for part in parts]), np.array([part[-1] + 1 for part in parts])
+    tops = np.cumsum(highs - lows) - (highs - lows)
+    total = int((highs - lows).sum()) * TARGETS
+    inputs = np.full(total + len(parts) * AHEAD, end, texts[0].dtype)
+    target = np.full(total, end, texts[0].dtype)
+    for i, (text, low, high, top) in enumerate(zip(texts, lows.tolist(), highs.tolist(), tops.tolist())):
+        some = text[low * TARGETS : high * TARGETS]
+        target[top * TARGETS : top * TARGETS + len(some)] = some
+        before = AHEAD + 1 - low * TARGETS
+        some = text[max(-before, 0) : high * TARGETS - 1]
+        at = top * TARGETS + i * AHEAD + max(before, 0)
+        inputs[at : at + len(some)] = some
+    places = number + np.repeat(tops - lows, wanted)
+    starts = places * TARGETS + np.repeat(np.arange(len(parts)) * AHEAD, wanted)
+    left = np.repeat([len(text) + 1 for text in texts], wanted) - number * TARGETS
+    ids = np.lib.stride_tricks.sliding_window_view(inputs, INPUTS)[starts]
+    return ids, target.reshape(-1, TARGETS)[places], np.arange(TARGETS) < left[:, None]
+
+
 class Scorer:
     """A trained model made ready to score windows, with the results of ``forward``.
 
@@ -289,7 +378,7 @@ class Scorer:
     """
 
     def __init__(self, flat: np.ndarray, model: Model):
-        p, self.model = unpacked(flat), model
+        p, self.model, self.room = unpacked(flat), model, Room()
         query = p["wq"] * p["wq"].dtype.type(WIDTH**-0.5)
         mixed = p["wv"] @ p["wo"]
         late = p["w2"] @ p["out"]
@@ -314,33 +403,38 @@ class Scorer:
         self.cut_logits = bool(logit.max() > CEILING)
 
     def _at(self, name: str, groups: np.ndarray) -> np.ndarray:
-        found = np.take(self.group[name], groups, axis=0)
+        table = self.group[name]
+        found = np.take(table, groups, axis=0, out=self.room(name, (*groups.shape, table.shape[1]), table.dtype), mode="clip")
         found += self.place[name]
         return found
 
     def class_log(self, groups: np.ndarray, classes: np.ndarray) -> np.ndarray:
         """Log-probability of the given class at each of the last positions of windows."""
+        product = self.room.product
         last = np.ascontiguousarray(groups[:, AHEAD:])
-        weights = self._at("query", last) @ self._at("key", groups).transpose(0, 2, 1)
+        keys = self._at("key", groups)
+        across = self.room("across", (len(groups), WIDTH, INPUTS), keys.dtype)
+        across[:] = keys.transpose(0, 2, 1)
+        weights = product("weights", self._at("query", last), across)
         weights += self.mask
         if self.cut_scores:
             np.minimum(weights, CEILING, out=weights)
         np.exp(weights, out=weights)
-        norm = weights.reshape(-1, INPUTS) @ np.ones((INPUTS, 1), weights.dtype)
-        seen = (weights @ self._at("value", groups)).reshape(-1, WIDTH)
-        both = np.empty((len(seen), WIDTH + HIDDEN), seen.dtype)
+        norm = weights.reshape(-1, INPUTS) @ _ones(INPUTS, weights)
+        seen = product("seen", weights, self._at("value", groups)).reshape(-1, WIDTH)
+        both = self.room("both", (len(seen), WIDTH + HIDDEN), seen.dtype)
         seen /= norm
         both[:, :WIDTH] = seen
-        hidden = seen @ self.inner
+        hidden = product("inner", seen, self.inner)
         hidden += self._at("hidden", last).reshape(-1, HIDDEN)
         np.maximum(hidden, 0, out=both[:, WIDTH:])
-        log = both @ self.outer
+        log = product("log", both, self.outer)
         log += self._at("logit", last).reshape(-1, CLASSES)
         if self.cut_logits:
             np.minimum(log, CEILING, out=log)
         chosen = np.take(log.ravel(), np.arange(0, log.size, CLASSES) + classes)
         np.exp(log, out=log)
-        return chosen - np.log(log @ np.ones((CLASSES, 1), log.dtype))[:, 0]
+        return chosen - np.log(log @ _ones(CLASSES, log))[:, 0]
 
 
 def scored_windows(flat: np.ndarray, model: Model, windows, batch: int = BATCH) -> Iterator[np.ndarray]:

@@ -17,13 +17,14 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import attention
 from tidemark.llm.store import arrow_map, partitions, stored, table
-from tidemark.llm.textblocks import LOWER, blocks, word_hashes
+from tidemark.llm.textblocks import LOWER, blocks, bytes_of, word_hashes
 from tidemark.llm.tokens import tokenizer, word_ids, word_memory
 
 FOLDS, HELD_OUT = 7, 2
@@ -68,15 +69,19 @@ def _postings(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Re
         words.clear(), lengths.clear(), docs.clear()
         if not len(h):
             return
-        order = np.lexsort((owner, h))
-        h, owner = h[order], owner[order]
-        first = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])))
-        times = np.diff(np.append(first, len(h)))
-        h, owner = h[first], owner[first]
-        starts = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
-        runs = np.diff(np.append(starts, len(h)))
+        # Who has which, in order of hash and document, as one number.
+        codes, h = pd.factorize(h)
+        order = np.argsort(h)
+        rank = np.empty_like(order)
+        rank[order] = np.arange(len(order))
+        h = h[order]
+        pairs = np.sort(rank[codes] * len(sizes) + owner)
+        first = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))
+        times = np.diff(np.append(first, len(pairs)))
+        place, owner = np.divmod(pairs[first], len(sizes))
+        starts = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+        runs = np.diff(np.append(starts, len(place)))
         train = np.add.reduceat(times * learn[owner], starts)
-        h = h[starts]
         bucket = (h % np.uint64(buckets)).astype(np.int64)
         by_bucket = np.argsort(bucket, kind="stable")
         spans = np.repeat(starts[by_bucket] - (np.cumsum(runs[by_bucket]) - runs[by_bucket]), runs[by_bucket])
@@ -243,16 +248,19 @@ def end_id(path: str) -> int:
     return max(i for i, t in tokenizer(path).get_added_tokens_decoder().items() if t.special)
 
 
-def _sequence(packed: pa.Scalar, path: str) -> np.ndarray:
-    ids = np.frombuffer(packed.as_buffer(), id_type(path))
-    return np.append(ids, ids.dtype.type(end_id(path)))
+def _texts(batch: pa.RecordBatch, path: str) -> list[np.ndarray]:
+    """The ids of each text of a batch, without its end."""
+    data, edges = bytes_of(batch.column("ids"))
+    ids = data.view(id_type(path))
+    edges = (edges // ids.itemsize).tolist()
+    return [ids[a:b] for a, b in zip(edges[:-1], edges[1:])]
 
 
 def _id_counts(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(tokenizer(path).get_vocab_size(), np.int64)
     for batch in batches:
-        for packed in batch.column("ids"):
-            counts += np.bincount(_sequence(packed, path), minlength=len(counts))
+        counts += np.bincount(bytes_of(batch.column("ids"))[0].view(id_type(path)), minlength=len(counts))
+        counts[end_id(path)] += batch.num_rows
     there = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(counts[there])], ["id", "n"])
 
@@ -269,6 +277,7 @@ def _ends_words(path: str) -> np.ndarray:
 def _pair_counts(batches: Iterator[pa.RecordBatch], path: str, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
     """How often each id follows each group of ids, in some of this task's texts at a time."""
     groups = attention.finest(counts, _ends_words(path)).of
+    end = np.array([end_id(path)], id_type(path))
     waiting, held = [], 0
 
     def found():
@@ -279,11 +288,10 @@ def _pair_counts(batches: Iterator[pa.RecordBatch], path: str, counts: np.ndarra
         return pa.RecordBatch.from_arrays([pa.array(keys[first].astype(np.int64)), pa.array(times)], ["pair", "n"])
 
     for batch in batches:
-        for packed in batch.column("ids"):
-            sequence = _sequence(packed, path)
-            before = np.append(end_id(path), sequence[:-1])
-            waiting.append((groups[before] * len(counts) + sequence).astype(np.uint32))
-            held += len(sequence)
+        for text in _texts(batch, path):
+            both = np.concatenate([end, text, end])
+            waiting.append((groups[both[:-1]] * len(counts) + both[1:]).astype(np.uint32))
+            held += len(text) + 1
             if held > 1 << 22:
                 yield found()
                 held = 0
@@ -291,28 +299,24 @@ def _pair_counts(batches: Iterator[pa.RecordBatch], path: str, counts: np.ndarra
         yield found()
 
 
-def _in_chunks(batch: pa.RecordBatch, path: str, chosen=None) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+def _in_chunks(batch: pa.RecordBatch, path: str, chosen=None) -> Iterator[tuple[tuple, np.ndarray]]:
     """Windows of a batch of texts, and the row of each, some ``CHUNK`` at a time.
 
-    ``chosen`` takes a row and its number of windows and returns the windows wanted.
+    ``chosen`` takes a row and its number of windows and returns those wanted, in ascending order.
     """
-    waiting, rows, held = [], [], 0
+    waiting, held = [], 0
 
     def ready():
-        found = [np.concatenate(x) for x in zip(*waiting)], np.concatenate(rows)
-        waiting.clear(), rows.clear()
-        return found
-
-    for row, packed in enumerate(batch.column("ids")):
-        windows = attention.windowed(_sequence(packed, path), end_id(path))
-        if chosen is not None:
-            wanted = chosen(row, len(windows[0]))
-            windows = [x[wanted] for x in windows]
-        for start in range(0, len(windows[0]), CHUNK):
-            part = [x[start : start + CHUNK] for x in windows]
-            waiting.append(part)
-            rows.append(np.full(len(part[0]), row))
-            held += len(part[0])
+        rows, texts, parts = zip(*waiting)
+        waiting.clear()
+        return attention.gathered(texts, parts, end_id(path)), np.repeat(rows, [len(part) for part in parts])
+
+    for row, text in enumerate(_texts(batch, path)):
+        count = len(text) // attention.TARGETS + 1
+        wanted = np.arange(count) if chosen is None else chosen(row, count)
+        for start in range(0, len(wanted), CHUNK):
+            waiting.append((row, text, wanted[start : start + CHUNK]))
+            held += len(waiting[-1][2])
             if held >= CHUNK:
                 yield ready()
                 held = 0
