@@ -1,13 +1,17 @@
 import random
+import re
+import tracemalloc
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import ngramjoin
 from tidemark.llm.components import components
 from tidemark.llm.ngramjoin import drop_near_duplicates, ngram_join, overlap
+from tidemark.llm.store import BATCH_BYTES, arrow_map, stored
 
 
 def grams(text, size):
@@ -108,3 +112,35 @@ def test_first_of_near_duplicates_with_columns_of_any_name(spark, documents, pro
     got = sorted((r.doc_id is None, r.doc_id or 0, r.version, r.row) for r in found.collect())
     assert got == [(False, 1, "a", 8), (False, 3, None, None), (True, 0, "d", 2), (True, 0, "d", 2)]
     assert drop_near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_hashing_takes_little_memory_beside_the_texts(prose):
+    texts = [f"{prose(1, 4000)} {i}" for i in range(250)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(250), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    assert batch.nbytes > 4 << 20
+    tracemalloc.start()
+    rows = sum(x.num_rows for x in ngramjoin._incidence(iter([batch]), 5, 80, 8) if x.column("kind")[0].as_py() == 0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 250 and peak < 40 << 20
+
+
+def test_texts_are_sorted_once_when_duplicates_are_dropped(documents, prose):
+    docs = documents([(i // 2, prose(i // 4, 30)) for i in range(40)])
+    kept = drop_near_duplicates(docs)
+    plan = kept._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    sorts = [line for line in plan.splitlines() if re.search(r"\bSort \[of_id", line)]
+    assert len(sorts) == 1 and "SortAggregate" not in plan
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 2, 4, 6, 8, 10, 12, 14, 16, 18]
+
+
+def test_workers_get_batches_of_bounded_bytes(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows], "bytes": [batch.nbytes]})
+
+    texts = spark.range(4000).selectExpr("id", "repeat('abcdefghij', 300) AS text").coalesce(1)
+    before = spark.conf.get(BATCH_BYTES, None)
+    found = stored(arrow_map(texts, sizes, "n long, bytes long"), "sizes", 1 << 20).collect()
+    assert sum(r.n for r in found) == 4000 and max(r.bytes for r in found) < 2 << 20
+    assert spark.conf.get(BATCH_BYTES, None) == before

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
@@ -40,6 +40,8 @@ RESEEDED = 24  # up to so many blocks an empty one is replaced by blocks of anot
 SEEDS = 8
 MARKS = 512
 PART = 512
+BATCH = 2 << 20  # bytes of rows that come to a worker at a time
+TEXT_BYTES = 1 << 19  # of texts hashed at a time; the arrays made of them take some 30 times as much
 
 
 def size_class(size: int, percent: int) -> int:
@@ -147,7 +149,7 @@ def _incidence(batches: Iterator[pa.RecordBatch], size: int, percent: int, bucke
             names, x, y = zip(*parts)
             yield _batch({"kind": [BLOCKS] * len(x), "bucket": names, "hashes": x, "docs": y}, ROW_ARROW)
 
-    for rows, data, offsets in blocks(batches):
+    for rows, data, offsets in blocks(batches, limit=TEXT_BYTES):
         ids = rows.column("doc_id").to_pylist()
         sizes, high, low = [], [], []
         for doc, grams in zip(ids, _grams(data, offsets, size)):
@@ -300,7 +302,7 @@ def _linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Data
     a = texts.select(F.col("doc").alias("a"), F.col("packed").alias("packed_a"))
     b = texts.select(F.col("doc").alias("b"), F.col("packed").alias("packed_b"))
     met = pairs.join(b, "b").join(a, "a").select("a", "b", "packed_a", "packed_b")
-    return stored(arrow_map(met, lambda x: _products(x, size, percent), "a long, b long").distinct(), "ngram-links")
+    return stored(arrow_map(met, lambda x: _products(x, size, percent), "a long, b long").distinct(), "ngram-links", BATCH)
 
 
 def ngram_join(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
@@ -320,7 +322,7 @@ def ngram_join(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFram
     rows = arrow_map(
         docs.select("doc_id", F.col("text")), lambda b: _incidence(b, size, percent, buckets), ROW
     )
-    met = stored(arrow_map(rows.repartition(buckets, "bucket"), _meet, MET), "ngram-blocks")
+    met = stored(arrow_map(rows.repartition(buckets, "bucket"), _meet, MET), "ngram-blocks", BATCH)
     documents = met.where(F.col("kind") == DOCUMENT).select("doc", "n", "high", "low")
     named = documents.where("doc IS NOT NULL AND n > 0")
     # Dealt anew after the aggregate, so that the join reads a shuffle on either side: only then
@@ -337,7 +339,7 @@ def ngram_join(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFram
     packed = arrow_map(docs.select("doc_id", F.col("text")), _squeezed, "doc long, packed binary")
     packed = packed.join(members.select("doc").distinct(), "doc", "left_semi")
     texts = stored(
-        arrow_map(packed, lambda b: _marked(b, size), "doc long, packed binary, n long, marks binary"), "ngram-texts"
+        arrow_map(packed, lambda b: _marked(b, size), "doc long, packed binary, n long, marks binary"), "ngram-texts", BATCH
     )
     tried = stored(tried, "ngram-tried")
     links = _linked(tried, texts, size, percent)
@@ -367,7 +369,7 @@ def ngram_join(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFram
     work = left.join(texts.select("doc", "n", "marks"), "doc").repartition(buckets, "block", "one", "other")
     work = work.sortWithinPartitions("block", "one", "other")
     more = arrow_map(work, lambda b: _across(b, percent), "a long, b long").distinct()
-    more = stored(more.join(tried, ["a", "b"], "left_anti"), "ngram-across")
+    more = stored(more.join(tried, ["a", "b"], "left_anti"), "ngram-across", BATCH)
     found = _linked(more, texts, size, percent)
     if not found.isEmpty():
         joined = components(links.union(same).union(found))
@@ -393,8 +395,11 @@ def drop_near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80) -
         F.xxhash64("text").alias("of_text"),
         F.to_json(F.struct(*others)).alias("place"),
     )
-    named = rows.where("of_id IS NOT NULL").join(kept, F.col("of_id") == F.col("kept_id"), "left_semi")
-    first = named.groupBy("of_id", "of_text").agg(F.min_by("row", "place").alias("row")).select("row")
+    # Dealt by id alone and sorted within, so that texts are shuffled and sorted once for window and join.
+    named = rows.where("of_id IS NOT NULL").repartition("of_id")
+    order = Window.partitionBy("of_id", "of_text").orderBy("place")
+    first = named.withColumn("number", F.row_number().over(order)).where("number = 1")
+    first = first.join(kept, F.col("of_id") == F.col("kept_id"), "left_semi").select("row")
     unnamed = rows.where("of_id IS NULL").select("row")
     return first.union(unnamed).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
