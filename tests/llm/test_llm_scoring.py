@@ -265,3 +265,24 @@ def test_batches_share_their_arrays():
         (loss, grad), (alone, other) = attention.gradient(*args, trainer.room), attention.gradient(*args)
         assert loss == alone and (grad == other).all()
     assert kept and kept == {name: id(array) for name, array in trainer.room.kept.items()}
+
+
+def test_a_task_makes_its_scorer_once(monkeypatch):
+    model, *_ = model_of(np.random.default_rng(3), 200)
+    made = []
+
+    class Counted(attention.Scorer):
+        def __init__(self, *args):
+            made.append(args)
+            super().__init__(*args)
+
+    monkeypatch.setattr(attention, "Scorer", Counted)
+    monkeypatch.setattr(lmscore, "CHUNK", 2)
+    monkeypatch.setattr(lmscore, "id_type", lambda path: np.uint16)
+    monkeypatch.setattr(lmscore, "end_id", lambda path: 199)
+    ids = [np.arange(n, dtype=np.uint16) % 200 for n in (100, 0, 300)]
+    batch = pa.RecordBatch.from_pydict(
+        {"doc_id": [1, 2, 3], "version": [1, 2, 3], "ids": pa.array([x.tobytes() for x in ids], pa.binary())}
+    )
+    found = list(lmscore._model_scores(iter([batch, batch]), "", attention.initial(), lambda: model))
+    assert [b.num_rows for b in found] == [3, 3] and found[0].equals(found[1]) and len(made) == 1

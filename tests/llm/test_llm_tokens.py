@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 from pathlib import Path
 
 import numpy as np
@@ -8,7 +9,7 @@ import pyarrow.parquet as pq
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tidemark.llm import tokencount, tokens
+from tidemark.llm import textblocks, tokencount, tokens
 from tidemark.llm.tokencount import spliced_ids, token_counts
 from tidemark.llm.tokenstore import read_tokens, token_index, write_tokens
 from tidemark.session import scratch_path
@@ -157,3 +158,20 @@ def test_empty_and_unnamed_documents_are_stored(spark, documents):
     write_tokens(documents([(None, "b"), (1, "a"), (1, "a"), (1, "c d")]), WORDS, path)
     found = token_index(spark, path).orderBy("start").collect()
     assert [r.doc_id for r in found] == [None, 1, 1, 1] and found[0].start == 0
+
+
+def test_word_hashes_follow_their_definition_in_little_room():
+    data = np.random.default_rng(5).integers(0, 256, 1 << 20).astype(np.uint8)
+    data[300_000 : 300_000 + 3 * textblocks.STRIP] = ord("x")
+    offsets = np.array([0, 5, 5, 70_000, len(data)])
+    assert (textblocks.lowered(data) == textblocks.LOWER[data]).all()
+    tracemalloc.start()
+    hashes, starts, lengths, _ = textblocks.word_spans(data, offsets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 * len(data)
+    for i in [*range(0, len(starts), len(starts) // 50), int(lengths.argmax())]:
+        word, total = data[starts[i] : starts[i] + lengths[i]], int(lengths[i])
+        for place, byte in enumerate(word.tolist()):
+            total += int(textblocks.BYTE_CODES[byte]) * pow(int(textblocks.MULTIPLIER), place + 1, 2**64)
+        assert hashes[i] == textblocks.mixed(np.array([total % 2**64], np.uint64))[0]

@@ -104,8 +104,9 @@ class Model:
     def log_within(self, before: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Log10 probability of each id in its class after a group of ids."""
         column = self.column[ids]
-        found = self.within_log[before, column].astype(np.float64)
-        unseen = column == self.within_log.shape[1] - 1
+        width = self.within_log.shape[1]
+        found = self.within_log.ravel()[before * width + column].astype(np.float64)
+        unseen = column == width - 1
         if unseen.any():
             some = ids[unseen]
             found[unseen] = self.rare[some] + self.total_log[before[unseen], self.class_of[some]]
@@ -219,7 +220,8 @@ def _states(p: dict, groups: np.ndarray, model: Model, room: Room) -> dict:
     y = product("y", mean, value)
     y += last
     hidden = product("hidden", y, p["w1"])
-    hidden += p["b1"]
+    wide = hidden.reshape(n, -1)  # few long rows are added to faster than many short ones
+    wide += np.tile(p["b1"], TARGETS)
     np.maximum(hidden, 0, out=hidden)
     z = product("z", hidden, p["w2"])
     z += y
@@ -247,8 +249,16 @@ CELLS = np.arange(GROUPS * WIDTH).reshape(GROUPS, WIDTH)
 def gradient(flat: np.ndarray, groups, target, scored, model: Model, room: Room | None = None) -> tuple[float, np.ndarray]:
     """Mean loss over the scored positions of a batch of windows, and its gradient."""
     room = room or Room()
+    f = _states(unpacked(flat), groups, model, room)
+    on = scored.ravel()
+    wanted = np.arange(0, len(on) * CLASSES, CLASSES) + target.ravel()
+    loss = float((np.log(f["total"][:, 0]) - f["logits"].reshape(-1)[wanted])[on].sum()) / max(int(on.sum()), 1)
+    return loss, slope(flat, groups, target, scored, f, room)
+
+
+def slope(flat: np.ndarray, groups, target, scored, f: dict, room: Room) -> np.ndarray:
+    """The gradient of the mean loss, from what ``_states`` found; it is written over that."""
     p, count, kind = unpacked(flat), len(groups), flat.dtype
-    f = _states(p, groups, model, room)
     grad = np.zeros_like(flat)
     g = unpacked(grad)
     product = room.product
@@ -259,7 +269,6 @@ def gradient(flat: np.ndarray, groups, target, scored, model: Model, room: Room
     on = scored.ravel()
     n = max(int(on.sum()), 1)
     wanted = np.arange(0, len(on) * CLASSES, CLASSES) + target.ravel()
-    loss = float((np.log(f["total"][:, 0]) - f["logits"].reshape(-1)[wanted])[on].sum()) / n
     each = on / kind.type(n)
     d = f["share"]
     d *= each[:, None] / f["total"]
@@ -297,7 +306,7 @@ def gradient(flat: np.ndarray, groups, target, scored, model: Model, room: Room
     g["place"][:] = (_ones(count, dx).T @ dx.reshape(count, -1)).reshape(INPUTS, WIDTH)
     cells = np.take(CELLS, groups, axis=0, out=room("cells", (*groups.shape, WIDTH), CELLS.dtype), mode="clip")
     g["group_in"][:] = np.bincount(cells.ravel(), dx.ravel(), GROUPS * WIDTH).reshape(GROUPS, WIDTH)
-    return loss, grad
+    return grad
 
 
 class Trainer:
@@ -316,14 +325,29 @@ class Trainer:
         for start in range(0, len(ids), self.batch):
             part = order[start : start + self.batch]
             groups, wanted = self.model.group_of[ids[part]], self.model.class_of[target[part]]
-            _, grad = gradient(self.flat, groups, wanted, scored[part], self.model, self.room)
-            self.step += 1
-            self.mean += 0.1 * (grad - self.mean)
-            self.square += 0.01 * (grad * grad - self.square)
-            mean, square = self.mean / (1 - 0.9**self.step), self.square / (1 - 0.99**self.step)
-            self.flat -= (self.rate * mean / (np.sqrt(square) + 1e-8)).astype(self.flat.dtype)
+            found = _states(unpacked(self.flat), groups, self.model, self.room)
+            self._follow(slope(self.flat, groups, wanted, scored[part], found, self.room))
         self.windows += len(ids)
 
+    def _follow(self, grad: np.ndarray) -> None:
+        """One step of Adam, in the arrays there are."""
+        self.step += 1
+        step, scale = (self.room(name, grad.shape, grad.dtype) for name in ("step", "scale"))
+        np.subtract(grad, self.mean, out=step)
+        step *= 0.1
+        self.mean += step
+        np.multiply(grad, grad, out=step)
+        step -= self.square
+        step *= 0.01
+        self.square += step
+        np.divide(self.square, 1 - 0.99**self.step, out=scale)
+        np.sqrt(scale, out=scale)
+        scale += 1e-8
+        np.divide(self.mean, 1 - 0.9**self.step, out=step)
+        step *= self.rate
+        step /= scale
+        self.flat -= step
+
 
 def windowed(sequence: np.ndarray, begin: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Overlapping windows of a sequence, ``(ids, target, scored)``.
@@ -423,8 +447,7 @@ class Scorer:
         norm = weights.reshape(-1, INPUTS) @ _ones(INPUTS, weights)
         seen = product("seen", weights, self._at("value", groups)).reshape(-1, WIDTH)
         both = self.room("both", (len(seen), WIDTH + HIDDEN), seen.dtype)
-        seen /= norm
-        both[:, :WIDTH] = seen
+        seen = np.divide(seen, norm, out=both[:, :WIDTH])
         hidden = product("inner", seen, self.inner)
         hidden += self._at("hidden", last).reshape(-1, HIDDEN)
         np.maximum(hidden, 0, out=both[:, WIDTH:])
@@ -437,9 +460,14 @@ class Scorer:
         return chosen - np.log(log @ _ones(CLASSES, log))[:, 0]
 
 
-def scored_windows(flat: np.ndarray, model: Model, windows, batch: int = BATCH) -> Iterator[np.ndarray]:
-    """Log10 probability of the scored ids of each window, batch after batch."""
-    scorer = Scorer(flat, model)
+def scored_windows(
+    flat: np.ndarray, model: Model, windows, batch: int = BATCH, scorer: Scorer | None = None
+) -> Iterator[np.ndarray]:
+    """Log10 probability of the scored ids of each window, batch after batch.
+
+    ``scorer`` is that of ``flat`` and ``model``, if there is one already.
+    """
+    scorer = scorer or Scorer(flat, model)
     ids, target, scored = windows
     for start in range(0, len(ids), batch):
         part = slice(start, start + batch)

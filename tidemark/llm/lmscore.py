@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import attention
 from tidemark.llm.store import arrow_map, partitions, stored, table
-from tidemark.llm.textblocks import LOWER, blocks, bytes_of, word_hashes
+from tidemark.llm.textblocks import blocks, bytes_of, lowered, word_hashes
 from tidemark.llm.tokens import tokenizer, word_ids, word_memory
 
 FOLDS, HELD_OUT = 7, 2
@@ -104,7 +104,7 @@ def _postings(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Re
 
     held_words = 0
     for batch, data, offsets in blocks(batches):
-        found, bounds = word_hashes(LOWER[data], offsets)
+        found, bounds = word_hashes(lowered(data), offsets)
         words.append(found)
         lengths.append(np.diff(bounds))
         held_words += len(found) + batch.num_rows
@@ -351,10 +351,11 @@ def _trained(batches: Iterator[pa.RecordBatch], path: str, turn: int, rounds: in
 
 def _model_scores(batches: Iterator[pa.RecordBatch], path: str, flat: np.ndarray, model):
     known = model()
+    scorer = attention.Scorer(flat, known)
     for batch in batches:
         totals = np.zeros(batch.num_rows)
         for windows, rows in _in_chunks(batch, path):
-            scores = np.concatenate(list(attention.scored_windows(flat, known, windows)))
+            scores = np.concatenate(list(attention.scored_windows(flat, known, windows, scorer=scorer)))
             totals += np.bincount(rows, scores, len(totals))
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("version"), pa.array(totals)], ["doc_id", "version", "score"]

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.components import components
 from tidemark.llm.groups import whole_groups
 from tidemark.llm.store import arrow_map, partitions, stored, table
-from tidemark.llm.textblocks import LOWER, blocks, mixed, shingle_hashes, word_hashes
+from tidemark.llm.textblocks import blocks, lowered, mixed, shingle_hashes, word_hashes
 
 DOCUMENT, BLOCKS, MEMBER = 0, 1, 2
 ROW = "kind int, bucket int, doc long, n long, high long, low long, hashes binary, docs binary"
@@ -84,7 +84,7 @@ def block_hashes(grams: np.ndarray, percent: int) -> np.ndarray:
 
 def _grams(data: np.ndarray, offsets: np.ndarray, size: int) -> Iterator[np.ndarray]:
     """The sorted distinct n-gram hashes of each document of a block of texts."""
-    words, bounds = word_hashes(LOWER[data], offsets)
+    words, bounds = word_hashes(lowered(data), offsets)
     runs = shingle_hashes(words, size) if len(words) >= size else words[:0]
     for first, last in zip(bounds[:-1], bounds[1:]):
         if last - first >= size:

@@ -11,7 +11,7 @@ from itertools import islice, repeat
 import numpy as np
 import pandas as pd
 
-from tidemark.llm.textblocks import LOWER, SPACES, word_spans
+from tidemark.llm.textblocks import SPACES, lowered, word_spans
 
 # White space that a tokenizer's ``\s`` may or may not count, outside [\x20\x09-\x0D].
 ODD_SPACE = [
@@ -202,7 +202,7 @@ def _part_cuts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
     Those are the words of ``LATIN`` without ``<|``; no other is cut.
     """
-    kinds = KINDS[data]
+    kinds = np.frombuffer(bytearray(data.tobytes().translate(KINDS.tobytes())), np.uint8)
     leads = np.flatnonzero(data[:-1] == 0xC3)
     follow = data[leads + 1]
     leads = leads[(follow >= 0x9F) & (follow <= 0xBF) & (follow != 0xB7)]
@@ -228,16 +228,16 @@ def word_ids(known: Memory, data: np.ndarray, offsets: np.ndarray) -> tuple[np.n
     tokenizer is known to cut are looked up in parts, as far fewer parts than words are new. Texts that
     may hold a special string keep their case, as such strings do not ignore it.
     """
-    lowered = LOWER[data]
+    lower = lowered(data)
     whole = data.tobytes()
     if b"<|" in whole:
         for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
             if b"<|" in whole[a:b]:
-                lowered[a:b] = data[a:b]
-    hashes, starts, lengths, bounds = word_spans(lowered, offsets, lambda starts: _part_cuts(lowered, starts))
+                lower[a:b] = data[a:b]
+    hashes, starts, lengths, bounds = word_spans(lower, offsets, lambda starts: _part_cuts(lower, starts))
     codes, _ = pd.factorize(hashes)
     first = np.flatnonzero(np.diff(np.maximum.accumulate(codes), prepend=-1))  # codes follow first places
-    whole = lowered.tobytes()
+    whole = lower.tobytes()
     begins = starts[first]
     words = [whole[a:b] for a, b in zip(begins.tolist(), (begins + lengths[first]).tolist())]
     places = known.places(words)[codes]
